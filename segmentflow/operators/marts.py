@@ -40,7 +40,8 @@ def segment_fanout(main: DataFrame, segments: DataFrame, list_col: str = "list_o
     """
     seg = segments.select(F.col("segment").alias("_seg")).distinct()
     exploded = main.withColumn("_seg", F.explode(F.array_distinct(F.col(list_col))))
-    return exploded.join(seg, "_seg").drop(list_col).withColumnRenamed("_seg", "segment")
+    keep = [c for c in main.columns if c != list_col]
+    return exploded.join(seg, "_seg").select(*keep, F.col("_seg").alias("segment"))
 
 
 def orders_raw(df: DataFrame) -> DataFrame:

@@ -53,6 +53,7 @@ def fix_collisions(
     key: str,
     id_col: str,
     keep_keys: DataFrame | None = None,
+    length: int = ID_LENGTH,
 ) -> DataFrame:
     """Make ``id_col`` unique in ``state``.
 
@@ -92,7 +93,7 @@ def fix_collisions(
             out.join(clash, F.col(key) == F.col("_rekey"), "left")
             .withColumn(
                 id_col,
-                F.when(F.col("_rekey").isNotNull(), hash_id(F.col(key), salt)).otherwise(
+                F.when(F.col("_rekey").isNotNull(), hash_id(F.col(key), salt, length)).otherwise(
                     F.col(id_col)
                 ),
             )

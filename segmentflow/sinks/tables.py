@@ -16,7 +16,7 @@ def stream_writer(df: DataFrame, checkpoint: str, available_now: bool = True) ->
 def append_available_now(df: DataFrame, table: str, checkpoint: str) -> None:
     """Append a stream to a table, process what is there, wait for the end
     (``stream_append``).  A second run with no new files adds nothing."""
-    q = stream_writer(df, checkpoint).toTable(table)
+    q = stream_writer(df, checkpoint).format("parquet").toTable(table)
     q.awaitTermination()
     if q.exception() is not None:  # pragma: no cover - surfaced by awaitTermination
         raise q.exception()
@@ -57,7 +57,7 @@ def insert_by_name(df: DataFrame, table: str, overwrite: bool = True) -> None:
 def create_if_missing(spark: SparkSession, name: str, ddl: str, partitioned_by: list[str] | None = None) -> None:
     """``CREATE TABLE IF NOT EXISTS name (ddl) USING PARQUET``."""
     part = f" PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING PARQUET{part}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{part}")
 
 
 def drop_tables(spark: SparkSession, names: list[str]) -> None:
