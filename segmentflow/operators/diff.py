@@ -47,19 +47,25 @@ def definition_diff(source: DataFrame, target: DataFrame, name: str = "name",
     """Per source name: ``CREATE`` when the target lacks it, ``UPDATE`` with
     the sorted changed fields, or ``NO CHANGE``.  Names only in the target
     are ignored (``definition_lookup`` is the LEFT join)."""
-    s = source.select(F.col(name).alias("name"), F.col(definition).alias("_s"))
-    t = target.select(F.col(name).alias("_tname"), F.col(definition).alias("_t"))
+    # Each text is parsed once, into a column, before the join: inside the
+    # array lambda below the parse would otherwise run once per key.
+    s = source.select(F.col(name).alias("name"), parse_definition(F.col(definition)).alias("_sm"))
+    t = target.select(
+        F.col(name).alias("_tname"), parse_definition(F.col(definition)).alias("_tm")
+    )
     j = s.join(t, F.col("name") == F.col("_tname"), "left")
-    sm, tm = parse_definition(F.col("_s")), parse_definition(F.col("_t"))
+    sm, tm = F.col("_sm"), F.col("_tm")
     fields = F.when(sm.isNull() | tm.isNull(), F.array(F.lit(WHOLE_DEFINITION))).otherwise(
         changed_fields(sm, tm)
     )
     found = F.col("_tname").isNotNull()
     return j.select(
+        "name", found.alias("_found"), fields.alias("_fields")
+    ).select(
         "name",
-        F.when(~found, F.lit(CREATE))
-        .when(F.size(fields) > 0, F.lit(UPDATE))
+        F.when(~F.col("_found"), F.lit(CREATE))
+        .when(F.size("_fields") > 0, F.lit(UPDATE))
         .otherwise(F.lit(NO_CHANGE))
         .alias("action"),
-        F.when(found & (F.size(fields) > 0), fields).alias("changed_fields"),
+        F.when(F.col("_found") & (F.size("_fields") > 0), F.col("_fields")).alias("changed_fields"),
     )

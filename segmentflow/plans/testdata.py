@@ -1140,11 +1140,10 @@ def q_definition_lookup(spark, sf_dir):
 SELECT name, array_to_string(fields, ',') AS changed_fields FROM cmp WHERE tname IS NOT NULL""",
 )
 def q_json_field_diff(spark, sf_dir):
-    src, tgt = definitions(spark, sf_dir)
-    j = src.alias("s").join(tgt.alias("t"), F.col("s.name") == F.col("t.name"))
-    sm, tm = dff.parse_definition(F.col("s.definition")), dff.parse_definition(F.col("t.definition"))
-    fields = F.when(sm.isNull() | tm.isNull(), F.array(F.lit(dff.WHOLE_DEFINITION))).otherwise(dff.changed_fields(sm, tm))
-    return j.select(F.col("s.name").alias("name"), F.array_join(fields, ",").alias("changed_fields"))
+    d = dff.definition_diff(*definitions(spark, sf_dir)).filter(F.col("action") != dff.CREATE)
+    return d.select(
+        "name", F.array_join(F.coalesce("changed_fields", F.array().cast("array<string>")), ",").alias("changed_fields")
+    )
 
 
 @register(
