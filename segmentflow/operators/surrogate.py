@@ -54,14 +54,20 @@ def fix_collisions(
     id_col: str,
     keep_keys: DataFrame | None = None,
     length: int = ID_LENGTH,
+    check_ids: DataFrame | None = None,
 ) -> DataFrame:
     """Make ``id_col`` unique in ``state``.
 
     Keys that already held their id (``keep_keys``: the key column of the
     prior state) keep it; among new keys sharing an id, all but the
     smallest key are re-hashed with the next salt.  The loop runs until no
-    id is shared, so nothing is capped; each round is one aggregation and
-    with 89-bit ids it almost never runs twice.
+    id is shared, so nothing is capped; with 89-bit ids it almost never
+    runs a second round.
+
+    ``check_ids`` limits the check to ids a batch can have created (for a
+    micro-batch: ``hash_id`` of its keys).  The state is then only
+    semi-joined to that batch-sized set, not aggregated as a whole; later
+    rounds probe only the re-hashed ids.
     """
     salt = 0
     out = state
@@ -69,8 +75,10 @@ def fix_collisions(
     if keep_keys is None:
         keep_keys = spark.createDataFrame([], state.select(key).schema)
     kept = keep_keys.select(F.col(key).alias("_kept")).distinct()
+    probe = check_ids
     while True:
-        dup = out.groupBy(id_col).agg(F.count("*").alias("_n")).filter("_n > 1").select(id_col)
+        scope = out if probe is None else out.join(probe.select(id_col).distinct(), id_col, "left_semi")
+        dup = scope.groupBy(id_col).agg(F.count("*").alias("_n")).filter("_n > 1").select(id_col)
         if dup.isEmpty():
             return out
         salt += 1
@@ -88,6 +96,7 @@ def fix_collisions(
             )
             .filter(F.col("_kept").isNull() & (F.col("_rank") > 1))
             .select(F.col(key).alias("_rekey"))
+            .checkpoint()
         )
         out = (
             out.join(clash, F.col(key) == F.col("_rekey"), "left")
@@ -100,3 +109,4 @@ def fix_collisions(
             .select(*state.columns)
             .checkpoint()
         )
+        probe = clash.select(hash_id(F.col("_rekey"), salt, length).alias(id_col))

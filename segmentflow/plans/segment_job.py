@@ -21,13 +21,14 @@ import datetime as _dt
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from segmentflow.config import JobConfig, apply_session_defaults, use_namespace
 from segmentflow.functions.columns import path_part
 from segmentflow.operators.marts import main_table
 from segmentflow.operators.merge import segment_activate, segment_deactivate, upsert_keep_non_null
 from segmentflow.operators.quality import valid_rows
-from segmentflow.operators.surrogate import fix_collisions
+from segmentflow.operators.surrogate import fix_collisions, hash_id
 from segmentflow.sinks.export import export_segments
 from segmentflow.sinks.tables import append_available_now, create_if_missing, overwrite_table
 from segmentflow.sources.files import CONTACT_COLUMNS, add_feed, read_csv, remove_feed, stream_table
@@ -106,7 +107,9 @@ def contact_fold(prev: DataFrame, batch: DataFrame) -> DataFrame:
         order_col="file_modification_time",
         tie_cols=["source_file"],
     )
-    return fix_collisions(merged, "email", "random_id", keep_keys=prev.select("email"))
+    # Only ids this batch can have created need a uniqueness check.
+    fresh_ids = batch.select(hash_id(F.col("email")).alias("random_id"))
+    return fix_collisions(merged, "email", "random_id", keep_keys=prev.select("email"), check_ids=fresh_ids)
 
 
 def with_segment(df: DataFrame) -> DataFrame:

@@ -295,3 +295,14 @@ def test_sum_count_and_sorted_columns(spark):
     a = trips.select("pickup_zip", "fare_amount")
     b = trips.select("fare_amount", "pickup_zip")
     assertDataFrameEqual(a.select(sorted(a.columns)), b.select(sorted(b.columns)))
+
+
+def test_fix_collisions_with_probe(spark):
+    state = spark.createDataFrame(
+        [("old", "X1"), ("new", "X1"), ("other", "Y"), ("o2", "Z"), ("o3", "Z")], "email STRING, random_id STRING"
+    )
+    prior = spark.createDataFrame([("old",), ("o2",), ("o3",)], "email STRING")
+    probe = spark.createDataFrame([("X1",)], "random_id STRING")
+    out = {r.email: r.random_id for r in fix_collisions(state, "email", "random_id", prior, check_ids=probe).collect()}
+    # X1 is probed and fixed; Z is outside the probe and left alone
+    assert out["old"] == "X1" and out["new"] != "X1" and out["o2"] == out["o3"] == "Z"
