@@ -1,0 +1,21 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest dimension (rows) that is broadcast on purpose.  Larger ones are
+# left to the planner, which still broadcasts when AQE measures them small.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast only after checking its size.
+
+    Meant for dimension-like inputs (segment lists).  The row count is one
+    short job; above ``max_rows`` the frame is returned unchanged and the
+    join stays a shuffle join (with AQE skew splitting).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -157,9 +157,10 @@ def unseen_keys(
     smallest row, so the pick is repeatable.
     """
     pk = pool_key or key
-    fresh = df.filter(F.col(key).isNotNull()).join(
-        pool.select(F.col(pk).alias(key)).filter(F.col(key).isNotNull()), key, "left_anti"
-    )
+    # Distinct pool keys first: a key repeated a million times in the pool
+    # collapses map-side before the anti join.
+    seen = pool.select(F.col(pk).alias(key)).filter(F.col(key).isNotNull()).distinct()
+    fresh = df.filter(F.col(key).isNotNull()).join(seen, key, "left_anti")
     if order_col is None:
         return fresh.groupBy(key).agg(
             F.min(F.struct(*[c for c in df.columns if c != key])).alias("_r")

@@ -38,7 +38,7 @@ from segmentflow.operators.dedup import deduplicate, latest_per_key
 from segmentflow.operators.surrogate import fix_collisions, hash_id, hash_id_sql
 from segmentflow.sinks.export import export_segments
 from segmentflow.sinks.tables import preview
-from segmentflow.sources.files import read_parquet_table
+from segmentflow.sources.files import read_parquet_table, with_file_metadata
 from segmentflow.sources.tables import inline_values
 from segmentflow.streaming.fold import fold_stream, read_state
 
@@ -1160,7 +1160,27 @@ def q_sorted_unique_list(spark, sf_dir):
     return names.agg(F.array_join(F.array_sort(F.collect_list("f")), ",").alias("all_changed_fields"))
 
 
+@register("preview", "SELECT n_nationkey, n_name, n_regionkey FROM nation ORDER BY n_nationkey LIMIT 5")
+def q_preview(spark, sf_dir):
+    """First rows for a look, ordered so the preview repeats."""
+    return preview(T(spark, sf_dir, "nation"), 5, ["n_nationkey"])
+
+
+@register("orders_raw", f"WITH {ORDER_FEED_SQL} SELECT customer_name, order_date, order_number FROM raw")
+def q_orders_raw(spark, sf_dir):
+    """The order model on its own: name, date from epoch text, number."""
+    return marts.orders_raw(order_feed(spark, sf_dir)).select("customer_name", "order_date", "order_number")
+
+
 # --------------------------------------------------------- file facts --
+@register("file_metadata", None)
+def q_file_metadata(spark, sf_dir):
+    """Lineage columns on every ``orders`` row: source file, modification
+    time and ingestion time (file facts, so no SQL oracle)."""
+    o = with_file_metadata(T(spark, sf_dir, "orders"))
+    return o.select("o_orderkey", "source_file", "file_modification_time", "ingestion_timestamp")
+
+
 @register("file_inventory", None)
 def q_file_inventory(spark, sf_dir):
     """Rows and bytes per Parquet file of ``lineitem`` (file facts come

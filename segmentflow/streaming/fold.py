@@ -68,11 +68,17 @@ def apply_batch(
     """Fold one micro-batch into the next snapshot, at most once."""
     spark = batch.sparkSession
     log = _log(spark, state_dir)
-    if log is not None and not log.filter(
-        (F.col("stream") == stream_name) & (F.col("batch_id") == batch_id)
-    ).isEmpty():
-        return
-    seq = latest_snapshot(spark, state_dir)
+    seq = None
+    if log is not None:
+        # One pass over the (small) log: newest snapshot and whether this
+        # batch was applied already.
+        r = log.agg(
+            F.max("seq").alias("seq"),
+            F.max(((F.col("stream") == stream_name) & (F.col("batch_id") == batch_id)).cast("int")).alias("done"),
+        ).first()
+        if r.done == 1:
+            return
+        seq = None if r.seq is None else int(r.seq)
     prev = initial(spark) if seq is None else spark.read.parquet(_join(state_dir, "snap", f"seq={seq}"))
     nxt_seq = 0 if seq is None else seq + 1
     fold(prev, batch).write.mode("overwrite").parquet(_join(state_dir, "snap", f"seq={nxt_seq}"))

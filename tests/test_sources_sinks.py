@@ -134,3 +134,28 @@ def test_file_inventory(spark, tmp):
     inv = file_inventory(spark.read.parquet(p))
     tot = inventory_totals(inv).first()
     assert tot.files == 2 and tot.total_records == 10 and tot.total_bytes > 0
+
+
+def test_replay_all_with_new_checkpoint(spark, tmp):
+    """A new checkpoint reads every file again (``replay_all``)."""
+    land = os.path.join(tmp, "land")
+    os.makedirs(land)
+    with open(os.path.join(land, "a.csv"), "w") as f:
+        f.write("Name,email,DOB,occupation,phone_number\nA,a@x,,,\n")
+    out = os.path.join(tmp, "out")
+    append_path_available_now(stream_csv(spark, land, FEED_SCHEMA), out, os.path.join(tmp, "ck1"))
+    append_path_available_now(stream_csv(spark, land, FEED_SCHEMA), out, os.path.join(tmp, "ck1"))
+    assert spark.read.parquet(out).count() == 1
+    append_path_available_now(stream_csv(spark, land, FEED_SCHEMA), out, os.path.join(tmp, "ck2"))
+    assert spark.read.parquet(out).count() == 2
+
+
+def test_namespace(spark, tmp):
+    from segmentflow.config import JobConfig, use_namespace
+
+    before = spark.catalog.currentDatabase()
+    use_namespace(spark, JobConfig(landing=tmp, state=tmp, export=tmp, schema="sf_ns_test"))
+    try:
+        assert spark.catalog.currentDatabase() == "sf_ns_test"
+    finally:
+        spark.catalog.setCurrentDatabase(before)
