@@ -104,6 +104,10 @@ class JobConfig:
     catalog: str | None = None
     schema: str | None = None
     max_files_per_trigger: int = 1000
+    # Hash buckets of the keyed state (contacts, memberships).  Size it so a
+    # bucket stays near 128-512 MB at the target state size; merges then
+    # shuffle only the micro-batch.
+    state_buckets: int = 64
     tables: dict[str, str] = field(
         default_factory=lambda: {
             "bronze_add": "bronze_add",

@@ -32,7 +32,7 @@ from segmentflow.operators.surrogate import fix_collisions, hash_id
 from segmentflow.sinks.export import export_segments
 from segmentflow.sinks.tables import append_available_now, create_if_missing, overwrite_table
 from segmentflow.sources.files import CONTACT_COLUMNS, add_feed, read_csv, remove_feed, stream_table
-from segmentflow.streaming.fold import fold_stream, read_state
+from segmentflow.streaming.fold import Bucketing, fold_stream, read_state
 
 # Table layouts of the job.
 BRONZE_ADD_DDL = (
@@ -117,6 +117,14 @@ def with_segment(df: DataFrame) -> DataFrame:
     return df.select("email", "file_modification_time", path_part("source_file", -3).alias("segment"))
 
 
+def contact_bucketing(cfg: JobConfig) -> Bucketing:
+    return Bucketing(("email",), cfg.state_buckets)
+
+
+def membership_bucketing(cfg: JobConfig) -> Bucketing:
+    return Bucketing(("email", "segment"), cfg.state_buckets)
+
+
 def contacts(spark: SparkSession, cfg: JobConfig) -> None:
     """Stage 2."""
     fold_stream(
@@ -126,6 +134,7 @@ def contacts(spark: SparkSession, cfg: JobConfig) -> None:
         "add",
         _p(cfg, "checkpoints", "contact"),
         _contact_initial(cfg),
+        contact_bucketing(cfg),
     )
 
 
@@ -139,6 +148,7 @@ def segments(spark: SparkSession, cfg: JobConfig) -> None:
         "add",
         _p(cfg, "checkpoints", "contact_segment"),
         _empty(MEMBERSHIP_DDL),
+        membership_bucketing(cfg),
     )
     fold_stream(
         with_segment(stream_table(spark, cfg.table("bronze_remove"))),
@@ -147,14 +157,15 @@ def segments(spark: SparkSession, cfg: JobConfig) -> None:
         "remove",
         _p(cfg, "checkpoints", "contact_segment_remove"),
         _empty(MEMBERSHIP_DDL),
+        membership_bucketing(cfg),
     )
 
 
 def publish(spark: SparkSession, cfg: JobConfig) -> tuple[DataFrame, DataFrame]:
     """Current contact and membership state, also saved as tables."""
     contact_state = _p(cfg, "state", "contact")
-    c = read_state(spark, contact_state, _contact_initial(cfg))
-    m = read_state(spark, _p(cfg, "state", "contact_segment"), _empty(MEMBERSHIP_DDL))
+    c = read_state(spark, contact_state, _contact_initial(cfg), contact_bucketing(cfg))
+    m = read_state(spark, _p(cfg, "state", "contact_segment"), _empty(MEMBERSHIP_DDL), membership_bucketing(cfg))
     overwrite_table(c, cfg.table("contact_silver"), cut_lineage=True)
     overwrite_table(m, cfg.table("contact_segment"), cut_lineage=True)
     return spark.table(cfg.table("contact_silver")), spark.table(cfg.table("contact_segment"))

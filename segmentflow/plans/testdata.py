@@ -40,7 +40,7 @@ from segmentflow.sinks.export import export_segments
 from segmentflow.sinks.tables import preview
 from segmentflow.sources.files import read_parquet_table, with_file_metadata
 from segmentflow.sources.tables import inline_values
-from segmentflow.streaming.fold import fold_stream, read_state
+from segmentflow.streaming.fold import Bucketing, fold_stream, read_state
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -504,6 +504,7 @@ def q_upsert_replay(spark, sf_dir):
 
 
 REPLAY_STATE = "user_id BIGINT, event_type STRING, value DOUBLE, props STRING, random_id STRING"
+REPLAY_BUCKETS = Bucketing(("user_id",), 8)
 
 
 @register("foreach_batch_merge", REPLAY_SQL)
@@ -529,8 +530,8 @@ def q_foreach_batch_merge(spark, sf_dir):
     for b in range(3):
         batches.filter(F.col("batch") == b).write.mode("overwrite").parquet(os.path.join(landing, f"b{b}"))
         stream = spark.readStream.schema(schema).parquet(os.path.join(landing, "*"))
-        fold_stream(stream, fold, state, "replay", ckpt, initial)
-    return read_state(spark, state, initial)
+        fold_stream(stream, fold, state, "replay", ckpt, initial, REPLAY_BUCKETS)
+    return read_state(spark, state, initial, REPLAY_BUCKETS)
 
 
 # --------------------------------------------------------------- SCD2 --

@@ -1,32 +1,48 @@
 """Stateful fold of a stream into a keyed table without a table format
 (``foreach_batch_merge``).
 
-State is a series of complete snapshots under ``state_dir``:
-``state_dir/snap/seq=<n>/`` (Parquet).  A small Parquet log
-``state_dir/_log`` records every finished (seq, stream, batch_id).  For each
-micro-batch:
+State is a series of complete snapshots under ``state_dir``.  A small
+Parquet log ``state_dir/_log`` records every finished
+(seq, stream, batch_id, path).  For each micro-batch:
 
 1. if the log already holds (stream, batch_id) the batch was applied
    before (a retry after a failure) and is skipped;
 2. otherwise the newest logged snapshot is read, the pure fold
-   ``fold(state, batch) -> state`` is applied, the result is written as the
-   next snapshot, and only then the log row is appended.
-
-A crash between 2's write and its log row leaves an unlogged snapshot that
-the retry overwrites, so each batch is applied exactly once.  Everything
-is plain Spark reads and writes, so it works on any shared file system.
-Two streams may feed one table as long as they run one after the other
-(the reference job also allows one run at a time).
+   ``fold(state, batch) -> state`` is applied, the result is written to a
+   fresh folder ``snap/seq=<n>/run=<id>``, and only then the log row is
+   appended.
+
+A crash before the log row leaves an unlogged folder that no reader ever
+sees; the retry writes a new one.  So each batch is applied exactly once.
+Everything is plain Spark reads and writes on the shared folder.  Two
+streams may feed one table as long as they run one after the other (the
+reference job also allows one run at a time).
+
+With ``Bucketing`` the snapshots are written as tables bucketed and sorted
+by the merge key.  The next merge then reads the state already hash
+partitioned by the key, so only the micro-batch is shuffled; the state,
+which is the large side, is neither shuffled nor re-sorted for the join.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LOG_SCHEMA = "seq BIGINT, stream STRING, batch_id BIGINT"
+LOG_SCHEMA = "seq BIGINT, stream STRING, batch_id BIGINT, path STRING"
+
+
+@dataclass(frozen=True)
+class Bucketing:
+    """Hash bucketing of the state by its merge key."""
+
+    keys: tuple[str, ...]
+    buckets: int
 
 
 def _join(root: str, *parts: str) -> str:
@@ -40,21 +56,74 @@ def _log(spark: SparkSession, state_dir: str) -> DataFrame | None:
         return None
 
 
-def latest_snapshot(spark: SparkSession, state_dir: str) -> int | None:
-    """Sequence number of the newest complete snapshot, or None."""
+def _head(spark: SparkSession, state_dir: str, stream: str | None = None, batch_id: int | None = None):
+    """One pass over the log: newest (seq, path) and whether (stream,
+    batch_id) was applied already."""
     log = _log(spark, state_dir)
     if log is None:
-        return None
-    row = log.agg(F.max("seq").alias("m")).first()
-    return None if row is None or row.m is None else int(row.m)
+        return None, None, False
+    done = F.lit(False)
+    if stream is not None:
+        done = (F.col("stream") == stream) & (F.col("batch_id") == batch_id)
+    r = log.agg(
+        F.max("seq").alias("seq"),
+        F.max_by("path", "seq").alias("path"),
+        F.max(done.cast("int")).alias("done"),
+    ).first()
+    if r is None or r.seq is None:
+        return None, None, False
+    return int(r.seq), r.path, r.done == 1
+
+
+def _table_name(path: str) -> str:
+    return "sf_state_" + hashlib.sha1(path.encode()).hexdigest()[:16]
+
+
+def read_snapshot(spark: SparkSession, path: str, bucketing: Bucketing | None = None) -> DataFrame:
+    """A written snapshot; bucketed snapshots are read through a table
+    definition so Spark knows their partitioning (re-declared over the
+    files when the session does not know it yet)."""
+    if bucketing is None:
+        return spark.read.parquet(path)
+    name = _table_name(path)
+    if not spark.catalog.tableExists(name):
+        schema = spark.read.parquet(path).schema
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        keys = ", ".join(f"`{k}`" for k in bucketing.keys)
+        spark.sql(
+            f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
+            f"INTO {bucketing.buckets} BUCKETS LOCATION '{path}'"
+        )
+    return spark.table(name)
+
+
+def write_snapshot(df: DataFrame, path: str, bucketing: Bucketing | None = None) -> None:
+    if bucketing is None:
+        df.write.mode("errorifexists").parquet(path)
+        return
+    (
+        df.write.format("parquet")
+        .bucketBy(bucketing.buckets, *bucketing.keys)
+        .sortBy(*bucketing.keys)
+        .option("path", path)
+        .saveAsTable(_table_name(path))
+    )
 
 
-def read_state(spark: SparkSession, state_dir: str, initial: Callable[[SparkSession], DataFrame]) -> DataFrame:
+def latest_snapshot(spark: SparkSession, state_dir: str) -> int | None:
+    """Sequence number of the newest complete snapshot, or None."""
+    return _head(spark, state_dir)[0]
+
+
+def read_state(
+    spark: SparkSession,
+    state_dir: str,
+    initial: Callable[[SparkSession], DataFrame],
+    bucketing: Bucketing | None = None,
+) -> DataFrame:
     """The newest complete snapshot, or ``initial(spark)`` before the first."""
-    seq = latest_snapshot(spark, state_dir)
-    if seq is None:
-        return initial(spark)
-    return spark.read.parquet(_join(state_dir, "snap", f"seq={seq}"))
+    seq, path, _ = _head(spark, state_dir)
+    return initial(spark) if seq is None else read_snapshot(spark, path, bucketing)
 
 
 def apply_batch(
@@ -64,25 +133,30 @@ def apply_batch(
     state_dir: str,
     stream_name: str,
     initial: Callable[[SparkSession], DataFrame],
+    bucketing: Bucketing | None = None,
 ) -> None:
     """Fold one micro-batch into the next snapshot, at most once."""
     spark = batch.sparkSession
-    log = _log(spark, state_dir)
-    seq = None
-    if log is not None:
-        # One pass over the (small) log: newest snapshot and whether this
-        # batch was applied already.
-        r = log.agg(
-            F.max("seq").alias("seq"),
-            F.max(((F.col("stream") == stream_name) & (F.col("batch_id") == batch_id)).cast("int")).alias("done"),
-        ).first()
-        if r.done == 1:
-            return
-        seq = None if r.seq is None else int(r.seq)
-    prev = initial(spark) if seq is None else spark.read.parquet(_join(state_dir, "snap", f"seq={seq}"))
-    nxt_seq = 0 if seq is None else seq + 1
-    fold(prev, batch).write.mode("overwrite").parquet(_join(state_dir, "snap", f"seq={nxt_seq}"))
-    spark.createDataFrame([(nxt_seq, stream_name, int(batch_id))], LOG_SCHEMA).coalesce(1).write.mode(
+    seq, path, done = _head(spark, state_dir, stream_name, batch_id)
+    if done:
+        return
+    prev = initial(spark) if seq is None else read_snapshot(spark, path, bucketing)
+    nxt = 0 if seq is None else seq + 1
+    out = _join(state_dir, "snap", f"seq={nxt}", f"run={uuid.uuid4().hex}")
+    if bucketing is None:
+        write_snapshot(fold(prev, batch), out, bucketing)
+    else:
+        # The batch's own shuffles (dedupe, aggregation) use the bucket
+        # count, so they hash the key exactly as the stored state does and
+        # the merge join needs no exchange on the state side.
+        key = "spark.sql.shuffle.partitions"
+        old = spark.conf.get(key)
+        spark.conf.set(key, str(bucketing.buckets))
+        try:
+            write_snapshot(fold(prev, batch), out, bucketing)
+        finally:
+            spark.conf.set(key, old)
+    spark.createDataFrame([(nxt, stream_name, int(batch_id), out)], LOG_SCHEMA).coalesce(1).write.mode(
         "append"
     ).parquet(_join(state_dir, "_log"))
 
@@ -94,12 +168,13 @@ def fold_stream(
     stream_name: str,
     checkpoint: str,
     initial: Callable[[SparkSession], DataFrame],
+    bucketing: Bucketing | None = None,
 ) -> None:
     """Run ``df`` with ``availableNow`` and fold each micro-batch into the
     snapshot state; returns when the backlog is processed."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(batch, batch_id, fold, state_dir, stream_name, initial)
+        apply_batch(batch, batch_id, fold, state_dir, stream_name, initial, bucketing)
 
     q = (
         df.writeStream.foreachBatch(on_batch)

@@ -38,7 +38,10 @@ T = [dt.datetime(2024, 1, d, 12, 0) for d in range(1, 8)]
 def cfg(spark, tmp):
     for t in ("bronze_add", "bronze_remove", "contact_silver", "contact_segment_table", "main_table", "segments"):
         spark.sql(f"DROP TABLE IF EXISTS {t}")
-    c = JobConfig(landing=os.path.join(tmp, "landing"), state=os.path.join(tmp, "state"), export=os.path.join(tmp, "export"))
+    c = JobConfig(
+        landing=os.path.join(tmp, "landing"), state=os.path.join(tmp, "state"), export=os.path.join(tmp, "export"),
+        state_buckets=4,
+    )
     os.makedirs(c.landing)
     job.create_segments(spark, c, ["blue", "green", "red"])
     hist = os.path.join(tmp, "historic.csv")
