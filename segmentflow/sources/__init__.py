@@ -7,7 +7,9 @@ from segmentflow.sources.files import (  # noqa: F401
     read_parquet_table,
     read_table,
     remove_feed,
+    infer_schema_once,
     stream_csv,
+    stream_csv_inferred,
     stream_json,
     stream_parquet,
     stream_table,

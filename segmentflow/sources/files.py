@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
@@ -85,6 +87,42 @@ def stream_csv(
     return reader.csv(path)
 
 
+def infer_schema_once(
+    spark: SparkSession, path: str, schema_location: str, sampling_ratio: float = 1.0
+) -> StructType:
+    """CSV schema inferred from the files present on the first run and kept
+    at ``schema_location`` (a shared folder, like a stream's schema
+    location); later runs reuse it, so a new file cannot change the types.
+    ``sampling_ratio`` < 1 infers from a fraction of the rows, for very
+    large first loads."""
+    try:
+        text = spark.read.text(schema_location).first()
+        if text is not None:
+            return StructType.fromJson(json.loads(text[0]))
+    except AnalysisException:
+        pass
+    schema = (
+        spark.read.option("header", True)
+        .option("inferSchema", True)
+        .option("samplingRatio", sampling_ratio)
+        .option("pathGlobFilter", "*.csv")
+        .csv(path)
+        .schema
+    )
+    spark.createDataFrame([(schema.json(),)], "value STRING").coalesce(1).write.mode("overwrite").text(
+        schema_location
+    )
+    return schema
+
+
+def stream_csv_inferred(
+    spark: SparkSession, path: str, schema_location: str, max_files: int = 1000
+) -> DataFrame:
+    """CSV file stream with a schema inferred once and persisted
+    (``csv_stream_inferred``)."""
+    return stream_csv(spark, path, infer_schema_once(spark, path, schema_location), max_files)
+
+
 def stream_json(spark: SparkSession, path: str, schema: StructType | str, max_files: int | None = None) -> DataFrame:
     """File stream of JSON records (``json_stream``)."""
     reader = spark.readStream.schema(schema)

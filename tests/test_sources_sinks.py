@@ -163,3 +163,23 @@ def test_namespace(spark, tmp):
         assert spark.catalog.currentDatabase() == "sf_ns_test"
     finally:
         spark.catalog.setCurrentDatabase(before)
+
+
+def test_csv_stream_inferred_schema_is_kept(spark, tmp):
+    from segmentflow.sources.files import stream_csv_inferred
+
+    land = os.path.join(tmp, "rm")
+    os.makedirs(land)
+    with open(os.path.join(land, "r1.csv"), "w") as f:
+        f.write("email,n\na@x,1\nb@x,2\n")
+    loc, out, ck = (os.path.join(tmp, p) for p in ("schema", "out", "ck"))
+    s1 = stream_csv_inferred(spark, land, loc)
+    assert dict((f.name, f.dataType.simpleString()) for f in s1.schema.fields) == {"email": "string", "n": "int"}
+    append_path_available_now(s1.select("email"), out, ck)
+    # a later file with text in ``n`` does not change the stored schema
+    with open(os.path.join(land, "r2.csv"), "w") as f:
+        f.write("email,n\nc@x,many\n")
+    s2 = stream_csv_inferred(spark, land, loc)
+    assert s2.schema == s1.schema
+    append_path_available_now(s2.select("email"), out, ck)
+    assert rows(spark.read.parquet(out)) == [("a@x",), ("b@x",), ("c@x",)]
