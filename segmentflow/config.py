@@ -46,7 +46,7 @@ def get_session(
     master = master or f"local[{cpus}]"
     builder = SparkSession.builder.master(master).appName(app_name)
     builder = builder.config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus * 2))
+    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(os.environ.get("SF_SHUFFLE_PARTITIONS", cpus * 2))))
     for k, v in {**SESSION_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

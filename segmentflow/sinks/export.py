@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,13 +44,16 @@ def export_segments(
         .partitionBy("segment")
         .csv(target)
     )
-    # Segments without members: their names come from the (small) segment
-    # dimension, never from the contact rows.
-    written = fan.select("segment").distinct()
-    empty = segments.select("segment").distinct().join(written, "segment", "left_anti")
+    # Segments without members: the written segments are read from the
+    # file listing (metadata, one entry per file) instead of a second pass
+    # over the rows; the listed names come from the small segment table.
+    schema = fan.drop("segment").schema
+    files = fan.sparkSession.read.schema(schema).option("header", True).csv(target).inputFiles()
+    written = {unquote(f.split("segment=", 1)[1].split("/", 1)[0]) for f in files if "segment=" in f}
     header_only = fan.drop("segment").limit(0)
-    for row in empty.toLocalIterator():
-        header_only.coalesce(1).write.mode("overwrite").option("header", True).csv(
-            os.path.join(target, f"segment={row.segment}")
-        )
+    for row in segments.select("segment").distinct().toLocalIterator():
+        if row.segment is not None and row.segment not in written:
+            header_only.coalesce(1).write.mode("overwrite").option("header", True).csv(
+                os.path.join(target, f"segment={row.segment}")
+            )
     return fan
