@@ -6,7 +6,6 @@ import os
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from segmentflow.operators.marts import segment_fanout
 
@@ -16,8 +15,6 @@ def export_segments(
     segments: DataFrame,
     out_dir: str,
     date: str,
-    key: str = "email",
-    files_per_segment: int = 8,
     max_records_per_file: int = 5_000_000,
 ) -> DataFrame:
     """Write the members of each listed segment as CSV with a header, one
@@ -25,19 +22,19 @@ def export_segments(
 
     The reference filters the main table once per segment and pulls each
     result to the driver.  Here the main table is exploded once
-    (``segment_fanout``) and written by the executors in one job.  Rows are
-    spread over ``files_per_segment`` tasks per segment by a hash of the
-    key, so a segment holding a third of all contacts is written by several
-    tasks, and ``max_records_per_file`` bounds each file.  A listed segment
-    without members still gets a header-only file.
+    (``segment_fanout``) and written by the executors in one job.  The
+    ``rebalance`` hint groups rows by segment, and adaptive execution
+    splits any partition above the advisory size, so a segment holding a
+    third of all contacts is written by many right-sized tasks while small
+    segments stay in one file each; ``max_records_per_file`` bounds each
+    file.  A listed segment without members still gets a header-only file.
 
     Returns the exported rows (without the segment list column).
     """
     fan = segment_fanout(main, segments)
     target = os.path.join(out_dir, f"date={date}")
-    spread = F.pmod(F.xxhash64(F.col(key)), F.lit(files_per_segment))
     (
-        fan.repartition("segment", spread)
+        fan.hint("rebalance", "segment")
         .write.mode("overwrite")
         .option("header", True)
         .option("maxRecordsPerFile", max_records_per_file)
