@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segmentflow.operators.dedup import latest_per_key
+from segmentflow.operators.joins import broadcast_if_small
 
 
 def file_keys(df: DataFrame, file_col: str, key_col: str) -> DataFrame:
@@ -26,12 +27,13 @@ def all_pairs(df: DataFrame, file_col: str) -> DataFrame:
     """All unordered pairs of distinct files (``file_a < file_b``).
 
     The pair list is the output itself (files^2 / 2 rows) and grows with
-    the number of files, never with rows.  Spark plans the theta self-join
-    of the distinct file list as a broadcast nested loop only when the
-    measured side is small, otherwise as a distributed cartesian product.
+    the number of files, never with rows.  The distinct file list is
+    broadcast only after its size is checked; each task pairs its share of
+    files with it.  (Statistics over all pairs do not need this list, see
+    ``pair_overlap_stats``.)
     """
     files = df.filter(F.col(file_col).isNotNull()).select(F.col(file_col).alias("f")).distinct()
-    a, b = files.alias("a"), files.alias("b")
+    a, b = files.alias("a"), broadcast_if_small(files).alias("b")
     return a.join(b, F.col("a.f") < F.col("b.f")).select(
         F.col("a.f").alias("file_a"), F.col("b.f").alias("file_b")
     )
@@ -77,7 +79,8 @@ def pair_overlap(df: DataFrame, file_col: str, key_col: str) -> DataFrame:
 
 
 def overlap_stats(pairs: DataFrame, col: str = "shared_keys") -> DataFrame:
-    """Min / max / mean shared keys and number of pairs (zeros included)."""
+    """Min / max / mean shared keys and number of pairs of a pair list
+    that includes its zero pairs."""
     return pairs.agg(
         F.min(col).alias("min_shared"),
         F.max(col).alias("max_shared"),
@@ -86,6 +89,35 @@ def overlap_stats(pairs: DataFrame, col: str = "shared_keys") -> DataFrame:
     )
 
 
+def pair_overlap_stats(df: DataFrame, file_col: str, key_col: str) -> DataFrame:
+    """``overlap_stats`` over all file pairs, zeros included, without
+    listing the pairs: the number of pairs is files * (files - 1) / 2, the
+    zero pairs are those not among the pairs that share a key.  One
+    aggregate over the sharing pairs and the file names together."""
+    file_type = dict(df.dtypes)[file_col]
+    shared = pair_counts(df, file_col, key_col).select(
+        F.col("shared_keys").alias("n"), F.lit(None).cast(file_type).alias("f")
+    )
+    files = df.filter(F.col(file_col).isNotNull()).select(
+        F.lit(None).cast("bigint").alias("n"), F.col(file_col).alias("f")
+    )
+    s = shared.unionByName(files).agg(
+        F.min("n").alias("_min"),
+        F.max("n").alias("_max"),
+        F.sum("n").alias("_sum"),
+        F.count("n").alias("_nz"),
+        F.countDistinct("f").alias("_files"),
+    )
+    pairs = (F.col("_files") * (F.col("_files") - 1) / 2).cast("bigint")
+    zeros = pairs - F.col("_nz")
+    return s.select(
+        F.when(zeros > 0, F.lit(0).cast("bigint")).otherwise(F.col("_min")).alias("min_shared"),
+        F.when((F.col("_max").isNull()) & (pairs > 0), F.lit(0).cast("bigint")).otherwise(F.col("_max")).alias("max_shared"),
+        F.when(pairs > 0, F.coalesce(F.col("_sum"), F.lit(0)).cast("double") / pairs).alias("avg_shared"),
+        pairs.alias("pair_count"),
+    )
+
+
 def overlap_summary(df: DataFrame, file_col: str, key_col: str) -> DataFrame:
     """Unique keys, keys found in two or more files, their share in
     percent, and the mean number of distinct keys per file."""

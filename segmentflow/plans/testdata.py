@@ -907,7 +907,7 @@ SELECT min(shared_keys) AS min_shared, max(shared_keys) AS max_shared, avg(share
        count(*) AS pair_count FROM po""",
 )
 def q_overlap_stats(spark, sf_dir):
-    return overlap.overlap_stats(_pairs(spark, sf_dir))
+    return overlap.pair_overlap_stats(T(spark, sf_dir, "orders"), "o_orderpriority", "o_custkey")
 
 
 @register(

@@ -211,10 +211,20 @@ def test_pair_overlap_matches_brute_force(spark):
     expect = sorted((a, b, len(sets[a] & sets[b])) for i, a in enumerate(files) for b in files[i + 1:])
     got = rows(overlap.pair_overlap(df, "file", "email"))
     assert got == expect
-    stats = overlap.overlap_stats(overlap.pair_overlap(df, "file", "email")).first()
     counts = [c for _, _, c in expect]
-    assert (stats.min_shared, stats.max_shared, stats.pair_count) == (min(counts), max(counts), len(counts))
-    assert abs(stats.avg_shared - sum(counts) / len(counts)) < 1e-9
+    for stats in (
+        overlap.overlap_stats(overlap.pair_overlap(df, "file", "email")).first(),
+        overlap.pair_overlap_stats(df, "file", "email").first(),
+    ):
+        assert (stats.min_shared, stats.max_shared, stats.pair_count) == (min(counts), max(counts), len(counts))
+        assert abs(stats.avg_shared - sum(counts) / len(counts)) < 1e-9
+    # all pairs share a key: no zero pair, the minimum is a real count
+    full = spark.createDataFrame([("f1", "a"), ("f2", "a"), ("f3", "a"), ("f3", "b"), ("f2", "b")], "file STRING, email STRING")
+    st = overlap.pair_overlap_stats(full, "file", "email").first()
+    assert (st.min_shared, st.max_shared, st.pair_count, st.avg_shared) == (1, 2, 3, 4 / 3)
+    one = spark.createDataFrame([("f1", "a")], "file STRING, email STRING")
+    st = overlap.pair_overlap_stats(one, "file", "email").first()
+    assert (st.min_shared, st.max_shared, st.avg_shared, st.pair_count) == (None, None, None, 0)
     summ = overlap.overlap_summary(df, "file", "email").first()
     assert (summ.unique_keys, summ.overlapping_keys) == (3, 2)
     assert abs(summ.avg_keys_per_file - (2 + 2 + 2 + 0) / 4) < 1e-9
