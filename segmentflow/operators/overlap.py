@@ -78,6 +78,14 @@ def pair_overlap(df: DataFrame, file_col: str, key_col: str) -> DataFrame:
     )
 
 
+def shared_at_least(df: DataFrame, file_col: str, key_col: str, min_shared: int = 3) -> DataFrame:
+    """File pairs sharing at least ``min_shared`` keys (``filter_min_shared``).
+    From one shared key on, zero pairs cannot qualify, so only the pairs
+    that share keys are built."""
+    pairs = pair_counts(df, file_col, key_col) if min_shared >= 1 else pair_overlap(df, file_col, key_col)
+    return pairs.filter(F.col("shared_keys") >= min_shared)
+
+
 def overlap_stats(pairs: DataFrame, col: str = "shared_keys") -> DataFrame:
     """Min / max / mean shared keys and number of pairs of a pair list
     that includes its zero pairs."""

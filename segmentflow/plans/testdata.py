@@ -919,8 +919,7 @@ SELECT * FROM sh WHERE shared_keys >= 1""",
 def q_filter_min_shared(spark, sf_dir):
     """Nation pairs whose customers share an account balance (a key that
     rarely repeats), kept only from the minimum count on."""
-    p = overlap.pair_overlap(T(spark, sf_dir, "customer"), "c_nationkey", "c_acctbal")
-    return p.filter(F.col("shared_keys") >= 1)
+    return overlap.shared_at_least(T(spark, sf_dir, "customer"), "c_nationkey", "c_acctbal", 1)
 
 
 @register(
