@@ -23,11 +23,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmentflow.config import apply_session_defaults, ensure_checkpoint_dir, work_dir
+from segmentflow.config import apply_session_defaults, work_dir
 from segmentflow.functions.columns import (
     batch_stamp,
     changed_non_null,
-    epoch_to_date,
     export_file_name,
     keep_old_if_null,
     path_part,
@@ -1195,5 +1194,3 @@ def queries() -> dict[str, QueryFn]:
 def oracle_sql() -> dict[str, str]:
     return {k: v[1] for k, v in REGISTRY.items() if v[1] is not None}
 
-
-_ = ensure_checkpoint_dir  # re-exported for callers that set up sessions
