@@ -65,6 +65,40 @@ def apply_session_defaults(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
+def scale_settings(input_bytes: int, partition_mb: int = 256, max_partitions: int = 100_000) -> dict[str, str]:
+    """Scan and shuffle sizing for a job reading ``input_bytes``.
+
+    Scan splits and post-shuffle partitions aim at ``partition_mb``, which
+    fits comfortably in an executor task's memory share; the initial
+    shuffle width is the input size over that target (capped), and AQE
+    coalesces it down when stages turn out smaller.  A partition four times
+    the target counts as skewed and is split.  For 100 TB at 256 MB this
+    gives the cap of 100,000 shuffle partitions.
+    """
+    parts = max(200, min(max_partitions, input_bytes // (partition_mb << 20)))
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{partition_mb}m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{partition_mb}m",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{partition_mb * 4}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
+def state_buckets_for(state_bytes: int, bucket_mb: int = 512) -> int:
+    """Bucket count for keyed state of ``state_bytes``: a power of two with
+    buckets near ``bucket_mb`` (each merge task reads one bucket)."""
+    n = max(1, state_bytes // (bucket_mb << 20))
+    return 1 << max(3, (n - 1).bit_length())
+
+
+def apply_scale_settings(spark: SparkSession, input_bytes: int, partition_mb: int = 256) -> None:
+    """Set ``scale_settings`` on a running session."""
+    for k, v in scale_settings(input_bytes, partition_mb).items():
+        spark.conf.set(k, v)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 

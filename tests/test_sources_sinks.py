@@ -183,3 +183,15 @@ def test_csv_stream_inferred_schema_is_kept(spark, tmp):
     assert s2.schema == s1.schema
     append_path_available_now(s2.select("email"), out, ck)
     assert rows(spark.read.parquet(out)) == [("a@x",), ("b@x",), ("c@x",)]
+
+
+def test_scale_settings():
+    from segmentflow.config import scale_settings, state_buckets_for
+
+    big = scale_settings(100 * 10**12)
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert big["spark.sql.files.maxPartitionBytes"] == "256m"
+    small = scale_settings(10**9)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert state_buckets_for(10 * 2**40) == 32768  # 10 TiB of state, 512 MB buckets -> 20480 -> 2^15
+    assert state_buckets_for(0) == 8
