@@ -316,3 +316,20 @@ def test_fix_collisions_with_probe(spark):
     out = {r.email: r.random_id for r in fix_collisions(state, "email", "random_id", prior, check_ids=probe).collect()}
     # X1 is probed and fixed; Z is outside the probe and left alone
     assert out["old"] == "X1" and out["new"] != "X1" and out["o2"] == out["o3"] == "Z"
+
+
+def test_fold_applies_a_retried_batch_once(spark, tmp):
+    from segmentflow.streaming.fold import Bucketing, apply_batch, latest_snapshot, read_state
+
+    state_dir = tmp + "/state"
+    init = lambda s: merge.empty_membership(s)
+    adds = spark.createDataFrame([("a", "s", T1), ("b", "s", T1)], EV)
+    rems = spark.createDataFrame([("a", "s", T2)], EV)
+    for bucketing in (None, Bucketing(("email", "segment"), 4)):
+        d = f"{state_dir}-{bucketing is not None}"
+        apply_batch(adds, 0, merge.segment_activate, d, "add", init, bucketing)
+        apply_batch(adds, 0, merge.segment_activate, d, "add", init, bucketing)  # retry: skipped
+        apply_batch(rems, 0, merge.segment_deactivate, d, "remove", init, bucketing)
+        assert latest_snapshot(spark, d) == 1
+        got = rows(read_state(spark, d, init, bucketing))
+        assert got == [("a", "s", T2, False), ("b", "s", T1, True)]
