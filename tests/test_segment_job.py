@@ -121,3 +121,27 @@ def test_segment_job_end_to_end(spark, cfg):
     assert (b.Name, b.phone_number, b.occupation) == ("Robert", "777", "driver")
     bb = spark.table("contact_segment_table").filter("email = 'bob@x.io' AND segment = 'blue'").first()
     assert bb.is_active is False
+
+
+def test_job_on_driver_tables(spark):
+    """The job on CSV drops made from ``events`` (as in ``bench.py``).  All
+    remove files of a segment land after its add files, so a (contact,
+    segment) pair is active exactly when it has adds and no remove."""
+    import duckdb
+
+    import bench
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("driver tables not present")
+    got = bench.job_run(spark, sf)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW events AS SELECT * FROM read_parquet('{sf}/events.parquet')")
+    active, total = con.sql("""
+        WITH f AS (SELECT user_id, CAST(json_extract_string(props, '$.k') AS INTEGER) % 7 AS seg, event_type FROM events),
+        a AS (SELECT DISTINCT user_id, seg FROM f WHERE event_type IN ('signup', 'purchase')),
+        r AS (SELECT DISTINCT user_id, seg FROM f WHERE event_type = 'error')
+        SELECT (SELECT count(DISTINCT user_id) FROM a WHERE NOT EXISTS
+                  (SELECT 1 FROM r WHERE r.user_id = a.user_id AND r.seg = a.seg)),
+               (SELECT count(DISTINCT user_id) FROM a)""").fetchall()[0]
+    assert (got["contacts"], got["with_segments"]) == (total, active)
