@@ -33,3 +33,46 @@ def unique_key(df: DataFrame, cols: list[str]) -> DataFrame:
 def check_passes(failing: DataFrame) -> bool:
     """True when a check returned no rows (one short job, no collect)."""
     return failing.isEmpty()
+
+
+def check_report(df: DataFrame, table: str, not_null_cols: list[str] = (), key: list[str] | None = None) -> DataFrame:
+    """One row per check of a table: ``(table_name, check_name, columns,
+    failing_rows)``.  All NULL checks run in one aggregate pass; the key
+    check is one grouped count (map-side combined), reporting the number of
+    rows whose key occurs more than once."""
+    spark = df.sparkSession
+    schema = "table_name STRING, check_name STRING, columns STRING, failing_rows BIGINT"
+    parts = []
+    if not_null_cols:
+        counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in not_null_cols])
+        parts.append(
+            counts.select(
+                F.explode(
+                    F.array(
+                        *[
+                            F.struct(
+                                F.lit(table).alias("table_name"),
+                                F.lit("not_null").alias("check_name"),
+                                F.lit(c).alias("columns"),
+                                F.col(c).cast("bigint").alias("failing_rows"),
+                            )
+                            for c in not_null_cols
+                        ]
+                    )
+                ).alias("r")
+            ).select("r.*")
+        )
+    if key:
+        dup = unique_key(df, key).agg(F.coalesce(F.sum("occurrences"), F.lit(0)).cast("bigint").alias("failing_rows"))
+        parts.append(
+            dup.select(
+                F.lit(table).alias("table_name"),
+                F.lit("unique_key").alias("check_name"),
+                F.lit(",".join(key)).alias("columns"),
+                "failing_rows",
+            )
+        )
+    out = spark.createDataFrame([], schema)
+    for p in parts:
+        out = out.unionByName(p)
+    return out

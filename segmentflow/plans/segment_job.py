@@ -185,6 +185,27 @@ def export(spark: SparkSession, cfg: JobConfig, date: str | None = None) -> Data
     return export_segments(spark.table(cfg.table("main")), spark.table(cfg.table("segments")), cfg.export, date)
 
 
+def validate_tables(spark: SparkSession, cfg: JobConfig) -> DataFrame:
+    """The planned table checks: lineage columns and email set on both
+    bronze tables, email unique and set in the contact table, one row per
+    (email, segment) in the membership table."""
+    from segmentflow.operators.quality import check_report
+
+    lineage = ["email", "source_file", "file_modification_time"]
+    return (
+        check_report(spark.table(cfg.table("bronze_add")), cfg.table("bronze_add"), lineage)
+        .unionByName(check_report(spark.table(cfg.table("bronze_remove")), cfg.table("bronze_remove"), lineage))
+        .unionByName(
+            check_report(spark.table(cfg.table("contact_silver")), cfg.table("contact_silver"), ["email", "random_id"], ["email"])
+        )
+        .unionByName(
+            check_report(
+                spark.table(cfg.table("contact_segment")), cfg.table("contact_segment"), ["email", "segment"], ["email", "segment"]
+            )
+        )
+    )
+
+
 def run_segment_pipeline(spark: SparkSession, cfg: JobConfig, date: str | None = None) -> DataFrame:
     """All stages in order.  The segment list table must exist (set up
     once, as is the historic contact load)."""

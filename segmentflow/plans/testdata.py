@@ -1007,6 +1007,22 @@ def q_unique_key(spark, sf_dir):
     return quality.unique_key(T(spark, sf_dir, "orders"), ["o_custkey"])
 
 
+@register(
+    "table_checks",
+    f"""WITH {NULLED_ORDERS_SQL}
+SELECT 'orders' AS table_name, 'not_null' AS check_name, 'o_custkey' AS columns,
+       count(*) FILTER (WHERE o_custkey IS NULL) AS failing_rows FROM o
+UNION ALL
+SELECT 'orders', 'not_null', 'o_totalprice', count(*) FILTER (WHERE o_totalprice IS NULL) FROM o
+UNION ALL
+SELECT 'orders', 'unique_key', 'o_custkey', CAST(coalesce(sum(n), 0) AS BIGINT) FROM
+  (SELECT o_custkey, count(*) AS n FROM o WHERE o_custkey IS NOT NULL GROUP BY o_custkey HAVING count(*) > 1)""",
+)
+def q_table_checks(spark, sf_dir):
+    """Check report: NULL counts and rows of repeated keys."""
+    return quality.check_report(nulled_orders(spark, sf_dir), "orders", ["o_custkey", "o_totalprice"], ["o_custkey"])
+
+
 # ------------------------------------------------------------ set ops --
 @register(
     "unseen_keys",

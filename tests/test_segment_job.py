@@ -107,6 +107,12 @@ def test_segment_job_end_to_end(spark, cfg):
     back = spark.read.option("header", True).csv(out)
     assert rows(back, "email", "segment") == [("alice@x.io", "blue"), ("bob@x.io", "green"), ("carol@x.io", "green")]
 
+    report = {(r.table_name, r.check_name, r.columns): r.failing_rows for r in job.validate_tables(spark, cfg).collect()}
+    assert report[("bronze_add", "not_null", "email")] == 1  # the row without an email stays in bronze
+    assert report[("bronze_add", "not_null", "source_file")] == 0
+    assert report[("contact_silver", "unique_key", "email")] == 0
+    assert report[("contact_segment_table", "unique_key", "email,segment")] == 0
+
     # Second run, no new files: nothing changes.
     before = rows(spark.table("contact_segment_table"))
     job.run_segment_pipeline(spark, cfg, date="2024-01-31")
