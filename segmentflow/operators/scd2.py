@@ -75,3 +75,14 @@ def scd2_merge(
 def current_rows(history: DataFrame) -> DataFrame:
     """Open rows only (``filter_current``)."""
     return history.filter(F.col("end_timestamp").isNull())
+
+
+def scd2_fold(id_col: str, order_col: str, now=None):
+    """``scd2_merge`` as a fold for ``streaming.fold_stream``: each
+    micro-batch is merged into the history with the batch's own time as
+    ``now`` unless one is given."""
+
+    def fold(history: DataFrame, batch: DataFrame) -> DataFrame:
+        return scd2_merge(history, batch, id_col, order_col, now)
+
+    return fold

@@ -219,6 +219,18 @@ def run_segment_pipeline(spark: SparkSession, cfg: JobConfig, date: str | None =
     return export(spark, cfg, date)
 
 
+def replay_all(spark: SparkSession, cfg: JobConfig, new_state: str) -> JobConfig:
+    """Start over (``replay_all``): drop the job's tables and return a
+    configuration with a new state folder, so every landed file is read
+    again by fresh checkpoints.  The old folder is left for inspection."""
+    from dataclasses import replace
+
+    from segmentflow.sinks.tables import drop_tables
+
+    drop_tables(spark, [cfg.table(k) for k in ("bronze_add", "bronze_remove", "contact_segment", "main")])
+    return replace(cfg, state=new_state)
+
+
 def create_segments(spark: SparkSession, cfg: JobConfig, values: list[str] | None = None) -> None:
     """One-off set-up: the segment list table."""
     from segmentflow.sources.tables import inline_values

@@ -333,3 +333,19 @@ def test_fold_applies_a_retried_batch_once(spark, tmp):
         assert latest_snapshot(spark, d) == 1
         got = rows(read_state(spark, d, init, bucketing))
         assert got == [("a", "s", T2, False), ("b", "s", T1, True)]
+
+
+def test_scd2_as_stream_fold(spark, tmp):
+    from segmentflow.streaming.fold import Bucketing, apply_batch, read_state
+
+    H = "id INT, v STRING, modifiedon TIMESTAMP, start_timestamp TIMESTAMP, end_timestamp TIMESTAMP"
+    init = lambda s: s.createDataFrame([], H)
+    fold = scd2.scd2_fold("id", "modifiedon", dt.datetime(2030, 1, 1))
+    inc = "id INT, v STRING, modifiedon TIMESTAMP"
+    d, b = tmp + "/h", Bucketing(("id",), 4)
+    apply_batch(spark.createDataFrame([(1, "a", T0), (2, "b", T0)], inc), 0, fold, d, "chg", init, b)
+    apply_batch(spark.createDataFrame([(1, "a2", T1), (2, "old", T0)], inc), 1, fold, d, "chg", init, b)
+    apply_batch(spark.createDataFrame([(1, "a2", T1)], inc), 1, fold, d, "chg", init, b)  # retried: skipped
+    h = read_state(spark, d, init, b)
+    assert h.count() == 3
+    assert rows(scd2.current_rows(h), "id", "v") == [(1, "a2"), (2, "b")]
