@@ -195,3 +195,26 @@ def test_scale_settings():
     assert small["spark.sql.shuffle.partitions"] == "200"
     assert state_buckets_for(10 * 2**40) == 32768  # 10 TiB of state, 512 MB buckets -> 20480 -> 2^15
     assert state_buckets_for(0) == 8
+
+
+def test_daily_view_is_maintained_incrementally(spark, tmp):
+    import datetime as dt
+
+    from segmentflow.streaming.views import daily_counts_stream, maintain_view
+
+    land, out, ck = (os.path.join(tmp, p) for p in ("orders", "daily", "ck"))
+    os.makedirs(land)
+    schema = "customer_name STRING, order_datetime STRING, order_number BIGINT"
+
+    def drop(name, recs):
+        with open(os.path.join(land, name), "w") as f:
+            f.write("\n".join(json.dumps(r) for r in recs))
+
+    drop("a.json", [{"customer_name": "a", "order_datetime": "1564617600", "order_number": 1},
+                    {"customer_name": "b", "order_datetime": "bad", "order_number": 2}])
+    maintain_view(daily_counts_stream(stream_json(spark, land, schema)), out, ck)
+    assert rows(spark.read.parquet(out)) == [(dt.date(2019, 8, 1), 1), (None, 1)]
+    drop("b.json", [{"customer_name": "c", "order_datetime": "1564617601", "order_number": 3},
+                    {"customer_name": "d", "order_datetime": "1567296000", "order_number": 4}])
+    maintain_view(daily_counts_stream(stream_json(spark, land, schema)), out, ck)
+    assert rows(spark.read.parquet(out)) == [(dt.date(2019, 8, 1), 2), (dt.date(2019, 9, 1), 1), (None, 1)]
