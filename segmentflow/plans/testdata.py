@@ -40,6 +40,7 @@ from segmentflow.sinks.tables import preview
 from segmentflow.sources.files import read_parquet_table, with_file_metadata
 from segmentflow.sources.tables import inline_values
 from segmentflow.streaming.fold import Bucketing, fold_stream, read_state
+from segmentflow.streaming.views import daily_counts_stream, maintain_view
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -710,6 +711,27 @@ def q_model_ref(spark, sf_dir):
     return marts.orders_daily(spark.table(view), None)
 
 
+@register(
+    "orders_daily_stream",
+    f"WITH {ORDER_FEED_SQL} SELECT order_date, count(*) AS number_of_orders FROM raw GROUP BY order_date",
+)
+def q_orders_daily_stream(spark, sf_dir):
+    """The daily model kept by a streaming aggregate: the order feed lands
+    as JSON files in two arrivals (before and after a cut time); each run
+    adds the new files to the counts held in the state store."""
+    root = work_dir(spark, "daily", uuid.uuid4().hex)
+    land, out, ckpt = (os.path.join(root, p) for p in ("landing", "view", "checkpoint"))
+    ts = T(spark, sf_dir, "events").select(F.col("event_id").alias("order_number"), "ts")
+    feed = order_feed(spark, sf_dir).join(ts, "order_number")
+    cut = F.lit(CUT_TS).cast("timestamp_ntz")
+    schema = "customer_name STRING, order_datetime STRING, order_number BIGINT"
+    for name, part in (("a", feed.filter(F.col("ts") < cut)), ("b", feed.filter(F.col("ts") >= cut))):
+        part.drop("ts").write.json(os.path.join(land, name))
+        stream = spark.readStream.schema(schema).json(os.path.join(land, "*"))
+        maintain_view(daily_counts_stream(stream), out, ckpt)
+    return spark.read.parquet(out)
+
+
 @register(
     "dataset_view",
     "SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity FROM lineitem WHERE l_quantity < 30",
