@@ -154,32 +154,44 @@ def segment_deactivate(target: DataFrame, removes: DataFrame) -> DataFrame:
     )
 
 
+def membership_closed_form(events: DataFrame, is_add: Column, is_remove: Column) -> DataFrame:
+    """Membership after one run (all adds, then all removes) from a single
+    event feed, in one pass: the newest add and the newest remove per
+    (email, segment) come from one conditional aggregation (combined
+    map-side), so the feed is read and shuffled once and no join is needed.
+    Inactive when the remove is newer (a tie stays active); a pair with
+    removes only is dropped."""
+    t = F.col("file_modification_time")
+    e = events.filter(F.col("email").isNotNull() & F.col("segment").isNotNull() & (is_add | is_remove))
+    agg = e.groupBy(*MEMBERSHIP_KEYS).agg(
+        F.max(F.when(is_add, t)).alias("_a"), F.max(F.when(is_remove, t)).alias("_r")
+    )
+    removed = F.coalesce(F.col("_a") < F.col("_r"), F.lit(False))
+    return agg.filter(F.col("_a").isNotNull()).select(
+        *MEMBERSHIP_KEYS,
+        F.when(removed, F.col("_r")).otherwise(F.col("_a")).alias("file_modification_time"),
+        (~removed).alias("is_active"),
+    )
+
+
 def segment_membership(
     adds: DataFrame, removes: DataFrame, target: DataFrame | None = None
 ) -> DataFrame:
     """Membership after one run: all adds, then all removes.
 
-    Without a prior ``target`` this is the closed form: newest add LEFT JOIN
-    newest remove per (email, segment); inactive when the remove is newer
-    (a tie stays active).  With a target the two merges are folded in
-    order, which also covers the cross-run case where a remove seen before
-    any add was dropped.
+    Without a prior ``target`` this is the closed form (see
+    ``membership_closed_form``; the two inputs are tagged and aggregated
+    together).  With a target the two merges are folded in order, which
+    also covers the cross-run case where a remove seen before any add was
+    dropped.
     """
     if target is not None:
         return segment_deactivate(segment_activate(target, adds), removes)
-    a = membership_events(adds).alias("a")
-    r = membership_events(removes).alias("r")
-    cond = [F.col(f"a.{k}") == F.col(f"r.{k}") for k in MEMBERSHIP_KEYS]
-    removed = F.coalesce(
-        F.col("a.file_modification_time") < F.col("r.file_modification_time"), F.lit(False)
-    )
-    return a.join(r, cond, "left").select(
-        *[F.col(f"a.{k}").alias(k) for k in MEMBERSHIP_KEYS],
-        F.when(removed, F.col("r.file_modification_time"))
-        .otherwise(F.col("a.file_modification_time"))
-        .alias("file_modification_time"),
-        (~removed).alias("is_active"),
+    cols = [*MEMBERSHIP_KEYS, "file_modification_time"]
+    tagged = adds.select(*cols, F.lit(True).alias("_add")).unionByName(
+        removes.select(*cols, F.lit(False).alias("_add"))
     )
+    return membership_closed_form(tagged, F.col("_add"), ~F.col("_add"))
 
 
 def empty_membership(spark) -> DataFrame:

@@ -108,8 +108,9 @@ membership AS (
 
 
 def membership(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = feed(spark, sf_dir)
-    return merge.segment_membership(adds_of(f), removes_of(f))
+    """One pass over the event feed (see ``merge.membership_closed_form``)."""
+    kind = F.col("event_type")
+    return merge.membership_closed_form(feed(spark, sf_dir), kind.isin("signup", "purchase"), kind == "error")
 
 
 def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
