@@ -103,7 +103,7 @@ def test_segment_job_end_to_end(spark, cfg):
     assert rows(fan, "email", "segment") == [("alice@x.io", "blue"), ("bob@x.io", "green"), ("carol@x.io", "green")]
     out = os.path.join(cfg.export, "date=2024-01-31")
     red = glob.glob(os.path.join(out, "segment=red", "*.csv"))
-    assert [open(p).read().strip() for p in red] == ["email,Name,DOB,occupation,phone_number,random_id,list_keys"]
+    assert [open(p).read().strip() for p in red] == ["Name,email,DOB,occupation,phone_number,random_id,list_keys"]
     back = spark.read.option("header", True).csv(out)
     assert rows(back, "email", "segment") == [("alice@x.io", "blue"), ("bob@x.io", "green"), ("carol@x.io", "green")]
 
