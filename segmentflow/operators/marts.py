@@ -27,7 +27,8 @@ def active_segments(memberships: DataFrame, key: str = "email") -> DataFrame:
 def main_table(contacts: DataFrame, memberships: DataFrame, key: str = "email") -> DataFrame:
     """Contacts LEFT JOIN their active segments.  A contact without an
     active segment gets a NULL list, not an empty one."""
-    return contacts.join(active_segments(memberships, key), key, "left")
+    joined = contacts.join(active_segments(memberships, key), key, "left")
+    return joined.select(*contacts.columns, "list_of_segments")
 
 
 def segment_fanout(main: DataFrame, segments: DataFrame, list_col: str = "list_of_segments") -> DataFrame:
