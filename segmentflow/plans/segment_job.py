@@ -30,7 +30,7 @@ from segmentflow.operators.merge import segment_activate, segment_deactivate, up
 from segmentflow.operators.quality import valid_rows
 from segmentflow.operators.surrogate import fix_collisions, hash_id
 from segmentflow.sinks.export import export_segments
-from segmentflow.sinks.tables import append_available_now, create_if_missing, overwrite_table
+from segmentflow.sinks.tables import create_if_missing, overwrite_table
 from segmentflow.sources.files import CONTACT_COLUMNS, add_feed, read_csv, remove_feed, stream_table
 from segmentflow.streaming.fold import Bucketing, fold_stream, read_state
 
@@ -58,17 +58,23 @@ def _p(cfg: JobConfig, *parts: str) -> str:
 
 
 def ingest(spark: SparkSession, cfg: JobConfig) -> None:
-    """Stage 1: both feeds to their bronze tables."""
+    """Stage 1: both feeds to their bronze tables.  The two streams run at
+    the same time (they write different tables) and the stage ends when
+    both have processed their backlog."""
+    from segmentflow.sinks.tables import stream_writer
+
     create_if_missing(spark, cfg.table("bronze_add"), BRONZE_ADD_DDL)
     create_if_missing(spark, cfg.table("bronze_remove"), BRONZE_REMOVE_DDL)
-    append_available_now(
-        add_feed(spark, cfg.landing, cfg.max_files_per_trigger), cfg.table("bronze_add"), _p(cfg, "checkpoints", "add_stream")
-    )
-    append_available_now(
-        remove_feed(spark, cfg.landing, cfg.max_files_per_trigger),
-        cfg.table("bronze_remove"),
-        _p(cfg, "checkpoints", "remove_stream"),
-    )
+    queries = [
+        stream_writer(add_feed(spark, cfg.landing, cfg.max_files_per_trigger), _p(cfg, "checkpoints", "add_stream"))
+        .format("parquet")
+        .toTable(cfg.table("bronze_add")),
+        stream_writer(remove_feed(spark, cfg.landing, cfg.max_files_per_trigger), _p(cfg, "checkpoints", "remove_stream"))
+        .format("parquet")
+        .toTable(cfg.table("bronze_remove")),
+    ]
+    for q in queries:
+        q.awaitTermination()
 
 
 def initial_load(spark: SparkSession, path: str, table: str) -> DataFrame:
