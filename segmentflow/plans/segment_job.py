@@ -73,8 +73,13 @@ def ingest(spark: SparkSession, cfg: JobConfig) -> None:
         .format("parquet")
         .toTable(cfg.table("bronze_remove")),
     ]
-    for q in queries:
-        q.awaitTermination()
+    try:
+        for q in queries:
+            q.awaitTermination()
+    finally:  # a failed stream must not leave the other one running
+        for q in queries:
+            if q.isActive:
+                q.stop()
 
 
 def initial_load(spark: SparkSession, path: str, table: str) -> DataFrame:
