@@ -27,7 +27,7 @@ def upsert_keep_non_null(
     key: str,
     cols: list[str],
     id_col: str | None = "random_id",
-    new_id: Callable[[Column], Column] | None = None,
+    new_id: Callable[[Column], Column] | str | None = None,
     order_col: str | None = None,
     tie_cols: list[str] | None = None,
 ) -> DataFrame:
@@ -36,8 +36,9 @@ def upsert_keep_non_null(
     * ``order_col`` given: the batch is first cut to its newest row per key.
     * Match on ``key``: each non-NULL source column overwrites, a NULL never
       erases, the id stays.
-    * No match: insert with a new id (``new_id(key)``, default a hash of
-      the key, see ``surrogate``).
+    * No match: insert with a new id: ``new_id(key)`` (default a hash of
+      the key, see ``surrogate``), or, when ``new_id`` names a source
+      column, that column (ids assigned before the merge).
     * Target columns not in ``cols`` (such as ``list_keys``) pass through;
       inserted rows get NULL there.
     * Rows with a NULL key are rejected up front: they would never match
@@ -52,8 +53,9 @@ def upsert_keep_non_null(
     src = source.filter(F.col(key).isNotNull())
     if order_col is not None:
         src = latest_per_key(src, [key], order_col, tie_cols)
-    src = src.select(key, *cols)
-    make_id = new_id or (lambda k: hash_id(k))
+    id_src = new_id if isinstance(new_id, str) else None
+    src = src.select(key, *cols, *([id_src] if id_src else []))
+    make_id = (lambda k: F.col(f"s.{id_src}")) if id_src else (new_id or (lambda k: hash_id(k)))
 
     t, s = target.alias("t"), src.alias("s")
     joined = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full")

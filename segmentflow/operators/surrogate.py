@@ -127,3 +127,48 @@ def fix_collisions(
             .checkpoint()
         )
         probe = clash.select(hash_id(F.col("_rekey"), salt, length).alias(id_col))
+
+
+def assign_new_ids(
+    new_keys: DataFrame,
+    taken_ids: DataFrame,
+    key: str,
+    id_col: str,
+    length: int = ID_LENGTH,
+) -> DataFrame:
+    """Ids for keys that have none yet: ``(key, id_col)`` per new key,
+    unique among themselves and against ``taken_ids`` (the id column of the
+    current table).
+
+    Runs before a merge, so the merge itself is evaluated once.  The
+    existing ids are only probed: their column is semi-joined to the
+    batch-sized candidate set (broadcast when small), never aggregated.
+    Colliding keys are re-hashed with the next salt until no clash is left;
+    the smallest key keeps a shared candidate id.
+    """
+    from segmentflow.operators.joins import broadcast_if_small
+
+    assigned = new_keys.select(key).distinct().withColumn(id_col, hash_id(F.col(key), length=length)).checkpoint()
+    taken = taken_ids.select(id_col)
+    salt = 0
+    while True:
+        hit = taken.join(broadcast_if_small(assigned.select(id_col)), id_col, "left_semi")
+        with_existing = assigned.join(hit, id_col, "left_semi").select(key)
+        among_new = (
+            assigned.withColumn("_r", F.row_number().over(Window.partitionBy(id_col).orderBy(key)))
+            .filter(F.col("_r") > 1)
+            .select(key)
+        )
+        clash = with_existing.union(among_new).distinct().withColumn("_clash", F.lit(True)).checkpoint()
+        if clash.isEmpty():
+            return assigned
+        salt += 1
+        assigned = (
+            assigned.join(clash, key, "left")
+            .withColumn(
+                id_col,
+                F.when(F.col("_clash"), hash_id(F.col(key), salt, length)).otherwise(F.col(id_col)),
+            )
+            .select(key, id_col)
+            .checkpoint()
+        )

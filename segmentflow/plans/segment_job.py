@@ -21,14 +21,13 @@ import datetime as _dt
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from segmentflow.config import JobConfig, apply_session_defaults, use_namespace
 from segmentflow.functions.columns import path_part
 from segmentflow.operators.marts import main_table
 from segmentflow.operators.merge import segment_activate, segment_deactivate, upsert_keep_non_null
 from segmentflow.operators.quality import valid_rows
-from segmentflow.operators.surrogate import fix_collisions, hash_id
+from segmentflow.operators.surrogate import assign_new_ids
 from segmentflow.sinks.export import export_segments
 from segmentflow.sinks.tables import create_if_missing, overwrite_table
 from segmentflow.sources.files import CONTACT_COLUMNS, add_feed, read_csv, remove_feed, stream_table
@@ -109,18 +108,22 @@ def _contact_initial(cfg: JobConfig):
 
 
 def contact_fold(prev: DataFrame, batch: DataFrame) -> DataFrame:
-    """One micro-batch of adds into the contact state."""
-    merged = upsert_keep_non_null(
+    """One micro-batch of adds into the contact state.
+
+    Ids for emails not yet in the state are assigned first (checked
+    against the existing ids and each other), then the merge runs once."""
+    src = valid_rows(batch, ["email"])
+    new_keys = src.select("email").distinct().join(prev.select("email"), "email", "left_anti")
+    ids = assign_new_ids(new_keys, prev, "email", "random_id").withColumnRenamed("random_id", "_new_id")
+    return upsert_keep_non_null(
         prev,
-        valid_rows(batch, ["email"]),
+        src.join(ids, "email", "left"),
         "email",
         CONTACT_COLUMNS,
+        new_id="_new_id",
         order_col="file_modification_time",
         tie_cols=["source_file"],
     )
-    # Only ids this batch can have created need a uniqueness check.
-    fresh_ids = batch.select(hash_id(F.col("email")).alias("random_id"))
-    return fix_collisions(merged, "email", "random_id", keep_keys=prev.select("email"), check_ids=fresh_ids)
 
 
 def with_segment(df: DataFrame) -> DataFrame:

@@ -349,3 +349,15 @@ def test_scd2_as_stream_fold(spark, tmp):
     h = read_state(spark, d, init, b)
     assert h.count() == 3
     assert rows(scd2.current_rows(h), "id", "v") == [(1, "a2"), (2, "b")]
+
+
+def test_assign_new_ids_avoids_taken_and_each_other(spark):
+    from segmentflow.operators.surrogate import assign_new_ids
+
+    keys = spark.range(150).select(F.concat(F.lit("n"), F.col("id").cast("string")).alias("email"))
+    # existing ids: every 2-character id of 80 other keys
+    taken = spark.range(80).select(hash_id(F.concat(F.lit("o"), F.col("id").cast("string")), length=2).alias("random_id"))
+    got = assign_new_ids(keys, taken, "email", "random_id", length=2)
+    ids = [r.random_id for r in got.collect()]
+    assert got.count() == 150 and len(set(ids)) == 150
+    assert not set(ids) & {r.random_id for r in taken.collect()}
