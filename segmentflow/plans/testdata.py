@@ -855,9 +855,15 @@ SELECT s.segment, count(m.email) AS active_members
 FROM segs s LEFT JOIN membership m ON s.segment = m.segment AND m.is_active GROUP BY s.segment""",
 )
 def q_inline_values(spark, sf_dir):
+    """Active members per listed segment, zero for a segment without any.
+    Members are counted per segment first (combined map-side), so the join
+    with the literal list sees one row per segment, however large a
+    segment is."""
     segs = inline_values(spark, LISTED_SEGMENTS)
-    act = membership(spark, sf_dir).filter("is_active")
-    return segs.join(act, "segment", "left").groupBy("segment").agg(F.count("email").alias("active_members"))
+    counts = membership(spark, sf_dir).filter("is_active").groupBy("segment").agg(F.count("email").alias("n"))
+    return segs.join(counts, "segment", "left").select(
+        "segment", F.coalesce("n", F.lit(0).cast("bigint")).alias("active_members")
+    )
 
 
 @register(
