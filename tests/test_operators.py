@@ -29,6 +29,7 @@ def test_latest_per_key_ties_are_repeatable(spark):
     out = latest_per_key(df, ["email"], "t", ["source_file"])
     # same time and file: the larger remaining value wins; NULL time sorts last
     assert rows(out) == [("a", T1, "f1", "y"), ("b", T0, "f2", "m")]
+    assert rows(latest_per_key(df, ["email"], "t", ["source_file"], method="window")) == rows(out)
     assert rows(deduplicate(df, "email", "t")) == rows(out)
 
 
