@@ -147,8 +147,8 @@ def overlap_summary(df: DataFrame, file_col: str, key_col: str) -> DataFrame:
     return s.select(
         "unique_keys",
         "overlapping_keys",
-        (F.col("overlapping_keys").cast("double") * 100.0 / F.col("unique_keys")).alias("overlap_pct"),
-        (F.col("_pairs").cast("double") / F.col("_files")).alias("avg_keys_per_file"),
+        F.try_divide(F.col("overlapping_keys").cast("double") * 100.0, F.col("unique_keys")).alias("overlap_pct"),
+        F.try_divide(F.col("_pairs").cast("double"), F.col("_files")).alias("avg_keys_per_file"),
     )
 
 
@@ -179,7 +179,7 @@ def duplicate_rate(df: DataFrame, key: str) -> DataFrame:
         ),
     ).withColumn(
         "duplicate_rate",
-        (F.col("total_rows") - F.col("distinct_keys")).cast("double") / F.col("total_rows"),
+        F.try_divide((F.col("total_rows") - F.col("distinct_keys")).cast("double"), F.col("total_rows")),
     )
 
 

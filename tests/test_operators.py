@@ -362,3 +362,11 @@ def test_assign_new_ids_avoids_taken_and_each_other(spark):
     ids = [r.random_id for r in got.collect()]
     assert got.count() == 150 and len(set(ids)) == 150
     assert not set(ids) & {r.random_id for r in taken.collect()}
+
+
+def test_empty_inputs_give_null_ratios(spark):
+    empty = spark.createDataFrame([], "file STRING, email STRING")
+    r = overlap.overlap_summary(empty, "file", "email").first()
+    assert (r.unique_keys, r.overlap_pct, r.avg_keys_per_file) == (0, None, None)
+    d = overlap.duplicate_rate(empty, "email").first()
+    assert (d.total_rows, d.duplicate_rate) == (0, None)
