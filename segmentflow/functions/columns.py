@@ -25,11 +25,19 @@ def path_part(path: str | Column, pos: int = -3, sep: str = "/") -> Column:
     return F.try_element_at(F.split(_c(path), sep), F.lit(pos))
 
 
+# Epoch seconds of 0001-01-01 and 9999-12-31 23:59:59 (UTC), the range of
+# a Spark timestamp.
+_MIN_EPOCH, _MAX_EPOCH = -62135596800, 253402300799
+
+
 def epoch_to_date(text: str | Column) -> Column:
     """Epoch seconds given as text to a DATE; bad, empty or NULL text gives
-    NULL.  Uses the session time zone (pinned to UTC by ``config``)."""
+    NULL, and so does a number outside the timestamp range (instead of an
+    overflow error that would fail the whole job).  Uses the session time
+    zone (pinned to UTC by ``config``)."""
     secs = _c(text).try_cast("bigint")
-    return F.to_date(F.timestamp_seconds(secs))
+    ok = secs.between(F.lit(_MIN_EPOCH), F.lit(_MAX_EPOCH))
+    return F.when(ok, F.to_date(F.timestamp_seconds(secs)))
 
 
 def keep_old_if_null(new: str | Column, old: str | Column) -> Column:

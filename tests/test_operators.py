@@ -160,13 +160,13 @@ def test_changed_non_null_truth_table(spark):
 def test_epoch_to_date_and_date_range(spark):
     df = spark.createDataFrame(
         [("c1", "1564617600", 1), ("c2", "1567295999", 2), ("c3", "1567296000", 3), ("c4", "abc", 4), ("c5", "", 5),
-         ("c6", None, 6)],
+         ("c6", None, 6), ("c7", "100000000000000000", 7)],
         "customer_name STRING, order_datetime STRING, order_number BIGINT",
     )
     raw = marts.orders_raw(df)
     got = {r.customer_name: r.order_date for r in raw.collect()}
     assert got == {"c1": dt.date(2019, 8, 1), "c2": dt.date(2019, 8, 31), "c3": dt.date(2019, 9, 1),
-                   "c4": None, "c5": None, "c6": None}
+                   "c4": None, "c5": None, "c6": None, "c7": None}
     daily = marts.orders_daily(raw, ("2019-08-01", "2019-09-01"))
     assert rows(daily) == [(dt.date(2019, 8, 1), 1), (dt.date(2019, 8, 31), 1)]
     assert marts.orders_daily(raw, None).count() == 4  # NULL date is a group too
