@@ -73,7 +73,7 @@ SCD2_NOW = "2030-01-01 00:00:00"
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Membership events: email, segment, file time, kind."""
     e = T(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.get_json_object("props", "$.k").try_cast("int")
     return e.select(
         F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("email"),
         F.concat(F.lit("seg"), F.pmod(k, F.lit(SEGMENT_COUNT)).cast("string")).alias("segment"),
