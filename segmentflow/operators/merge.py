@@ -30,6 +30,7 @@ def upsert_keep_non_null(
     new_id: Callable[[Column], Column] | str | None = None,
     order_col: str | None = None,
     tie_cols: list[str] | None = None,
+    time_guard: str | None = None,
 ) -> DataFrame:
     """Fold one batch into a keyed table.
 
@@ -44,8 +45,11 @@ def upsert_keep_non_null(
     * Rows with a NULL key are rejected up front: they would never match
       and would be inserted again on every batch.
 
-    There is no time guard: a later batch wins even when its file is older,
-    as in the reference job.
+    By default there is no time guard: a later batch wins even when its
+    file is older, as in the reference job.  With ``time_guard`` (a column
+    of both target and source, such as the file time) a matched row is only
+    updated by a strictly newer source row, and the column keeps the newest
+    time applied.
 
     One full outer join on the key.  Both sides hold at most one row per
     key, so the join cannot fan out and a hot key cannot skew it.
@@ -54,17 +58,24 @@ def upsert_keep_non_null(
     if order_col is not None:
         src = latest_per_key(src, [key], order_col, tie_cols)
     id_src = new_id if isinstance(new_id, str) else None
-    src = src.select(key, *cols, *([id_src] if id_src else []))
+    extra = [c for c in (id_src, time_guard) if c and c not in cols]
+    src = src.select(key, *cols, *extra)
     make_id = (lambda k: F.col(f"s.{id_src}")) if id_src else (new_id or (lambda k: hash_id(k)))
 
     t, s = target.alias("t"), src.alias("s")
     joined = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full")
+    # Whether the source row may change the target row.
+    apply = F.lit(True)
+    if time_guard is not None:
+        tg, sg = F.col(f"t.{time_guard}"), F.col(f"s.{time_guard}")
+        apply = F.col(f"t.{key}").isNull() | F.coalesce(tg < sg, tg.isNull() & sg.isNotNull())
     out = []
     for c in target.columns:
         if c == key:
             out.append(F.coalesce(F.col(f"t.{key}"), F.col(f"s.{key}")).alias(key))
-        elif c in cols:
-            out.append(keep_old_if_null(F.col(f"s.{c}"), F.col(f"t.{c}")).alias(c))
+        elif c in cols or c == time_guard:
+            merged = keep_old_if_null(F.col(f"s.{c}"), F.col(f"t.{c}"))
+            out.append((merged if time_guard is None else F.when(apply, merged).otherwise(F.col(f"t.{c}"))).alias(c))
         elif id_col is not None and c == id_col:
             out.append(F.coalesce(F.col(f"t.{c}"), make_id(F.col(f"s.{key}"))).alias(c))
         else:

@@ -370,3 +370,20 @@ def test_empty_inputs_give_null_ratios(spark):
     assert (r.unique_keys, r.overlap_pct, r.avg_keys_per_file) == (0, None, None)
     d = overlap.duplicate_rate(empty, "email").first()
     assert (d.total_rows, d.duplicate_rate) == (0, None)
+
+
+def test_upsert_optional_time_guard(spark):
+    tgt = spark.createDataFrame(
+        [("a", "new", T2, "IDA"), ("b", "old", T0, "IDB"), ("c", "cc", None, "IDC")],
+        "email STRING, Name STRING, t TIMESTAMP, random_id STRING",
+    )
+    src = spark.createDataFrame(
+        [("a", "late", T1), ("b", "fresh", T1), ("c", "cfresh", T1), ("d", "dd", T1)], "email STRING, Name STRING, t TIMESTAMP"
+    )
+    off = {r.email: (r.Name, r.t) for r in merge.upsert_keep_non_null(tgt, src, "email", ["Name"], order_col="t").collect()}
+    assert off["a"] == ("late", T2)  # no guard: the older late file wins
+    on = {
+        r.email: (r.Name, r.t)
+        for r in merge.upsert_keep_non_null(tgt, src, "email", ["Name"], order_col="t", time_guard="t").collect()
+    }
+    assert on == {"a": ("new", T2), "b": ("fresh", T1), "c": ("cfresh", T1), "d": ("dd", T1)}
