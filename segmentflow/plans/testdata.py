@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmentflow.config import apply_session_defaults, work_dir
+from segmentflow.config import JobConfig, apply_session_defaults, work_dir
 from segmentflow.functions.columns import (
     batch_stamp,
     changed_non_null,
@@ -35,6 +35,7 @@ from segmentflow.operators import diff as dff
 from segmentflow.operators import marts, merge, overlap, profile, quality, scd2
 from segmentflow.operators.dedup import deduplicate, latest_per_key
 from segmentflow.operators.surrogate import fix_collisions, hash_id, hash_id_sql
+from segmentflow.plans import segment_job
 from segmentflow.sinks.export import export_segments
 from segmentflow.sinks.tables import preview
 from segmentflow.sources.files import read_parquet_table, with_file_metadata
@@ -1216,6 +1217,70 @@ def q_orders_raw(spark, sf_dir):
     return marts.orders_raw(order_feed(spark, sf_dir)).select("customer_name", "order_date", "order_number")
 
 
+# ------------------------------------------------------ the whole job --
+def events_job(spark: SparkSession, sf_dir: str, state_buckets: int = 16) -> tuple[JobConfig, dict]:
+    """Run the segment job on CSV drops made from ``events``.
+
+    ``<landing>/<segment>/add`` gets the signups and purchases,
+    ``<landing>/<segment>/remove`` the errors, in the five-column feed
+    layout.  All add files are written before any remove file, so a remove
+    is always newer than the adds of its segment.  Table names are unique
+    per run.  Returns the configuration and the stage times."""
+    import time
+
+    run = uuid.uuid4().hex[:12]
+    root = work_dir(spark, "segment-job", run)
+    names = JobConfig(landing="", state="", export="").tables
+    cfg = JobConfig(
+        landing=os.path.join(root, "landing"),
+        state=os.path.join(root, "state"),
+        export=os.path.join(root, "export"),
+        state_buckets=state_buckets,
+        tables={k: f"sfjob_{run}_{k}" for k in names},
+    )
+    e = T(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").try_cast("int")
+    rows = e.select(
+        F.concat(F.lit("seg"), F.pmod(k, F.lit(SEGMENT_COUNT)).cast("string")).alias("segment"),
+        F.when(F.col("event_type") == "error", "remove").otherwise("add").alias("kind"),
+        F.concat(F.lit("User "), F.col("user_id").cast("string")).alias("Name"),
+        F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("email"),
+        F.date_add(F.lit("1970-01-01").cast("date"), F.col("user_id").cast("int")).alias("DOB"),
+        F.col("event_type").alias("occupation"),
+        F.col("event_id").cast("string").alias("phone_number"),
+    ).filter(F.col("occupation").isin("signup", "purchase", "error"))
+    t0 = time.perf_counter()
+    for kind in ("add", "remove"):
+        for seg in [f"seg{i}" for i in range(SEGMENT_COUNT)]:
+            part = rows.filter((F.col("segment") == seg) & (F.col("kind") == kind)).drop("segment", "kind")
+            part.write.option("header", True).option("dateFormat", "yyyy-MM-dd").csv(os.path.join(cfg.landing, seg, kind))
+    t1 = time.perf_counter()
+    segment_job.create_segments(spark, cfg, LISTED_SEGMENTS)
+    segment_job.run_segment_pipeline(spark, cfg, date=EXPORT_DATE)
+    t2 = time.perf_counter()
+    return cfg, {"landing_write_sec": round(t1 - t0, 3), "job_sec": round(t2 - t1, 3)}
+
+
+@register(
+    "segment_job",
+    f"""WITH f AS (
+  SELECT 'user' || CAST(user_id AS VARCHAR) AS email,
+         'seg' || CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % {SEGMENT_COUNT} AS VARCHAR) AS segment,
+         event_type FROM events),
+a AS (SELECT DISTINCT email, segment FROM f WHERE event_type IN ('signup', 'purchase')),
+r AS (SELECT DISTINCT email, segment FROM f WHERE event_type = 'error'),
+act AS (SELECT email, segment FROM a WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.email = a.email AND r.segment = a.segment)),
+seglist AS (SELECT email, array_to_string(list_sort(list(segment)), ',') AS l FROM act GROUP BY email)
+SELECT c.email, s.l AS list_of_segments FROM (SELECT DISTINCT email FROM a) c LEFT JOIN seglist s ON c.email = s.email""",
+)
+def q_segment_job(spark, sf_dir):
+    """The whole job (CSV streams to bronze with lineage, contact and
+    membership folds on bucketed state, main table, export) on drops made
+    from ``events``; the main table's contacts and their segments."""
+    cfg, _ = events_job(spark, sf_dir)
+    return spark.table(cfg.table("main")).select("email", as_text())
+
+
 # --------------------------------------------------------- file facts --
 @register("file_metadata", None)
 def q_file_metadata(spark, sf_dir):
