@@ -35,3 +35,26 @@ def test_plan_rules(spark, name):
         assert bad not in p, f"{name}: {bad}"
     if name not in PAIR_LISTS:
         assert "BroadcastNestedLoopJoin" not in p, name
+
+
+@pytest.mark.parametrize(
+    "name, pushed, read_schema",
+    [
+        ("filter_lt", "LessThan(l_quantity,30.0)", "struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double>"),
+        ("filter_eq", "EqualTo(l_returnflag,R)", None),
+        ("select_cols", None, "struct<o_orderkey:bigint,o_custkey:bigint>"),
+        ("filter_date_range", "GreaterThanOrEqual(o_orderdate", "struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>"),
+        ("segment_membership", "event_type", "struct<ts:timestamp_ntz,user_id:bigint,event_type:string,props:string>"),
+    ],
+)
+def test_pushdown_and_pruning(spark, name, pushed, read_schema):
+    """Filters reach the Parquet scan and only the needed columns are read."""
+    import os
+
+    if not os.path.isdir(SF):
+        pytest.skip("driver tables not present")
+    p = physical(entry.queries()[name](spark, SF))
+    if pushed:
+        assert "PushedFilters: [" in p and pushed in p.split("PushedFilters: [", 1)[1], p
+    if read_schema:
+        assert f"ReadSchema: {read_schema}" in p, p
