@@ -202,6 +202,13 @@ def export(spark: SparkSession, cfg: JobConfig, date: str | None = None) -> Data
     return export_segments(spark.table(cfg.table("main")), spark.table(cfg.table("segments")), cfg.export, date)
 
 
+def ingest_report(spark: SparkSession, cfg: JobConfig) -> DataFrame:
+    """Files ingested and last ingestion time per feed (``ingest_status``)."""
+    from segmentflow.operators.marts import ingest_status
+
+    return ingest_status(spark.table(cfg.table("bronze_add")), spark.table(cfg.table("bronze_remove")))
+
+
 def validate_tables(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     """The planned table checks: lineage columns and email set on both
     bronze tables, email unique and set in the contact table, one row per

@@ -107,6 +107,9 @@ def test_segment_job_end_to_end(spark, cfg):
     back = spark.read.option("header", True).csv(out)
     assert rows(back, "email", "segment") == [("alice@x.io", "blue"), ("bob@x.io", "green"), ("carol@x.io", "green")]
 
+    status = {r.file_type: r.file_count for r in job.ingest_report(spark, cfg).collect()}
+    assert status == {"add": 3, "remove": 3}
+
     report = {(r.table_name, r.check_name, r.columns): r.failing_rows for r in job.validate_tables(spark, cfg).collect()}
     assert report[("bronze_add", "not_null", "email")] == 1  # the row without an email stays in bronze
     assert report[("bronze_add", "not_null", "source_file")] == 0
