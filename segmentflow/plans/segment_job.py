@@ -209,6 +209,14 @@ def ingest_report(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     return ingest_status(spark.table(cfg.table("bronze_add")), spark.table(cfg.table("bronze_remove")))
 
 
+def landing_profile(spark: SparkSession, cfg: JobConfig) -> DataFrame:
+    """Per add file: records, non-NULL emails and NULLs per contact column
+    (``null_profile``)."""
+    from segmentflow.operators.profile import null_profile
+
+    return null_profile(spark.table(cfg.table("bronze_add")), "source_file", CONTACT_COLUMNS, key="email")
+
+
 def validate_tables(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     """The planned table checks: lineage columns and email set on both
     bronze tables, email unique and set in the contact table, one row per

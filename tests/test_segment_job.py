@@ -107,6 +107,10 @@ def test_segment_job_end_to_end(spark, cfg):
     back = spark.read.option("header", True).csv(out)
     assert rows(back, "email", "segment") == [("alice@x.io", "blue"), ("bob@x.io", "green"), ("carol@x.io", "green")]
 
+    prof = {os.path.basename(r.source_file): (r.records, r.non_null_email, r.null_DOB, r.null_occupation)
+            for r in job.landing_profile(spark, cfg).collect()}
+    assert prof == {"a1.csv": (3, 3, 0, 0), "a2.csv": (1, 1, 1, 1), "g1.csv": (3, 2, 1, 0)}
+
     status = {r.file_type: r.file_count for r in job.ingest_report(spark, cfg).collect()}
     assert status == {"add": 3, "remove": 3}
 
