@@ -19,7 +19,10 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import time
+from contextlib import contextmanager
 
+from pyspark.logger import PySparkLogger
 from pyspark.sql import DataFrame, SparkSession
 
 from segmentflow.config import JobConfig, apply_session_defaults, use_namespace
@@ -238,17 +241,33 @@ def validate_tables(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     )
 
 
+@contextmanager
+def _stage(name: str):
+    """Log a stage and its duration as a structured (JSON) record with
+    PySpark's own logger (level INFO)."""
+    log = PySparkLogger.getLogger("segmentflow")
+    t0 = time.perf_counter()
+    yield
+    log.info("stage finished", stage=name, seconds=round(time.perf_counter() - t0, 3))
+
+
 def run_segment_pipeline(spark: SparkSession, cfg: JobConfig, date: str | None = None) -> DataFrame:
     """All stages in order.  The segment list table must exist (set up
     once, as is the historic contact load)."""
     apply_session_defaults(spark)
     use_namespace(spark, cfg)
-    ingest(spark, cfg)
-    contacts(spark, cfg)
-    segments(spark, cfg)
-    publish(spark, cfg)
-    build_main(spark, cfg)
-    return export(spark, cfg, date)
+    with _stage("ingest"):
+        ingest(spark, cfg)
+    with _stage("contacts"):
+        contacts(spark, cfg)
+    with _stage("segments"):
+        segments(spark, cfg)
+    with _stage("publish"):
+        publish(spark, cfg)
+    with _stage("main"):
+        build_main(spark, cfg)
+    with _stage("export"):
+        return export(spark, cfg, date)
 
 
 def replay_all(spark: SparkSession, cfg: JobConfig, new_state: str) -> JobConfig:
