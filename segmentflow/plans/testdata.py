@@ -734,6 +734,33 @@ def q_orders_daily_stream(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@register(
+    "model_checks",
+    f"""WITH {ORDER_FEED_SQL},
+daily AS (SELECT order_date, count(*) AS number_of_orders FROM raw GROUP BY order_date)
+SELECT 'orders_raw' AS table_name, 'not_null' AS check_name, 'customer_name' AS columns,
+       count(*) FILTER (WHERE customer_name IS NULL) AS failing_rows FROM raw
+UNION ALL
+SELECT 'orders_raw', 'unique_key', 'customer_name', CAST(coalesce(sum(n), 0) AS BIGINT) FROM
+  (SELECT customer_name, count(*) AS n FROM raw WHERE customer_name IS NOT NULL GROUP BY customer_name HAVING count(*) > 1)
+UNION ALL
+SELECT 'orders_daily', 'not_null', 'order_date', count(*) FILTER (WHERE order_date IS NULL) FROM daily
+UNION ALL
+SELECT 'orders_daily', 'unique_key', 'order_date', CAST(coalesce(sum(n), 0) AS BIGINT) FROM
+  (SELECT order_date, count(*) AS n FROM daily WHERE order_date IS NOT NULL GROUP BY order_date HAVING count(*) > 1)""",
+)
+def q_model_checks(spark, sf_dir):
+    """The column tests declared for the two order models: ``customer_name``
+    unique and set in ``orders_raw`` (fails for repeat buyers, as noted),
+    ``order_date`` unique and set in ``orders_daily`` (the NULL date of bad
+    epoch text shows up as one failing row)."""
+    raw = marts.orders_raw(order_feed(spark, sf_dir))
+    daily = marts.orders_daily(raw, None)
+    return quality.check_report(raw, "orders_raw", ["customer_name"], ["customer_name"]).unionByName(
+        quality.check_report(daily, "orders_daily", ["order_date"], ["order_date"])
+    )
+
+
 @register(
     "dataset_view",
     "SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity FROM lineitem WHERE l_quantity < 30",
