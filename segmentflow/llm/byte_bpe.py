@@ -41,24 +41,26 @@ MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 class PairTable:
     """(left id, right id) -> merged id in an open-addressing hash table."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.bits = max(4, int(len(keys) * 4).bit_length())
-        size = 1 << self.bits
-        self.keys = np.full(size, -1, np.int64)
-        self.values = np.full(size, NO_RANK, np.int32)
-        self.probes = 0
-        slot = self._slot(keys)
-        left = np.arange(len(keys))
+    def __init__(self, keys: np.ndarray, values: np.ndarray, bits: int, probes: int):
+        self.keys, self.values, self.bits, self.probes = keys, values, bits, probes
+
+    @classmethod
+    def build(cls, pairs: np.ndarray, merged: np.ndarray) -> PairTable:
+        bits = max(4, int(len(pairs) * 4).bit_length())
+        size = 1 << bits
+        table = cls(np.full(size, -1, np.int64), np.full(size, NO_RANK, np.int32), bits, 0)
+        slot = table._slot(pairs)
+        left = np.arange(len(pairs))
         while len(left):
-            self.probes += 1
-            free = self.keys[slot[left]] == -1
+            table.probes += 1
             first = np.zeros(len(left), bool)
-            candidates = np.flatnonzero(free)
-            first[candidates[np.unique(slot[left[candidates]], return_index=True)[1]]] = True
+            free = np.flatnonzero(table.keys[slot[left]] == -1)
+            first[free[np.unique(slot[left[free]], return_index=True)[1]]] = True
             won = left[first]
-            self.keys[slot[won]], self.values[slot[won]] = keys[won], values[won]
+            table.keys[slot[won]], table.values[slot[won]] = pairs[won], merged[won]
             left = left[~first]
             slot[left] = (slot[left] + 1) & (size - 1)
+        return table
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * MULTIPLIER) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -83,26 +85,31 @@ class PairTable:
         return out
 
 
+def vocabulary_tables(data: bytes) -> dict:
+    """Plain tables of a rank file (``base64 rank`` per line), built once on
+    the driver to be broadcast: token bytes and the pair table."""
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines()) if a}
+    missing = [b for b in range(256) if bytes([b]) not in ranks]
+    if missing:
+        raise ValueError(f"the vocabulary lacks the single bytes {missing[:5]}")
+    tokens = [b""] * (max(ranks.values()) + 1)
+    get, pairs, merged = ranks.get, [], []
+    for token, rank in ranks.items():
+        tokens[rank] = token
+        for cut in range(1, len(token)):
+            left, right = get(token[:cut]), get(token[cut:])
+            if left is not None and right is not None:
+                pairs.append(left << 32 | right)
+                merged.append(rank)
+    return {"tokens": tokens, "pairs": vars(PairTable.build(np.array(pairs, np.int64), np.array(merged, np.int32)))}
+
+
 class Vocabulary:
-    """Ranks (``base64 rank`` per line), token bytes and the pair table."""
-
-    def __init__(self, data: bytes):
-        self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines()) if a}
-        self.tokens = [b""] * (max(self.ranks.values()) + 1)
-        for token, rank in self.ranks.items():
-            self.tokens[rank] = token
-        missing = [b for b in range(256) if bytes([b]) not in self.ranks]
-        if missing:
-            raise ValueError(f"the vocabulary lacks the single bytes {missing[:5]}")
+    def __init__(self, tables: dict):
+        self.tokens = tables["tokens"]
+        self.pairs = PairTable(**tables["pairs"])
+        self.ranks = {t: i for i, t in enumerate(self.tokens) if t}
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        get, keys, values = self.ranks.get, [], []
-        for token, rank in self.ranks.items():
-            for cut in range(1, len(token)):
-                left, right = get(token[:cut]), get(token[cut:])
-                if left is not None and right is not None:
-                    keys.append(left << 32 | right)
-                    values.append(rank)
-        self.pairs = PairTable(np.array(keys, np.int64), np.array(values, np.int32))
 
     def merge_rows(self, pieces: list[bytes], width: int) -> list[bytes]:
         """Ids (little-endian int32 bytes) of pieces no longer than
@@ -286,10 +293,10 @@ def encode_documents(
     Equal rows give equal results, each on its own row; an empty table
     gives an empty one; an input column named like an output is replaced.
     Texts of any length are encoded whole."""
-    vocabulary = df.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary_bytes(vocabulary_path)))
+    tables = df.sparkSession.sparkContext.broadcast(vocabulary_tables(vocabulary_bytes(vocabulary_path)))
 
     def factory():
-        encoder = Encoder(vocabulary.value, pattern)
+        encoder = Encoder(Vocabulary(tables.value), pattern)
 
         def apply(texts):
             ids = [x.tolist() for x in encoder.encode(texts)]
@@ -307,11 +314,11 @@ def token_digests(
     """``encode_documents`` reduced inside the task to ``n_tokens``,
     ``ids_sha256`` (decimal ids joined by a space) and ``decoded_sha256``
     (of the decoded bytes), so whole token lists don't leave it."""
-    vocabulary = df.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary_bytes(vocabulary_path)))
+    tables = df.sparkSession.sparkContext.broadcast(vocabulary_tables(vocabulary_bytes(vocabulary_path)))
 
     def factory():
-        encoder = Encoder(vocabulary.value, pattern)
-        decimal = [str(i) for i in range(len(vocabulary.value.tokens))]
+        encoder = Encoder(Vocabulary(tables.value), pattern)
+        decimal = [str(i) for i in range(len(encoder.vocabulary.tokens))]
 
         def apply(texts):
             n, ids_sha, decoded_sha = [], [], []
