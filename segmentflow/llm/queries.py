@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -38,3 +39,25 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return token_digests(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, keep=["doc_id"])
+
+
+@register("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmentflow.llm import toxicity
+    from segmentflow.llm.common import held_out, read_table
+
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    model = toxicity.train(documents.join(labels, "doc_id"), ~held_out())
+    return toxicity.score_documents(documents.withColumn("held_out", held_out()), model, keep=["doc_id", "held_out"])
+
+
+@register("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmentflow.llm import language_id
+    from segmentflow.llm.common import held_out, read_table
+
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.train(documents, ~held_out())
+    documents = documents.withColumn("held_out", held_out())
+    return language_id.identify(documents, model, keep=["doc_id", "held_out"])
