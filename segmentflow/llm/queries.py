@@ -61,3 +61,15 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_id.train(documents, ~held_out())
     documents = documents.withColumn("held_out", held_out())
     return language_id.identify(documents, model, keep=["doc_id", "held_out"])
+
+
+@register("op2_token_store")
+def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from segmentflow.llm import token_store
+    from segmentflow.llm.common import read_table
+
+    documents = read_table(spark, sf_dir, "documents")
+    manifest = token_store.write_sequences(documents, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_store.read_documents(manifest)
