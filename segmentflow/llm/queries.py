@@ -73,3 +73,11 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     manifest = token_store.write_sequences(documents, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return token_store.read_documents(manifest)
+
+
+@register("op5_near_dup")
+def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmentflow.llm.common import read_table
+    from segmentflow.llm.near_dup import near_duplicates
+
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
