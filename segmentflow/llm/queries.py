@@ -81,3 +81,20 @@ def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segmentflow.llm.near_dup import near_duplicates
 
     return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@register("op1_pii")
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmentflow.llm import pii
+    from segmentflow.llm.common import read_table
+
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_pii(documents, pii.train(documents), keep=["doc_id"])
+    count = lambda k: F.size(F.filter("pii", lambda m: m["base"] & (m["kind"] == k))).cast("long").alias(f"n_{k}")
+    joined = lambda spans: F.concat_ws(",", F.transform(spans, lambda m: F.concat_ws(":", m["kind"], m["start"], m["end"])))
+    return found.select(
+        "doc_id",
+        *[count(k) for k in pii.KINDS],
+        F.sha2(joined(F.filter("pii", lambda m: m["base"])).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("pii")).alias("spans"),
+    )
