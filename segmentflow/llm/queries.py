@@ -98,3 +98,30 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(F.filter("pii", lambda m: m["base"])).cast("binary"), 256).alias("base_sha256"),
         joined(F.col("pii")).alias("spans"),
     )
+
+
+# The rules of the contract (action, host, path).
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+@register("op6_url_filter")
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmentflow.llm import url_filter
+    from segmentflow.llm.common import read_table
+
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, URL_RULES, url_filter.train(), keep=["page_id"])
+
+
+@register("op9_lsh_forest")
+def op9_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmentflow.llm.common import read_table
+    from segmentflow.llm.lsh_forest import nearest
+
+    return nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
