@@ -59,7 +59,7 @@ CHUNK = 1024
 CACHE_WORDS = 250_000
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
+def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads them (splitmix steps)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -88,7 +88,7 @@ class Shingler:
         k = min(self.words, len(h))
         out = np.full(len(h) - k + 1, k, np.uint64)
         for i in range(k):
-            out = _mix(out * np.uint64(0x9E3779B97F4A7C15) + h[i : len(h) - k + 1 + i])
+            out = mix(out * np.uint64(0x9E3779B97F4A7C15) + h[i : len(h) - k + 1 + i])
         return np.unique(out)
 
 
@@ -109,7 +109,7 @@ def _hashes(n: int = HASHES) -> tuple[np.ndarray, np.ndarray]:
 def odd_sketch(samples: np.ndarray) -> np.ndarray:
     """Parity bitmaps (rows of 64-bit words) of rows of samples."""
     rows, n = samples.shape
-    at = _mix(samples + np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(SKETCH_BITS)
+    at = mix(samples + np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(SKETCH_BITS)
     flips = np.bincount((at.astype(np.int64) + np.arange(rows)[:, None] * SKETCH_BITS).ravel(), minlength=rows * SKETCH_BITS)
     return np.packbits((flips & 1).astype(np.uint8).reshape(rows, -1), axis=1, bitorder="little").view("<i8")
 
@@ -117,8 +117,8 @@ def odd_sketch(samples: np.ndarray) -> np.ndarray:
 def band_keys(samples: np.ndarray) -> np.ndarray:
     keys = np.zeros((len(samples), BANDS), np.uint64)
     for r in range(ROWS):
-        keys = _mix(keys * np.uint64(0x9E3779B97F4A7C15) + samples[:, r::ROWS])
-    return _mix(keys + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + samples[:, r::ROWS])
+    return mix(keys + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
 def estimate(bits: Column) -> Column:

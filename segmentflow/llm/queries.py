@@ -125,3 +125,11 @@ def op9_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segmentflow.llm.lsh_forest import nearest
 
     return nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@register("op10_decontaminate")
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmentflow.llm.common import read_table
+    from segmentflow.llm.decontaminate import contaminated
+
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
