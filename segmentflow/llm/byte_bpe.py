@@ -232,8 +232,8 @@ class Encoder:
     def _learn(self, lead: str, words: set[str]) -> None:
         """Put ``lead + word`` into the cache for each word."""
         cache, old = self.young[lead], self.old[lead]
-        new = words - cache.keys()
-        again = new & old.keys()
+        new = {w for w in words if w not in cache}
+        again = {w for w in new if w in old}
         cache.update((w, old[w]) for w in again)
         # Letters, or letters and one mark, are one or two matches of any
         # pattern of this family; the rest is cut by the pattern itself.
@@ -247,7 +247,7 @@ class Encoder:
             else:
                 other.append(w)
         cuts = [self.match(lead + w) for w in other]
-        known = list(letters - cache.keys())
+        known = [w for w in letters if w not in cache]
         pieces = list({p for cut in cuts for p in cut})
         coded = self.vocabulary.encode_pieces([p.encode() for p in [*[lead + w for w in known], *pieces, *MARKS]])
         cache.update(zip(known, coded, strict=False))

@@ -49,6 +49,7 @@ UNITS = frozenset(
     "months year years usd eur gbp dollar dollars euro euros cent cents percent % $ mph kmh km/h hz khz mhz w kw v a j n pa bar "
     "degrees °c °f".split()
 )
+UNIT_BYTES = frozenset(u.encode() for u in UNITS)
 NUM, UNIT, NAME = b"<num>", b"<unit>", b"<name>"
 NUMBER = re.compile(rb"[+-]?[$\xc2\xa3]*[0-9]+(?:[.,:/][0-9]+)*%?")
 EDGE = b".,;:!?\"'()[]{}"
@@ -60,82 +61,99 @@ def _token(word: bytes) -> tuple[int, bytes, bool, bool]:
     word, whether it ends a sentence, whether it is empty when bare."""
     bare = word.strip(EDGE)
     ends = word.rstrip(b"\"')]}").endswith(SENTENCE_END)
-    low = bare.lower()
+    text = bare.decode("utf-8", "ignore")
+    low = text.lower()
     if bare and NUMBER.fullmatch(bare):
         kind = 1
-    elif low in _UNIT_BYTES:
+    elif low in UNITS:
         kind = 3
     else:
-        text = bare.decode("utf-8", "ignore")
         kind = 2 if text[:1].isupper() and not text.isupper() else 0
-        low = text.lower().encode() if kind == 0 or text else low
-    return kind, low, ends, not bare
-
-
-_UNIT_BYTES = frozenset(u.encode() for u in UNITS)
+    return kind, low.encode(), ends, not bare
 
 
 class Templates:
-    """Canonical tokens of whole texts."""
+    """Canonical tokens of many whole texts at once: arrays over all their
+    tokens, with ``doc`` the text of each."""
 
     def __init__(self):
         import xxhash
 
         self.hash = xxhash.xxh3_64_intdigest
-        self.cache: dict[bytes, tuple] = {}
+        self.index: dict[bytes, int] = {}
         self.fixed = [np.uint64(self.hash(p)) for p in (NUM, NAME, UNIT)]
 
-    def __call__(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]], list[bytes]]:
-        """Hashes and literal flags of the tokens, the word range of each
-        token, and the words."""
-        words = (text or b"").split()
-        if len(self.cache) > CACHE_WORDS:
-            self.cache = {}
-        cache = self.cache
-        for w in set(words) - cache.keys():
+    def _learn(self, new: list[bytes]) -> None:
+        if len(self.index) > CACHE_WORDS:
+            self.index = {}
+        at, hashes, flags = len(self.index), [], []
+        for w in new:
+            if w.isalpha() and w.islower():  # ASCII letters
+                hashes.append(self.hash(w))
+                flags.append(3 if w in UNIT_BYTES else 0)
+                continue
             kind, low, ends, blank = _token(w)
-            cache[w] = (np.uint64(self.hash(low)).item(), kind, ends, blank)
+            hashes.append(self.hash(low))
+            flags.append(kind | ends << 2 | blank << 3)
+        self.hashes = np.concatenate([self.hashes[:at], np.array(hashes, np.uint64)]) if at else np.array(hashes, np.uint64)
+        self.flags = np.concatenate([self.flags[:at], np.array(flags, np.uint8)]) if at else np.array(flags, np.uint8)
+        self.index.update(zip(new, range(at, at + len(new)), strict=True))
+
+    def __call__(self, texts: list[bytes | None]):
+        """``value`` (hash), ``literal``, ``span`` (its words in ``words``),
+        ``doc`` of every token, and ``words``."""
+        split = [(t or b"").split() for t in texts]
+        words = [w for ws in split for w in ws]
+        if len(self.index) > CACHE_WORDS:
+            self.index = {}
+        self._learn([w for w in set(words) if w not in self.index])
         n = len(words)
-        if not n:
-            return np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros((0, 2), np.int64), words
-        seen = [cache[w] for w in words]
-        value = np.fromiter((x[0] for x in seen), np.uint64, n)
-        kind = np.fromiter((x[1] for x in seen), np.int8, n)
-        ends = np.fromiter((x[2] for x in seen), bool, n)
-        blank = np.fromiter((x[3] for x in seen), bool, n)
-        first = np.concatenate([[True], ends[:-1]])
+        at = np.fromiter(map(self.index.__getitem__, words), np.int64, n)
+        owner = np.repeat(np.arange(len(split)), [*map(len, split)])
+        value, flags = self.hashes[at], self.flags[at]
+        kind, ends, blank = flags & 3, (flags & 4) > 0, (flags & 8) > 0
+        same = np.zeros(n, bool)  # the word before is of the same text
+        same[1:] = owner[1:] == owner[:-1]
+        before = lambda x: np.concatenate([[False], x[:-1]]) & same
+        first = ~same | before(ends)
         number = kind == 1
-        unit = (kind == 3) & np.concatenate([[False], number[:-1]])
+        unit = (kind == 3) & before(number)
         name = (kind == 2) & ~first
         # A run of capitalised words is one name; a bare mark is no token.
-        follows = name & np.concatenate([[False], name[:-1] & ~ends[:-1]])
+        follows = name & before(name & ~ends)
         value = np.where(number, self.fixed[0], np.where(name, self.fixed[1], np.where(unit, self.fixed[2], value)))
         keep = np.flatnonzero(~(follows | blank))
-        stop = np.append(keep[1:], n)
-        return value[keep], ~(number | name | unit)[keep], np.stack([keep, stop], 1), words
-
-
-def windows(value: np.ndarray, literal: np.ndarray, least: int = LITERALS) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and first token of every window with enough literals."""
-    k = min(WINDOW, len(value))
-    if not k:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    n = len(value) - k + 1
-    out = np.full(n, k, np.uint64)
-    for i in range(k):
-        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + value[i : n + i])
-    literals = np.concatenate([[0], np.cumsum(literal)])
-    at = np.flatnonzero(literals[k:] - literals[:-k] >= min(least, k))
-    return out[at], at
+        limit = np.cumsum([*map(len, split)])[owner[keep]] if n else keep
+        stop = np.minimum(np.append(keep[1:], n), limit)
+        return value[keep], ~(number | name | unit)[keep], np.stack([keep, stop], 1), owner[keep], words
 
 
-def _slots(literal: np.ndarray, spans: np.ndarray, words: list[bytes], at: int) -> str:
+def windows(value: np.ndarray, literal: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first token of every window that has enough literals and
+    lies in one text.  A text of fewer tokens is one window."""
+    out, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    size = np.bincount(doc) if len(doc) else np.zeros(0, np.int64)
+    literals = np.concatenate([[0], np.cumsum(literal)])
+    for k in range(1, WINDOW + 1):
+        if k == WINDOW:
+            start = np.flatnonzero(doc[: len(doc) - k + 1] == doc[k - 1 :]) if len(doc) >= k else np.zeros(0, np.int64)
+        else:
+            start = np.searchsorted(doc, np.flatnonzero(size == k))
+        start = start[literals[start + k] - literals[start] >= min(LITERALS, k)]
+        h = np.full(len(start), k, np.uint64)
+        for i in range(k):
+            h = mix(h * np.uint64(0x9E3779B97F4A7C15) + value[start + i])
+        out.append(h)
+        at.append(start)
+    return np.concatenate(out), np.concatenate(at)
+
+
+def _slots(literal: np.ndarray, spans: np.ndarray, words: list[bytes], at: int, end: int) -> str:
     """The values of the placeholders of the window at ``at``, in order."""
     out = []
-    for i in range(at, min(at + WINDOW, len(literal))):
+    for i in range(at, min(at + WINDOW, end)):
         if not literal[i]:
-            a, b = spans[i]
-            kept = [w.strip(EDGE) for w in words[a:b]]
+            kept = [w.strip(EDGE) for w in words[spans[i][0] : spans[i][1]]]
             out.append(b" ".join(w for w in kept if w).lower().decode("utf-8", "replace").replace("\x1f", " "))
     return "\x1f".join(out)
 
@@ -149,22 +167,22 @@ def template_windows(df: DataFrame, id_col: str, text_col: str, bitmap=None) ->
         marks = bitmap.value if bitmap is not None else None
         for batch in batches:
             for part in text_slices(batch, "text"):
-                out: tuple = ([], [], [], [], [])
-                for i, text in zip(part.column("id").to_pylist(), part.column("text").cast(pa.binary()).to_pylist(), strict=True):
-                    value, literal, spans, words = templates(text)
-                    h, at = windows(value, literal)
-                    n = len(h)
-                    if marks is not None:
-                        # Texts shorter than a window are compared whole.
-                        hit = marks[(h >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)]
-                        h, at = h[hit], at[hit]
-                    for x, p in zip(h.view(np.int64).tolist(), at.tolist(), strict=True):
-                        for column, v in zip(out, (i, x, p, _slots(literal, spans, words, p), n), strict=True):
-                            column.append(v)
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["id", "hash", "pos", "slots", "n"])
-
-    rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("text is not null")
+                ids = part.column("id").to_numpy(zero_copy_only=False)
+                value, literal, spans, doc, words = templates(part.column("text").cast(pa.binary()).to_pylist())
+                h, at = windows(value, literal, doc)
+                count = np.bincount(doc[at], minlength=len(ids))
+                if marks is not None:
+                    hit = marks[(h >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)]
+                    h, at = h[hit], at[hit]
+                owner = doc[at]
+                ends = np.searchsorted(doc, owner, side="right").tolist()
+                slots = [_slots(literal, spans, words, a, e) for a, e in zip(at.tolist(), ends, strict=True)]
+                pos = at - np.searchsorted(doc, owner)
+                columns = [pa.array(ids[owner], pa.int64()), pa.array(h.view(np.int64)), pa.array(pos), pa.array(slots, pa.string()), pa.array(count[owner])]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "hash", "pos", "slots", "n"])
+
+    rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    rows = rows.where("text is not null and id is not null")
     return rows.mapInArrow(run, "id BIGINT, hash BIGINT, pos BIGINT, slots STRING, n BIGINT")
 
 
@@ -187,11 +205,11 @@ def contaminated(
     documents or items give one row for each pair of ids; ties between
     alignments go to the earliest.  Other columns are not read."""
     spark = df.sparkSession
-    items = staged(template_windows(benchmark, item_col, item_text_col).where("id is not null").dropDuplicates(), "benchmark-windows")
+    items = staged(template_windows(benchmark, item_col, item_text_col).dropDuplicates(), "benchmark-windows")
     marks = np.zeros(1 << BITMAP_BITS, bool)
     bits = items.select(F.shiftrightunsigned("hash", 64 - BITMAP_BITS).cast("int").alias("b")).distinct()
     marks[bits.toPandas()["b"].to_numpy(dtype=np.int64)] = True
-    found = template_windows(df, id_col, text_col, spark.sparkContext.broadcast(marks)).where("id is not null")
+    found = template_windows(df, id_col, text_col, spark.sparkContext.broadcast(marks))
     item_side = items.select(F.col("id").alias("item"), "hash", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), F.col("n").alias("item_n"))
     joined = found.select("id", "hash", "pos", "slots").join(item_side, "hash").withColumn("shift", F.col("pos") - F.col("item_pos"))
     joined = staged(joined.select("id", "item", "shift", "item_pos", "item_n", "slots", "item_slots"), "matches")
@@ -199,10 +217,10 @@ def contaminated(
     # Alignments: shifts within DRIFT of each other are counted together,
     # by adding every window to the shifts around its own.
     near = joined.withColumn("about", F.explode(F.sequence(F.col("shift") - DRIFT, F.col("shift") + DRIFT)))
-    sums = near.groupBy("id", "item", "about", "item_pos").agg(F.first("item_n").alias("item_n"))
-    sums = sums.groupBy("id", "item", "about").agg(F.count(F.lit(1)).alias("n_windows"), F.max("item_n").alias("item_n"))
-    best = sums.groupBy("id", "item").agg(F.max(F.struct("n_windows", -F.abs("about"), -F.col("about"), "item_n")).alias("m"))
-    best = best.select("id", "item", F.col("m.n_windows").alias("n_windows"), (-F.col("m.col3")).alias("about"), F.col("m.item_n").alias("item_n"))
+    sums = near.groupBy("id", "item", "about", "item_pos").agg(F.max("item_n").alias("item_n"), F.max((F.col("shift") == F.col("about")).cast("int")).alias("at"))
+    sums = sums.groupBy("id", "item", "about").agg(F.count(F.lit(1)).alias("n_windows"), F.sum("at").alias("at"), F.max("item_n").alias("item_n"))
+    best = sums.groupBy("id", "item").agg(F.max(F.struct("n_windows", "at", (-F.col("about")).alias("early"), "item_n")).alias("m"))
+    best = best.select("id", "item", "m.n_windows", (-F.col("m.early")).alias("about"), "m.item_n")
     best = best.where(F.col("n_windows") >= coverage * F.col("item_n"))
 
     # Slots of the chosen alignment: one document value for each item value.

@@ -49,12 +49,15 @@ class Model:
 
 def bounded_sample(df: DataFrame, key: str, group: str, per_group: int) -> DataFrame:
     """The ``per_group`` rows of each group with the smallest hash of their
-    key.  Only keys are ranked (Spark limits each group before the
-    shuffle); the chosen keys, at most ``per_group`` a group, select rows."""
+    key.  Rows whose hash is surely too large for that, by the group's size,
+    are left out before the ranking, so it sees a few times ``per_group``
+    rows of a group of any size."""
+    keys = df.select(F.col(key).alias("__k"), F.col(group).alias("__g")).withColumn("__h", F.xxhash64("__k"))
+    sizes = keys.groupBy("__g").agg(F.count(F.lit(1)).alias("__n"))
+    share = F.col("__h") / 2.0**64 + 0.5
+    few = keys.join(F.broadcast(sizes), "__g").where(share * F.col("__n") <= 2 * per_group + 100)
     order = W.partitionBy("__g").orderBy("__h", "__k")
-    keys = df.select(F.col(key).alias("__k"), F.col(group).alias("__g"))
-    keys = keys.withColumn("__h", F.xxhash64("__k")).withColumn("__r", F.row_number().over(order))
-    chosen = keys.where(F.col("__r") <= per_group).select("__k").distinct()
+    chosen = few.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= per_group).select("__k").distinct()
     return df.join(F.broadcast(chosen), F.col(key) == F.col("__k"), "left_semi")
 
 
@@ -179,9 +182,10 @@ class Scorer:
         if len(self.index) > CACHE_WORDS:
             self._clear()
         words = [t.lower().split() if t and any(map(str.isalpha, t)) else None for t in texts]
-        new = set().union(*(w for w in words if w)) - self.index.keys() if self.languages else ()
-        if new:
-            self._learn(sorted(new))
+        index = self.index
+        new = [w for w in set().union(*(w for w in words if w)) if w not in index]
+        if new and self.languages:
+            self._learn(new)
         label, score = [], []
         for w in words:
             if not w or not self.languages:

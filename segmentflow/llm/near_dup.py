@@ -82,8 +82,7 @@ class Shingler:
         if len(self.cache) > CACHE_WORDS:
             self.cache = {}
         cache, digest = self.cache, self.hash
-        new = set(words) - cache.keys()
-        cache.update((w, digest(w)) for w in new)
+        cache.update((w, digest(w)) for w in set(words) if w not in cache)
         h = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
         k = min(self.words, len(h))
         out = np.full(len(h) - k + 1, k, np.uint64)

@@ -114,7 +114,7 @@ class Tokenizer:
             out += self._cut(ids, ends) if len(ends) == len(part) and ends[-1] == len(ids) else self._separate(part)
         return out
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
         split, other = [], []
         for w in words:
             core = w.rstrip(MARKS)
@@ -127,7 +127,7 @@ class Tokenizer:
             split.append((w, core.lower(), tail))
         if len(self.cores) > CACHE_ENTRIES:
             self.cores = {}
-        new = list({core for _, core, _ in split} - self.cores.keys())
+        new = [w for w in {core for _, core, _ in split} if w not in self.cores]
         self.cores.update(zip(new, self._joined(new), strict=True))
         cores, marks = self.cores, self.marks
         self.young.update((w, cores[core] + marks[tail]) for w, core, tail in split)
@@ -137,10 +137,10 @@ class Tokenizer:
         if len(self.young) > CACHE_ENTRIES:
             self.old, self.young = self.young, {}
         words = [[] if not t else t.split(" ") if CONTROL(t) else t.split() for t in texts]
-        new = set().union(*words) - self.young.keys()
-        again = new & self.old.keys()
-        self.young.update((w, self.old[w]) for w in again)
-        self._learn(new - again)
+        young, old = self.young, self.old
+        new = {w for w in set().union(*words) if w not in young}
+        young.update((w, old[w]) for w in new if w in old)
+        self._learn([w for w in new if w not in young])
         get = self.young.__getitem__
         return [b"".join(map(get, w)) for w in words]
 

@@ -39,7 +39,7 @@ class Features:
         if len(self.cache) > CACHE_WORDS:
             self.cache = {}
         words = [set((t or "").lower().split()) for t in texts]
-        new = list(set().union(*words) - self.cache.keys())
+        new = [w for w in set().union(*words) if w not in self.cache]
         buckets, n = hashed_ngrams(new, SIZES, BITS)
         raw, ends = buckets.astype("<u4").tobytes(), (np.cumsum(n) * 4).tolist()
         self.cache.update(zip(new, (raw[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))

@@ -164,7 +164,7 @@ def judge(
             if len(hosts) > CACHE_HOSTS:
                 hosts = {}
             host, path = batch.column("host").to_pylist(), batch.column("path").to_pylist()
-            new = list(set(host) - hosts.keys())
+            new = [h for h in set(host) if h not in hosts]
             hosts.update(zip(new, parts_score(new, 0), strict=True))
             z = np.array([hosts[h] for h in host]) + PATH_SHARE * np.array(parts_score(path, 1)) + bias
             score = 1 / (1 + np.exp(-z))
