@@ -84,14 +84,19 @@ def append_columns(
     """
     new = {f.name.lower() for f in fields}
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in new]
-    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").cast("string").alias("__text"))
+    columns = [F.col(f"`{c}`") for c in kept]
+    at = kept.index(text_col) if text_col in kept and df.schema[text_col].dataType == T.StringType() else len(kept)
+    if at == len(kept):
+        columns.append(F.col(f"`{text_col}`").cast("string").alias("__text"))
+    source = df.select(*columns)
+    read = source.columns[at]
     schema = T.StructType([df.schema[c] for c in kept] + fields)
 
     def run(batches):
         apply = factory()
         for batch in batches:
-            for part in text_slices(batch, "__text"):
-                texts = part.column("__text")
+            for part in text_slices(batch, read):
+                texts = part.column(at)
                 if as_bytes:
                     texts = texts.cast(pa.binary())
                 columns = [part.column(i) for i in range(len(kept))]

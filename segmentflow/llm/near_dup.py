@@ -187,10 +187,12 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         labels = step.select("id", "component")
 
 
-def confirmed(pairs: DataFrame, documents: DataFrame, text_col: str) -> DataFrame:
-    """The pairs ``(a, b)`` that are links by their full sets."""
+def confirmed(pairs: DataFrame, documents: DataFrame, text_col: str, repeated: bool) -> DataFrame:
+    """The pairs ``(a, b)`` that are links by their full sets; with
+    ``repeated`` ids, by some set of each."""
     needed = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-    sets = staged(full_sets(documents.join(needed, "rep", "left_semi"), text_col, ["rep"]), "sets")
+    sets = full_sets(documents.join(needed, "rep", "left_semi"), text_col, ["rep"])
+    sets = staged(sets.dropDuplicates() if repeated else sets, "sets")
 
     def run(batches):
         for batch in batches:
@@ -206,7 +208,8 @@ def confirmed(pairs: DataFrame, documents: DataFrame, text_col: str) -> DataFram
 
     joined = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a")
     joined = joined.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), "b")
-    return joined.select("a", "b", "x", "y").mapInArrow(run, "a BIGINT, b BIGINT")
+    links = joined.select("a", "b", "x", "y").mapInArrow(run, "a BIGINT, b BIGINT")
+    return links.distinct() if repeated else links
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -214,8 +217,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``component_id`` and ``kept``.
 
     Null, empty and blank texts have no shingle, link with nothing and stay
-    their own component.  Rows of one id count as one document each and,
-    having one id, as one component; equal texts link if they have a word.
+    their own component.  Rows of one id are one document: repeated rows
+    count once, and the links of all texts of an id are that id's links.
     Null ids are left out of groups: their component is null, and they are
     kept.  An empty table gives an empty one.  Other columns are not read."""
     documents = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
@@ -226,7 +229,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     groups = staged(groups, "groups")
     reps = signed.where("id is not null").join(groups, (F.col("id") == F.col("rep")) & (signed.fingerprint == groups.fingerprint))
     reps = reps.select("rep", F.col("n_shingles").alias("n"), "bands", *[F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH_WORDS)])
-    reps = reps.dropDuplicates(["rep"])
+    repeated = not signed.where("id is not null").groupBy("id").count().where("count > 1").isEmpty()
+    if repeated:
+        reps = reps.dropDuplicates()
     sketch = ["rep", "n", *[f"s{i}" for i in range(SKETCH_WORDS)]]
 
     # 2. Buckets of several members; ``lead`` is the member of least hash.
@@ -243,7 +248,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     met = met.where(_similar("l", "r")).select(F.col("r.rep").alias("a"), F.col("l.lead").alias("b"), _bits("l", "r").alias("bits"))
     best = met.groupBy("a").agg(F.min(F.struct("bits", "b")).alias("near"), F.min(F.struct(F.xxhash64("b").alias("h"), "b")).alias("low"))
     best = best.select("a", F.explode(F.array("near.b", "low.b")).alias("b")).distinct()
-    links = staged(confirmed(best, texts, "text"), "links")
+    links = confirmed(best, texts, "text", repeated)
+    if repeated:
+        # An id that stands for one set and has another set too.
+        other = signed.join(groups, "fingerprint").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
+        links = links.union(other.join(groups.select(F.col("rep").alias("a")), "a", "left_semi").distinct())
+    links = staged(links, "links")
     found = components(links, "first")
 
     # 4. Second round: pairs of buckets that span components.
@@ -259,7 +269,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     once = (F.col("y.c") == F.col("y.largest")) | (F.col("x.rep") < F.col("y.rep"))
     pairs = minor.alias("x").join(open_rows.alias("y"), apart & once & _similar("x", "y"))
     pairs = staged(pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct(), "pairs")
-    more = confirmed(pairs, texts, "text")
+    more = confirmed(pairs, texts, "text", repeated)
     final = components(links.union(more), "second")
 
     # 5. Every document through its representative.
@@ -267,6 +277,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     of_rep = of_rep.select("fingerprint", F.coalesce("component", "rep").alias("component_id"))
     out = signed.select("id", "n_shingles", "fingerprint").join(of_rep, "fingerprint", "left")
     component = F.coalesce("component_id", "id")
+    if repeated:
+        # All rows of an id are in one component: the least of theirs.
+        least = final.select(F.col("id").alias("own"), F.col("component").alias("own_component"))
+        out = out.join(least, F.col("id") == F.col("own"), "left").withColumn("component_id", F.coalesce("own_component", "component_id"))
+        component = F.coalesce("component_id", "id")
     return out.select(
         F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept")
     )

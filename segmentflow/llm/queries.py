@@ -133,3 +133,38 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segmentflow.llm.decontaminate import contaminated
 
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@register(
+    "op7_perspectives",
+    r"""
+    WITH m AS (
+      SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role,
+             replace(coalesce(text, ''), '<|', '<\|') AS text
+      FROM conversations),
+    speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM m WHERE role <> 'system'),
+    r AS (
+      SELECT m.conv_id, speaker, CAST(floor(turn / 256) AS BIGINT) AS segment, turn, role, text,
+             '<|' || CASE WHEN role = 'system' THEN 'system' WHEN role = speaker THEN 'assistant'
+                          ELSE 'user:' || role END || '|>' || chr(10) AS head,
+             text || '<|end|>' AS body
+      FROM m JOIN speakers s ON m.conv_id IS NOT DISTINCT FROM s.conv_id),
+    placed AS (
+      SELECT *, length(head) + coalesce(sum(length(head) + length(body) + 1) OVER (
+               PARTITION BY conv_id, speaker, segment ORDER BY turn, role, text
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+      FROM r)
+    SELECT conv_id, speaker, segment,
+           string_agg(head || body || chr(10), '' ORDER BY turn, role, text) AS text,
+           coalesce(string_agg(CASE WHEN role = speaker THEN CAST(start AS VARCHAR) || ':' || CAST(start + length(body) AS VARCHAR) END,
+                    ',' ORDER BY turn, role, text), '') AS mask,
+           count(*) AS n_messages
+    FROM placed GROUP BY conv_id, speaker, segment""",
+)
+def op7_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmentflow.llm.chat import rotate
+    from segmentflow.llm.common import read_table
+
+    views = rotate(read_table(spark, sf_dir, "conversations"))
+    mask = F.array_join(F.transform("mask", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return views.select("conv_id", "speaker", "segment", "text", mask.alias("mask"), "n_messages")
