@@ -76,9 +76,18 @@ class Forest:
             total = (high[:, open_] - low[:, open_]).sum(axis=0)
             depth[open_[(total >= enough) | (d == 0)]] = d
         for q in range(len(queries)):
-            marked = np.zeros(len(self.vectors), bool)
-            for t in range(self.trees):
-                marked[self.order[t, low[t, q] : high[t, q]]] = True
+            marked, d = np.zeros(len(self.vectors), bool), depth[q]
+            while True:
+                for t in range(self.trees):
+                    marked[self.order[t, low[t, q] : high[t, q]]] = True
+                # One row may fill many trees: go on until rows, not their
+                # places, are at least half of what is asked.
+                if d == 0 or 2 * np.count_nonzero(marked) >= enough:
+                    break
+                d -= 1
+                for t in range(self.trees):
+                    prefix = keys[q, t] >> (self.bits - d)
+                    low[t, q], high[t, q] = np.searchsorted(self.keys[t], [prefix << (self.bits - d), (prefix + 1) << (self.bits - d)])
             yield np.flatnonzero(marked)
 
 
@@ -132,7 +141,7 @@ def nearest(
             order = np.lexsort((ids[~asks], of))
             members, bounds = ids[~asks][order], np.searchsorted(of[order], np.arange(len(distinct) + 1))
             forest = Forest(distinct, longest)
-            for query, vector, found in zip(ids[asks], v[asks], forest.candidates(v[asks], max(k + 1, math.ceil(share * len(distinct)))), strict=True):
+            for query, vector, found in zip(ids[asks], v[asks], forest.candidates(v[asks], max(2 * (k + 1), math.ceil(share * len(distinct)))), strict=True):
                 score = distinct[found] @ vector
                 if len(found) > k + 1:
                     cut = np.partition(score, len(score) - k - 1)[len(score) - k - 1]

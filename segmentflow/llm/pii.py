@@ -23,7 +23,8 @@ repeated without its plus sign is found, and the same digits alone aren't.
 Training: the shape and the label of every base mention and candidate of
 all documents, as counts (at most a few thousand distinct shapes, summed by
 Spark), fit the unary model in numpy; chain and skip factors are smoothed
-log ratios of the pair counts.
+log ratios of the pair counts.  Candidates that repeat another mention are
+left out of the counts, as their labels are unknown.
 """
 
 from __future__ import annotations
@@ -47,8 +48,8 @@ LEAST_LOCAL = 5
 NEAR = 40  # characters between chain neighbours
 ROUNDS = 12
 # Pair counts added before smoothing: repeats agree far more often than not.
-SKIP_PRIOR = (400.0, 1.0)
-# How often each shape of ``background`` counts as seen outside entities.
+SKIP_PRIOR = (2000.0, 1.0)
+# Weight of all shapes of ``background`` against that of all entities.
 BACKGROUND = 2.0
 
 # The four base patterns.  They are anchored so that a match starts only
@@ -212,13 +213,17 @@ def fit(shapes: list[tuple[tuple[int, ...], int, float]], chain: np.ndarray, agr
     """The unary model by gradient ascent on the counts (L2 penalty), and
     the pair factors by smoothed log ratios."""
     weights = np.zeros((WIDTH, LABELS))
-    shapes = [*shapes, *((s, OUTSIDE, BACKGROUND) for s in background())]
     if shapes:
         rows = _rows([s for s, _, _ in shapes])
         y = np.array([k for _, k, _ in shapes])
         # Counts enter by their logarithm: a frequent shape teaches more
         # than a rare one, but doesn't drown it.
         n = np.log1p(np.array([c for _, _, c in shapes]))
+        entities = n[y != OUTSIDE].sum()
+        plain = background()
+        rows = np.concatenate([rows, _rows(plain)])
+        y = np.append(y, np.full(len(plain), OUTSIDE))
+        n = np.append(n, np.full(len(plain), BACKGROUND * (1 + entities) / len(plain)))
         for _ in range(400):
             z = weights[rows].sum(axis=1)
             p = np.exp(z - z.max(axis=1, keepdims=True))
@@ -281,10 +286,13 @@ def train(df: DataFrame, text_col: str = "text") -> Field:
                 counts: dict[tuple, int] = {}
                 for text in part.column("text").to_pylist():
                     d = mentions(text)
+                    # A candidate that repeats another mention may be an
+                    # entity: it teaches nothing.
+                    unsure = {i for pair in d.skip for i in pair if d.label[i] < 0}
                     label = [OUTSIDE if k < 0 else k for k in d.label]
-                    names = [("shape", *s, k) for s, k in zip(d.shape, label, strict=True)]
-                    names += [("chain", label[a], label[b]) for a, b in d.chain]
-                    names += [("skip", int(label[a] == label[b])) for a, b in d.skip]
+                    names = [("shape", *s, k) for i, (s, k) in enumerate(zip(d.shape, label, strict=True)) if i not in unsure]
+                    names += [("chain", label[a], label[b]) for a, b in d.chain if not {a, b} & unsure]
+                    names += [("skip", int(label[a] == label[b])) for a, b in d.skip if not {a, b} & unsure]
                     for x in names:
                         counts[x] = counts.get(x, 0) + 1
                 rows = [(x[0], ",".join(map(str, x[1:])), n) for x, n in counts.items()]
