@@ -12,20 +12,22 @@ documents are linked if ``100 * |A and B| >= 75 * |A or B|``.
    bitmap of ``SKETCH_BITS`` in which sample ``(i, value)`` flips one bit.
    The population count of the XOR of two sketches gives the size of the
    difference of the samples, so the similarity, with small error where it
-   is high.  Links of 0.75 miss all bands with probability 3e-6, and the
-   sketch bound with less.
-3. First round: every document meets one document of each band bucket (the
-   one of smallest hash), pairs whose sizes or sketches exclude a link are
-   left out, and of the rest each document verifies its best few.  That
-   joins most of every group, however large, with a number of pairs that
-   is linear in the documents.
+   is high.  A link of 0.75 misses all bands with probability 5e-6, and
+   the sketch bound with less.
+3. First round: every document meets one document of each band bucket, the
+   one that shares buckets most (of many copies of one text, that is the
+   text, to which they are nearer than to each other).  Pairs whose sizes
+   or sketches exclude a link are left out, and of the rest each document
+   verifies its nearest and its most shared.  That joins most of every
+   group, however large, with a number of pairs linear in the documents.
 4. Second round: within buckets whose members are in several components,
    the members outside the bucket's largest component meet all others of
    another component (an equi-join on the bucket, with the sketch bound as
    its condition), so no pair of the buckets is left unexamined that could
    still join two components.
 5. Links are confirmed on the full sets, made again from the texts of the
-   documents that are in some pair.
+   documents that are in some pair.  A bitmap of fixed size over their ids
+   picks those texts where they are read, so no text is shuffled.
 6. Components are the smallest reachable id, by min-label propagation with
    shortcuts until nothing changes.
 
@@ -45,17 +47,19 @@ from segmentflow.llm.common import append_columns, staged
 
 WORDS = 5
 LINK = 75  # hundredths
-HASHES = 128
+HASHES = 256
 ROWS = 4
-BANDS = HASHES // ROWS
-SKETCH_BITS = 512
+BANDS = 32  # of the first ROWS * BANDS samples
+SKETCH_BITS = 1024
 SKETCH_WORDS = SKETCH_BITS // 64
-# Estimates below this can't be links: five standard errors under 0.75.
-LEAST_ESTIMATE = 0.55
+# Estimates below this can't be links: nearly five standard errors of the
+# samples and the sketch under 0.75.
+LEAST_ESTIMATE = 0.6
 # XOR bits at that estimate: n/2 * (1 - exp(-4k(1-J)/n)).
 MOST_BITS = int(np.ceil(SKETCH_BITS / 2 * (1 - np.exp(-4 * HASHES * (1 - LEAST_ESTIMATE) / SKETCH_BITS))))
 SEED = 20240229
 CHUNK = 1024
+PICK_BITS = 17  # 64-bit words of the bitmap of picked ids, as a power of 2
 CACHE_WORDS = 250_000
 
 
@@ -116,7 +120,7 @@ def odd_sketch(samples: np.ndarray) -> np.ndarray:
 def band_keys(samples: np.ndarray) -> np.ndarray:
     keys = np.zeros((len(samples), BANDS), np.uint64)
     for r in range(ROWS):
-        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + samples[:, r::ROWS])
+        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + samples[:, r : ROWS * BANDS : ROWS])
     return mix(keys + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
@@ -187,11 +191,23 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         labels = step.select("id", "component")
 
 
+def picked(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose id may be among ``ids``, by a bitmap of
+    ``1 << PICK_BITS`` 64-bit words that is broadcast (2 MB at any size of
+    ``ids``; the more ids, the more other rows pass).  Repeats don't
+    matter, and nothing of ``df`` is shuffled."""
+    word = lambda c: F.shiftrightunsigned(F.xxhash64(c), 64 - PICK_BITS).cast("int")
+    bit = lambda c: F.xxhash64(c).bitwiseAND(F.lit(63)).cast("int")
+    one = ids.select(F.col(ids.columns[0]).alias("i")).select(word("i").alias("w"), F.expr("shiftleft(1L, cast(xxhash64(i) & 63 as int))").alias("m"))
+    bitmap = one.groupBy("w").agg(F.bit_or("m").alias("m"))
+    marked = df.join(F.broadcast(bitmap), word(id_col) == F.col("w"))
+    return marked.where(F.getbit("m", bit(id_col)) == 1).select(*df.columns)
+
+
 def confirmed(pairs: DataFrame, documents: DataFrame, text_col: str, repeated: bool) -> DataFrame:
     """The pairs ``(a, b)`` that are links by their full sets; with
     ``repeated`` ids, by some set of each."""
-    needed = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-    sets = full_sets(documents.join(needed, "rep", "left_semi"), text_col, ["rep"])
+    sets = full_sets(picked(documents, "rep", pairs.select("a").union(pairs.select("b"))), text_col, ["rep"])
     sets = staged(sets.dropDuplicates() if repeated else sets, "sets")
 
     def run(batches):
@@ -236,19 +252,21 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     # 2. Buckets of several members; ``lead`` is the member of least hash.
     keyed = reps.select("rep", F.explode("bands").alias("band"))
-    size = keyed.groupBy("band").agg(F.min(F.struct(F.xxhash64("rep").alias("h"), F.col("rep"))).alias("m"), F.count(F.lit(1)).alias("members"))
-    size = size.where("members > 1").select("band", F.col("m.rep").alias("lead"))
-    buckets = staged(keyed.join(size, "band"), "buckets")
-    few = staged(reps.select(*sketch).join(buckets.select("rep").distinct(), "rep", "left_semi"), "sketches")
-    texts = documents.where("id is not null").join(few.select(F.col("rep").alias("id")), "id", "left_semi").select(F.col("id").alias("rep"), "text")
+    size = keyed.groupBy("band").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    shared = staged(keyed.join(size, "band"), "shared")
+    degree = staged(shared.groupBy("rep").agg(F.sum("members").alias("degree")), "degree")
+    lead = shared.join(degree, "rep").groupBy("band").agg(F.max(F.struct("degree", (-F.col("rep")).alias("rep"))).alias("m"))
+    buckets = staged(shared.join(lead.select("band", (-F.col("m.rep")).alias("lead")), "band").select("band", "rep", "lead"), "buckets")
+    few = staged(reps.select(*sketch).join(degree, "rep"), "sketches")
+    texts = documents.where("id is not null").select(F.col("id").alias("rep"), "text")
 
     # 3. First round: a document and its buckets' leads, the nearest ones.
     met = buckets.where("rep <> lead").select("rep", "lead").distinct()
     met = met.join(few.alias("l").withColumnRenamed("rep", "lead"), "lead").alias("l").join(few.alias("r"), F.col("l.rep") == F.col("r.rep"))
-    met = met.where(_similar("l", "r")).select(F.col("r.rep").alias("a"), F.col("l.lead").alias("b"), _bits("l", "r").alias("bits"))
-    best = met.groupBy("a").agg(F.min(F.struct("bits", "b")).alias("near"), F.min(F.struct(F.xxhash64("b").alias("h"), "b")).alias("low"))
-    best = best.select("a", F.explode(F.array("near.b", "low.b")).alias("b")).distinct()
-    links = confirmed(best, texts, "text", repeated)
+    met = met.where(_similar("l", "r")).select(F.col("r.rep").alias("a"), F.col("l.lead").alias("b"), _bits("l", "r").alias("bits"), F.col("l.degree").alias("degree"))
+    best = met.groupBy("a").agg(F.min(F.struct("bits", "b")).alias("near"), F.max(F.struct("degree", "b")).alias("hub"))
+    best = best.select("a", F.explode(F.array("near.b", "hub.b")).alias("b")).distinct()
+    links = confirmed(staged(best, "nearest"), texts, "text", repeated)
     if repeated:
         # An id that stands for one set and has another set too.
         other = signed.join(groups, "fingerprint").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
