@@ -33,6 +33,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -278,9 +279,6 @@ def train(df: DataFrame, text_col: str = "text") -> Field:
     """Fit on all rows; the driver gets the count table alone."""
 
     def run(batches):
-        import pandas as pd
-        import pyarrow as pa
-
         for batch in batches:
             for part in text_slices(batch, "text"):
                 counts: dict[tuple, int] = {}
@@ -296,7 +294,9 @@ def train(df: DataFrame, text_col: str = "text") -> Field:
                     for x in names:
                         counts[x] = counts.get(x, 0) + 1
                 rows = [(x[0], ",".join(map(str, x[1:])), n) for x, n in counts.items()]
-                yield pa.RecordBatch.from_pandas(pd.DataFrame(rows, columns=["what", "of", "n"]).astype({"what": str, "of": str, "n": "int64"}), preserve_index=False)
+                columns = list(zip(*rows, strict=True)) or [[], [], []]
+                kinds = (pa.string(), pa.string(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["what", "of", "n"])
 
     texts = df.select(F.col(f"`{text_col}`").cast("string").alias("text")).where("text is not null")
     counts = texts.mapInArrow(run, "what STRING, of STRING, n BIGINT").groupBy("what", "of").agg(F.sum("n").alias("n")).collect()
