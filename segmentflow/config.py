@@ -65,17 +65,17 @@ def apply_session_defaults(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
-def scale_settings(input_bytes: int, partition_mb: int = 256, max_partitions: int = 100_000) -> dict[str, str]:
+def scale_settings(input_bytes: int, partition_mb: int = 256) -> dict[str, str]:
     """Scan and shuffle sizing for a job reading ``input_bytes``.
 
     Scan splits and post-shuffle partitions aim at ``partition_mb``, which
     fits comfortably in an executor task's memory share; the initial
-    shuffle width is the input size over that target (capped), and AQE
-    coalesces it down when stages turn out smaller.  A partition four times
-    the target counts as skewed and is split.  For 100 TB at 256 MB this
-    gives the cap of 100,000 shuffle partitions.
+    shuffle width is the input size over that target, and AQE coalesces it
+    down when stages turn out smaller.  A partition four times the target
+    counts as skewed and is split.  100 TB at 256 MB give about 380,000
+    shuffle partitions; a larger ``partition_mb`` gives fewer.
     """
-    parts = max(200, min(max_partitions, input_bytes // (partition_mb << 20)))
+    parts = max(1, -(-input_bytes // (partition_mb << 20)))
     return {
         "spark.sql.files.maxPartitionBytes": f"{partition_mb}m",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{partition_mb}m",
@@ -102,13 +102,17 @@ def apply_scale_settings(spark: SparkSession, input_bytes: int, partition_mb: in
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) do we create one.
+    On a cluster ``spark.checkpoint.dir`` must name a shared folder, which
+    is used as is.  One is created only in local mode, where it is unset in
+    tests.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="segmentflow-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", current)
@@ -153,6 +157,7 @@ class JobConfig:
             "contact_segment": "contact_segment_table",
             "main": "main_table",
             "segments": "segments",
+            "quarantine": "contact_quarantine",
         }
     )
 

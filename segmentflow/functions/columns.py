@@ -25,18 +25,19 @@ def path_part(path: str | Column, pos: int = -3, sep: str = "/") -> Column:
     return F.try_element_at(F.split(_c(path), sep), F.lit(pos))
 
 
-# Epoch seconds of 0001-01-01 and 9999-12-31 23:59:59 (UTC), the range of
-# a Spark timestamp.
-_MIN_EPOCH, _MAX_EPOCH = -62135596800, 253402300799
+# Seconds whose microseconds still fit 64 bits, the only real bound of a
+# Spark timestamp (about 292,000 years either way).
+_MAX_EPOCH = (2**63 - 1) // 1_000_000
 
 
 def epoch_to_date(text: str | Column) -> Column:
     """Epoch seconds given as text to a DATE; bad, empty or NULL text gives
-    NULL, and so does a number outside the timestamp range (instead of an
-    overflow error that would fail the whole job).  Uses the session time
+    NULL, and so does a number that overflows a timestamp (instead of an
+    error that would fail the whole job).  Milliseconds taken for seconds
+    give a far date, as the plain expression does.  Uses the session time
     zone (pinned to UTC by ``config``)."""
     secs = _c(text).try_cast("bigint")
-    ok = secs.between(F.lit(_MIN_EPOCH), F.lit(_MAX_EPOCH))
+    ok = secs.between(F.lit(-_MAX_EPOCH), F.lit(_MAX_EPOCH))
     return F.when(ok, F.to_date(F.timestamp_seconds(secs)))
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segmentflow.functions.columns import epoch_to_date
-from segmentflow.operators.joins import broadcast_if_small
 
 
 def active_segments(memberships: DataFrame, key: str = "email") -> DataFrame:
@@ -35,14 +34,14 @@ def segment_fanout(main: DataFrame, segments: DataFrame, list_col: str = "list_o
     """One row per (contact, listed segment) the contact belongs to.
 
     The reference filters the main table once per segment on the driver.
-    Here the list is exploded once and equi-joined to the segment list:
-    a broadcast hash join instead of a nested-loop ``array_contains`` join.  A NULL list explodes
+    Here the list is exploded once and equi-joined to the segment list,
+    instead of a nested-loop ``array_contains`` join.  A NULL list explodes
     to nothing, so such contacts belong to no segment.
     """
     # The join key is the segment, so one segment may hold a third of the
-    # rows: the (checked, small) segment list is broadcast, which keeps the
-    # contact side where it is instead of shuffling it by segment.
-    seg = broadcast_if_small(segments.select(F.col("segment").alias("_seg")).distinct())
+    # rows.  Spark broadcasts the segment list when its measured bytes are
+    # few, and else splits the hot segment's partitions (skew join).
+    seg = segments.select(F.col("segment").alias("_seg")).distinct()
     exploded = main.withColumn("_seg", F.explode(F.array_distinct(F.col(list_col))))
     keep = [c for c in main.columns if c != list_col]
     return exploded.join(seg, "_seg").select(*keep, F.col("_seg").alias("segment"))

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segmentflow.operators.dedup import latest_per_key
-from segmentflow.operators.joins import broadcast_if_small
 
 
 def file_keys(df: DataFrame, file_col: str, key_col: str) -> DataFrame:
@@ -27,13 +26,13 @@ def all_pairs(df: DataFrame, file_col: str) -> DataFrame:
     """All unordered pairs of distinct files (``file_a < file_b``).
 
     The pair list is the output itself (files^2 / 2 rows) and grows with
-    the number of files, never with rows.  The distinct file list is
-    broadcast only after its size is checked; each task pairs its share of
-    files with it.  (Statistics over all pairs do not need this list, see
-    ``pair_overlap_stats``.)
+    the number of files, never with rows; Spark broadcasts the file list
+    when its measured bytes are few.  Nothing else here lists all pairs:
+    ``pair_counts`` has the pairs that share a key, ``pair_overlap_stats``
+    counts the others.
     """
     files = df.filter(F.col(file_col).isNotNull()).select(F.col(file_col).alias("f")).distinct()
-    a, b = files.alias("a"), broadcast_if_small(files).alias("b")
+    a, b = files.alias("a"), files.alias("b")
     return a.join(b, F.col("a.f") < F.col("b.f")).select(
         F.col("a.f").alias("file_a"), F.col("b.f").alias("file_b")
     )
@@ -44,33 +43,30 @@ def pair_counts(df: DataFrame, file_col: str, key_col: str) -> DataFrame:
 
     Keys are first grouped by the exact set of files they occur in (their
     signature); identical signatures are counted once with a weight, and
-    only the distinct signatures are expanded to file pairs, with array
-    functions that stay in the JVM.  The work therefore grows with the
-    number of distinct signatures rather than with keys, and a key present
-    in every file costs one signature, not one row per file pair.  A
-    signature holds at most one entry per file.
+    only the distinct signatures are expanded to file pairs.  The work
+    therefore grows with the number of distinct signatures rather than
+    with keys.  The expansion is two generators with a shuffle in between:
+    the first gives a row per file of a signature with the files after it,
+    dealt over all tasks, the second a row per pair.  So no row ever holds
+    more than one file's partners, however many files a key is in.
     """
     d = file_keys(df, file_col, key_col)
     sig = d.groupBy("key").agg(F.array_sort(F.collect_set("file")).alias("files"))
     weights = sig.filter(F.size("files") >= 2).groupBy("files").agg(F.count("*").alias("n"))
-    pairs = F.flatten(
-        F.transform(
-            "files",
-            lambda a, i: F.transform(
-                F.slice("files", i + 2, F.size("files")),
-                lambda b: F.struct(a.alias("file_a"), b.alias("file_b")),
-            ),
-        )
-    )
+    firsts = weights.select(F.posexplode("files").alias("i", "file_a"), "files", "n")
+    rest = firsts.select("file_a", F.slice("files", F.col("i") + 2, F.size("files")).alias("later"), "n")
+    spread = rest.filter(F.size("later") > 0).hint("rebalance")
     return (
-        weights.select(F.explode(pairs).alias("p"), "n")
-        .groupBy(F.col("p.file_a").alias("file_a"), F.col("p.file_b").alias("file_b"))
+        spread.select("file_a", F.explode("later").alias("file_b"), "n")
+        .groupBy("file_a", "file_b")
         .agg(F.sum("n").alias("shared_keys"))
     )
 
 
 def pair_overlap(df: DataFrame, file_col: str, key_col: str) -> DataFrame:
-    """Shared keys for every unordered file pair, zeros included."""
+    """Shared keys for every unordered file pair, zeros included: the list
+    of ``all_pairs``, whose size is its own.  ``pair_counts`` leaves the
+    zeros out."""
     return (
         all_pairs(df, file_col)
         .join(pair_counts(df, file_col, key_col), ["file_a", "file_b"], "left")
@@ -154,18 +150,16 @@ def overlap_summary(df: DataFrame, file_col: str, key_col: str) -> DataFrame:
 
 def seen_before(df: DataFrame, file_col: str, key_col: str) -> DataFrame:
     """Per file: distinct keys, and keys already present in a file that
-    sorts earlier.  The first file of each key comes from a grouped ``min``
-    (map-side combined) joined back on the key, rather than a window over
-    all rows of a key."""
+    sorts earlier: the file's keys less those it is the first file of.
+    Two aggregates (the second over the grouped ``min`` of each key), so
+    only per-file counts are joined, never the keys."""
     d = file_keys(df, file_col, key_col)
-    first = d.groupBy("key").agg(F.min("file").alias("first_file"))
-    return (
-        d.join(first, "key")
-        .groupBy(F.col("file").alias(file_col))
-        .agg(
-            F.count("*").alias("unique_keys"),
-            F.count_if(F.col("file") > F.col("first_file")).alias("seen_before"),
-        )
+    per_file = d.groupBy("file").agg(F.count("*").alias("unique_keys"))
+    first = d.groupBy("key").agg(F.min("file").alias("file")).groupBy("file").agg(F.count("*").alias("new_keys"))
+    return per_file.join(first, "file", "left").select(
+        F.col("file").alias(file_col),
+        "unique_keys",
+        (F.col("unique_keys") - F.coalesce("new_keys", F.lit(0))).alias("seen_before"),
     )
 
 

@@ -40,8 +40,9 @@ def scd2_merge(
 
     Only the open rows take part in the join; closed history is passed
     through untouched, so the shuffle grows with the current table, not
-    with the history.  The joined frame feeds both the closed/kept branch
-    and the new-row branch; Spark reuses its exchange.
+    with the history.  There is one join: each joined row gives an array of
+    up to two rows, the kept (or closed) one and the started one, which is
+    exploded.
     """
     ts_type = dict(target.dtypes).get("start_timestamp", "timestamp")
     now_c = _now_col(now).cast(ts_type)
@@ -55,21 +56,21 @@ def scd2_merge(
     j = open_rows.join(inc.alias("i"), F.col(f"t.{id_col}") == F.col(f"i.{id_col}_incoming"), "full")
     newer = F.coalesce(F.col(f"i.{order_col}_incoming") > F.col(f"t.{order_col}"), F.lit(False))
 
-    kept = j.filter(F.col(f"t.{id_col}").isNotNull()).select(
+    struct_type = target.select(*target.columns).schema
+    kept = F.struct(
         *[F.col(f"t.{c}").alias(c) for c in value_cols],
         F.col("t.start_timestamp").alias("start_timestamp"),
         F.when(newer, now_c).otherwise(F.col("t.end_timestamp")).alias("end_timestamp"),
     )
-    started = j.filter(
-        F.col(f"i.{id_col}_incoming").isNotNull() & (F.col(f"t.{id_col}").isNull() | newer)
-    ).select(
-        *[F.col(f"i.{c}_incoming").alias(c) for c in value_cols],
+    started = F.struct(
+        *[F.col(f"i.{c}_incoming").cast(struct_type[c].dataType).alias(c) for c in value_cols],
         now_c.alias("start_timestamp"),
         F.lit(None).cast(ts_type).alias("end_timestamp"),
     )
-    return closed.select(*target.columns).unionByName(kept.select(*target.columns)).unionByName(
-        started.select(*target.columns)
-    )
+    starts = F.col(f"i.{id_col}_incoming").isNotNull() & (F.col(f"t.{id_col}").isNull() | newer)
+    rows = F.array(F.when(F.col(f"t.{id_col}").isNotNull(), kept), F.when(starts, started))
+    merged = j.select(F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("_r")).select("_r.*")
+    return closed.select(*target.columns).unionByName(merged.select(*target.columns))
 
 
 def current_rows(history: DataFrame) -> DataFrame:

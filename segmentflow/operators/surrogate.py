@@ -20,20 +20,24 @@ ID_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
 ID_LENGTH = 15
 
 
-# Characters taken from each of the two 60-bit numbers read from the
-# digest, 6 bits per character.
-_DIGITS = (10, 5)
+# Characters that each of the two 60-bit numbers read from the digest can
+# give, 6 bits per character.
+_DIGITS = (10, 10)
+MAX_LENGTH = sum(_DIGITS)
 
 
 def hash_id(key: Column, salt: Column | int | None = None, length: int = ID_LENGTH) -> Column:
     """``length`` base-62 characters from SHA-256 of the key text.
 
     Hex digits 1-15 and 16-30 of the digest are read as two 60-bit integers;
-    character ``j`` of each is ``ALPHABET[((n >> 6j) & 63) mod 62]``, 10
-    from the first number and 5 from the second (about 89 bits).  Bit
+    character ``j`` of each is ``ALPHABET[((n >> 6j) & 63) mod 62]``, up to
+    10 from the first number, the rest from the second (15 characters are
+    about 89 bits).  A length over ``MAX_LENGTH`` is an error.  Bit
     operations only, so the digest is converted twice per row rather than
     once per character.  ``salt`` > 0 hashes ``key || '#' || salt``.
     """
+    if not 1 <= length <= MAX_LENGTH:
+        raise ValueError(f"an id has 1 to {MAX_LENGTH} characters, not {length}")
     text = key.cast("string")
     if salt is not None:
         salt_col = F.lit(salt) if isinstance(salt, int) else salt
@@ -89,6 +93,9 @@ def fix_collisions(
     salt = 0
     out = state
     spark = state.sparkSession
+    # Rows of one key always hash alike, so they could never be told apart.
+    if not state.groupBy(key).count().filter("count > 1").isEmpty():
+        raise ValueError(f"{key} is not unique, ids can't be made unique")
     if keep_keys is None:
         keep_keys = spark.createDataFrame([], state.select(key).schema)
     kept = keep_keys.select(F.col(key).alias("_kept")).distinct()
@@ -146,13 +153,12 @@ def assign_new_ids(
     Colliding keys are re-hashed with the next salt until no clash is left;
     the smallest key keeps a shared candidate id.
     """
-    from segmentflow.operators.joins import broadcast_if_small
 
     assigned = new_keys.select(key).distinct().withColumn(id_col, hash_id(F.col(key), length=length)).checkpoint()
     taken = taken_ids.select(id_col)
     salt = 0
     while True:
-        hit = taken.join(broadcast_if_small(assigned.select(id_col)), id_col, "left_semi")
+        hit = taken.join(assigned.select(id_col), id_col, "left_semi")
         with_existing = assigned.join(hit, id_col, "left_semi").select(key)
         among_new = (
             assigned.withColumn("_r", F.row_number().over(Window.partitionBy(id_col).orderBy(key)))

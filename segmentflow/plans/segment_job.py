@@ -20,10 +20,12 @@ from __future__ import annotations
 import datetime as _dt
 import os
 import time
+import uuid
 from contextlib import contextmanager
 
 from pyspark.logger import PySparkLogger
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from segmentflow.config import JobConfig, apply_session_defaults, use_namespace
 from segmentflow.functions.columns import path_part
@@ -34,7 +36,7 @@ from segmentflow.operators.surrogate import assign_new_ids
 from segmentflow.sinks.export import export_segments
 from segmentflow.sinks.tables import create_if_missing, overwrite_table
 from segmentflow.sources.files import CONTACT_COLUMNS, add_feed, read_csv, remove_feed, stream_table
-from segmentflow.streaming.fold import Bucketing, fold_stream, read_state
+from segmentflow.streaming.fold import Bucketing, apply_batch, fold_stream, read_state
 
 # Table layouts of the job.
 BRONZE_ADD_DDL = (
@@ -55,6 +57,9 @@ HISTORIC_SCHEMA = (
 )
 
 
+QUARANTINE_DDL = CONTACT_DDL + ", reason STRING, source STRING"
+
+
 def _p(cfg: JobConfig, *parts: str) -> str:
     return os.path.join(cfg.state, *parts)
 
@@ -84,32 +89,70 @@ def ingest(spark: SparkSession, cfg: JobConfig) -> None:
                 q.stop()
 
 
-def initial_load(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Historic contacts CSV into the contact table, columns matched by
-    name (``initial_load``).  Rows without an email are left out."""
-    df = read_csv(spark, path, HISTORIC_SCHEMA)
+def split_historic(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Historic contacts as (one row per email, rejected rows with their
+    ``reason``).  The email is the key of the contact table: rows without
+    one are rejected, and of rows that repeat one all but the smallest row
+    (by the other columns in order, NULLs first)."""
     cols = [c.split()[0] for c in CONTACT_DDL.split(", ")]
-    out = valid_rows(df, ["email"]).select(*cols)
-    overwrite_table(out, table)
-    return spark.table(table)
+    others = [c for c in cols if c != "email"]
+    keyed = valid_rows(df, ["email"])
+    counted = keyed.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    first = keyed.groupBy("email").agg(F.min(F.struct(*others)).alias("_first"))
+    rows = counted.join(first, "email").withColumn("_is", F.struct(*others).eqNullSafe(F.col("_first")))
+    # The accepted row may itself be there several times.
+    over = F.col("_n") - F.col("_is").cast("int")
+    rejected = rows.filter(over > 0).withColumn("_k", F.explode(F.sequence(F.lit(1), over)))
+    rejected = rejected.select(*cols, F.lit("duplicate email").alias("reason"))
+    missing = df.filter(F.col("email").isNull()).select(*cols, F.lit("missing email").alias("reason"))
+    return first.select("email", "_first.*").select(*cols), rejected.unionByName(missing)
+
+
+def historic_fold(prev: DataFrame, batch: DataFrame) -> DataFrame:
+    """Historic contacts into the contact state: unknown emails are added
+    with their own id, known ones keep their id and values and only have
+    their NULLs filled, as the history is older than any drop."""
+    cols = [c for c in prev.columns if c != "email"]
+    return prev.alias("t").join(batch.alias("h"), "email", "full").select(
+        "email", *[F.coalesce(f"t.{c}", f"h.{c}").alias(c) for c in cols]
+    ).select(*prev.columns)
+
+
+def initial_load(spark: SparkSession, path: str, cfg: JobConfig) -> DataFrame:
+    """Historic contacts CSV, columns matched by name, into the contact
+    state and table (``initial_load``), before or after any run.  Rejected
+    rows go to the quarantine table, with the file and the reason."""
+    good, bad = split_historic(read_csv(spark, path, HISTORIC_SCHEMA))
+    create_if_missing(spark, cfg.table("quarantine"), QUARANTINE_DDL)
+    bad.select("*", F.lit(path).alias("source")).write.mode("append").insertInto(cfg.table("quarantine"))
+    load = f"historic-{uuid.uuid4().hex}"
+    apply_batch(good, 0, historic_fold, _p(cfg, "state", "contact"), load, _empty(CONTACT_DDL), contact_bucketing(cfg))
+    overwrite_table(read_state(spark, _p(cfg, "state", "contact"), _empty(CONTACT_DDL)), cfg.table("contact_silver"))
+    return spark.table(cfg.table("contact_silver"))
+
+
+def quarantine(spark: SparkSession, cfg: JobConfig) -> DataFrame:
+    """Rows that never reach the state, by ``source`` and ``reason``: the
+    rejected historic rows, and the bronze rows without an email or (for
+    membership) without a segment in their path."""
+    parts = []
+    if spark.catalog.tableExists(cfg.table("quarantine")):
+        parts.append(spark.table(cfg.table("quarantine")).select("source", "reason"))
+    for feed in ("bronze_add", "bronze_remove"):
+        if spark.catalog.tableExists(cfg.table(feed)):
+            rows = spark.table(cfg.table(feed)).select(F.col("source_file").alias("source"), "email", path_part("source_file", -3).alias("segment"))
+            reason = F.when(F.col("email").isNull(), "missing email").when(F.col("segment").isNull(), "missing segment")
+            parts.append(rows.select("source", reason.alias("reason")).filter("reason is not null"))
+    out = parts[0] if parts else spark.createDataFrame([], "source STRING, reason STRING")
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.groupBy("source", "reason").agg(F.count(F.lit(1)).alias("rejected_rows"))
 
 
 def _empty(ddl: str):
     return lambda s: s.createDataFrame([], ddl)
 
 
-def _contact_initial(cfg: JobConfig):
-    def initial(spark: SparkSession) -> DataFrame:
-        name = cfg.table("contact_silver")
-        if spark.catalog.tableExists(name):
-            cols = [c.split()[0] for c in CONTACT_DDL.split(", ")]
-            # Cut the dependency on the table, which is republished later.
-            return spark.table(name).select(*cols).checkpoint()
-        return spark.createDataFrame([], CONTACT_DDL)
-
-    return initial
-
-
 def contact_fold(prev: DataFrame, batch: DataFrame) -> DataFrame:
     """One micro-batch of adds into the contact state.
 
@@ -145,12 +188,12 @@ def membership_bucketing(cfg: JobConfig) -> Bucketing:
 def contacts(spark: SparkSession, cfg: JobConfig) -> None:
     """Stage 2."""
     fold_stream(
-        stream_table(spark, cfg.table("bronze_add")),
+        stream_table(spark, cfg.table("bronze_add"), cfg.max_files_per_trigger),
         contact_fold,
         _p(cfg, "state", "contact"),
         "add",
         _p(cfg, "checkpoints", "contact"),
-        _contact_initial(cfg),
+        _empty(CONTACT_DDL),
         contact_bucketing(cfg),
     )
 
@@ -159,7 +202,7 @@ def segments(spark: SparkSession, cfg: JobConfig) -> None:
     """Stage 3: adds to their end, then removes (one writer at a time)."""
     state = _p(cfg, "state", "contact_segment")
     fold_stream(
-        with_segment(stream_table(spark, cfg.table("bronze_add"))),
+        with_segment(stream_table(spark, cfg.table("bronze_add"), cfg.max_files_per_trigger)),
         segment_activate,
         state,
         "add",
@@ -168,7 +211,7 @@ def segments(spark: SparkSession, cfg: JobConfig) -> None:
         membership_bucketing(cfg),
     )
     fold_stream(
-        with_segment(stream_table(spark, cfg.table("bronze_remove"))),
+        with_segment(stream_table(spark, cfg.table("bronze_remove"), cfg.max_files_per_trigger)),
         segment_deactivate,
         state,
         "remove",
@@ -181,11 +224,10 @@ def segments(spark: SparkSession, cfg: JobConfig) -> None:
 def publish(spark: SparkSession, cfg: JobConfig) -> tuple[DataFrame, DataFrame]:
     """Current contact and membership state, also saved as tables."""
     contact_state = _p(cfg, "state", "contact")
-    c = read_state(spark, contact_state, _contact_initial(cfg), contact_bucketing(cfg))
-    m = read_state(spark, _p(cfg, "state", "contact_segment"), _empty(MEMBERSHIP_DDL), membership_bucketing(cfg))
-    # The state is read from its snapshot folders, never from these tables
-    # (the one case that reads contact_silver checkpoints it first), so the
-    # tables can be overwritten directly without an extra copy.
+    c = read_state(spark, contact_state, _empty(CONTACT_DDL))
+    m = read_state(spark, _p(cfg, "state", "contact_segment"), _empty(MEMBERSHIP_DDL))
+    # The state is read from its snapshot folders, never from these tables,
+    # so they can be overwritten directly without an extra copy.
     overwrite_table(c, cfg.table("contact_silver"))
     overwrite_table(m, cfg.table("contact_segment"))
     return spark.table(cfg.table("contact_silver")), spark.table(cfg.table("contact_segment"))
@@ -273,12 +315,14 @@ def run_segment_pipeline(spark: SparkSession, cfg: JobConfig, date: str | None =
 def replay_all(spark: SparkSession, cfg: JobConfig, new_state: str) -> JobConfig:
     """Start over (``replay_all``): drop the job's tables and return a
     configuration with a new state folder, so every landed file is read
-    again by fresh checkpoints.  The old folder is left for inspection."""
+    again by fresh checkpoints.  The contact table goes too: historic
+    contacts are loaded again after it.  The old folder is left for
+    inspection."""
     from dataclasses import replace
 
     from segmentflow.sinks.tables import drop_tables
 
-    drop_tables(spark, [cfg.table(k) for k in ("bronze_add", "bronze_remove", "contact_segment", "main")])
+    drop_tables(spark, [cfg.table(k) for k in ("bronze_add", "bronze_remove", "contact_silver", "contact_segment", "main", "quarantine")])
     return replace(cfg, state=new_state)
 
 

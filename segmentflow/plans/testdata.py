@@ -11,7 +11,8 @@ The driver's tables stand in for the job's inputs:
 
 Each entry pairs a Spark plan (built from the library's operators) with a
 DuckDB query computed independently from the same tables.  Every plan reads
-whole tables; none samples or caps rows.
+whole tables; none samples or caps rows (some scenarios start from a
+predicate over them, as in ``upsert_target``).
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,11 +39,27 @@ from segmentflow.operators.dedup import deduplicate, latest_per_key
 from segmentflow.operators.surrogate import fix_collisions, hash_id, hash_id_sql
 from segmentflow.plans import segment_job
 from segmentflow.sinks.export import export_segments
-from segmentflow.sinks.tables import preview
-from segmentflow.sources.files import read_parquet_table, with_file_metadata
+from segmentflow.sinks.tables import (
+    append_available_now,
+    create_if_missing,
+    insert_by_name,
+    overwrite_table,
+    preview,
+    read_additive,
+)
+from segmentflow.sources.files import (
+    FEED_SCHEMA,
+    read_csv,
+    read_parquet_table,
+    stream_csv,
+    stream_csv_inferred,
+    stream_json,
+    stream_table,
+    with_file_metadata,
+)
 from segmentflow.sources.tables import inline_values
 from segmentflow.streaming.fold import Bucketing, fold_stream, read_state
-from segmentflow.streaming.views import daily_counts_stream, maintain_view
+from segmentflow.streaming.views import daily_counts_stream, maintain_view, read_view
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -533,7 +551,7 @@ def q_foreach_batch_merge(spark, sf_dir):
         batches.filter(F.col("batch") == b).write.mode("overwrite").parquet(os.path.join(landing, f"b{b}"))
         stream = spark.readStream.schema(schema).parquet(os.path.join(landing, "*"))
         fold_stream(stream, fold, state, "replay", ckpt, initial, REPLAY_BUCKETS)
-    return read_state(spark, state, initial, REPLAY_BUCKETS)
+    return read_state(spark, state, initial)
 
 
 # --------------------------------------------------------------- SCD2 --
@@ -672,9 +690,9 @@ def q_filter_date_range(spark, sf_dir):
     return o.filter((F.col("o_orderdate") >= lo) & (F.col("o_orderdate") < hi)).select("o_orderkey", "o_orderdate")
 
 
-def order_feed(spark, sf_dir) -> DataFrame:
+def order_feed(spark, sf_dir, *extra: str) -> DataFrame:
     """Events as a JSON-like order feed with epoch text; errors carry bad
-    text and views an empty string."""
+    text and views an empty string.  ``extra`` columns are carried along."""
     e = T(spark, sf_dir, "events")
     secs = F.unix_seconds(F.col("ts").cast("timestamp")).cast("string")
     return e.select(
@@ -684,6 +702,7 @@ def order_feed(spark, sf_dir) -> DataFrame:
         .otherwise(secs)
         .alias("order_datetime"),
         F.col("event_id").alias("order_number"),
+        *extra,
     )
 
 
@@ -723,15 +742,14 @@ def q_orders_daily_stream(spark, sf_dir):
     adds the new files to the counts held in the state store."""
     root = work_dir(spark, "daily", uuid.uuid4().hex)
     land, out, ckpt = (os.path.join(root, p) for p in ("landing", "view", "checkpoint"))
-    ts = T(spark, sf_dir, "events").select(F.col("event_id").alias("order_number"), "ts")
-    feed = order_feed(spark, sf_dir).join(ts, "order_number")
+    feed = order_feed(spark, sf_dir, "ts")
     cut = F.lit(CUT_TS).cast("timestamp_ntz")
     schema = "customer_name STRING, order_datetime STRING, order_number BIGINT"
     for name, part in (("a", feed.filter(F.col("ts") < cut)), ("b", feed.filter(F.col("ts") >= cut))):
         part.drop("ts").write.json(os.path.join(land, name))
         stream = spark.readStream.schema(schema).json(os.path.join(land, "*"))
         maintain_view(daily_counts_stream(stream), out, ckpt)
-    return spark.read.parquet(out)
+    return read_view(spark, out)
 
 
 @register(
@@ -779,9 +797,12 @@ WHERE l_quantity < 30 GROUP BY l_returnflag""",
 def q_dataset_table(spark, sf_dir):
     view = f"lineitem_small_{uuid.uuid4().hex[:8]}"
     T(spark, sf_dir, "lineitem").filter(F.expr("l_quantity < 30")).createOrReplaceTempView(view)
-    return spark.table(view).groupBy("l_returnflag").agg(
-        F.sum("l_quantity").alias("sum_qty"), F.count("*").alias("line_count")
+    _, table = fresh(spark, "dataset")
+    overwrite_table(
+        spark.table(view).groupBy("l_returnflag").agg(F.sum("l_quantity").alias("sum_qty"), F.count("*").alias("line_count")),
+        table,
     )
+    return spark.table(table)
 
 
 @register(
@@ -934,16 +955,24 @@ def q_surrogate_id(spark, sf_dir):
 
 # ------------------------------------------------------------ overlap --
 OVERLAP_SQL = """
-d AS (SELECT DISTINCT o_orderpriority AS f, o_custkey AS k FROM orders WHERE o_custkey IS NOT NULL AND o_orderpriority IS NOT NULL),
-files AS (SELECT DISTINCT o_orderpriority AS f FROM orders WHERE o_orderpriority IS NOT NULL),
+weeks AS (SELECT date_diff('day', DATE '1990-01-01', CAST(o_orderdate AS DATE)) // 7 AS f, o_custkey AS k FROM orders),
+d AS (SELECT DISTINCT f, k FROM weeks WHERE k IS NOT NULL AND f IS NOT NULL),
+files AS (SELECT DISTINCT f FROM weeks WHERE f IS NOT NULL),
 ap AS (SELECT a.f AS file_a, b.f AS file_b FROM files a JOIN files b ON a.f < b.f),
 sh AS (SELECT a.f AS file_a, b.f AS file_b, count(*) AS n FROM d a JOIN d b ON a.k = b.k AND a.f < b.f GROUP BY 1, 2),
 po AS (SELECT ap.file_a, ap.file_b, coalesce(sh.n, 0) AS shared_keys FROM ap LEFT JOIN sh
        ON ap.file_a = sh.file_a AND ap.file_b = sh.file_b)"""
 
 
+def weekly_orders(spark, sf_dir) -> DataFrame:
+    """The customers of each week's orders; the week names the file.  Some
+    pairs of weeks share no customer."""
+    day = F.date_diff(F.col("o_orderdate").cast("date"), F.lit("1990-01-01").cast("date"))
+    return T(spark, sf_dir, "orders").select(F.floor(day / 7).alias("f"), F.col("o_custkey").alias("k"))
+
+
 def _pairs(spark, sf_dir):
-    return overlap.pair_overlap(T(spark, sf_dir, "orders"), "o_orderpriority", "o_custkey")
+    return overlap.pair_overlap(weekly_orders(spark, sf_dir), "f", "k")
 
 
 @register("pair_overlap", f"WITH {OVERLAP_SQL} SELECT * FROM po")
@@ -953,7 +982,7 @@ def q_pair_overlap(spark, sf_dir):
 
 @register("all_pairs", f"WITH {OVERLAP_SQL} SELECT * FROM ap")
 def q_all_pairs(spark, sf_dir):
-    return overlap.all_pairs(T(spark, sf_dir, "orders"), "o_orderpriority")
+    return overlap.all_pairs(weekly_orders(spark, sf_dir), "f")
 
 
 @register(
@@ -963,19 +992,16 @@ SELECT min(shared_keys) AS min_shared, max(shared_keys) AS max_shared, avg(share
        count(*) AS pair_count FROM po""",
 )
 def q_overlap_stats(spark, sf_dir):
-    return overlap.pair_overlap_stats(T(spark, sf_dir, "orders"), "o_orderpriority", "o_custkey")
+    return overlap.pair_overlap_stats(weekly_orders(spark, sf_dir), "f", "k")
 
 
 @register(
     "filter_min_shared",
-    """WITH d AS (SELECT DISTINCT c_nationkey AS f, c_acctbal AS k FROM customer WHERE c_acctbal IS NOT NULL),
-sh AS (SELECT a.f AS file_a, b.f AS file_b, count(*) AS shared_keys FROM d a JOIN d b ON a.k = b.k AND a.f < b.f GROUP BY 1, 2)
-SELECT * FROM sh WHERE shared_keys >= 1""",
+    f"WITH {OVERLAP_SQL} SELECT * FROM po WHERE shared_keys >= 3",
 )
 def q_filter_min_shared(spark, sf_dir):
-    """Nation pairs whose customers share an account balance (a key that
-    rarely repeats), kept only from the minimum count on."""
-    return overlap.shared_at_least(T(spark, sf_dir, "customer"), "c_nationkey", "c_acctbal", 1)
+    """Pairs of weeks that share at least three customers."""
+    return overlap.shared_at_least(weekly_orders(spark, sf_dir), "f", "k", 3)
 
 
 @register(
@@ -1083,10 +1109,13 @@ def q_table_checks(spark, sf_dir):
 # ------------------------------------------------------------ set ops --
 @register(
     "unseen_keys",
-    "SELECT * FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)",
+    """SELECT * FROM customer c WHERE NOT EXISTS
+  (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority = '1-URGENT')""",
 )
 def q_unseen_keys(spark, sf_dir):
-    return overlap.unseen_keys(T(spark, sf_dir, "customer"), T(spark, sf_dir, "orders"), "c_custkey", "o_custkey")
+    """Customers without an urgent order."""
+    urgent = T(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    return overlap.unseen_keys(T(spark, sf_dir, "customer"), urgent, "c_custkey", "o_custkey")
 
 
 @register(
@@ -1309,19 +1338,243 @@ def q_segment_job(spark, sf_dir):
 
 
 # --------------------------------------------------------- file facts --
-@register("file_metadata", None)
+@register(
+    "file_metadata",
+    """SELECT o_orderkey, 'orders.parquet' AS source_name, true AS has_file_time, true AS has_ingestion_time FROM orders""",
+)
 def q_file_metadata(spark, sf_dir):
-    """Lineage columns on every ``orders`` row: source file, modification
-    time and ingestion time (file facts, so no SQL oracle)."""
+    """Lineage columns on every ``orders`` row: the name of its file, and
+    whether modification and ingestion time are set and in order."""
     o = with_file_metadata(T(spark, sf_dir, "orders"))
-    return o.select("o_orderkey", "source_file", "file_modification_time", "ingestion_timestamp")
+    return o.select(
+        "o_orderkey",
+        path_part("source_file", -1).alias("source_name"),
+        F.coalesce(F.col("file_modification_time") <= F.col("ingestion_timestamp"), F.lit(False)).alias("has_file_time"),
+        F.col("ingestion_timestamp").isNotNull().alias("has_ingestion_time"),
+    )
 
 
-@register("file_inventory", None)
+@register(
+    "file_inventory",
+    """SELECT 'part-' || CAST(l_linenumber AS VARCHAR) AS file_group, count(*) AS records, true AS has_size
+FROM lineitem GROUP BY l_linenumber""",
+)
 def q_file_inventory(spark, sf_dir):
-    """Rows and bytes per Parquet file of ``lineitem`` (file facts come
-    from the file source, so no SQL oracle)."""
-    return profile.file_inventory(T(spark, sf_dir, "lineitem"))
+    """Rows and bytes per Parquet file, for ``lineitem`` written as one
+    folder per line number; the folder's files are added up."""
+    out = work_dir(spark, "inventory", uuid.uuid4().hex)
+    T(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").write.partitionBy("l_linenumber").parquet(out)
+    files = profile.file_inventory(spark.read.parquet(out))
+    group = F.regexp_extract("file_path", "l_linenumber=([0-9]+)", 1)
+    return files.groupBy(F.concat(F.lit("part-"), group).alias("file_group")).agg(
+        F.sum("records").alias("records"), (F.min("size_bytes") > 0).alias("has_size")
+    )
+
+
+# ------------------------------------------- readers and writers alone --
+FEED_ROWS_SQL = """SELECT c_name AS "Name", 'user' || CAST(c_custkey AS VARCHAR) AS email, c_mktsegment AS occupation, 'n' || CAST(c_nationkey AS VARCHAR) AS phone_number
+FROM customer"""
+
+
+def contact_drop(spark, sf_dir, root: str, fmt: str = "csv") -> str:
+    """``customer`` as feed files (five columns) in a new folder."""
+    c = T(spark, sf_dir, "customer")
+    rows = c.select(
+        F.col("c_name").alias("Name"),
+        F.concat(F.lit("user"), F.col("c_custkey").cast("string")).alias("email"),
+        F.lit("1990-01-01").alias("DOB"),
+        F.col("c_mktsegment").alias("occupation"),
+        F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("phone_number"),
+    )
+    path = os.path.join(root, "drop")
+    rows.write.format(fmt).option("header", True).save(path)
+    return path
+
+
+def feed_rows(df: DataFrame) -> DataFrame:
+    return df.select("Name", "email", "occupation", "phone_number")
+
+
+def fresh(spark, name: str) -> tuple[str, str]:
+    """A new folder and a new table name."""
+    run = uuid.uuid4().hex[:12]
+    return work_dir(spark, name, run), f"sf_{name}_{run}"
+
+
+@register("csv_batch", FEED_ROWS_SQL)
+def q_csv_batch(spark, sf_dir):
+    root, _ = fresh(spark, "csv_batch")
+    return feed_rows(read_csv(spark, contact_drop(spark, sf_dir, root), FEED_SCHEMA))
+
+
+@register("csv_stream_declared", FEED_ROWS_SQL)
+def q_csv_stream_declared(spark, sf_dir):
+    """CSV stream with a declared schema, one file per micro-batch,
+    appended to a table; a second run adds nothing."""
+    root, table = fresh(spark, "csv_stream")
+    path = contact_drop(spark, sf_dir, root)
+    for _ in range(2):
+        append_available_now(stream_csv(spark, path, FEED_SCHEMA, max_files=1), table, os.path.join(root, "checkpoint"))
+    return feed_rows(spark.table(table))
+
+
+@register("csv_stream_inferred", FEED_ROWS_SQL)
+def q_csv_stream_inferred(spark, sf_dir):
+    root, table = fresh(spark, "csv_inferred")
+    path = contact_drop(spark, sf_dir, root)
+    stream = stream_csv_inferred(spark, path, os.path.join(root, "schema"))
+    append_available_now(stream, table, os.path.join(root, "checkpoint"))
+    return feed_rows(spark.table(table))
+
+
+@register("json_stream", FEED_ROWS_SQL)
+def q_json_stream(spark, sf_dir):
+    root, table = fresh(spark, "json_stream")
+    path = contact_drop(spark, sf_dir, root, "json")
+    append_available_now(stream_json(spark, path, FEED_SCHEMA, max_files=1), table, os.path.join(root, "checkpoint"))
+    return feed_rows(spark.table(table))
+
+
+@register("table_stream", FEED_ROWS_SQL)
+def q_table_stream(spark, sf_dir):
+    """A table that grows twice, read as a stream after each growth."""
+    root, table = fresh(spark, "table_stream")
+    c = read_csv(spark, contact_drop(spark, sf_dir, root), FEED_SCHEMA)
+    urban = F.col("occupation") == "BUILDING"
+    for part in (c.filter(urban), c.filter(~urban)):
+        part.write.mode("append").format("parquet").saveAsTable(table)
+        append_available_now(stream_table(spark, table, max_files=1), f"{table}_copy", os.path.join(root, "checkpoint"))
+    return feed_rows(spark.table(f"{table}_copy"))
+
+
+@register(
+    "additive_schema",
+    "SELECT c_custkey, c_name, CASE WHEN c_nationkey >= 12 THEN c_acctbal END AS c_acctbal FROM customer",
+)
+def q_additive_schema(spark, sf_dir):
+    """A sink that gains a column: the second append has one more."""
+    root, _ = fresh(spark, "additive")
+    c = T(spark, sf_dir, "customer")
+    c.filter(F.col("c_nationkey") < 12).select("c_custkey", "c_name").write.mode("append").parquet(root)
+    c.filter(F.col("c_nationkey") >= 12).select("c_custkey", "c_name", "c_acctbal").write.mode("append").parquet(root)
+    return read_additive(spark, root).select("c_custkey", "c_name", "c_acctbal")
+
+
+@register(
+    "overwrite_table",
+    "SELECT c_custkey, c_acctbal * 2 AS c_acctbal FROM customer WHERE c_mktsegment = 'BUILDING'",
+)
+def q_overwrite_table(spark, sf_dir):
+    """A table replaced by a result computed from itself."""
+    _, table = fresh(spark, "overwrite")
+    overwrite_table(T(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment"), table)
+    t = spark.table(table)
+    overwrite_table(t.filter("c_mktsegment = 'BUILDING'").select("c_custkey", (F.col("c_acctbal") * 2).alias("c_acctbal")), table, cut_lineage=True)
+    return spark.table(table)
+
+
+@register("insert_overwrite", "SELECT c_custkey, c_name, c_nationkey FROM customer WHERE c_nationkey >= 12")
+def q_insert_overwrite(spark, sf_dir):
+    """``INSERT OVERWRITE`` by name: the source has its columns in another
+    order, and the rows inserted before are replaced."""
+    _, table = fresh(spark, "insert")
+    create_if_missing(spark, table, "c_custkey BIGINT, c_name STRING, c_nationkey BIGINT")
+    c = T(spark, sf_dir, "customer").select("c_nationkey", "c_name", F.col("c_custkey").cast("bigint").alias("c_custkey"))
+    c = c.withColumn("c_nationkey", F.col("c_nationkey").cast("bigint"))
+    insert_by_name(c.filter("c_nationkey < 12"), table)
+    insert_by_name(c.filter("c_nationkey >= 12"), table)
+    return spark.table(table)
+
+
+# ------------------------------------------------- historic contacts --
+HISTORIC_SQL = f"""
+h AS (SELECT c_name AS name, CASE WHEN c_nationkey <> 3 THEN 'user' || CAST(c_custkey AS VARCHAR) END AS email,
+             c_mktsegment AS occupation, CASE WHEN c_nationkey < 12 THEN 1 ELSE 2 END AS load, c_custkey FROM customer),
+live AS (SELECT DISTINCT 'user' || CAST(o_custkey AS VARCHAR) AS email FROM orders WHERE o_orderpriority = '1-URGENT')"""
+
+
+def historic_job(spark, sf_dir) -> JobConfig:
+    """Historic load, drops, historic load: ``customer`` is the history (in
+    two files by nation; nation 3 has no email, and AUTOMOBILE rows are
+    there twice), the customers of urgent orders are the drops."""
+    root, run = fresh(spark, "historic")
+    names = JobConfig(landing="", state="", export="").tables
+    cfg = JobConfig(
+        landing=os.path.join(root, "landing"),
+        state=os.path.join(root, "state"),
+        export=os.path.join(root, "export"),
+        state_buckets=8,
+        tables={k: f"{run}_{k}" for k in names},
+    )
+    c = T(spark, sf_dir, "customer")
+    email = F.concat(F.lit("user"), F.col("c_custkey").cast("string"))
+    rows = c.select(
+        F.col("c_name").alias("Name"),
+        F.when(F.col("c_nationkey") != 3, email).alias("email"),
+        F.lit(None).cast("date").alias("DOB"),
+        F.col("c_mktsegment").alias("occupation"),
+        F.lit(None).cast("string").alias("phone_number"),
+        F.concat(F.lit("H"), F.col("c_custkey").cast("string")).alias("random_id"),
+        F.lit("#h").alias("list_keys"),
+        (F.col("c_nationkey") < 12).alias("first"),
+    )
+    rows = rows.unionByName(rows.filter("occupation = 'AUTOMOBILE'"))
+    drops = T(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'").select("o_custkey").distinct()
+    drops = drops.select(
+        F.lit(None).cast("string").alias("Name"),
+        F.concat(F.lit("user"), F.col("o_custkey").cast("string")).alias("email"),
+        F.lit(None).cast("string").alias("DOB"),
+        F.lit("live").alias("occupation"),
+        F.lit(None).cast("string").alias("phone_number"),
+    )
+    for part, name in ((rows.filter("first"), "h1"), (rows.filter("not first"), "h2")):
+        part.drop("first").write.option("header", True).csv(os.path.join(root, name))
+    drops.write.option("header", True).csv(os.path.join(cfg.landing, "seg0", "add"))
+    segment_job.initial_load(spark, os.path.join(root, "h1"), cfg)
+    os_dirs = os.path.join(cfg.landing, "seg0", "remove")
+    drops.limit(0).coalesce(1).write.option("header", True).csv(os_dirs)
+    segment_job.ingest(spark, cfg)
+    segment_job.contacts(spark, cfg)
+    # The bucket count changes, and the catalog forgets the state tables.
+    for t in spark.catalog.listTables():
+        if t.name.startswith("sf_state_"):
+            spark.sql(f"DROP TABLE IF EXISTS {t.name}")
+    cfg = replace(cfg, state_buckets=5)
+    segment_job.initial_load(spark, os.path.join(root, "h2"), cfg)
+    return cfg
+
+
+@register(
+    "initial_load",
+    f"""WITH {HISTORIC_SQL}
+SELECT coalesce(h.email, l.email) AS email, h.name AS "Name",
+       CASE WHEN l.email IS NOT NULL THEN 'live' ELSE h.occupation END AS occupation,
+       CASE WHEN h.email IS NULL OR (h.load = 2 AND l.email IS NOT NULL) THEN {hash_id_sql("l.email")}
+            ELSE 'H' || CAST(h.c_custkey AS VARCHAR) END AS random_id,
+       CASE WHEN h.email IS NOT NULL THEN '#h' END AS list_keys
+FROM (SELECT * FROM h WHERE email IS NOT NULL) h FULL JOIN live l ON h.email = l.email""",
+)
+def q_initial_load(spark, sf_dir):
+    """Contacts after load, run, reopen with other buckets, load: drops
+    win over history, history fills what the drops left NULL, ids stay."""
+    cfg = historic_job(spark, sf_dir)
+    return spark.table(cfg.table("contact_silver")).select("email", "Name", "occupation", "random_id", "list_keys")
+
+
+@register(
+    "quarantine",
+    f"""WITH {HISTORIC_SQL},
+twice AS (SELECT * FROM h UNION ALL SELECT * FROM h WHERE occupation = 'AUTOMOBILE')
+SELECT 'h' || CAST(load AS VARCHAR) AS source, 'missing email' AS reason, count(*) AS rejected_rows
+FROM twice WHERE email IS NULL GROUP BY load
+UNION ALL
+SELECT 'h' || CAST(load AS VARCHAR), 'duplicate email', count(*) FROM h
+WHERE email IS NOT NULL AND occupation = 'AUTOMOBILE' GROUP BY load""",
+)
+def q_quarantine(spark, sf_dir):
+    """Rejected historic rows per file and reason."""
+    q = segment_job.quarantine(spark, historic_job(spark, sf_dir))
+    return q.select(path_part("source", -1).alias("source"), "reason", "rejected_rows")
 
 
 def queries() -> dict[str, QueryFn]:

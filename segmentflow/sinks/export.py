@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import os
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from segmentflow.operators.marts import segment_fanout
 
@@ -41,16 +41,16 @@ def export_segments(
         .partitionBy("segment")
         .csv(target)
     )
-    # Segments without members: the written segments are read from the
-    # file listing (metadata, one entry per file) instead of a second pass
-    # over the rows; the listed names come from the small segment table.
-    schema = fan.drop("segment").schema
-    files = fan.sparkSession.read.schema(schema).option("header", True).csv(target).inputFiles()
-    written = {unquote(f.split("segment=", 1)[1].split("/", 1)[0]) for f in files if "segment=" in f}
-    header_only = fan.drop("segment").limit(0)
-    for row in segments.select("segment").distinct().toLocalIterator():
-        if row.segment is not None and row.segment not in written:
-            header_only.coalesce(1).write.mode("overwrite").option("header", True).csv(
-                os.path.join(target, f"segment={row.segment}")
-            )
+    # Segments without members: one row each, the header line, written by
+    # the same partitioned writer, which escapes the names alike.
+    fields = fan.drop("segment").columns
+    listed = segments.select("segment").filter("segment is not null").distinct()
+    empty = listed.join(fan.groupBy("segment").count().select("segment"), "segment", "left_anti")
+    (
+        empty.select("segment", F.lit(",".join(fields)).alias("value"))
+        .write.mode("append")
+        .option("sep", "\u0001")  # the header line is one value, not to be quoted
+        .partitionBy("segment")
+        .csv(target)
+    )
     return fan

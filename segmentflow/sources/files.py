@@ -87,24 +87,27 @@ def stream_csv(
     return reader.csv(path)
 
 
-def infer_schema_once(
-    spark: SparkSession, path: str, schema_location: str, sampling_ratio: float = 1.0
-) -> StructType:
+def path_not_found(e: Exception) -> bool:
+    """True when Spark says that the path does not exist."""
+    return isinstance(e, AnalysisException) and e.getCondition() == "PATH_NOT_FOUND"
+
+
+def infer_schema_once(spark: SparkSession, path: str, schema_location: str) -> StructType:
     """CSV schema inferred from the files present on the first run and kept
     at ``schema_location`` (a shared folder, like a stream's schema
     location); later runs reuse it, so a new file cannot change the types.
-    ``sampling_ratio`` < 1 infers from a fraction of the rows, for very
-    large first loads."""
+    All rows are read to infer them.  A location that exists but can't be
+    read is an error, not a reason to infer again."""
     try:
         text = spark.read.text(schema_location).first()
         if text is not None:
             return StructType.fromJson(json.loads(text[0]))
-    except AnalysisException:
-        pass
+    except AnalysisException as e:
+        if not path_not_found(e):
+            raise
     schema = (
         spark.read.option("header", True)
         .option("inferSchema", True)
-        .option("samplingRatio", sampling_ratio)
         .option("pathGlobFilter", "*.csv")
         .csv(path)
         .schema
@@ -131,9 +134,13 @@ def stream_json(spark: SparkSession, path: str, schema: StructType | str, max_fi
     return reader.json(path)
 
 
-def stream_table(spark: SparkSession, name: str) -> DataFrame:
-    """Incremental read of a table's new files (``table_stream``)."""
-    return spark.readStream.table(name)
+def stream_table(spark: SparkSession, name: str, max_files: int | None = None) -> DataFrame:
+    """Incremental read of a table's new files (``table_stream``), at most
+    ``max_files`` of them per micro-batch when given."""
+    reader = spark.readStream
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.table(name)
 
 
 def stream_parquet(spark: SparkSession, path: str, schema: StructType | str, max_files: int | None = None) -> DataFrame:

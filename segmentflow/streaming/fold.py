@@ -14,8 +14,13 @@ Parquet log ``state_dir/_log`` records every finished
 
 A crash before the log row leaves an unlogged folder that no reader ever
 sees; the retry writes a new one.  So each batch is applied exactly once.
-Everything is plain Spark reads and writes on the shared folder.  Two
-streams may feed one table as long as they run one after the other (the
+Everything is plain Spark reads and writes on the shared folder.  The log
+row also holds how its snapshot is bucketed and its schema, and snapshots
+are read with that, never with the caller's settings: a new bucket count
+takes effect with the next snapshot, which is written with it.  Only a
+missing log means that there is no state; any other error is raised.  The
+last ``KEPT_SNAPSHOTS`` snapshots stay for readers, older ones are removed
+after a batch is logged.  Two streams may feed one table as long as they run one after the other (the
 reference job also allows one run at a time).
 
 With ``Bucketing`` the snapshots are written as tables bucketed and sorted
@@ -27,14 +32,19 @@ which is the large side, is neither shuffled nor re-sorted for the join.
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-LOG_SCHEMA = "seq BIGINT, stream STRING, batch_id BIGINT, path STRING"
+from segmentflow.sources.files import path_not_found
+
+LOG_SCHEMA = "seq BIGINT, stream STRING, batch_id BIGINT, path STRING, keys ARRAY<STRING>, buckets INT, schema STRING"
+KEPT_SNAPSHOTS = 2
 
 
 @dataclass(frozen=True)
@@ -45,6 +55,16 @@ class Bucketing:
     buckets: int
 
 
+@dataclass(frozen=True)
+class Snapshot:
+    """A logged snapshot: its place and how it was written."""
+
+    seq: int
+    path: str
+    bucketing: Bucketing | None
+    schema: StructType
+
+
 def _join(root: str, *parts: str) -> str:
     return "/".join([root.rstrip("/"), *parts])
 
@@ -52,47 +72,48 @@ def _join(root: str, *parts: str) -> str:
 def _log(spark: SparkSession, state_dir: str) -> DataFrame | None:
     try:
         return spark.read.schema(LOG_SCHEMA).parquet(_join(state_dir, "_log"))
-    except Exception:  # the folder does not exist yet
-        return None
+    except Exception as e:
+        if path_not_found(e):
+            return None
+        raise
 
 
-def _head(spark: SparkSession, state_dir: str, stream: str | None = None, batch_id: int | None = None):
-    """One pass over the log: newest (seq, path) and whether (stream,
+def _head(
+    spark: SparkSession, state_dir: str, stream: str | None = None, batch_id: int | None = None
+) -> tuple[Snapshot | None, bool]:
+    """One pass over the log: the newest snapshot, and whether (stream,
     batch_id) was applied already."""
     log = _log(spark, state_dir)
     if log is None:
-        return None, None, False
+        return None, False
     done = F.lit(False)
     if stream is not None:
         done = (F.col("stream") == stream) & (F.col("batch_id") == batch_id)
-    r = log.agg(
-        F.max("seq").alias("seq"),
-        F.max_by("path", "seq").alias("path"),
-        F.max(done.cast("int")).alias("done"),
-    ).first()
+    newest = F.max_by(F.struct("path", "keys", "buckets", "schema"), "seq").alias("last")
+    r = log.agg(F.max("seq").alias("seq"), newest, F.max(done.cast("int")).alias("done")).first()
     if r is None or r.seq is None:
-        return None, None, False
-    return int(r.seq), r.path, r.done == 1
+        return None, False
+    spec = Bucketing(tuple(r.last.keys), r.last.buckets) if r.last.buckets else None
+    return Snapshot(int(r.seq), r.last.path, spec, StructType.fromJson(json.loads(r.last.schema))), r.done == 1
 
 
 def _table_name(path: str) -> str:
     return "sf_state_" + hashlib.sha1(path.encode()).hexdigest()[:16]
 
 
-def read_snapshot(spark: SparkSession, path: str, bucketing: Bucketing | None = None) -> DataFrame:
-    """A written snapshot; bucketed snapshots are read through a table
-    definition so Spark knows their partitioning (re-declared over the
-    files when the session does not know it yet)."""
-    if bucketing is None:
-        return spark.read.parquet(path)
-    name = _table_name(path)
+def read_snapshot(spark: SparkSession, snapshot: Snapshot) -> DataFrame:
+    """A logged snapshot; a bucketed one is read through a table definition
+    so Spark knows its partitioning (declared again over the files when
+    the session does not know it, always with the logged bucketing)."""
+    if snapshot.bucketing is None:
+        return spark.read.schema(snapshot.schema).parquet(snapshot.path)
+    name = _table_name(snapshot.path)
     if not spark.catalog.tableExists(name):
-        schema = spark.read.parquet(path).schema
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        keys = ", ".join(f"`{k}`" for k in bucketing.keys)
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in snapshot.schema.fields)
+        keys = ", ".join(f"`{k}`" for k in snapshot.bucketing.keys)
         spark.sql(
             f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
-            f"INTO {bucketing.buckets} BUCKETS LOCATION '{path}'"
+            f"INTO {snapshot.bucketing.buckets} BUCKETS LOCATION '{snapshot.path}'"
         )
     return spark.table(name)
 
@@ -112,18 +133,24 @@ def write_snapshot(df: DataFrame, path: str, bucketing: Bucketing | None = None)
 
 def latest_snapshot(spark: SparkSession, state_dir: str) -> int | None:
     """Sequence number of the newest complete snapshot, or None."""
-    return _head(spark, state_dir)[0]
+    head, _ = _head(spark, state_dir)
+    return None if head is None else head.seq
 
 
-def read_state(
-    spark: SparkSession,
-    state_dir: str,
-    initial: Callable[[SparkSession], DataFrame],
-    bucketing: Bucketing | None = None,
-) -> DataFrame:
+def read_state(spark: SparkSession, state_dir: str, initial: Callable[[SparkSession], DataFrame]) -> DataFrame:
     """The newest complete snapshot, or ``initial(spark)`` before the first."""
-    seq, path, _ = _head(spark, state_dir)
-    return initial(spark) if seq is None else read_snapshot(spark, path, bucketing)
+    head, _ = _head(spark, state_dir)
+    return initial(spark) if head is None else read_snapshot(spark, head)
+
+
+def _remove_old(spark: SparkSession, state_dir: str, newest: int) -> None:
+    """Drop the tables and folders of snapshots that no reader starts from
+    any more.  Folders of crashed attempts lie below the same ``seq=<n>``."""
+    log = _log(spark, state_dir).filter(F.col("seq") == newest - KEPT_SNAPSHOTS)
+    for r in log.select("path").collect():
+        spark.sql(f"DROP TABLE IF EXISTS {_table_name(r.path)}")
+        folder = spark._jvm.org.apache.hadoop.fs.Path(r.path).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def apply_batch(
@@ -137,14 +164,15 @@ def apply_batch(
 ) -> None:
     """Fold one micro-batch into the next snapshot, at most once."""
     spark = batch.sparkSession
-    seq, path, done = _head(spark, state_dir, stream_name, batch_id)
+    head, done = _head(spark, state_dir, stream_name, batch_id)
     if done:
         return
-    prev = initial(spark) if seq is None else read_snapshot(spark, path, bucketing)
-    nxt = 0 if seq is None else seq + 1
+    prev = initial(spark) if head is None else read_snapshot(spark, head)
+    nxt = 0 if head is None else head.seq + 1
     out = _join(state_dir, "snap", f"seq={nxt}", f"run={uuid.uuid4().hex}")
+    result = fold(prev, batch)
     if bucketing is None:
-        write_snapshot(fold(prev, batch), out, bucketing)
+        write_snapshot(result, out)
     else:
         # The batch's own shuffles (dedupe, aggregation) use the bucket
         # count, so they hash the key exactly as the stored state does and
@@ -153,12 +181,13 @@ def apply_batch(
         old = spark.conf.get(key)
         spark.conf.set(key, str(bucketing.buckets))
         try:
-            write_snapshot(fold(prev, batch), out, bucketing)
+            write_snapshot(result, out, bucketing)
         finally:
             spark.conf.set(key, old)
-    spark.createDataFrame([(nxt, stream_name, int(batch_id), out)], LOG_SCHEMA).coalesce(1).write.mode(
-        "append"
-    ).parquet(_join(state_dir, "_log"))
+    keys, buckets = (list(bucketing.keys), bucketing.buckets) if bucketing else (None, None)
+    row = (nxt, stream_name, int(batch_id), out, keys, buckets, result.schema.json())
+    spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(_join(state_dir, "_log"))
+    _remove_old(spark, state_dir, nxt)
 
 
 def fold_stream(

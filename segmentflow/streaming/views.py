@@ -9,7 +9,7 @@ by the number of groups (days), not by the number of orders.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmentflow.operators.marts import orders_raw
@@ -24,30 +24,33 @@ def daily_counts_stream(orders: DataFrame, date_range: tuple[str, str] | None =
     return raw.groupBy("order_date").agg(F.count("*").alias("number_of_orders"))
 
 
-def maintain_view(agg: DataFrame, path: str, checkpoint: str, state_partitions: int = 4) -> None:
+def maintain_view(agg: DataFrame, path: str, checkpoint: str) -> None:
     """Run a streaming aggregate with ``availableNow`` in complete mode and
-    publish each trigger's full result to ``path`` (Parquet, replaced).
-
-    The state holds one row per group and only partial counts are
-    shuffled, so a few state partitions suffice at any input size
-    (``state_partitions``; fixed by the first run of a checkpoint), rather
-    than one state store per default shuffle partition."""
-
-    def publish(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
-
-    spark = agg.sparkSession
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
-    try:
-        q = (
-            agg.writeStream.outputMode("complete")
-            .foreachBatch(publish)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
-    finally:
-        spark.conf.set(key, old)
+    publish each trigger's full result as a version of its own below
+    ``path`` (Parquet); ``read_view`` gives the newest complete one.
+
+    The number of state partitions is the session's shuffle width on the
+    first run of a checkpoint."""
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/version={batch_id:012d}")
+
+    q = (
+        agg.writeStream.outputMode("complete")
+        .foreachBatch(publish)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
     q.awaitTermination()
+
+
+def read_view(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete version.  A version counts once Spark's commit
+    marker is there, so a reader never sees half of one."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS")
+    found = fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(fs_path)
+    if not found:
+        raise ValueError(f"no complete version in {path}")
+    newest = max(f.getPath().getParent().toString() for f in found)
+    return spark.read.parquet(newest)

@@ -332,7 +332,7 @@ def test_fold_applies_a_retried_batch_once(spark, tmp):
         apply_batch(adds, 0, merge.segment_activate, d, "add", init, bucketing)  # retry: skipped
         apply_batch(rems, 0, merge.segment_deactivate, d, "remove", init, bucketing)
         assert latest_snapshot(spark, d) == 1
-        got = rows(read_state(spark, d, init, bucketing))
+        got = rows(read_state(spark, d, init))
         assert got == [("a", "s", T2, False), ("b", "s", T1, True)]
 
 
@@ -347,7 +347,7 @@ def test_scd2_as_stream_fold(spark, tmp):
     apply_batch(spark.createDataFrame([(1, "a", T0), (2, "b", T0)], inc), 0, fold, d, "chg", init, b)
     apply_batch(spark.createDataFrame([(1, "a2", T1), (2, "old", T0)], inc), 1, fold, d, "chg", init, b)
     apply_batch(spark.createDataFrame([(1, "a2", T1)], inc), 1, fold, d, "chg", init, b)  # retried: skipped
-    h = read_state(spark, d, init, b)
+    h = read_state(spark, d, init)
     assert h.count() == 3
     assert rows(scd2.current_rows(h), "id", "v") == [(1, "a2"), (2, "b")]
 

@@ -36,7 +36,7 @@ T = [dt.datetime(2024, 1, d, 12, 0) for d in range(1, 8)]
 
 @pytest.fixture()
 def cfg(spark, tmp):
-    for t in ("bronze_add", "bronze_remove", "contact_silver", "contact_segment_table", "main_table", "segments"):
+    for t in ("bronze_add", "bronze_remove", "contact_silver", "contact_segment_table", "main_table", "segments", "contact_quarantine"):
         spark.sql(f"DROP TABLE IF EXISTS {t}")
     c = JobConfig(
         landing=os.path.join(tmp, "landing"), state=os.path.join(tmp, "state"), export=os.path.join(tmp, "export"),
@@ -49,7 +49,7 @@ def cfg(spark, tmp):
         f.write("Name,email,DOB,occupation,phone_number,random_id,list_keys\n")
         f.write("Erin,erin@x.io,1990-02-03,pilot,555,HISTid000000001,#A07#B02\n")
         f.write("Al,alice@x.io,1980-01-01,chef,,HISTid000000002,\n")
-    job.initial_load(spark, hist, "contact_silver")
+    job.initial_load(spark, hist, c)
     return c
 
 
