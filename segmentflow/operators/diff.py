@@ -5,7 +5,8 @@ rendered back with ``to_json``, which writes object keys in sorted order,
 so two texts that differ only in key order compare equal.  The compare is
 of top-level fields: a field is changed when it is only on one side or its
 canonical text differs (this also catches type changes, such as 7 against
-"7").  Text that does not parse, or is not a JSON object, yields the one
+"7").  A field that holds a list is compared without regard to the order of
+its items, unless ``list_order`` is set.  Text that does not parse, or is not a JSON object, yields the one
 marker field.
 """
 
@@ -30,20 +31,30 @@ def parse_definition(text: Column) -> Column:
     return F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>")
 
 
-def changed_fields(source: Column, target: Column) -> Column:
+def canonical(value: Column, list_order: bool = False) -> Column:
+    """Canonical JSON text of a variant; a list's items sorted by theirs."""
+    text = F.to_json(value)
+    if list_order:
+        return text
+    items = F.try_variant_get(value, "$", "array<variant>")
+    joined = F.array_join(F.array_sort(F.transform(items, lambda x: F.coalesce(F.to_json(x), F.lit("null")))), ",")
+    return F.when(items.isNotNull(), F.concat(F.lit("["), joined, F.lit("]"))).otherwise(text)
+
+
+def changed_fields(source: Column, target: Column, list_order: bool = False) -> Column:
     """Sorted top-level fields whose canonical value differs between two
     parsed definitions (``json_field_diff``)."""
     keys = F.array_distinct(F.concat(F.map_keys(source), F.map_keys(target)))
     differs = F.filter(
         keys,
         lambda k: (F.map_contains_key(source, k) != F.map_contains_key(target, k))
-        | ~F.to_json(F.element_at(source, k)).eqNullSafe(F.to_json(F.element_at(target, k))),
+        | ~canonical(F.element_at(source, k), list_order).eqNullSafe(canonical(F.element_at(target, k), list_order)),
     )
     return sorted_distinct(differs)
 
 
 def definition_diff(source: DataFrame, target: DataFrame, name: str = "name",
-                    definition: str = "definition") -> DataFrame:
+                    definition: str = "definition", list_order: bool = False) -> DataFrame:
     """Per source name: ``CREATE`` when the target lacks it, ``UPDATE`` with
     the sorted changed fields, or ``NO CHANGE``.  Names only in the target
     are ignored (``definition_lookup`` is the LEFT join)."""
@@ -56,7 +67,7 @@ def definition_diff(source: DataFrame, target: DataFrame, name: str = "name",
     j = s.join(t, F.col("name") == F.col("_tname"), "left")
     sm, tm = F.col("_sm"), F.col("_tm")
     fields = F.when(sm.isNull() | tm.isNull(), F.array(F.lit(WHOLE_DEFINITION))).otherwise(
-        changed_fields(sm, tm)
+        changed_fields(sm, tm, list_order)
     )
     found = F.col("_tname").isNotNull()
     return j.select(

@@ -1157,8 +1157,8 @@ def q_distinct_values(spark, sf_dir):
 def definitions(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Two versions of a definition per customer name.
 
-    Source: ``{acctbal, mktsegment, nation}``.  Target: the same fields in
-    another key order; AUTOMOBILE customers have another balance, MACHINERY
+    Source: ``{acctbal, mktsegment, nation, tags}``.  Target: the same
+    fields in another key order, the list ``tags`` in another order too; AUTOMOBILE customers have another balance, MACHINERY
     customers a nation written as text (type change), HOUSEHOLD customers
     text that does not parse, FURNITURE customers no target row; supplier
     names exist only in the target.
@@ -1171,6 +1171,7 @@ def definitions(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
                 F.col("c_acctbal").alias("acctbal"),
                 F.col("c_mktsegment").alias("mktsegment"),
                 F.col("c_nationkey").alias("nation"),
+                F.array("c_mktsegment", F.lit("all"), "c_name").alias("tags"),
             )
         ).alias("definition"),
     )
@@ -1178,7 +1179,8 @@ def definitions(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     bal = F.when(seg == "AUTOMOBILE", F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")).alias("acctbal")
 
     def doc(nation):
-        return F.to_json(F.struct(nation.alias("nation"), seg.alias("mktsegment"), bal))
+        tags = F.array(F.col("c_name"), seg, F.lit("all")).alias("tags")
+        return F.to_json(F.struct(nation.alias("nation"), tags, seg.alias("mktsegment"), bal))
 
     tgt = c.filter(seg != "FURNITURE").select(
         F.col("c_name").alias("name"),
