@@ -329,6 +329,17 @@ def test_rotation(spark):
     assert chat.rotate(df.limit(0)).count() == 0
 
 
+def test_rotation_equals_sql(spark):
+    import duckdb
+
+    from segmentflow.llm.queries import oracle_sql, queries
+
+    con = duckdb.connect()
+    con.execute("CREATE VIEW conversations AS SELECT * FROM '/root/testdata/sf0.001/conversations.parquet'")
+    got = sorted(tuple(r) for r in queries()["op7_perspectives"](spark, "/root/testdata/sf0.001").collect())
+    assert got == sorted(con.execute(oracle_sql()["op7_perspectives"]).fetchall())
+
+
 def test_rotation_splits_long_conversations(spark):
     rows = [(1, t, f"s{t % 2}", f"m{t}") for t in range(700)] + [(2, 0, "a", f"x{k}") for k in range(600)]
     out = chat.rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
