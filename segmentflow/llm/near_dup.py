@@ -22,9 +22,12 @@ documents are linked if ``100 * |A and B| >= 75 * |A or B|``.
    group, however large, with a number of pairs linear in the documents.
 4. Second round: within buckets whose members are in several components,
    the members outside the bucket's largest component meet all others of
-   another component (an equi-join on the bucket, with the sketch bound as
-   its condition), so no pair of the buckets is left unexamined that could
-   still join two components.
+   another component, so no pair of the buckets is left unexamined that
+   could still join two components.  That is an equi-join on the bucket
+   whose condition is the bound of a longer odd sketch (``LARGE`` samples,
+   made for these documents alone), which tells pairs just below 0.75 from
+   links, and that the pair shares no earlier band; so it gives each pair
+   that has to be confirmed once.
 5. Links are confirmed on the full sets, made again from the texts of the
    documents that are in some pair.  A bitmap of fixed size over their ids
    picks those texts where they are read, so no text is shuffled.
@@ -55,10 +58,21 @@ SKETCH_WORDS = SKETCH_BITS // 64
 # Estimates below this can't be links: nearly five standard errors of the
 # samples and the sketch under 0.75.
 LEAST_ESTIMATE = 0.6
-# XOR bits at that estimate: n/2 * (1 - exp(-4k(1-J)/n)).
-MOST_BITS = int(np.ceil(SKETCH_BITS / 2 * (1 - np.exp(-4 * HASHES * (1 - LEAST_ESTIMATE) / SKETCH_BITS))))
+# Samples, bits and least estimate of the second round's longer sketch.
+LARGE = 2048
+LARGE_BITS = 4096
+LARGE_LEAST = 0.68
+
+
+def most_bits(samples: int, bits: int, least: float) -> int:
+    """XOR bits of two sketches at the similarity ``least``."""
+    return int(np.ceil(bits / 2 * (1 - np.exp(-4 * samples * (1 - least) / bits))))
+
+
+MOST_BITS = most_bits(HASHES, SKETCH_BITS, LEAST_ESTIMATE)
+LARGE_MOST = most_bits(LARGE, LARGE_BITS, LARGE_LEAST)
 SEED = 20240229
-CHUNK = 1024
+CELLS = 1 << 18  # of a chunk of shingles by samples
 PICK_BITS = 17  # 64-bit words of the bitmap of picked ids, as a power of 2
 CACHE_WORDS = 250_000
 
@@ -98,8 +112,9 @@ class Shingler:
 def signature(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """MinHash samples: the least of ``a * x + b`` (mod 2**64) by hash."""
     least = np.full(len(a), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), CHUNK):
-        np.minimum(least, (shingles[at : at + CHUNK, None] * a + b).min(axis=0), out=least)
+    step = max(1, CELLS // len(a))
+    for at in range(0, len(shingles), step):
+        np.minimum(least, (shingles[at : at + step, None] * a + b).min(axis=0), out=least)
     return least
 
 
@@ -109,11 +124,11 @@ def _hashes(n: int = HASHES) -> tuple[np.ndarray, np.ndarray]:
     return a, rng.integers(0, 1 << 63, n, np.uint64)
 
 
-def odd_sketch(samples: np.ndarray) -> np.ndarray:
+def odd_sketch(samples: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
     """Parity bitmaps (rows of 64-bit words) of rows of samples."""
     rows, n = samples.shape
-    at = mix(samples + np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(SKETCH_BITS)
-    flips = np.bincount((at.astype(np.int64) + np.arange(rows)[:, None] * SKETCH_BITS).ravel(), minlength=rows * SKETCH_BITS)
+    at = mix(samples + np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(bits)
+    flips = np.bincount((at.astype(np.int64) + np.arange(rows)[:, None] * bits).ravel(), minlength=rows * bits)
     return np.packbits((flips & 1).astype(np.uint8).reshape(rows, -1), axis=1, bitorder="little").view("<i8")
 
 
@@ -156,6 +171,23 @@ def signatures(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     return append_columns(df, text_col, fields, factory, keep, as_bytes=True)
 
 
+def large_sketches(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
+    """``n``, the set's size, and ``large``, the longer sketch."""
+
+    def factory():
+        shingler, (a, b) = Shingler(), _hashes(LARGE)
+
+        def apply(texts):
+            sets = [shingler(t) for t in texts]
+            sketches = [odd_sketch(signature(s, a, b)[None], LARGE_BITS)[0].tolist() for s in sets]
+            return [len(s) for s in sets], sketches
+
+        return apply
+
+    fields = [T.StructField("n", T.LongType()), T.StructField("large", T.ArrayType(T.LongType()))]
+    return append_columns(df, text_col, fields, factory, keep, as_bytes=True)
+
+
 def full_sets(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     def factory():
         shingler = Shingler()
@@ -164,15 +196,13 @@ def full_sets(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     return append_columns(df, text_col, [T.StructField("shingles", T.BinaryType())], factory, keep, as_bytes=True)
 
 
-def _similar(a: str, b: str) -> Column:
-    """What a link must satisfy: sizes within reach, sketches near."""
-    n_a, n_b = F.col(f"{a}.n"), F.col(f"{b}.n")
-    bits = sum((F.bit_count(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))) for i in range(SKETCH_WORDS)), F.lit(0))
-    return (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * LINK) & (bits <= MOST_BITS)
+def _bits(a: str, b: str, words: int = SKETCH_WORDS) -> Column:
+    return sum((F.bit_count(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))) for i in range(words)), F.lit(0))
 
 
-def _bits(a: str, b: str) -> Column:
-    return sum((F.bit_count(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))) for i in range(SKETCH_WORDS)), F.lit(0))
+def _sizes(a: str, b: str) -> Column:
+    n_a, n_b = F.col(f"{a}.n"), F.col(f"{b}.n")
+    return F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * LINK
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -244,7 +274,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     groups = signed.where("fingerprint is not null and id is not null").groupBy("fingerprint").agg(F.min("id").alias("rep"))
     groups = staged(groups, "groups")
     reps = signed.where("id is not null").join(groups, (F.col("id") == F.col("rep")) & (signed.fingerprint == groups.fingerprint))
-    reps = reps.select("rep", F.col("n_shingles").alias("n"), "bands", *[F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH_WORDS)])
+    reps = reps.select("rep", F.col("n_shingles").alias("n"), F.col("bands"), *[F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH_WORDS)])
     repeated = not signed.where("id is not null").groupBy("id").count().where("count > 1").isEmpty()
     if repeated:
         reps = reps.dropDuplicates()
@@ -263,7 +293,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # 3. First round: a document and its buckets' leads, the nearest ones.
     met = buckets.where("rep <> lead").select("rep", "lead").distinct()
     met = met.join(few.alias("l").withColumnRenamed("rep", "lead"), "lead").alias("l").join(few.alias("r"), F.col("l.rep") == F.col("r.rep"))
-    met = met.where(_similar("l", "r")).select(F.col("r.rep").alias("a"), F.col("l.lead").alias("b"), _bits("l", "r").alias("bits"), F.col("l.degree").alias("degree"))
+    met = met.where(_sizes("l", "r") & (_bits("l", "r") <= MOST_BITS)).select(F.col("r.rep").alias("a"), F.col("l.lead").alias("b"), _bits("l", "r").alias("bits"), F.col("l.degree").alias("degree"))
     best = met.groupBy("a").agg(F.min(F.struct("bits", "b")).alias("near"), F.max(F.struct("degree", "b")).alias("hub"))
     best = best.select("a", F.explode(F.array("near.b", "hub.b")).alias("b")).distinct()
     links = confirmed(staged(best, "nearest"), texts, "text", repeated)
@@ -279,13 +309,20 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     placed = staged(placed.select("band", "rep", F.coalesce("component", "rep").alias("c")), "placed")
     parts = placed.groupBy("band", "c").agg(F.count(F.lit(1)).alias("k"))
     open_bands = parts.groupBy("band").agg(F.max(F.struct("k", "c")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    open_rows = placed.join(open_bands.select("band", F.col("top.c").alias("largest")), "band").join(few, "rep")
-    open_rows = staged(open_rows, "open")
+    spanning = staged(placed.join(open_bands.select("band", F.col("top.c").alias("largest")), "band"), "spanning")
+    longer = large_sketches(picked(texts, "rep", spanning.select("rep")), "text", ["rep"])
+    longer = longer.select("rep", "n", *[F.col("large")[i].alias(f"s{i}") for i in range(LARGE_BITS // 64)])
+    longer = staged(longer.dropDuplicates() if repeated else longer, "longer")
+    # The bands of a document, to see which of them a pair shares first.
+    own = spanning.groupBy("rep").agg(F.collect_set("band").alias("bands"))
+    open_rows = staged(spanning.join(longer, "rep").join(own, "rep"), "open")
     minor = open_rows.where("c <> largest")
     # Of two minor members the one of smaller id asks.
     apart = (F.col("x.band") == F.col("y.band")) & (F.col("x.c") != F.col("y.c"))
     once = (F.col("y.c") == F.col("y.largest")) | (F.col("x.rep") < F.col("y.rep"))
-    pairs = minor.alias("x").join(open_rows.alias("y"), apart & once & _similar("x", "y"))
+    near = _sizes("x", "y") & (_bits("x", "y", LARGE_BITS // 64) <= LARGE_MOST)
+    first = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.band")
+    pairs = minor.alias("x").join(open_rows.alias("y"), apart & once & near & first)
     pairs = staged(pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct(), "pairs")
     more = confirmed(pairs, texts, "text", repeated)
     final = components(links.union(more), "second")
