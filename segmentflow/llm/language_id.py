@@ -37,7 +37,7 @@ BITS = 16
 DIM = 16
 CACHE_WORDS = 250_000
 UNDETERMINED = "und"
-REJECT_LIMITS = (1.2, 2.0)
+REJECT_LIMITS = (1.1, 1.4)
 
 
 @dataclass
