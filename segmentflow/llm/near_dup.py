@@ -280,7 +280,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         reps = reps.dropDuplicates()
     sketch = ["rep", "n", *[f"s{i}" for i in range(SKETCH_WORDS)]]
 
-    # 2. Buckets of several members; ``lead`` is the member of least hash.
+    # 2. Buckets of several members; ``lead`` is the member that shares
+    # buckets with most others (the smallest id on ties).
     keyed = reps.select("rep", F.explode("bands").alias("band"))
     size = keyed.groupBy("band").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     shared = staged(keyed.join(size, "band"), "shared")
@@ -338,5 +339,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         out = out.join(least, F.col("id") == F.col("own"), "left").withColumn("component_id", F.coalesce("own_component", "component_id"))
         component = F.coalesce("component_id", "id")
     return out.select(
-        F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept")
+        F.col("id").alias(id_col),
+        "n_shingles",
+        F.when(F.col("id").isNotNull(), component).alias("component_id"),
+        F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"),
     )
