@@ -58,10 +58,11 @@ SKETCH_WORDS = SKETCH_BITS // 64
 # Estimates below this can't be links: nearly five standard errors of the
 # samples and the sketch under 0.75.
 LEAST_ESTIMATE = 0.6
-# Samples, bits and least estimate of the second round's longer sketch.
-LARGE = 2048
+# Samples, bits and least estimate (4.6 standard errors under 0.75) of the
+# second round's longer sketch.
+LARGE = 4096
 LARGE_BITS = 4096
-LARGE_LEAST = 0.68
+LARGE_LEAST = 0.695
 
 
 def most_bits(samples: int, bits: int, least: float) -> int:
