@@ -15,8 +15,11 @@ A document holds an item if windows along one alignment (document position
 less item position) cover at least ``COVERAGE`` of the item's windows, and
 the alignment's slots are consistent: a value of the item stands for one
 value of the document wherever it occurs.  Alignments may drift by up to
-``DRIFT`` tokens.  An item too short for a window is one window of all its
-tokens.
+``DRIFT`` tokens; of each item position the window nearest to the alignment
+counts.  Every alignment that reaches the coverage is tested, with its
+drifted windows and without them, and the best that passes is kept.  An item
+too short for a window is one window of all its tokens, which matches a
+document of the same template.
 
 Hot windows: a passage that a third of the documents hold meets few items,
 so the join grows with the matches alone, and the sums per document and
@@ -211,30 +214,49 @@ def contaminated(
     marks[bits.toPandas()["b"].to_numpy(dtype=np.int64)] = True
     found = template_windows(df, id_col, text_col, spark.sparkContext.broadcast(marks))
     item_side = items.select(F.col("id").alias("item"), "hash", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), F.col("n").alias("item_n"))
-    joined = found.select("id", "hash", "pos", "slots").join(item_side, "hash").withColumn("shift", F.col("pos") - F.col("item_pos"))
+    joined = found.select("id", "hash", "pos", "slots").join(item_side, "hash")
+    joined = joined.withColumn("shift", F.col("pos") - F.col("item_pos"))
     joined = staged(joined.select("id", "item", "shift", "item_pos", "item_n", "slots", "item_slots"), "matches")
 
-    # Alignments: shifts within DRIFT of each other are counted together,
-    # by adding every window to the shifts around its own.
-    near = joined.withColumn("about", F.explode(F.sequence(F.col("shift") - DRIFT, F.col("shift") + DRIFT)))
-    sums = near.groupBy("id", "item", "about", "item_pos").agg(F.max("item_n").alias("item_n"), F.max((F.col("shift") == F.col("about")).cast("int")).alias("at"))
-    sums = sums.groupBy("id", "item", "about").agg(F.count(F.lit(1)).alias("n_windows"), F.sum("at").alias("at"), F.max("item_n").alias("item_n"))
-    best = sums.groupBy("id", "item").agg(F.max(F.struct("n_windows", "at", (-F.col("about")).alias("early"), "item_n")).alias("m"))
-    best = best.select("id", "item", "m.n_windows", (-F.col("m.early")).alias("about"), "m.item_n")
-    best = best.where(F.col("n_windows") >= coverage * F.col("item_n"))
-
-    # Slots of the chosen alignment: one document value for each item value.
-    chosen = joined.join(best, ["id", "item"]).where(F.abs(F.col("shift") - F.col("about")) <= DRIFT)
-    values = chosen.where("slots <> ''").select("id", "item", F.explode(F.arrays_zip(F.split("item_slots", "\x1f").alias("i"), F.split("slots", "\x1f").alias("d"))).alias("z"))
-    pairs = values.select("id", "item", F.col("z.i").alias("i"), F.col("z.d").alias("d")).distinct()
-    per_value = pairs.groupBy("id", "item", "i").agg(F.count(F.lit(1)).alias("k"), F.max((F.col("i") == F.col("d")).cast("int")).alias("same"))
-    slots = per_value.groupBy("id", "item").agg(F.max("k").alias("k"), (F.min("same") == 1).alias("same"))
-    out = best.join(slots, ["id", "item"], "left").where(F.coalesce("k", F.lit(1)) == 1)
-    return out.select(
+    # Alignments: shifts within DRIFT of each other are counted together, by
+    # adding every window to the shifts around its own.  All
+    # steps group within a document and item, so one shuffle does.
+    near = joined.repartition("id", "item").withColumn("about", F.explode(F.sequence(F.col("shift") - DRIFT, F.col("shift") + DRIFT)))
+    nearest = F.min(F.struct(F.abs(F.col("shift") - F.col("about")).alias("gap"), "shift", "slots", "item_slots"))
+    near = near.groupBy("id", "item", "about", "item_pos").agg(F.max("item_n").alias("item_n"), nearest.alias("m"))
+    near = near.select("id", "item", "about", "item_pos", "item_n", "m.*")
+    # With the drifted windows, and without them.
+    near = near.withColumn("strict", F.explode(F.when(F.col("gap") > 0, F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))))
+    sums = near.groupBy("id", "item", "about", "strict").agg(
+        F.count(F.lit(1)).alias("n_windows"),
+        F.sum((F.col("gap") == 0).cast("int")).alias("at"),
+        F.max("item_n").alias("item_n"),
+        F.collect_list(F.when(F.col("slots") != "", F.struct("item_slots", "slots"))).alias("slots"),
+    )
+    sums = sums.where(F.col("n_windows") >= coverage * F.col("item_n"))
+
+    # Slots of each alignment: one document value for each item value.
+    mark = "\x1f"
+    pair = lambda p: F.zip_with(F.split(p["item_slots"], mark), F.split(p["slots"], mark), lambda i, d: F.concat(i, F.lit(mark), d))
+    pairs = F.array_distinct(F.flatten(F.transform("slots", pair)))
+    values = F.array_distinct(F.flatten(F.transform("slots", lambda p: F.split(p["item_slots"], mark))))
+    passed = sums.where(F.size(pairs) == F.size(values)).select(
+        "id",
+        "item",
+        F.struct(
+            (F.col("n_windows") / F.col("item_n")).alias("coverage"),
+            (F.col("at") / F.col("item_n")).alias("at"),
+            (-F.col("about")).alias("early"),
+            F.forall("slots", lambda p: p["item_slots"] == p["slots"]).alias("exact"),
+            "n_windows",
+        ).alias("m"),
+    )
+    best = passed.groupBy("id", "item").agg(F.max("m").alias("m"))
+    return best.select(
         F.col("id").alias(id_col),
         F.col("item").alias(item_col),
-        "n_windows",
-        F.least(F.col("n_windows") / F.col("item_n"), F.lit(1.0)).alias("coverage"),
-        (F.coalesce("k", F.lit(1)).eqNullSafe(1) & F.coalesce("same", F.lit(True))).alias("exact"),
-        F.col("about").alias("start"),
+        "m.n_windows",
+        F.least(F.col("m.coverage"), F.lit(1.0)).alias("coverage"),
+        "m.exact",
+        (-F.col("m.early")).alias("start"),
     )

@@ -389,6 +389,24 @@ def test_templates_catch_changed_slots(spark):
     assert decontaminate.contaminated(df, bench.limit(0)).count() == 0
 
 
+def found(spark, docs, items, **options):
+    df = spark.createDataFrame(list(enumerate(docs)), DOCS)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(df, bench, **options).collect()}
+
+
+def test_slots_are_tested_on_every_alignment(spark):
+    changed = ITEM.replace("Anna", "Carla").replace("does Carla", "does Peter")
+    cups = ", ".join(f"add {k} cups" for k in range(2, 22))
+    repeated = "take the big pan and " + cups + " of fine white flour to it"
+    half = " ".join(repeated.split()[:48])
+    got = found(spark, [changed + ". " + ITEM + ".", changed, repeated, "so " + half, changed + ". " + changed], [ITEM, repeated])
+    assert set(got) == {(0, 0), (2, 1), (3, 1)}
+    assert got[0, 0].start == len(decontaminate.Templates()([(changed + ".").encode()])[0]) and got[0, 0].exact and got[0, 0].coverage == 1.0
+    assert got[2, 1].start == 0 and got[2, 1].exact and got[2, 1].coverage == 1.0
+    assert got[3, 1].start == 1 and got[3, 1].exact and got[3, 1].coverage >= 0.5
+
+
 def test_windows_equal_plain_windows():
     text = " ".join(texts_of(8, 60, list("abc"), 4)).encode()
     value, literal, _, doc, _ = decontaminate.Templates()([text, None, b"one two", text])
