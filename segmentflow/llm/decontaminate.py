@@ -21,6 +21,15 @@ drifted windows and without them, and the best that passes is kept.  An item
 too short for a window is one window of all its tokens, which matches a
 document of the same template.
 
+A template depends on the words around it (the word before a copy decides
+whether its first word is a name, the next word may extend its last), and
+some items have none: short ones, and those dense in numbers and names.  So
+the items are looked for as they are, too, by windows of raw words (values
+and names left in), ``WINDOW`` of them or all of a shorter item; documents
+are hashed for just the lengths that the items have.  All of them have to be
+found at one place, or ``COVERAGE`` of them if the item has no template
+window: a verbatim copy of any item that has a word is found.
+
 Hot windows: a passage that a third of the documents hold meets few items,
 so the join grows with the matches alone, and the sums per document and
 item are combined before their shuffle.
@@ -52,6 +61,7 @@ UNITS = frozenset(
     "months year years usd eur gbp dollar dollars euro euros cent cents percent % $ mph kmh km/h hz khz mhz w kw v a j n pa bar "
     "degrees °c °f".split()
 )
+RAW = 100  # keeps the hashes of raw windows apart from the templates'
 UNIT_BYTES = frozenset(u.encode() for u in UNITS)
 NUM, UNIT, NAME = b"<num>", b"<unit>", b"<name>"
 NUMBER = re.compile(rb"[+-]?[$\xc2\xa3]*[0-9]+(?:[.,:/][0-9]+)*%?")
@@ -105,6 +115,11 @@ class Templates:
     def __call__(self, texts: list[bytes | None]):
         """``value`` (hash), ``literal``, ``span`` (its words in ``words``),
         ``doc`` of every token, and ``words``."""
+        return self.with_raw(texts)[0]
+
+    def with_raw(self, texts: list[bytes | None]):
+        """The tokens, and of every word that is not blank the hash, the
+        text and the token it belongs to."""
         split = [(t or b"").split() for t in texts]
         words = [w for ws in split for w in ws]
         if len(self.index) > CACHE_WORDS:
@@ -128,7 +143,10 @@ class Templates:
         keep = np.flatnonzero(~(follows | blank))
         limit = np.cumsum([*map(len, split)])[owner[keep]] if n else keep
         stop = np.minimum(np.append(keep[1:], n), limit)
-        return value[keep], ~(number | name | unit)[keep], np.stack([keep, stop], 1), owner[keep], words
+        tokens = value[keep], ~(number | name | unit)[keep], np.stack([keep, stop], 1), owner[keep], words
+        bare = np.flatnonzero(~blank)
+        raw = self.hashes[at][bare], owner[bare], np.searchsorted(keep, bare, side="right") - 1
+        return tokens, raw
 
 
 def windows(value: np.ndarray, literal: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -151,6 +169,15 @@ def windows(value: np.ndarray, literal: np.ndarray, doc: np.ndarray) -> tuple[np
     return np.concatenate(out), np.concatenate(at)
 
 
+def raw_windows(value: np.ndarray, doc: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first word of every window of ``k`` words of one text."""
+    start = np.flatnonzero(doc[: len(doc) - k + 1] == doc[k - 1 :]) if len(doc) >= k else np.zeros(0, np.int64)
+    h = np.full(len(start), RAW + k, np.uint64)
+    for i in range(k):
+        h = mix(h * np.uint64(0x9E3779B97F4A7C15) + value[start + i])
+    return h, start
+
+
 def _slots(literal: np.ndarray, spans: np.ndarray, words: list[bytes], at: int, end: int) -> str:
     """The values of the placeholders of the window at ``at``, in order."""
     out = []
@@ -161,32 +188,53 @@ def _slots(literal: np.ndarray, spans: np.ndarray, words: list[bytes], at: int,
     return "\x1f".join(out)
 
 
-def template_windows(df: DataFrame, id_col: str, text_col: str, bitmap=None) -> DataFrame:
+def template_windows(df: DataFrame, id_col: str, text_col: str, bitmap=None, lengths: tuple[int, ...] = (), coverage: float = COVERAGE) -> DataFrame:
     """``id``, ``hash``, ``pos``, ``slots`` of every window (those in the
-    bitmap, if one is given), and ``n``: the windows of the text."""
+    bitmap, if one is given), ``n``: the windows of the text, and ``need``:
+    those that a copy has to hold.  ``raw`` is 0 for a template and the words
+    of a raw window, ``token`` the token at ``pos``.  Raw windows are of the
+    ``lengths`` if a bitmap is given, else of ``WINDOW`` words or all of a
+    shorter text."""
 
     def run(batches):
         templates = Templates()
         marks = bitmap.value if bitmap is not None else None
+        hits = lambda h: marks[(h >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)]
         for batch in batches:
             for part in text_slices(batch, "text"):
                 ids = part.column("id").to_numpy(zero_copy_only=False)
-                value, literal, spans, doc, words = templates(part.column("text").cast(pa.binary()).to_pylist())
+                (value, literal, spans, doc, words), (raw, text, token) = templates.with_raw(part.column("text").cast(pa.binary()).to_pylist())
                 h, at = windows(value, literal, doc)
                 count = np.bincount(doc[at], minlength=len(ids))
                 if marks is not None:
-                    hit = marks[(h >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)]
+                    hit = hits(h)
                     h, at = h[hit], at[hit]
                 owner = doc[at]
                 ends = np.searchsorted(doc, owner, side="right").tolist()
                 slots = [_slots(literal, spans, words, a, e) for a, e in zip(at.tolist(), ends, strict=True)]
                 pos = at - np.searchsorted(doc, owner)
-                columns = [pa.array(ids[owner], pa.int64()), pa.array(h.view(np.int64)), pa.array(pos), pa.array(slots, pa.string()), pa.array(count[owner])]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "hash", "pos", "slots", "n"])
+                rows = [(owner, h, pos, slots, count[owner], coverage * count[owner], np.zeros(len(at), np.int64), pos)]
+                size = np.bincount(text, minlength=len(ids))
+                own = np.minimum(size, WINDOW)
+                for k in lengths if marks is not None else sorted({*own.tolist()} - {0}):
+                    h, at = raw_windows(raw, text, k)
+                    hit = hits(h) if marks is not None else own[text[at]] == k
+                    h, at = h[hit], at[hit]
+                    if k < WINDOW and len(at):  # one window is a whole item: the first place in a text will do
+                        _, once = np.unique(np.stack([text[at].astype(np.uint64), h], 1), axis=0, return_index=True)
+                        h, at = h[once], at[once]
+                    owner = text[at]
+                    pos = at - np.searchsorted(text, owner)
+                    first = token[at] - np.searchsorted(doc, owner)
+                    n = (size - k + 1)[owner]
+                    rows.append((owner, h, pos, [""] * len(at), n, np.where(count[owner] > 0, 1.0, coverage) * n, np.full(len(at), k), first))
+                for owner, h, pos, slots, n, need, k, first in rows:
+                    columns = [pa.array(ids[owner], pa.int64()), pa.array(h.view(np.int64)), pa.array(pos), pa.array(slots, pa.string()), pa.array(n), pa.array(need), pa.array(k), pa.array(first)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["id", "hash", "pos", "slots", "n", "need", "raw", "token"])
 
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     rows = rows.where("text is not null and id is not null")
-    return rows.mapInArrow(run, "id BIGINT, hash BIGINT, pos BIGINT, slots STRING, n BIGINT")
+    return rows.mapInArrow(run, "id BIGINT, hash BIGINT, pos BIGINT, slots STRING, n BIGINT, need DOUBLE, raw BIGINT, token BIGINT")
 
 
 def contaminated(
@@ -208,32 +256,36 @@ def contaminated(
     documents or items give one row for each pair of ids; ties between
     alignments go to the earliest.  Other columns are not read."""
     spark = df.sparkSession
-    items = staged(template_windows(benchmark, item_col, item_text_col).dropDuplicates(), "benchmark-windows")
+    items = staged(template_windows(benchmark, item_col, item_text_col, coverage=coverage).dropDuplicates(), "benchmark-windows")
     marks = np.zeros(1 << BITMAP_BITS, bool)
     bits = items.select(F.shiftrightunsigned("hash", 64 - BITMAP_BITS).cast("int").alias("b")).distinct()
     marks[bits.toPandas()["b"].to_numpy(dtype=np.int64)] = True
-    found = template_windows(df, id_col, text_col, spark.sparkContext.broadcast(marks))
-    item_side = items.select(F.col("id").alias("item"), "hash", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), F.col("n").alias("item_n"))
-    joined = found.select("id", "hash", "pos", "slots").join(item_side, "hash")
-    joined = joined.withColumn("shift", F.col("pos") - F.col("item_pos"))
-    joined = staged(joined.select("id", "item", "shift", "item_pos", "item_n", "slots", "item_slots"), "matches")
+    lengths = tuple(sorted(r.raw for r in items.where("raw > 0").select("raw").distinct().collect()))  # at most WINDOW
+    found = template_windows(df, id_col, text_col, spark.sparkContext.broadcast(marks), lengths)
+    item_side = items.select(F.col("id").alias("item"), "hash", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), F.col("n").alias("item_n"), "need", F.col("token").alias("item_token"))
+    joined = found.select("id", "hash", "pos", "slots", "raw", "token").join(item_side, "hash")
+    joined = joined.withColumn("shift", F.col("pos") - F.col("item_pos")).withColumn("begin", F.col("token") - F.col("item_token"))
+    joined = staged(joined.select("id", "item", (F.col("raw") > 0).alias("raw"), "shift", "begin", "item_pos", "item_n", "need", "slots", "item_slots"), "matches")
 
     # Alignments: shifts within DRIFT of each other are counted together, by
-    # adding every window to the shifts around its own.  All
-    # steps group within a document and item, so one shuffle does.
-    near = joined.repartition("id", "item").withColumn("about", F.explode(F.sequence(F.col("shift") - DRIFT, F.col("shift") + DRIFT)))
-    nearest = F.min(F.struct(F.abs(F.col("shift") - F.col("about")).alias("gap"), "shift", "slots", "item_slots"))
-    near = near.groupBy("id", "item", "about", "item_pos").agg(F.max("item_n").alias("item_n"), nearest.alias("m"))
-    near = near.select("id", "item", "about", "item_pos", "item_n", "m.*")
+    # adding every window to the shifts around its own; raw windows don't
+    # drift.  All steps group within a document and item, so one shuffle does.
+    drift = F.when(F.col("raw"), F.lit(0)).otherwise(F.lit(DRIFT))
+    near = joined.repartition("id", "item").withColumn("about", F.explode(F.sequence(F.col("shift") - drift, F.col("shift") + drift)))
+    nearest = F.min(F.struct(F.abs(F.col("shift") - F.col("about")).alias("gap"), "shift", "begin", "slots", "item_slots"))
+    near = near.groupBy("id", "item", "raw", "about", "item_pos").agg(F.max("item_n").alias("item_n"), F.max("need").alias("need"), nearest.alias("m"))
+    near = near.select("id", "item", "raw", "about", "item_pos", "item_n", "need", "m.*")
     # With the drifted windows, and without them.
     near = near.withColumn("strict", F.explode(F.when(F.col("gap") > 0, F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))))
-    sums = near.groupBy("id", "item", "about", "strict").agg(
+    sums = near.groupBy("id", "item", "raw", "about", "strict").agg(
         F.count(F.lit(1)).alias("n_windows"),
         F.sum((F.col("gap") == 0).cast("int")).alias("at"),
         F.max("item_n").alias("item_n"),
+        F.max("need").alias("need"),
+        F.min(F.struct("item_pos", "begin")).alias("first"),
         F.collect_list(F.when(F.col("slots") != "", F.struct("item_slots", "slots"))).alias("slots"),
     )
-    sums = sums.where(F.col("n_windows") >= coverage * F.col("item_n"))
+    sums = sums.where(F.col("n_windows") >= F.col("need"))
 
     # Slots of each alignment: one document value for each item value.
     mark = "\x1f"
@@ -246,8 +298,9 @@ def contaminated(
         F.struct(
             (F.col("n_windows") / F.col("item_n")).alias("coverage"),
             (F.col("at") / F.col("item_n")).alias("at"),
-            (-F.col("about")).alias("early"),
+            (-F.when(F.col("raw"), F.col("first.begin")).otherwise(F.col("about"))).alias("early"),
             F.forall("slots", lambda p: p["item_slots"] == p["slots"]).alias("exact"),
+            (~F.col("raw")).alias("template"),
             "n_windows",
         ).alias("m"),
     )

@@ -395,6 +395,30 @@ def found(spark, docs, items, **options):
     return {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(df, bench, **options).collect()}
 
 
+def test_verbatim_copies_of_items_without_windows(spark):
+    items = [
+        "What is the capital of France?",  # fewer tokens than a window
+        "Is 91 prime?",  # a number among few words
+        "12 + 30 = 42 , 15 + 28 = 43 , 11 + 9 = 20",  # placeholders alone
+        "then Anna Miller met Bob Stone with Carl Wood and Dora Hill near Erie Lake",  # few tokens, many names
+        "name one of the rivers of northern Spain",  # one window, lost when its first word is a name
+        "we saw Ann in the park today and they all came here with Ann",  # ends in a name
+        "Paris",
+        "?!",
+    ]
+    around = "some words before it %s However there are more words after it in this text"
+    docs = [around % x for x in items] + [*items, None, ""]
+    docs[4] = docs[4].replace("name one", "Name one")
+    got = found(spark, docs, items)
+    assert set(got) == {(i, i) for i in range(7)} | {(i + 8, i) for i in range(7)}
+    assert all(r.coverage == 1.0 and r.exact for r in got.values())
+    assert {got[i, i].start for i in (0, 1, 2, 5)} == {4}
+    changed = [around % "Is 97 prime?", around % "What is the capital of Spain?", around % "12 + 31 = 43 , 15 + 29 = 44 , 11 + 8 = 19"]
+    assert found(spark, changed, items) == {}
+    strict = found(spark, ["we met Name one of the rivers of northern Spain that are long"], ["name one of the rivers of northern Spain that are long"], coverage=1.0)
+    assert set(strict) == {(0, 0)}
+
+
 def test_slots_are_tested_on_every_alignment(spark):
     changed = ITEM.replace("Anna", "Carla").replace("does Carla", "does Peter")
     cups = ", ".join(f"add {k} cups" for k in range(2, 22))
