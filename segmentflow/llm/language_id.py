@@ -10,9 +10,13 @@ counts are made on the executors, so the driver holds at most ``buckets``
 counts for each sampled document).
 
 A held-back tenth of the sample calibrates the scores by temperature, and
-sets the rejection threshold: the ``reject_share`` quantile of the scores
-of those documents, kept between ``REJECT_LIMITS`` times the score of a
-guess.  Texts without a letter are ``und`` and rejected.
+sets the rejection threshold by text length: the held-back documents and
+passages of ``PASSAGES`` words of them are put in groups of like length, and
+of each group the ``reject_share`` quantile of the score's log odds is taken,
+by a normal fit where that is lower (a group is too small for its own tail).
+Between the groups' lengths the threshold is interpolated, and it is at least
+``REJECT_LEAST`` times the score of a guess.  Texts without a letter are
+``und`` and rejected.
 
 By linearity a subword adds a fixed vector of class logits, so scoring adds
 up per-word logit sums (cached) and divides by the number of subwords: the
@@ -22,6 +26,7 @@ same result as averaging the embeddings first.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -37,14 +42,17 @@ BITS = 16
 DIM = 16
 CACHE_WORDS = 250_000
 UNDETERMINED = "und"
-REJECT_LIMITS = (1.1, 1.4)
+REJECT_LEAST = 1.1
+PASSAGES = (1, 2, 10, 25)  # and the five words that are trained on
+GROUP = 100  # calibration texts of like length
 
 
 @dataclass
 class Model:
     languages: list[str]
     logits: np.ndarray  # bucket x language, temperature included
-    threshold: float
+    lengths: np.ndarray  # logarithm of the subwords, ascending
+    limits: np.ndarray  # log odds of the least score kept at each length
 
 
 def bounded_sample(df: DataFrame, key: str, group: str, per_group: int) -> DataFrame:
@@ -69,8 +77,10 @@ def _counts(words: list[str], bits: int) -> tuple[bytes, bytes]:
 
 def training_counts(df: DataFrame, text_col: str, label_col: str, bits: int = BITS) -> DataFrame:
     """Per document the subword counts of its whole text, and of a passage
-    of five of its words, so that short texts are learned too."""
-    fields = [T.StructField(c, T.BinaryType()) for c in ("ids", "n", "short_ids", "short_n")]
+    of five of its words, so that short texts are learned too; then of the
+    calibration's passages."""
+    names = ["ids", "n", "short_ids", "short_n", *[f"{c}_{k}" for k in PASSAGES for c in ("ids", "n")]]
+    fields = [T.StructField(c, T.BinaryType()) for c in names]
 
     def factory():
         def apply(texts):
@@ -78,8 +88,9 @@ def training_counts(df: DataFrame, text_col: str, label_col: str, bits: int = BI
             for text in texts:
                 words = (text or "").lower().split()
                 at = len(text or "") * 7919 % max(1, len(words) - 4)
-                out.append((*_counts(words, bits), *_counts(words[at : at + 5], bits)))
-            return [list(c) for c in zip(*out, strict=True)] if out else [[], [], [], []]
+                passages = [words[at : at + 5], *(words[at : at + k] for k in PASSAGES)]
+                out.append([x for w in (words, *passages) for x in _counts(w, bits)])
+            return [list(c) for c in zip(*out, strict=True)] if out else [[] for _ in names]
 
         return apply
 
@@ -92,10 +103,11 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def fit(rows: list, bits: int = BITS, epochs: int = 8, rate: float = 0.5, reject_share: float = 0.001, seed: int = 7) -> Model:
-    """SGD over (language, ids, n) examples; see the module text."""
+    """SGD over (language, ids, n, short ids, short n) examples, which may
+    go on with passages for the calibration; see the module text."""
     languages = sorted({r[0] for r in rows})
     if not languages:
-        return Model([], np.zeros((1 << bits, 0), np.float32), 1.0)
+        return Model([], np.zeros((1 << bits, 0), np.float32), np.zeros(1), np.zeros(1))
     rng = np.random.default_rng(seed)
     rows = sorted(rows, key=lambda r: (r[0], bytes(r[1]), bytes(r[2])))
     rows = [rows[i] for i in rng.permutation(len(rows))]
@@ -142,10 +154,32 @@ def fit(rows: list, bits: int = BITS, epochs: int = 8, rate: float = 0.5, reject
     scales = np.geomspace(0.25, 16, 25)
     loss = [-np.log(_softmax(raw * s)[np.arange(len(gold)), gold] + 1e-9).mean() for s in scales]
     scale = float(scales[int(np.argmin(loss))])
-    score = _softmax(raw * scale).max(axis=1)
-    low, high = (m / len(languages) for m in REJECT_LIMITS)
-    threshold = float(np.clip(np.quantile(score, reject_share), min(low, 1.0), min(high, 1.0)))
-    return Model(languages, (logits * scale).astype(np.float32), threshold)
+    logits = (logits * scale).astype(np.float32)
+    size, odds = [], []
+    for r in [r for r, back in zip(rows, held, strict=True) if back] or rows:
+        for ids, n in zip(r[1::2], r[2::2], strict=True):
+            ids, n = np.frombuffer(ids, "<u4"), np.frombuffer(n, "<f4")
+            if len(ids):
+                size.append(float(n.sum()))
+                odds.append(_odds(_softmax((logits[ids] * n[:, None]).sum(0)[None] / n.sum()).max()))
+    return Model(languages, logits, *_limits(np.array(size), np.array(odds), reject_share, len(languages)))
+
+
+def _odds(p):
+    p = np.clip(np.asarray(p, np.float64), 1e-12, 1 - 1e-12)
+    return np.log(p / (1 - p))
+
+
+def _limits(size: np.ndarray, odds: np.ndarray, share: float, languages: int) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds of the least score kept, at the logarithms of some lengths."""
+    least = float(_odds(min(REJECT_LEAST / languages, 1.0)))
+    if not len(size):
+        return np.zeros(1), np.full(1, least)
+    groups = np.array_split(np.argsort(size, kind="stable"), max(1, len(size) // GROUP))
+    at = np.array([np.log(size[g]).mean() for g in groups])
+    limit = np.array([min(np.quantile(odds[g], share), odds[g].mean() + NormalDist().inv_cdf(share) * odds[g].std()) for g in groups])
+    # No text is held to a higher score than a longer one.
+    return at, np.maximum(np.minimum.accumulate(limit[::-1])[::-1], least)
 
 
 def train(
@@ -179,6 +213,10 @@ class Scorer:
         self.index.update(zip(new, range(at, need), strict=True))
 
     def __call__(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        return self.sized(texts)[:2]
+
+    def sized(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
+        """Language, score and number of subwords of each text."""
         if len(self.index) > CACHE_WORDS:
             self._clear()
         words = [t.lower().split() if t and any(map(str.isalpha, t)) else None for t in texts]
@@ -186,18 +224,20 @@ class Scorer:
         new = [w for w in set().union(*(w for w in words if w)) if w not in index]
         if new and self.languages:
             self._learn(new)
-        label, score = [], []
+        label, score, size = [], [], []
         for w in words:
             if not w or not self.languages:
                 label.append(UNDETERMINED)
                 score.append(0.0)
+                size.append(1.0)
                 continue
             total = self.sums[np.fromiter(map(self.index.__getitem__, w), np.int64, len(w))].sum(axis=0)
             p = _softmax(total[None, :-1] / total[-1])[0]
             best = int(p.argmax())
             label.append(self.languages[best])
             score.append(float(p[best]))
-        return label, score
+            size.append(float(total[-1]))
+        return label, score, size
 
 
 def identify(df: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -209,14 +249,15 @@ def identify(df: DataFrame, model: Model, text_col: str = "text", keep: list[str
     results; an empty table gives an empty one; input columns named like
     an output are replaced."""
     plain = df.sparkSession.sparkContext.broadcast({"logits": model.logits, "languages": model.languages})
-    threshold = model.threshold
+    lengths, limits = model.lengths, model.limits
 
     def factory():
         scorer = Scorer(plain.value)
 
         def apply(texts):
-            label, score = scorer(texts)
-            return label, score, [x == UNDETERMINED or s < threshold for x, s in zip(label, score, strict=True)]
+            label, score, size = scorer.sized(texts)
+            low = _odds(score) < np.interp(np.log(size), lengths, limits) if size else []
+            return label, score, [x == UNDETERMINED or bool(b) for x, b in zip(label, low, strict=True)]
 
         return apply
 

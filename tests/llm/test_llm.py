@@ -199,6 +199,18 @@ def test_language_held_out(spark):
     assert {r.lang_pred for r in language_id.identify(df, none).collect()} == {"und"}
 
 
+def test_language_rejection_is_calibrated(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang").where("text is not null")
+    model = language_id.train(docs, ~held_out() & (F.col("lang") != "de"))
+    rng = random.Random(6)
+    noise = [(-1 - i, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz" + "     ") for _ in range(600)), "noise") for i in range(100)]
+    rows = language_id.identify(docs.where(held_out()).union(spark.createDataFrame(noise, docs.schema)), model).collect()
+    share = lambda rows: sum(r.lang_rejected for r in rows) / len(rows)
+    assert share([r for r in rows if r.lang not in ("de", "noise")]) <= 0.01
+    assert share([r for r in rows if r.lang == "de" and len(r.text.split()) >= 100]) >= 0.9
+    assert share([r for r in rows if r.lang == "noise"]) >= 0.95
+
+
 def test_word_sums_equal_averaged_embeddings():
     model = language_id.fit([("a", *language_id._counts(["xx", "yy"], 16), b"", b""), ("b", *language_id._counts(["zz"], 16), b"", b"")])
     scorer = language_id.Scorer({"logits": model.logits, "languages": model.languages})
