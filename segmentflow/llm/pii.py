@@ -3,8 +3,9 @@
 Base mentions are the matches of four patterns with their checks (email,
 ip, card, phone); they always stay.  The field's nodes are the mentions of
 a document: the base mentions, whose labels are known, and candidates
-(other digit groups of ``LEAST_DIGITS`` digits, and words that equal the
-local part of an email of the document).  Words that are neither are
+(other digit groups of ``LEAST_DIGITS`` digits, the digits of a base mention
+repeated beside other numbers, and words that equal the local part of an
+email of the document).  Words that are neither are
 outside every entity, so they need no node.  Its factors are
 
 * a unary factor of each node's shape (digits, dots, letters, separators,
@@ -30,6 +31,7 @@ left out of the counts, as their labels are unknown.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
@@ -63,6 +65,8 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9])[+(]{0,2}[0-9](?:[().\x20/-]{0,2}[0-9])*+(?![A-Za-z0-9])")
+GROUP = re.compile(r"(?<![A-Za-z0-9])[0-9]++(?![A-Za-z0-9])")
+JOINT = re.compile(r"[().\x20/-]{1,2}")
 LOCAL_WORD = re.compile(r"[A-Za-z0-9._%+-]++")
 
 
@@ -128,6 +132,33 @@ def key(kind: int, s: str) -> str:
     return "#" + (d[-KEY_DIGITS:] if len(d) >= KEY_DIGITS else s)
 
 
+def repeats(text: str, gaps: list[tuple[int, int]], numbers: list[str]) -> list[tuple[int, int]]:
+    """Spans of whole digit groups of a run that are one of the numbers, or
+    its end of at least ``KEY_DIGITS`` digits, in text order; of overlapping
+    ones that of the most digits."""
+    ends = {d[i:] for d in numbers for i in range(len(d) - KEY_DIGITS + 1)}
+    most = max(map(len, ends), default=0)
+    fits = []
+    for a, b in gaps if ends else []:
+        groups = [m.span() for m in GROUP.finditer(text, a, b)]
+        for j, (_, end) in enumerate(groups):
+            digits = ""
+            for i in range(j, -1, -1):
+                if i < j and not JOINT.fullmatch(text, groups[i][1], groups[i + 1][0]):
+                    break
+                digits = text[slice(*groups[i])] + digits
+                if len(digits) > most:
+                    break
+                if digits in ends:
+                    fits.append((-len(digits), groups[i][0], end))
+    out: list[tuple[int, int]] = []
+    for _, s, e in sorted(fits):
+        at = bisect_left(out, (s, e))
+        if (at == 0 or out[at - 1][1] <= s) and (at == len(out) or e <= out[at][0]):
+            out.insert(at, (s, e))
+    return out
+
+
 @dataclass
 class Nodes:
     """The mentions of one document in text order."""
@@ -155,10 +186,26 @@ def mentions(text: str | None) -> Nodes:
     local = {text[s : text.index("@", s)].lower() for k, s, e in base if k == 0}
     local = {w for w in local if len(w) >= LEAST_LOCAL}
     if DIGIT.search(text):
+        again = repeats(text, gaps, [_digits(text[s:e]) for k, s, e in base if k])
+        at = 0
         for a, b in gaps:
             for m in CANDIDATE.finditer(text, a, b):
-                if len(_digits(m[0])) >= LEAST_DIGITS:
-                    found.append((*m.span(), -1))
+                while at < len(again) and again[at][1] <= m.start():
+                    found.append((*again[at], -1))
+                    at += 1
+                inside = []
+                while at < len(again) and again[at][0] < m.end():
+                    inside.append(again[at])
+                    at += 1
+                spans = [m.span()]
+                # A repeat beside other numbers is a node of its own, and so
+                # is what is left; one that ends the group is the group.
+                if len(inside) > 1 or inside and inside[0][1] < m.end():
+                    found += [(*x, -1) for x in inside]
+                    cuts = [m.start(), *(x for span in inside for x in span), m.end()]
+                    spans = [r.span() for c, d in zip(cuts[::2], cuts[1::2], strict=True) for r in CANDIDATE.finditer(text, c, d)]
+                found += [(c, d, -1) for c, d in spans if len(_digits(text[c:d])) >= LEAST_DIGITS]
+        found += [(*x, -1) for x in again[at:]]
     if local:
         for a, b in gaps:
             for m in LOCAL_WORD.finditer(text, a, b):

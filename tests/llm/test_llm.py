@@ -140,6 +140,24 @@ def test_skip_chain_labels_repeats_only(spark):
     assert pii.find_pii(df.limit(0), pii.train(df.limit(0))).count() == 0
 
 
+def test_repeats_beside_other_numbers():
+    shapes = [(pii.shape(x), k, 100.0) for k, x in ((3, "+1 (983) 555-7102"), (3, "+1 555 123 4567"), (2, "4111 1111 1111 1111"))]
+    field = pii.fit(shapes, np.zeros((pii.LABELS, pii.LABELS)), 0, 0)
+    cases = {
+        "Call +1 555 123 4567. dial 555 123 4567 10 times": ["555 123 4567"],
+        "Call +1 555 123 4567 or +1 555 987 6543. ids 5551234567 5559876543": ["5551234567", "5559876543"],
+        "Call +1 (983) 555-7102, then 983-555-7102 2nd try": ["983-555-7102"],
+        "Call +1 (983) 555-7102. Or (983) 555-7102": ["(983) 555-7102"],
+        "Call +1 (983) 555-7102. Or 001 983 555 7102": ["001 983 555 7102"],
+        "Call +1 (983) 555-7102, then 7 983.555.7102 9, 983 555 7102 8 5551234567": ["983.555.7102", "983 555 7102"],
+        "card 4111 1111 1111 1111, again 4111 1111 1111 1111 12/26": ["4111 1111 1111 1111"],
+        "Call +1 555 123 4567. no 555 123 45678 nor x5551234567 10": [],
+    }
+    for text, want in cases.items():
+        (found,) = pii.label_texts(field, [text])
+        assert [text[m["start"] : m["end"]] for m in sorted(found, key=lambda m: m["start"]) if not m["base"]] == want
+
+
 def test_marginals_equal_enumeration_on_a_tree():
     rng = np.random.default_rng(1)
     field = pii.Field(rng.normal(size=(pii.WIDTH, pii.LABELS)), rng.normal(size=(pii.LABELS, pii.LABELS)), 2.0)
