@@ -7,7 +7,9 @@ stage's documents.  All but the last stage return the columns of
 ``documents`` and decide on every document the stage before kept.  Nulls,
 empty texts, repeated rows, empty tables and extra columns follow the
 operators' docstrings: a null or letterless text goes at the first stage,
-repeated rows are one document at the second.
+repeated rows are one document at the second.  Rows without a doc_id go
+through the second and third stage by a key made of their text, so equal
+texts are one document; they come after the rows that have an id.
 """
 
 from __future__ import annotations
@@ -26,24 +28,34 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return found.where(~F.col("lang_rejected")).select(*docs.columns)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__key``: the id, or for rows without one a hash of
+    the text, above 2**62."""
+    made = F.shiftrightunsigned(F.xxhash64("text"), 2).bitwiseOR(F.lit(1 << 62))
+    return docs.withColumn("__key", F.coalesce(F.col("doc_id").cast("long"), made))
+
+
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document, that of the smallest id, of each group of near
     duplicates (operator 5); repeated rows of an id go too."""
-    found = near_dup.near_duplicates(docs)
-    dropped = found.where(~F.col("kept")).select(F.col("doc_id").alias("__id")).distinct()
-    docs = docs.join(dropped, F.col("doc_id") == F.col("__id"), "left_anti")
-    again = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("__id")).count().where("count > 1").select("__id")
+    columns, docs = docs.columns, keyed(docs)
+    found = near_dup.near_duplicates(docs, id_col="__key")
+    dropped = found.where(~F.col("kept")).select(F.col("__key").alias("__id")).distinct()
+    docs = docs.join(dropped, F.col("__key") == F.col("__id"), "left_anti")
+    again = docs.groupBy(F.col("__key").alias("__id")).count().where("count > 1").select("__id")
     if again.isEmpty():
-        return docs
-    rest = docs.join(again, F.col("doc_id") == F.col("__id"), "left_anti")
-    return rest.unionByName(docs.join(again, F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id", "text"]))
+        return docs.select(*columns)
+    rest = docs.join(again, F.col("__key") == F.col("__id"), "left_anti")
+    once = docs.join(again, F.col("__key") == F.col("__id"), "left_semi").dropDuplicates(["__key", "text"])
+    return rest.unionByName(once).select(*columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a benchmark item (operator 10)."""
-    found = decontaminate.contaminated(docs, read_table(spark, sf_dir, "benchmark"))
-    held = found.select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(held, F.col("doc_id") == F.col("__id"), "left_anti")
+    columns, docs = docs.columns, keyed(docs)
+    found = decontaminate.contaminated(docs, read_table(spark, sf_dir, "benchmark"), id_col="__key")
+    held = found.select(F.col("__key").alias("__id")).distinct()
+    return docs.join(held, F.col("__key") == F.col("__id"), "left_anti").select(*columns)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,3 +45,15 @@ def test_stages(spark, tmp):
         assert seen["pii"][i].text == texts[i] or pii.base_mentions(texts[i]) or re.search(r"\d", texts[i])
     assert set(seen["byte_bpe"]) == set(seen["pii"])
     assert {r.doc_id for r in corpus_pipeline.run(spark, tmp).collect()} == set(seen["byte_bpe"])
+
+
+def test_rows_without_an_id(spark, tmp):
+    corpus(spark, tmp)
+    item = spark.read.parquet(f"{tmp}/benchmark.parquet").first().text
+    own = " ".join(f"word{chr(97 + k)}" for k in range(20))
+    rows = [(None, "so " + item), (None, own), (None, own), (7, own + " tail"), (8, "another text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.near_dup_stage(spark, docs, tmp)
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted([(0, rows[0][1]), (7, rows[3][1]), (8, rows[4][1])])
+    clean = corpus_pipeline.decontamination_stage(spark, kept, tmp)
+    assert clean.columns == ["doc_id", "text"] and sorted(r.doc_id for r in clean.collect()) == [7, 8]
