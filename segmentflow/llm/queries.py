@@ -168,3 +168,96 @@ def op7_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     views = rotate(read_table(spark, sf_dir, "conversations"))
     mask = F.array_join(F.transform("mask", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
     return views.select("conv_id", "speaker", "segment", "text", mask.alias("mask"), "n_messages")
+
+
+@register("op11_pq_links")
+def op11_pq_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmentflow.llm.common import read_table
+    from segmentflow.llm.pq_links import near_vectors
+
+    return near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+@register(
+    "op12_spelling",
+    r"""
+    WITH RECURSIVE
+    step AS (
+      SELECT i AS byte, 0 AS k, CAST(i AS BIGINT) AS c FROM range(256) t(i)
+      UNION ALL
+      SELECT byte, k + 1, xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END) FROM step WHERE k < 8),
+    crc AS (SELECT list(c ORDER BY byte) AS t FROM step WHERE k = 8),
+    runs AS (
+      SELECT translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w,
+             coalesce(CAST(doc_id AS VARCHAR), '') || ':' AS head
+      FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]{7,}')) AS run FROM documents)),
+    points AS (
+      SELECT w, list_concat(list_transform(string_split(head, ''), lambda x: CAST(unicode(x) AS BIGINT)),
+                            list_transform(string_split(w, ''), lambda x: CAST(unicode(x) AS BIGINT))) AS p
+      FROM runs),
+    bytes AS (
+      SELECT w, flatten(list_transform(p, lambda x: CASE WHEN x < 128 THEN [x] ELSE [192 + (x >> 6), 128 + (x & 63)] END)) AS b
+      FROM points),
+    hashed AS (
+      SELECT w, xor(list_reduce(list_concat([4294967295], b),
+                lambda a, x: xor(a >> 8, t[CAST((xor(a, x) & 255) + 1 AS INTEGER)])), 4294967295) AS h
+      FROM bytes, crc),
+    typed AS (
+      SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, CAST(h % length(w) AS BIGINT)) || substr(w, CAST(h % length(w) AS BIGINT) + 2) ELSE w END AS word
+      FROM hashed),
+    vocabulary AS (SELECT word, count(*) AS n FROM typed WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+    cut AS (
+      SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+      FROM (SELECT word, n, unnest(range(length(word))) AS i FROM vocabulary)),
+    pairs AS (
+      SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+      UNION SELECT a.word, b.word, b.n FROM cut a JOIN vocabulary b ON a.rest = b.word
+      UNION SELECT b.word, a.word, a.n FROM cut a JOIN vocabulary b ON a.rest = b.word),
+    best AS (
+      SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM pairs GROUP BY word),
+    forms AS (
+      SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * v.n THEN near END AS form,
+             CASE WHEN near_n >= 10 * v.n THEN near_n END AS form_n
+      FROM vocabulary v LEFT JOIN best USING (word)),
+    chain AS (
+      SELECT word, word AS root, form AS up FROM forms
+      UNION ALL
+      SELECT c.word, c.up, f.form FROM chain c JOIN forms f ON f.word = c.up)
+    SELECT f.word, form, root, n, n_near, form_n FROM forms f JOIN chain c ON c.word = f.word AND c.up IS NULL""",
+)
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmentflow.llm import spelling
+    from segmentflow.llm.common import read_table
+
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"), typo=spelling.TYPO)
+
+
+@register(
+    "op13_hard_negatives",
+    """
+    WITH r AS (
+      SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+      SELECT a.id AS anchor, b.id AS id, a.label = b.label AS same,
+             CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+      FROM r a JOIN r b ON a.id % 50 = 0 AND a.id <> b.id),
+    p AS (
+      SELECT anchor, id AS positive, score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5)
+    SELECT p.anchor AS anchor_id, p.positive AS positive_id,
+           CAST(row_number() OVER (PARTITION BY p.anchor, p.positive ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+           s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+    FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same
+     AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+    QUALIFY rank <= 3""",
+)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmentflow.llm.box_tree import hard_negatives
+    from segmentflow.llm.common import read_table
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
