@@ -170,7 +170,24 @@ def op7_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.select("conv_id", "speaker", "segment", "text", mask.alias("mask"), "n_messages")
 
 
-@register("op11_pq_links")
+@register(
+    "op11_pq_links",
+    """
+    WITH RECURSIVE
+    v AS (
+      SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+      WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links AS (
+      SELECT a.vec_id AS id, b.vec_id AS other FROM v a JOIN v b
+        ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
+    reached AS (
+      SELECT vec_id AS id, vec_id AS other FROM embeddings
+      UNION SELECT r.id, l.other FROM reached r JOIN links l ON r.other = l.id),
+    least AS (SELECT id, min(other) AS component_id FROM reached GROUP BY id),
+    n AS (SELECT id, count(*) AS n FROM links GROUP BY id)
+    SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+    FROM embeddings e JOIN least ON least.id = e.vec_id LEFT JOIN n ON n.id = e.vec_id""",
+)
 def op11_pq_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segmentflow.llm.common import read_table
     from segmentflow.llm.pq_links import near_vectors
