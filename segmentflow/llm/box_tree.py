@@ -43,7 +43,7 @@ from segmentflow.llm.common import staged
 TILE = 2048
 TILES = 1 << 16  # at most so many cuts are broadcast
 LEVELS = 2
-LEAF = 32
+LEAF = 128
 FANOUT = 8
 ANCHORS = 2048  # of a chunk
 BOXES = 1024  # of a block of the tiles' boxes
@@ -108,17 +108,18 @@ class BoxTree:
         are known to reach, or None) its first rows ``(-score, id)``."""
         best = [[] for _ in windows]
         floor = [w["low"] if w["kth"] is None else max(w["low"], w["kth"]) for w in windows]
+        top = max(w["high"] for w in windows)
 
         def wanted(least: int, greatest: int, first_id: int) -> int | None:
             """The greatest score a box can add to a window that needs it."""
-            top = None
+            key = None
             for i, w in enumerate(windows):
                 reach = min(greatest, w["high"])
                 if least <= w["high"] and reach >= floor[i]:
                     # A full window at that very score needs a smaller id.
                     if len(best[i]) < k or (-reach, first_id) < best[i][-1]:
-                        top = reach if top is None else max(top, reach)
-            return top
+                        key = reach if key is None else max(key, reach)
+            return key
 
         queue: list = []
 
@@ -128,8 +129,8 @@ class BoxTree:
             fits = (l_low[a:b] <= label) & (label <= l_high[a:b]) if same else ~((l_low[a:b] == label) & (l_high[a:b] == label))
             for i in np.flatnonzero(fits).tolist():
                 bounds = int(down[0, i]), int(up[0, i]), int(least_id[a + i])
-                if (top := wanted(*bounds)) is not None:
-                    heapq.heappush(queue, (-top, bounds[2], level, a + i, bounds))
+                if (key := wanted(*bounds)) is not None:
+                    heapq.heappush(queue, (-key, bounds[2], level, a + i, bounds))
 
         push(len(self.levels) - 1, 0, 1)
         while queue:
@@ -141,12 +142,11 @@ class BoxTree:
                 push(level - 1, a, b)
                 continue
             score = self.v[a:b] @ q
-            fits = (self.labels[a:b] == label) == same
-            fits &= self.ids[a:b] != anchor
+            hit = np.flatnonzero((score >= min(floor)) & (score <= top))
+            rows = [(-int(score[r]), int(self.ids[a + r])) for r in hit if (self.labels[a + r] == label) == same and self.ids[a + r] != anchor]
             for i, w in enumerate(windows):
-                hit = np.flatnonzero(fits & (score >= floor[i]) & (score <= w["high"]))
-                if len(hit):
-                    found = [(-int(s), int(n)) for s, n in zip(score[hit].tolist(), self.ids[a:b][hit].tolist(), strict=True)]
+                found = [r for r in rows if floor[i] <= -r[0] <= w["high"]]
+                if found:
                     best[i] = heapq.nsmallest(k, best[i] + found)
                     if len(best[i]) == k:
                         floor[i] = max(floor[i], -best[i][-1][0])
