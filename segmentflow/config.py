@@ -86,6 +86,24 @@ def scale_settings(input_bytes: int, partition_mb: int = 256) -> dict[str, str]:
     }
 
 
+def size_bytes(text: str) -> int:
+    """A size setting (``64k``, ``10485760b``, ``256MB``) in bytes."""
+    number = text.strip().lower().rstrip("b") or "0"
+    power = {"k": 10, "m": 20, "g": 30, "t": 40}.get(number[-1])
+    return int(number) if power is None else int(number[:-1]) << power
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """Bytes up to which a measured side of a join may be broadcast; -1
+    where broadcasts are off."""
+    return size_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+
+
+def advisory_bytes(spark: SparkSession) -> int:
+    """The size adaptive execution aims at for a shuffle partition."""
+    return size_bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
+
+
 def state_buckets_for(state_bytes: int, bucket_mb: int = 512) -> int:
     """Bucket count for keyed state of ``state_bytes``: a power of two with
     buckets near ``bucket_mb`` (each merge task reads one bucket)."""

@@ -6,8 +6,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from segmentflow.config import broadcast_limit
 from segmentflow.functions.columns import epoch_to_date
 
+SALTS = 32
+ROW_OVERHEAD = 32  # bytes of a row besides its values, for size checks
+
 
 def active_segments(memberships: DataFrame, key: str = "email") -> DataFrame:
     """Sorted list of active segments per contact (``collect_list_by_key``).
@@ -30,21 +34,43 @@ def main_table(contacts: DataFrame, memberships: DataFrame, key: str = "email")
     return joined.select(*contacts.columns, "list_of_segments")
 
 
+def join_listed(rows: DataFrame, listed: DataFrame, key: str, salts: int = SALTS) -> DataFrame:
+    """``rows`` equi-joined to ``listed`` (one row per ``key``), where one
+    key may hold most of the rows.
+
+    The list's bytes are measured.  Up to Spark's broadcast limit the list
+    is broadcast and ``rows`` stay where they are.  Beyond it both sides are
+    shuffled by the key and a salt: a row's salt is a hash of the row, and
+    the list is repeated for each salt, so a hot key is joined by ``salts``
+    tasks.  ``rows`` are never the side that is broadcast."""
+    spark = rows.sparkSession
+    width = F.octet_length(F.to_json(F.struct(*listed.columns)))
+    size = listed.agg(F.sum(width + ROW_OVERHEAD)).first()[0] or 0
+    if size <= broadcast_limit(spark):
+        return rows.join(F.broadcast(listed), key)
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
+    spread = listed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.withColumn("_salt", salt).join(spread.hint("merge"), [key, "_salt"]).drop("_salt")
+
+
+def exploded_segments(main: DataFrame, list_col: str) -> DataFrame:
+    """One row per contact and distinct segment of its list; a NULL list
+    gives none."""
+    keep = [c for c in main.columns if c != list_col]
+    return main.select(*keep, F.explode(F.array_distinct(F.col(list_col))).alias("segment"))
+
+
 def segment_fanout(main: DataFrame, segments: DataFrame, list_col: str = "list_of_segments") -> DataFrame:
     """One row per (contact, listed segment) the contact belongs to.
 
     The reference filters the main table once per segment on the driver.
-    Here the list is exploded once and equi-joined to the segment list,
-    instead of a nested-loop ``array_contains`` join.  A NULL list explodes
-    to nothing, so such contacts belong to no segment.
+    Here the list is exploded once and equi-joined to the segment list
+    (``join_listed``), instead of a nested-loop ``array_contains`` join.
+    Contacts without a list belong to no segment.
     """
-    # The join key is the segment, so one segment may hold a third of the
-    # rows.  Spark broadcasts the segment list when its measured bytes are
-    # few, and else splits the hot segment's partitions (skew join).
-    seg = segments.select(F.col("segment").alias("_seg")).distinct()
-    exploded = main.withColumn("_seg", F.explode(F.array_distinct(F.col(list_col))))
-    keep = [c for c in main.columns if c != list_col]
-    return exploded.join(seg, "_seg").select(*keep, F.col("_seg").alias("segment"))
+    listed = segments.select("segment").filter("segment is not null").distinct()
+    exploded = exploded_segments(main, list_col)
+    return join_listed(exploded, listed, "segment").select(*exploded.columns)
 
 
 def orders_raw(df: DataFrame) -> DataFrame:

@@ -12,10 +12,12 @@ import glob
 import io
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from segmentflow.operators import merge, overlap
 from segmentflow.operators.dedup import latest_per_key
+from segmentflow.operators.marts import segment_fanout
 from segmentflow.sinks.export import export_segments
 from tests.conftest import rows
 
@@ -121,3 +123,56 @@ def test_export_spreads_hot_segment(spark, tmp):
     assert len(big) > 1  # written by several tasks
     none = glob.glob(os.path.join(tmp, "date=2024-01-01", "segment=none", "*.csv"))
     assert [open(p).read().strip() for p in none] == ["email"]
+
+
+def million_of_one_segment(spark):
+    ids = spark.range(0, 1_000_000, 1, 6)
+    return ids.select(F.concat(F.lit("m"), F.col("id").cast("string")).alias("email"), F.array(F.lit("big"), F.lit("big"), F.lit("other")).alias("list_of_segments"))
+
+
+@pytest.mark.parametrize("kind", ["rows", "table", "over the limit"])
+def test_export_of_a_hot_segment_follows_the_target_size(spark, tmp, kind):
+    names = [("big",), ("none",), (None,), ("big",)]
+    if kind == "over the limit":
+        names += [(f"unused{i}",) for i in range(400)]
+    segs = spark.createDataFrame(names, "segment STRING")
+    if kind == "table":
+        segs.write.mode("overwrite").saveAsTable("hot_segment_list")
+        segs = spark.table("hot_segment_list")
+    key, old = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if kind == "over the limit":
+        spark.conf.set(key, "8b")
+    try:
+        fan = export_segments(million_of_one_segment(spark), segs, tmp, "d", file_bytes=1 << 20)
+        text = plan(fan)
+        joins = [x for x in text.splitlines() if "Join" in x]
+        # Never the exploded rows as the side that is built or broadcast.
+        assert joins and all("SortMergeJoin" in x if kind == "over the limit" else "BuildRight" in x for x in joins)
+    finally:
+        spark.conf.set(key, old)
+    files = glob.glob(os.path.join(tmp, "date=d", "segment=big", "*.csv"))
+    sizes = [os.path.getsize(f) for f in files]
+    # 7.9 MB of text: eight files of a megabyte at least, none much larger.
+    assert 8 <= len(files) <= 16 and max(sizes) < 1.2 * (1 << 20)
+    assert spark.read.option("header", True).csv(os.path.join(tmp, "date=d", "segment=big")).distinct().count() == 1_000_000
+    folders = {os.path.basename(f) for f in glob.glob(os.path.join(tmp, "date=d", "segment=*"))}
+    assert len(folders) == (402 if kind == "over the limit" else 2) and "segment=other" not in folders
+    assert os.path.exists(os.path.join(tmp, "date=d", "_SUCCESS"))
+    (none,) = glob.glob(os.path.join(tmp, "date=d", "segment=none", "*.csv"))
+    assert open(none).read() == "email\n"
+    export_segments(million_of_one_segment(spark).limit(3), segs, tmp, "d")  # replaces the folder
+    assert spark.read.option("header", True).csv(os.path.join(tmp, "date=d", "segment=big")).count() == 3
+    spark.sql("DROP TABLE IF EXISTS hot_segment_list")
+
+
+def test_fanout_with_a_salted_list_equals_the_broadcast_one(spark):
+    main = spark.createDataFrame([("a", ["x", "y", "y"]), ("b", None), ("c", []), ("d", ["z", None])], "email STRING, list_of_segments ARRAY<STRING>")
+    listed = spark.createDataFrame([("x",), ("y",), ("y",), (None,)], "segment STRING")
+    want = [("a", "x"), ("a", "y")]
+    assert rows(segment_fanout(main, listed)) == want
+    key, old = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "-1")
+    try:
+        assert rows(segment_fanout(main, listed)) == want
+    finally:
+        spark.conf.set(key, old)
