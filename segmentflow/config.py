@@ -176,6 +176,7 @@ class JobConfig:
             "main": "main_table",
             "segments": "segments",
             "quarantine": "contact_quarantine",
+            "feed_quarantine": "feed_quarantine",
         }
     )
 

@@ -1,7 +1,9 @@
 """The segment job, stage by stage (``run_segment_pipeline``).
 
 1. ingest   add and remove CSV drops stream into ``bronze_add`` /
-            ``bronze_remove`` with file lineage (append, availableNow);
+            ``bronze_remove`` with file lineage (availableNow); columns are
+            bound by each file's header, lines that don't fit go to the
+            quarantine of the feeds;
 2. contacts the add stream is folded into the contact state: newest row
             per email per micro-batch, NULL never erases, new ids;
 3. segments the add stream, then the remove stream, are folded into the
@@ -20,32 +22,27 @@ from __future__ import annotations
 import datetime as _dt
 import os
 import time
-import uuid
 from contextlib import contextmanager
 
 from pyspark.logger import PySparkLogger
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from segmentflow.config import JobConfig, apply_session_defaults, use_namespace
+from segmentflow.config import JobConfig, apply_session_defaults, ensure_checkpoint_dir, use_namespace
 from segmentflow.functions.columns import path_part
 from segmentflow.operators.marts import main_table
 from segmentflow.operators.merge import segment_activate, segment_deactivate, upsert_keep_non_null
 from segmentflow.operators.quality import valid_rows
 from segmentflow.operators.surrogate import assign_new_ids
 from segmentflow.sinks.export import export_segments
-from segmentflow.sinks.tables import create_if_missing, overwrite_table
-from segmentflow.sources.files import CONTACT_COLUMNS, add_feed, read_csv, remove_feed, stream_table
-from segmentflow.streaming.fold import Bucketing, apply_batch, fold_stream, read_state
+from segmentflow.sinks.tables import create_if_missing, overwrite_table, replace_partitions
+from segmentflow.sources.files import CONTACT_COLUMNS, FEED_SCHEMA, add_feed, aligned, read_lines, remove_feed, stream_table
+from segmentflow.streaming.feeds import land_feed
+from segmentflow.streaming.fold import Bucketing, applied, apply_batch, fold_stream, read_state
 
 # Table layouts of the job.
-BRONZE_ADD_DDL = (
-    "Name STRING, email STRING, DOB DATE, occupation STRING, phone_number STRING, "
-    "source_file STRING, ingestion_timestamp TIMESTAMP, file_modification_time TIMESTAMP"
-)
-BRONZE_REMOVE_DDL = (
-    "email STRING, source_file STRING, ingestion_timestamp TIMESTAMP, file_modification_time TIMESTAMP"
-)
+REMOVE_SCHEMA = StructType([FEED_SCHEMA["email"]])
 CONTACT_DDL = (
     "Name STRING, email STRING, DOB DATE, occupation STRING, phone_number STRING, "
     "random_id STRING, list_keys STRING"
@@ -56,8 +53,7 @@ HISTORIC_SCHEMA = (
     "random_id STRING, list_keys STRING"
 )
 
-
-QUARANTINE_DDL = CONTACT_DDL + ", reason STRING, source STRING"
+QUARANTINE_DDL = CONTACT_DDL + ", reason STRING, source STRING, load STRING"
 
 
 def _p(cfg: JobConfig, *parts: str) -> str:
@@ -65,20 +61,14 @@ def _p(cfg: JobConfig, *parts: str) -> str:
 
 
 def ingest(spark: SparkSession, cfg: JobConfig) -> None:
-    """Stage 1: both feeds to their bronze tables.  The two streams run at
-    the same time (they write different tables) and the stage ends when
-    both have processed their backlog."""
-    from segmentflow.sinks.tables import stream_writer
-
-    create_if_missing(spark, cfg.table("bronze_add"), BRONZE_ADD_DDL)
-    create_if_missing(spark, cfg.table("bronze_remove"), BRONZE_REMOVE_DDL)
+    """Stage 1: both feeds to their bronze tables (``land_feed``).  The two
+    streams run at the same time (they write different partitions) and the
+    stage ends when both have processed their backlog."""
+    limit, bad = cfg.max_files_per_trigger, cfg.table("feed_quarantine")
+    feeds = [("add", add_feed, FEED_SCHEMA), ("remove", remove_feed, REMOVE_SCHEMA)]
     queries = [
-        stream_writer(add_feed(spark, cfg.landing, cfg.max_files_per_trigger), _p(cfg, "checkpoints", "add_stream"))
-        .format("parquet")
-        .toTable(cfg.table("bronze_add")),
-        stream_writer(remove_feed(spark, cfg.landing, cfg.max_files_per_trigger), _p(cfg, "checkpoints", "remove_stream"))
-        .format("parquet")
-        .toTable(cfg.table("bronze_remove")),
+        land_feed(lines(spark, cfg.landing, limit), schema, cfg.table(f"bronze_{feed}"), bad, feed, _p(cfg, "checkpoints", f"{feed}_stream"))
+        for feed, lines, schema in feeds
     ]
     try:
         for q in queries:
@@ -108,6 +98,34 @@ def split_historic(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return first.select("email", "_first.*").select(*cols), rejected.unionByName(missing)
 
 
+def checked_ids(rows: DataFrame, state: DataFrame) -> DataFrame:
+    """Historic rows (one per email) with ``random_id`` set and unique over
+    the rows and the contact state, and a ``reason`` where they can't be.
+
+    Emails the state knows keep the state's id, so theirs isn't looked at.
+    Of the others, an id that the state has already is ``taken``; one that
+    several rows hold stays with the smallest email and is ``repeated`` for
+    the rest.  Rows without an id (NULL or blank) are numbered like new
+    contacts."""
+    known = state.select(F.col("email").alias("_known"), F.lit(True).alias("_is_known"))
+    rows = rows.withColumn("random_id", F.when(F.trim("random_id") != "", F.col("random_id")))
+    rows = rows.join(known, F.col("email") == F.col("_known"), "left").drop("_known")
+    own_id = F.col("_is_known").isNull() & F.col("random_id").isNotNull()
+    keeper = rows.filter(own_id).groupBy(F.col("random_id").alias("_id")).agg(F.min("email").alias("_keeper"))
+    # The state's ids are unique, so this keeps one row per id.
+    held = state.select(F.col("random_id").alias("_held")).filter("_held is not null")
+    keeper = keeper.join(held, F.col("_id") == F.col("_held"), "left")
+    found = rows.join(keeper, own_id & (F.col("random_id") == F.col("_id")), "left")
+    reason = F.when(F.col("_held").isNotNull(), "taken random_id").when(F.col("email") != F.col("_keeper"), "repeated random_id")
+    columns = [c for c in rows.columns if c != "_is_known"]
+    found = found.select(*columns, "_is_known", reason.alias("reason")).checkpoint()
+    bare = found.filter("random_id is null and _is_known is null").select("email")
+    in_use = state.select("random_id").union(found.filter("reason is null and random_id is not null").select("random_id"))
+    numbered = assign_new_ids(bare, in_use, "email", "random_id").withColumnRenamed("random_id", "_new")
+    found = found.join(numbered, "email", "left").withColumn("random_id", F.coalesce("random_id", "_new"))
+    return found.select(*columns, "reason")
+
+
 def historic_fold(prev: DataFrame, batch: DataFrame) -> DataFrame:
     """Historic contacts into the contact state: unknown emails are added
     with their own id, known ones keep their id and values and only have
@@ -118,24 +136,50 @@ def historic_fold(prev: DataFrame, batch: DataFrame) -> DataFrame:
     ).select(*prev.columns)
 
 
+def load_key(df: DataFrame) -> str:
+    """A name for the files ``df`` reads: the same for the same files, so a
+    load that is tried again is recognised."""
+    parts = [F.col(f"_metadata.{c}") for c in ("file_path", "file_size", "file_modification_time")]
+    files = df.select(F.xxhash64(*parts).alias("h")).distinct()
+    n, total = files.agg(F.count(F.lit(1)), F.sum(F.col("h").cast("decimal(38,0)"))).first()
+    return f"historic-{n}-{total or 0}"
+
+
 def initial_load(spark: SparkSession, path: str, cfg: JobConfig) -> DataFrame:
     """Historic contacts CSV, columns matched by name, into the contact
-    state and table (``initial_load``), before or after any run.  Rejected
-    rows go to the quarantine table, with the file and the reason."""
-    good, bad = split_historic(read_csv(spark, path, HISTORIC_SCHEMA))
-    create_if_missing(spark, cfg.table("quarantine"), QUARANTINE_DDL)
-    bad.select("*", F.lit(path).alias("source")).write.mode("append").insertInto(cfg.table("quarantine"))
-    load = f"historic-{uuid.uuid4().hex}"
-    apply_batch(good, 0, historic_fold, _p(cfg, "state", "contact"), load, _empty(CONTACT_DDL), contact_bucketing(cfg))
-    overwrite_table(read_state(spark, _p(cfg, "state", "contact"), _empty(CONTACT_DDL)), cfg.table("contact_silver"))
+    state and table (``initial_load``), before or after any run.  Each
+    contact has an email and a ``random_id`` of its own afterwards.
+
+    Rejected rows go to the quarantine table, with the file and the reason,
+    in a partition of the load.  A load of the same files that is tried
+    again replaces that partition if the first try failed, and changes
+    nothing if it was finished."""
+    ensure_checkpoint_dir(spark)
+    load, state_dir = load_key(spark.read.text(path)), _p(cfg, "state", "contact")
+    if not applied(spark, state_dir, load, 0):
+        schema = StructType.fromDDL(HISTORIC_SCHEMA)
+        source = aligned(read_lines(spark, path), schema).checkpoint()
+        good, bad = split_historic(source.filter("not rejected"))
+        bad = bad.unionByName(source.filter("rejected").select(*schema.names, "reason"))
+        good = checked_ids(good, read_state(spark, state_dir, _empty(CONTACT_DDL))).checkpoint()
+        bad = bad.unionByName(good.filter("reason is not null"))
+        create_if_missing(spark, cfg.table("quarantine"), QUARANTINE_DDL, ["load"])
+        replace_partitions(bad.select("*", F.lit(path).alias("source"), F.lit(load).alias("load")), cfg.table("quarantine"))
+        accepted = good.filter("reason is null").drop("reason")
+        apply_batch(accepted, 0, historic_fold, state_dir, load, _empty(CONTACT_DDL), contact_bucketing(cfg))
+    overwrite_table(read_state(spark, state_dir, _empty(CONTACT_DDL)), cfg.table("contact_silver"))
     return spark.table(cfg.table("contact_silver"))
 
 
 def quarantine(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     """Rows that never reach the state, by ``source`` and ``reason``: the
-    rejected historic rows, and the bronze rows without an email or (for
-    membership) without a segment in their path."""
+    rejected historic rows, the feeds' lines that could not be read, and the
+    bronze rows without an email or (for membership) without a segment in
+    their path."""
     parts = []
+    if spark.catalog.tableExists(cfg.table("feed_quarantine")):
+        lines = spark.table(cfg.table("feed_quarantine")).filter("rejected")
+        parts.append(lines.select(F.col("source_file").alias("source"), "reason"))
     if spark.catalog.tableExists(cfg.table("quarantine")):
         parts.append(spark.table(cfg.table("quarantine")).select("source", "reason"))
     for feed in ("bronze_add", "bronze_remove"):
@@ -322,7 +366,7 @@ def replay_all(spark: SparkSession, cfg: JobConfig, new_state: str) -> JobConfig
 
     from segmentflow.sinks.tables import drop_tables
 
-    drop_tables(spark, [cfg.table(k) for k in ("bronze_add", "bronze_remove", "contact_silver", "contact_segment", "main", "quarantine")])
+    drop_tables(spark, [cfg.table(k) for k in ("bronze_add", "bronze_remove", "contact_silver", "contact_segment", "main", "quarantine", "feed_quarantine")])
     return replace(cfg, state=new_state)
 
 

@@ -45,19 +45,22 @@ from segmentflow.sinks.tables import (
     insert_by_name,
     overwrite_table,
     preview,
-    read_additive,
+    stream_into_growing,
 )
 from segmentflow.sources.files import (
     FEED_SCHEMA,
+    aligned,
     read_csv,
+    read_lines,
     read_parquet_table,
-    stream_csv,
-    stream_csv_inferred,
     stream_json,
+    stream_lines,
+    stream_parquet,
     stream_table,
     with_file_metadata,
 )
 from segmentflow.sources.tables import inline_values
+from segmentflow.streaming.feeds import land_feed, land_inferred
 from segmentflow.streaming.fold import Bucketing, fold_stream, read_state
 from segmentflow.streaming.views import daily_counts_stream, maintain_view, read_view
 
@@ -1389,7 +1392,14 @@ def contact_drop(spark, sf_dir, root: str, fmt: str = "csv") -> str:
         F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("phone_number"),
     )
     path = os.path.join(root, "drop")
-    rows.write.format(fmt).option("header", True).save(path)
+    if fmt != "csv":
+        rows.write.format(fmt).save(path)
+        return path
+    # Two drops of different column orders, one with a column more.
+    first = F.col("phone_number") < "n2"
+    rows.filter(first).write.option("header", True).csv(path)
+    other = rows.filter(~first).select("phone_number", "email", F.lit(1).alias("extra"), "occupation", "Name", "DOB")
+    other.write.mode("append").option("header", True).csv(path)
     return path
 
 
@@ -1405,28 +1415,87 @@ def fresh(spark, name: str) -> tuple[str, str]:
 
 @register("csv_batch", FEED_ROWS_SQL)
 def q_csv_batch(spark, sf_dir):
+    """Files of different column orders, read by their headers."""
     root, _ = fresh(spark, "csv_batch")
-    return feed_rows(read_csv(spark, contact_drop(spark, sf_dir, root), FEED_SCHEMA))
+    return feed_rows(aligned(read_lines(spark, contact_drop(spark, sf_dir, root)), FEED_SCHEMA))
 
 
 @register("csv_stream_declared", FEED_ROWS_SQL)
 def q_csv_stream_declared(spark, sf_dir):
-    """CSV stream with a declared schema, one file per micro-batch,
-    appended to a table; a second run adds nothing."""
+    """CSV stream with a declared schema, one file per micro-batch, bound by
+    each file's header; a second run adds nothing."""
     root, table = fresh(spark, "csv_stream")
     path = contact_drop(spark, sf_dir, root)
     for _ in range(2):
-        append_available_now(stream_csv(spark, path, FEED_SCHEMA, max_files=1), table, os.path.join(root, "checkpoint"))
+        lines = stream_lines(spark, path, max_files=1)
+        land_feed(lines, FEED_SCHEMA, table, f"{table}_bad", "drop", os.path.join(root, "checkpoint")).awaitTermination()
     return feed_rows(spark.table(table))
 
 
-@register("csv_stream_inferred", FEED_ROWS_SQL)
+BROKEN_SQL = """
+lines AS (
+  SELECT c_nationkey AS k, 'user' || CAST(c_custkey AS VARCHAR) AS email,
+         CASE WHEN c_nationkey = 2 THEN '1990-13-45' ELSE '1990-01-01' END AS dob,
+         CASE WHEN c_nationkey = 8 THEN '"' ELSE '' END || c_name AS name,
+         CASE WHEN c_nationkey = 6 THEN ',more' ELSE '' END AS tail, c_mktsegment AS job FROM customer),
+raws AS (
+  SELECT k, CASE WHEN k = 4 THEN name || ',' || email
+                 WHEN k < 12 THEN name || ',' || email || ',' || dob || ',' || job || ',n' || CAST(k AS VARCHAR) || tail
+                 ELSE dob || ',' || job || ',' || email || ',' || name || ',n' || CAST(k AS VARCHAR) || tail END AS raw FROM lines)"""
+
+
+@register(
+    "corrupt_records",
+    f"""WITH {BROKEN_SQL}
+SELECT raw, k <> 2 AS rejected,
+       CASE k WHEN 2 THEN 'bad DOB' WHEN 4 THEN 'too few values' WHEN 6 THEN 'too many values' WHEN 8 THEN 'unreadable line'
+              ELSE 'no header with the declared columns' END AS reason
+FROM raws WHERE k IN (2, 4, 6, 8, 20)""",
+)
+def q_corrupt_records(spark, sf_dir):
+    """The feed quarantine after a stream over ``customer`` as three drops
+    (one of another column order, one without a header), where a nation's
+    lines are broken in one way each."""
+    root, table = fresh(spark, "corrupt")
+    k = F.col("c_nationkey")
+    email = F.concat(F.lit("user"), F.col("c_custkey").cast("string"))
+    dob = F.when(k == 2, "1990-13-45").otherwise("1990-01-01")
+    name = F.concat(F.when(k == 8, '"').otherwise(""), "c_name")
+    phone = F.concat(F.lit("n"), k.cast("string"), F.when(k == 6, ",more").otherwise(""))
+    line = F.when(k == 4, F.concat_ws(",", name, email))
+    line = line.when(k < 12, F.concat_ws(",", name, email, dob, "c_mktsegment", phone))
+    line = line.otherwise(F.concat_ws(",", dob, "c_mktsegment", email, name, phone)).alias("value")
+    c = T(spark, sf_dir, "customer")
+    heads = [(k < 12, "Name,email,DOB,occupation,phone_number"), ((k >= 12) & (k != 20), "DOB,occupation,email,Name,phone_number"), (k == 20, None)]
+    for i, (part, head) in enumerate(heads):
+        lines = c.filter(part).select(line)
+        if head:
+            lines = spark.createDataFrame([(head,)], "value STRING").union(lines)
+        lines.coalesce(1).write.mode("append").text(os.path.join(root, "drop", f"{i}"))
+    lines = stream_lines(spark, os.path.join(root, "drop", "*"), max_files=2, glob="*.txt")
+    land_feed(lines, FEED_SCHEMA, table, f"{table}_bad", "drop", os.path.join(root, "checkpoint")).awaitTermination()
+    return spark.table(f"{table}_bad").select("raw", "reason", "rejected")
+
+
+@register(
+    "csv_stream_inferred",
+    """SELECT 'user' || CAST(c_custkey AS VARCHAR) AS email, 'n' || CAST(c_nationkey AS VARCHAR) AS phone_number,
+       CASE WHEN c_nationkey >= 12 THEN CAST(c_custkey AS INTEGER) END AS number,
+       CASE WHEN c_nationkey >= 12 THEN DATE '1990-01-01' END AS since, c_acctbal AS balance FROM customer""",
+)
 def q_csv_stream_inferred(spark, sf_dir):
+    """A feed without a declared schema in two arrivals: the second has two
+    columns more, in another order, and widens the stored schema."""
     root, table = fresh(spark, "csv_inferred")
-    path = contact_drop(spark, sf_dir, root)
-    stream = stream_csv_inferred(spark, path, os.path.join(root, "schema"))
-    append_available_now(stream, table, os.path.join(root, "checkpoint"))
-    return feed_rows(spark.table(table))
+    path, k = os.path.join(root, "drop"), F.col("c_nationkey")
+    c = T(spark, sf_dir, "customer")
+    email = F.concat(F.lit("user"), F.col("c_custkey").cast("string")).alias("email")
+    phone, balance = F.concat(F.lit("n"), k.cast("string")).alias("phone_number"), F.col("c_acctbal").alias("balance")
+    more = [F.col("c_custkey").alias("number"), balance, F.lit("1990-01-01").alias("since"), phone, email]
+    for part, columns in ((k < 12, [email, phone, balance]), (k >= 12, more)):
+        c.filter(part).select(*columns).write.mode("append").option("header", True).csv(path)
+        land_inferred(spark, path, os.path.join(root, "schema"), table, f"{table}_bad", "drop", os.path.join(root, "checkpoint")).awaitTermination()
+    return spark.table(table).select("email", "phone_number", "number", "since", "balance")
 
 
 @register("json_stream", FEED_ROWS_SQL)
@@ -1441,7 +1510,7 @@ def q_json_stream(spark, sf_dir):
 def q_table_stream(spark, sf_dir):
     """A table that grows twice, read as a stream after each growth."""
     root, table = fresh(spark, "table_stream")
-    c = read_csv(spark, contact_drop(spark, sf_dir, root), FEED_SCHEMA)
+    c = aligned(read_lines(spark, contact_drop(spark, sf_dir, root)), FEED_SCHEMA).select(*FEED_SCHEMA.names)
     urban = F.col("occupation") == "BUILDING"
     for part in (c.filter(urban), c.filter(~urban)):
         part.write.mode("append").format("parquet").saveAsTable(table)
@@ -1454,12 +1523,16 @@ def q_table_stream(spark, sf_dir):
     "SELECT c_custkey, c_name, CASE WHEN c_nationkey >= 12 THEN c_acctbal END AS c_acctbal FROM customer",
 )
 def q_additive_schema(spark, sf_dir):
-    """A sink that gains a column: the second append has one more."""
-    root, _ = fresh(spark, "additive")
-    c = T(spark, sf_dir, "customer")
-    c.filter(F.col("c_nationkey") < 12).select("c_custkey", "c_name").write.mode("append").parquet(root)
-    c.filter(F.col("c_nationkey") >= 12).select("c_custkey", "c_name", "c_acctbal").write.mode("append").parquet(root)
-    return read_additive(spark, root).select("c_custkey", "c_name", "c_acctbal")
+    """A stream into a catalog table that gains a column: the second arrival
+    has one more."""
+    root, table = fresh(spark, "additive")
+    c, k = T(spark, sf_dir, "customer"), F.col("c_nationkey")
+    for part, columns in ((k < 12, ["c_custkey", "c_name"]), (k >= 12, ["c_custkey", "c_name", "c_acctbal"])):
+        arrival = c.filter(part).select(*columns)
+        arrival.write.mode("append").parquet(os.path.join(root, "drop"))
+        stream = stream_parquet(spark, os.path.join(root, "drop"), arrival.schema)
+        stream_into_growing(stream, table, os.path.join(root, "checkpoint"))
+    return spark.table(table).select("c_custkey", "c_name", "c_acctbal")
 
 
 @register(
@@ -1491,14 +1564,24 @@ def q_insert_overwrite(spark, sf_dir):
 # ------------------------------------------------- historic contacts --
 HISTORIC_SQL = f"""
 h AS (SELECT c_name AS name, CASE WHEN c_nationkey <> 3 THEN 'user' || CAST(c_custkey AS VARCHAR) END AS email,
-             c_mktsegment AS occupation, CASE WHEN c_nationkey < 12 THEN 1 ELSE 2 END AS load, c_custkey FROM customer),
-live AS (SELECT DISTINCT 'user' || CAST(o_custkey AS VARCHAR) AS email FROM orders WHERE o_orderpriority = '1-URGENT')"""
+             c_mktsegment AS occupation, CASE WHEN c_nationkey < 12 THEN 1 ELSE 2 END AS load, c_custkey,
+             CASE WHEN c_nationkey IN (5, 15) THEN NULL WHEN c_nationkey IN (7, 13) THEN 'N7' WHEN c_nationkey = 14 THEN 'N14'
+                  ELSE 'H' || CAST(c_custkey AS VARCHAR) END AS rid FROM customer),
+live AS (SELECT DISTINCT 'user' || CAST(o_custkey AS VARCHAR) AS email FROM orders WHERE o_orderpriority = '1-URGENT'),
+keyed AS (SELECT h.*, l.email IS NOT NULL AND load = 2 AS known FROM h LEFT JOIN live l ON h.email = l.email WHERE h.email IS NOT NULL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY load, known, rid ORDER BY email) AS k FROM keyed),
+checked AS (
+  SELECT *, CASE WHEN rid IS NULL OR known THEN NULL
+                 WHEN load = 2 AND rid IN (SELECT rid FROM keyed WHERE load = 1 AND rid IS NOT NULL) THEN 'taken random_id'
+                 WHEN k > 1 THEN 'repeated random_id' END AS reason FROM ranked)"""
 
 
 def historic_job(spark, sf_dir) -> JobConfig:
     """Historic load, drops, historic load: ``customer`` is the history (in
-    two files by nation; nation 3 has no email, and AUTOMOBILE rows are
-    there twice), the customers of urgent orders are the drops."""
+    two files by nation; nation 3 has no email, nations 5 and 15 have no id,
+    7 and 13 share one, so do the rows of 14, and AUTOMOBILE rows are there
+    twice), the customers of urgent orders are the drops.  The second load
+    is run twice."""
     root, run = fresh(spark, "historic")
     names = JobConfig(landing="", state="", export="").tables
     cfg = JobConfig(
@@ -1516,7 +1599,10 @@ def historic_job(spark, sf_dir) -> JobConfig:
         F.lit(None).cast("date").alias("DOB"),
         F.col("c_mktsegment").alias("occupation"),
         F.lit(None).cast("string").alias("phone_number"),
-        F.concat(F.lit("H"), F.col("c_custkey").cast("string")).alias("random_id"),
+        F.when(F.col("c_nationkey").isin(7, 13), "N7")
+        .when(F.col("c_nationkey") == 14, "N14")
+        .when(~F.col("c_nationkey").isin(5, 15), F.concat(F.lit("H"), F.col("c_custkey").cast("string")))
+        .alias("random_id"),
         F.lit("#h").alias("list_keys"),
         (F.col("c_nationkey") < 12).alias("first"),
     )
@@ -1542,7 +1628,8 @@ def historic_job(spark, sf_dir) -> JobConfig:
         if t.name.startswith("sf_state_"):
             spark.sql(f"DROP TABLE IF EXISTS {t.name}")
     cfg = replace(cfg, state_buckets=5)
-    segment_job.initial_load(spark, os.path.join(root, "h2"), cfg)
+    for _ in range(2):
+        segment_job.initial_load(spark, os.path.join(root, "h2"), cfg)
     return cfg
 
 
@@ -1551,10 +1638,10 @@ def historic_job(spark, sf_dir) -> JobConfig:
     f"""WITH {HISTORIC_SQL}
 SELECT coalesce(h.email, l.email) AS email, h.name AS "Name",
        CASE WHEN l.email IS NOT NULL THEN 'live' ELSE h.occupation END AS occupation,
-       CASE WHEN h.email IS NULL OR (h.load = 2 AND l.email IS NOT NULL) THEN {hash_id_sql("l.email")}
-            ELSE 'H' || CAST(h.c_custkey AS VARCHAR) END AS random_id,
+       CASE WHEN h.email IS NULL OR h.known OR h.rid IS NULL THEN {hash_id_sql("coalesce(h.email, l.email)")}
+            ELSE h.rid END AS random_id,
        CASE WHEN h.email IS NOT NULL THEN '#h' END AS list_keys
-FROM (SELECT * FROM h WHERE email IS NOT NULL) h FULL JOIN live l ON h.email = l.email""",
+FROM (SELECT * FROM checked WHERE reason IS NULL) h FULL JOIN live l ON h.email = l.email""",
 )
 def q_initial_load(spark, sf_dir):
     """Contacts after load, run, reopen with other buckets, load: drops
@@ -1571,7 +1658,9 @@ SELECT 'h' || CAST(load AS VARCHAR) AS source, 'missing email' AS reason, count(
 FROM twice WHERE email IS NULL GROUP BY load
 UNION ALL
 SELECT 'h' || CAST(load AS VARCHAR), 'duplicate email', count(*) FROM h
-WHERE email IS NOT NULL AND occupation = 'AUTOMOBILE' GROUP BY load""",
+WHERE email IS NOT NULL AND occupation = 'AUTOMOBILE' GROUP BY load
+UNION ALL
+SELECT 'h' || CAST(load AS VARCHAR), reason, count(*) FROM checked WHERE reason IS NOT NULL GROUP BY load, reason""",
 )
 def q_quarantine(spark, sf_dir):
     """Rejected historic rows per file and reason."""

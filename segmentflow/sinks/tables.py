@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import StructType
 
 
 def stream_writer(df: DataFrame, checkpoint: str, available_now: bool = True) -> DataStreamWriter:
@@ -49,11 +51,58 @@ def overwrite_table(df: DataFrame, name: str, cut_lineage: bool = False) -> None
 
 def insert_by_name(df: DataFrame, table: str, overwrite: bool = True) -> None:
     """``INSERT [OVERWRITE] t SELECT ...`` with columns matched by name, not
-    by position (``insert_overwrite``)."""
-    cols = df.sparkSession.table(table).columns
+    by position (``insert_overwrite``); columns that ``df`` lacks are NULL."""
+    fields = df.sparkSession.table(table).schema.fields
+    have = {c.lower() for c in df.columns}
+    cols = [F.col(f"`{f.name}`") if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
     df.select(*cols).write.insertInto(table, overwrite=overwrite)
 
 
+def add_missing_columns(spark: SparkSession, table: str, schema: StructType) -> list[str]:
+    """Columns of ``schema`` that a catalog table lacks are added to it;
+    rows it has show NULL there (``additive_schema``).  A column it has with
+    another type is an error.  Returns the added names."""
+    have = {f.name.lower(): f.dataType for f in spark.table(table).schema}
+    for f in schema:
+        if have.get(f.name.lower(), f.dataType) != f.dataType:
+            raise ValueError(f"{table}.{f.name} is {have[f.name.lower()].simpleString()}, not {f.dataType.simpleString()}")
+    new = [f for f in schema if f.name.lower() not in have]
+    if new:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+    return [f.name for f in new]
+
+
+def append_growing(batch: DataFrame, batch_id: int, table: str, stream: str = "") -> None:
+    """One micro-batch into a catalog table that gains the batch's new
+    columns first.  The rows go to the partition of the stream and batch,
+    which a repeated batch replaces."""
+    spark = batch.sparkSession
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in batch.schema)
+    create_if_missing(spark, table, f"{columns}, stream STRING, batch BIGINT", ["stream", "batch"])
+    add_missing_columns(spark, table, batch.schema)
+    replace_partitions(batch.withColumn("stream", F.lit(stream)).withColumn("batch", F.lit(batch_id).cast("bigint")), table)
+
+
+def replace_partitions(df: DataFrame, table: str) -> None:
+    """Replace the partitions of ``table`` that ``df`` has rows of, and no
+    others (Spark's dynamic partition overwrite), columns by name."""
+    spark = df.sparkSession
+    key = "spark.sql.sources.partitionOverwriteMode"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        insert_by_name(df, table)
+    finally:
+        spark.conf.set(key, old)
+
+
+def stream_into_growing(df: DataFrame, table: str, checkpoint: str, stream: str = "") -> None:
+    """Append a stream to a catalog table, batch by batch, adding columns
+    the table lacks; process what is there and wait for the end."""
+    stream_writer(df, checkpoint).foreachBatch(lambda batch, i: append_growing(batch, i, table, stream)).start().awaitTermination()
+
+
 def create_if_missing(spark: SparkSession, name: str, ddl: str, partitioned_by: list[str] | None = None) -> None:
     """``CREATE TABLE IF NOT EXISTS name (ddl) USING PARQUET``."""
     part = f" PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""

@@ -2,15 +2,18 @@ from segmentflow.sources.files import (  # noqa: F401
     CONTACT_COLUMNS,
     FEED_SCHEMA,
     add_feed,
+    aligned,
+    grown_schema,
     load_fixture,
     read_csv,
     read_parquet_table,
     read_table,
+    read_lines,
     remove_feed,
-    infer_schema_once,
     stream_csv,
     stream_csv_inferred,
     stream_json,
+    stream_lines,
     stream_parquet,
     stream_table,
     with_file_metadata,

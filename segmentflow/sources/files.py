@@ -6,13 +6,14 @@ import json
 import os
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, StructField, StructType
+from pyspark.sql.types import DataType, DateType, StringType, StructField, StructType
+
+from segmentflow.config import ensure_checkpoint_dir
 
 # The columns of an add/remove feed file, in file order.
-# CSV columns bind by position, so remove files (same layout) are read
-# with all five and then cut to ``email``.
+# Remove files have the same layout; only ``email`` is used.
 FEED_SCHEMA = StructType(
     [
         StructField("Name", StringType(), True),
@@ -25,6 +26,9 @@ FEED_SCHEMA = StructType(
 CONTACT_COLUMNS = ["Name", "DOB", "occupation", "phone_number"]
 FEED_DATE_FORMAT = "yyyy-MM-dd"
 
+MOST_COLUMNS = 64  # of a file; lines with more can't be read by name
+LINE_END = "\ue000"  # a private-use character
+
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """Full scan of a named table (``table_scan``)."""
@@ -38,10 +42,12 @@ def read_parquet_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """CSV with a header.  With ``schema`` columns are typed by it (a bad
-    date becomes NULL); without, types are inferred (one extra pass)."""
+    date becomes NULL), and a file whose header differs from it is an error
+    (``aligned`` reads any order); without, types are inferred (one extra
+    pass)."""
     reader = spark.read.option("header", True).option("dateFormat", FEED_DATE_FORMAT)
     if schema is not None:
-        return reader.schema(schema).csv(path)
+        return reader.option("enforceSchema", False).schema(schema).csv(path)
     return reader.option("inferSchema", True).csv(path)
 
 
@@ -75,10 +81,12 @@ def stream_csv(
     """File stream of CSV drops with a declared schema and at most
     ``max_files`` new files per micro-batch (``csv_stream_declared``,
     ``rate_limit``).  ``path`` may hold wildcards such as
-    ``<landing>/*/add``."""
+    ``<landing>/*/add``.  Columns bind by position, so a file whose header
+    differs from the schema is an error; ``stream_lines`` reads any."""
     reader = (
         spark.readStream.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("dateFormat", FEED_DATE_FORMAT)
         .option("maxFilesPerTrigger", max_files)
     )
@@ -87,43 +95,163 @@ def stream_csv(
     return reader.csv(path)
 
 
+def with_lineage(lines: DataFrame) -> DataFrame:
+    """Raw lines of a text read as ``raw`` with the lineage columns and the
+    place in the file where their split begins."""
+    named = lines.withColumnRenamed("value", "raw").withColumn("block_start", F.col("_metadata.file_block_start"))
+    return with_file_metadata(named)
+
+
+def stream_lines(spark: SparkSession, path: str, max_files: int = 1000, glob: str | None = "*.csv") -> DataFrame:
+    """File stream of raw lines with lineage.  A file is read whole within
+    one micro-batch, so each batch holds the headers of its rows."""
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return with_lineage(reader.text(path))
+
+
+def read_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """Raw lines of a batch read with lineage."""
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    return with_lineage(reader.text(path))
+
+
+def with_cells(lines: DataFrame, most_columns: int = MOST_COLUMNS) -> DataFrame:
+    """Lines that aren't blank with their values: ``_cells``, and ``_n``,
+    how many there are (-1 where an open quote hides the line's end)."""
+    slots = ", ".join(f"c{i} STRING" for i in range(most_columns + 1))
+    parsed = F.from_csv(F.concat("raw", F.lit("," + LINE_END)), slots)
+    cells = F.array(*[F.col(f"_p.c{i}") for i in range(most_columns + 1)])
+    out = lines.filter(F.trim("raw") != "").withColumn("_p", parsed).withColumn("_cells", cells)
+    # The mark stands behind the last value unless an open quote took it in.
+    out = out.withColumn("_n", F.array_position("_cells", F.lit(LINE_END)).cast("int") - 1).drop("_p")
+    return out.withColumn("_cells", F.when(F.col("_n") >= 0, F.slice("_cells", F.lit(1), F.greatest("_n", F.lit(0)))))
+
+
+def file_headers(cells: DataFrame) -> DataFrame:
+    """Per file its first line, ``_head``, and the ``_names`` in it: one
+    aggregation, combined before the shuffle, so no file is one task's
+    work."""
+    at = F.struct("block_start", F.monotonically_increasing_id().alias("row"))
+    label = F.transform("_cells", lambda c: F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), "^\ufeff", "")))
+    first = cells.select("source_file", at.alias("_at"), F.struct(F.col("raw").alias("_head"), label.alias("_names")).alias("_line"))
+    return first.groupBy("source_file").agg(F.min_by("_line", "_at").alias("_line")).select("source_file", "_line.*")
+
+
+def aligned(lines: DataFrame, schema: StructType, required: list[str] | None = None) -> DataFrame:
+    """CSV lines (``raw`` with lineage) as the declared columns, bound by
+    the names in each file's first line and never by position.
+
+    Adds ``raw``, ``reason`` and ``rejected``.  A line is rejected, its
+    declared columns NULL, if its file's first line doesn't name all columns
+    that are ``required`` (all, if not given), or if its values can't be
+    told apart (open quote, more or fewer values than names).  A value that
+    isn't of the declared type is NULL, as in a plain read, and gives a
+    reason, but its row is kept.  Columns that aren't declared are left out;
+    blank lines and copies of the first line give no row.
+
+    The headers, one row per file, are joined to the lines by
+    ``join_listed``, so a file may hold most of the lines."""
+    from segmentflow.operators.marts import join_listed
+
+    ensure_checkpoint_dir(lines.sparkSession)
+    names = [f.name for f in schema]
+    required = names if required is None else required
+    cells = with_cells(lines)
+    fits = F.col("_names").isNotNull()
+    if required:
+        fits &= F.size(F.array_intersect("_names", F.array(*map(F.lit, required)))) == len(set(required))
+    files = file_headers(cells).withColumn("_names", F.when(fits, F.col("_names"))).checkpoint()
+    rows = join_listed(cells.drop("block_start"), files, "source_file").filter("raw <> _head")
+    broken = (
+        F.when(F.col("_names").isNull(), "no header with the declared columns")
+        .when(F.col("_n") < 0, "unreadable line")
+        .when(F.col("_n") > F.size("_names"), "too many values")
+        .when(F.col("_n") < F.size("_names"), "too few values")
+    )
+    rows = rows.withColumn("_broken", broken)
+    text = {n: F.when(F.col("_broken").isNull() & F.array_contains("_names", n), F.try_element_at("_cells", F.array_position("_names", n).cast("int"))) for n in names}
+    typed = {f.name: typed_text(text[f.name], f.dataType) for f in schema}
+    bad = [F.when(text[n].isNotNull() & typed[n].isNull(), F.lit(f"bad {n}")) for n in names]
+    reason = F.coalesce("_broken", F.concat_ws(", ", *bad))
+    lineage = [c for c in lines.columns if c not in ("raw", "block_start")]
+    return rows.select(
+        *[typed[n].alias(n) for n in names], *lineage, "raw",
+        F.when(reason != "", reason).alias("reason"), F.col("_broken").isNotNull().alias("rejected"),
+    )
+
+
+def typed_text(value: Column, kind: DataType) -> Column:
+    """Text as a value of ``kind``; NULL where it isn't one."""
+    if isinstance(kind, StringType):
+        return value
+    if isinstance(kind, DateType):
+        return F.try_to_timestamp(value, F.lit(FEED_DATE_FORMAT)).cast("date")
+    return value.try_cast(kind)
+
+
 def path_not_found(e: Exception) -> bool:
     """True when Spark says that the path does not exist."""
     return isinstance(e, AnalysisException) and e.getCondition() == "PATH_NOT_FOUND"
 
 
-def infer_schema_once(spark: SparkSession, path: str, schema_location: str) -> StructType:
-    """CSV schema inferred from the files present on the first run and kept
-    at ``schema_location`` (a shared folder, like a stream's schema
-    location); later runs reuse it, so a new file cannot change the types.
-    All rows are read to infer them.  A location that exists but can't be
-    read is an error, not a reason to infer again."""
+SCHEMA_LOG = "version BIGINT, schema STRING, until TIMESTAMP"
+# Types tried for a new column, the narrowest first; else it is text.
+INFERRED = ["int", "bigint", "double", "date", "timestamp", "boolean"]
+
+
+def stored_schema(spark: SparkSession, schema_location: str) -> tuple[int, StructType, object]:
+    """Newest version, its schema, and the time up to which files were
+    looked at; a location that exists but can't be read is an error."""
     try:
-        text = spark.read.text(schema_location).first()
-        if text is not None:
-            return StructType.fromJson(json.loads(text[0]))
+        log = spark.read.schema(SCHEMA_LOG).json(schema_location)
+        last = log.agg(F.max_by(F.struct("version", "schema", "until"), "version").alias("r")).first().r
     except AnalysisException as e:
         if not path_not_found(e):
             raise
-    schema = (
-        spark.read.option("header", True)
-        .option("inferSchema", True)
-        .option("pathGlobFilter", "*.csv")
-        .csv(path)
-        .schema
-    )
-    spark.createDataFrame([(schema.json(),)], "value STRING").coalesce(1).write.mode("overwrite").text(
-        schema_location
-    )
+        last = None
+    if last is None:
+        return 0, StructType([]), None
+    return last.version, StructType.fromJson(json.loads(last.schema)), last.until
+
+
+def grown_schema(spark: SparkSession, path: str, schema_location: str, glob: str | None = "*.csv") -> StructType:
+    """The schema of a CSV feed without a declared one, kept in versions at
+    ``schema_location`` (a shared folder).
+
+    Each run looks at the files that are new since the version before: a
+    column that one of them names first is added, with the narrowest type
+    that all its values have.  Columns that are known keep their type and
+    place, so a new file can add columns but never change any."""
+    version, schema, until = stored_schema(spark, schema_location)
+    lines = read_lines(spark, path, glob)
+    if until is not None:
+        lines = lines.filter(F.col("_metadata.file_modification_time") >= F.lit(until))
+    headers = file_headers(with_cells(lines)).select(F.posexplode("_names").alias("at", "name")).groupBy("name").agg(F.min("at").alias("at"))
+    latest = lines.agg(F.max("file_modification_time")).first()[0]
+    names = [r.name for r in sorted(headers.collect(), key=lambda r: (r["at"], r["name"])) if r.name]  # MOST_COLUMNS a file
+    new = [n for n in names if n not in schema.names]
+    if new:
+        texts = StructType([StructField(n, StringType()) for n in new])
+        rows = aligned(lines.filter("raw is not null"), texts, required=[])
+        fits = lambda n, t: F.bool_and(F.col(f"`{n}`").isNull() | typed_text(F.col(f"`{n}`"), t).isNotNull())
+        kinds = [(t, StructType.fromDDL(f"x {t}")["x"].dataType) for t in INFERRED]
+        found = rows.agg(*[F.struct(F.count(F.col(f"`{n}`")).alias("n"), *[fits(n, k).alias(t) for t, k in kinds]).alias(n) for n in new]).first()
+        for n in new:
+            kind = next((k for t, k in kinds if found[n].n and found[n][t]), StringType())
+            schema = StructType([*schema.fields, StructField(n, kind)])
+    if latest is not None:
+        row = (version + 1, schema.json(), latest)
+        spark.createDataFrame([row], SCHEMA_LOG).coalesce(1).write.mode("append").json(schema_location)
     return schema
 
 
-def stream_csv_inferred(
-    spark: SparkSession, path: str, schema_location: str, max_files: int = 1000
-) -> DataFrame:
-    """CSV file stream with a schema inferred once and persisted
-    (``csv_stream_inferred``)."""
-    return stream_csv(spark, path, infer_schema_once(spark, path, schema_location), max_files)
+def stream_csv_inferred(spark: SparkSession, path: str, schema_location: str, max_files: int = 1000) -> DataFrame:
+    """Plain CSV file stream with the stored schema (``grown_schema``), for
+    feeds whose files all have the same columns; ``feeds.land_inferred``
+    reads any."""
+    return stream_csv(spark, path, grown_schema(spark, path, schema_location), max_files)
 
 
 def stream_json(spark: SparkSession, path: str, schema: StructType | str, max_files: int | None = None) -> DataFrame:
@@ -152,14 +280,10 @@ def stream_parquet(spark: SparkSession, path: str, schema: StructType | str, max
 
 
 def add_feed(spark: SparkSession, landing: str, max_files: int = 1000) -> DataFrame:
-    """Add stream of all segments: ``<landing>/*/add/*.csv`` with lineage."""
-    return with_file_metadata(stream_csv(spark, os.path.join(landing, "*", "add"), FEED_SCHEMA, max_files))
+    """Add stream of all segments: lines of ``<landing>/*/add/*.csv``."""
+    return stream_lines(spark, os.path.join(landing, "*", "add"), max_files)
 
 
 def remove_feed(spark: SparkSession, landing: str, max_files: int = 1000) -> DataFrame:
-    """Remove stream: full feed layout read, then only ``email`` kept,
-    plus lineage (metadata stays available after the projection)."""
-    df = stream_csv(spark, os.path.join(landing, "*", "remove"), FEED_SCHEMA, max_files)
-    return with_file_metadata(df).select(
-        "email", "source_file", "ingestion_timestamp", "file_modification_time"
-    )
+    """Remove stream of all segments: lines of ``<landing>/*/remove/*.csv``."""
+    return stream_lines(spark, os.path.join(landing, "*", "remove"), max_files)

@@ -143,6 +143,11 @@ def read_state(spark: SparkSession, state_dir: str, initial: Callable[[SparkSess
     return initial(spark) if head is None else read_snapshot(spark, head)
 
 
+def applied(spark: SparkSession, state_dir: str, stream_name: str, batch_id: int) -> bool:
+    """Whether the log holds this batch."""
+    return _head(spark, state_dir, stream_name, batch_id)[1]
+
+
 def _remove_old(spark: SparkSession, state_dir: str, newest: int) -> None:
     """Drop the tables and folders of snapshots that no reader starts from
     any more.  Folders of crashed attempts lie below the same ``seq=<n>``."""
