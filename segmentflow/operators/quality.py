@@ -76,3 +76,28 @@ def check_report(df: DataFrame, table: str, not_null_cols: list[str] = (), key:
     for p in parts:
         out = out.unionByName(p)
     return out
+
+
+def frame_difference(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows that don't occur equally often in both frames, with
+    ``left_rows`` and ``right_rows`` (``frame_equal``).
+
+    The order of rows and columns doesn't matter, NULLs equal each other,
+    and repeats count.  Both frames go through one aggregation of signed
+    counts that combines map-side, so a row that is repeated often is no hot
+    key.  Frames whose columns differ in name or type can't be compared and
+    raise ``ValueError``."""
+    kinds = [{f.name: f.dataType for f in df.schema} for df in (left, right)]
+    if kinds[0] != kinds[1] or len(left.columns) != len(right.columns):
+        odd = sorted({n for n in {*kinds[0], *kinds[1]} if kinds[0].get(n) != kinds[1].get(n)})
+        raise ValueError(f"columns differ: {', '.join(odd) or 'repeated names'}")
+    columns = [F.col(f"`{c}`") for c in sorted(left.columns)]
+    side = lambda df, l, r: df.select(*columns, F.lit(l).alias("left_rows"), F.lit(r).alias("right_rows"))
+    both = side(left, 1, 0).union(side(right, 0, 1))
+    counts = both.groupBy(*columns).agg(F.sum("left_rows").alias("left_rows"), F.sum("right_rows").alias("right_rows"))
+    return counts.filter("left_rows <> right_rows")
+
+
+def frames_equal(left: DataFrame, right: DataFrame) -> bool:
+    """Whether two frames hold the same rows equally often."""
+    return frame_difference(left, right).isEmpty()

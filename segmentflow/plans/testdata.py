@@ -1110,6 +1110,25 @@ def q_table_checks(spark, sf_dir):
 
 
 # ------------------------------------------------------------ set ops --
+@register(
+    "frame_equal",
+    """WITH l AS (SELECT o_orderkey, o_custkey, o_orderstatus FROM orders
+           UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderpriority = '1-URGENT'),
+r AS (SELECT o_orderkey, CASE WHEN o_orderpriority = '2-HIGH' THEN NULL ELSE o_custkey END AS o_custkey, o_orderstatus FROM orders),
+b AS (SELECT *, 1 AS x, 0 AS y FROM l UNION ALL SELECT *, 0, 1 FROM r)
+SELECT o_orderkey, o_custkey, o_orderstatus, sum(x) AS left_rows, sum(y) AS right_rows
+FROM b GROUP BY ALL HAVING sum(x) <> sum(y)""",
+)
+def q_frame_equal(spark, sf_dir):
+    """Two versions of ``orders``, columns in another order: urgent orders
+    are there twice, orders of high priority have lost their customer."""
+    o = T(spark, sf_dir, "orders")
+    priority = F.col("o_orderpriority")
+    left = o.unionByName(o.filter(priority == "1-URGENT")).select("o_orderkey", "o_custkey", "o_orderstatus")
+    custkey = F.when(priority == "2-HIGH", F.lit(None)).otherwise(F.col("o_custkey")).alias("o_custkey")
+    return quality.frame_difference(left, o.select("o_orderstatus", custkey, "o_orderkey"))
+
+
 @register(
     "unseen_keys",
     """SELECT * FROM customer c WHERE NOT EXISTS
@@ -1252,6 +1271,40 @@ def q_json_field_diff(spark, sf_dir):
     )
 
 
+@register(
+    "nested_definition_diff",
+    """SELECT c_name AS name, CASE WHEN c_nationkey IN (7, 20) THEN 'NO CHANGE' ELSE 'UPDATE' END AS action,
+       CASE WHEN c_nationkey < 5 THEN 'limits.cpu.max' WHEN c_nationkey < 7 THEN 'limits.cpu.max,limits.tags,owner'
+            WHEN c_nationkey IN (7, 20) THEN NULL WHEN c_nationkey < 12 THEN 'limits'
+            ELSE 'limits.cpu.max,limits.cpu.more,limits.cpu.note' END AS changed_fields FROM customer""",
+)
+def q_nested_definition_diff(spark, sf_dir):
+    """Definitions of three levels: changes are named by their path.  Nation
+    7 has a list in another order, below nation 12 the rest lose the whole
+    object, from 12 on keys are only on one side; nation 20 is unchanged."""
+    c, k = T(spark, sf_dir, "customer"), F.col("c_nationkey")
+
+    def doc(limits, owner="c_name"):
+        return F.to_json(F.struct(limits.alias("limits"), F.col(owner).alias("owner")))
+
+    def limits(top, tags, *cpu):
+        return F.struct(F.struct(top.alias("max"), F.lit(1).alias("min"), *cpu).alias("cpu"), F.array(*tags).alias("tags"))
+
+    tags = [F.lit("a"), F.struct(k.alias("n")).cast("string"), F.col("c_name")]
+    source = c.select(F.col("c_name").alias("name"), doc(limits(k, tags, F.lit("x").alias("note"))).alias("definition"))
+    note = F.lit("x").alias("note")
+    target = (
+        F.when(k < 5, doc(limits(k + 1, tags, note)))
+        .when(k < 7, doc(limits(k.cast("string"), tags[:2], note), "c_mktsegment"))
+        .when(k == 7, doc(limits(k, tags[::-1], note)))
+        .when(k < 12, doc(F.lit("none")))
+        .when(k == 20, doc(limits(k, tags, note)))
+        .otherwise(doc(limits(-k - 1, tags, F.lit(2).alias("more"))))
+    )
+    d = dff.definition_diff(source, c.select(F.col("c_name").alias("name"), target.alias("definition")))
+    return d.select("name", "action", F.array_join("changed_fields", ",").alias("changed_fields"))
+
+
 @register(
     "sorted_unique_list",
     f"""WITH {DEFS_SQL}
