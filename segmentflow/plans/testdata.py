@@ -24,6 +24,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from segmentflow.config import JobConfig, apply_session_defaults, work_dir
 from segmentflow.functions.columns import (
@@ -61,7 +62,7 @@ from segmentflow.sources.files import (
 )
 from segmentflow.sources.tables import inline_values
 from segmentflow.streaming.feeds import land_feed, land_inferred
-from segmentflow.streaming.fold import Bucketing, fold_stream, read_state
+from segmentflow.streaming.touched import PartitionedState, merge_stream
 from segmentflow.streaming.views import daily_counts_stream, maintain_view, read_view
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -527,16 +528,17 @@ def q_upsert_replay(spark, sf_dir):
 
 
 REPLAY_STATE = "user_id BIGINT, event_type STRING, value DOUBLE, props STRING, random_id STRING"
-REPLAY_BUCKETS = Bucketing(("user_id",), 8)
+REPLAY_BUCKETS = 8
 
 
 @register("foreach_batch_merge", REPLAY_SQL)
 def q_foreach_batch_merge(spark, sf_dir):
-    """The same result through the streaming fold: the batches land as
-    files one run after another, each run is an ``availableNow`` stream
-    whose micro-batches are folded into snapshot state."""
+    """The same result through a streaming merge: the batches land as files
+    one run after another, each run is an ``availableNow`` stream whose
+    micro-batches rewrite the partitions of the state that they touch."""
     root = work_dir(spark, "fold", uuid.uuid4().hex)
-    landing, state, ckpt = (os.path.join(root, p) for p in ("landing", "state", "checkpoint"))
+    landing, ckpt = os.path.join(root, "landing"), os.path.join(root, "checkpoint")
+    state = PartitionedState(spark, os.path.join(root, "state"), StructType.fromDDL(REPLAY_STATE), ["user_id"], REPLAY_BUCKETS)
     batches = replay_batches(spark, sf_dir)
     schema = batches.schema
 
@@ -545,16 +547,13 @@ def q_foreach_batch_merge(spark, sf_dir):
             prev, batch, "user_id", REPLAY_COLS, order_col="ts", tie_cols=["event_id"]
         )
 
-    def initial(s: SparkSession) -> DataFrame:
-        return s.createDataFrame([], REPLAY_STATE)
-
     # One logical stream with one checkpoint; each run picks up only the
     # files that landed since the run before.
     for b in range(3):
         batches.filter(F.col("batch") == b).write.mode("overwrite").parquet(os.path.join(landing, f"b{b}"))
         stream = spark.readStream.schema(schema).parquet(os.path.join(landing, "*"))
-        fold_stream(stream, fold, state, "replay", ckpt, initial, REPLAY_BUCKETS)
-    return read_state(spark, state, initial)
+        merge_stream(stream, state, fold, "replay", ckpt)
+    return state.read()
 
 
 # --------------------------------------------------------------- SCD2 --
