@@ -42,8 +42,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def held_out(id_col: str = "doc_id") -> Column:
-    """True for the held-out fold: crc32 of the id as text, mod 5, is 0."""
-    return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(HELD_OUT_FOLDS)) == 0
+    """True for the held-out fold: crc32 of the id as text, mod 5, is 0.  A
+    null id counts as an empty text, so it is held out."""
+    text = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    return F.pmod(F.crc32(text.cast("binary")), F.lit(HELD_OUT_FOLDS)) == 0
+
+
+def small(df: DataFrame, limit: int = 8 << 20) -> DataFrame:
+    """``df`` marked for a broadcast if its measured bytes are at most
+    ``limit``, else as it is."""
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns))) + 32)).first()[0] or 0
+    return F.broadcast(df) if size <= limit else df
 
 
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from segmentflow.llm.common import append_columns
+from segmentflow.llm.common import append_columns, small, staged
 from segmentflow.llm.ngrams import hashed_ngrams
 
 SIZES = (2, 3, 4)
@@ -45,6 +45,7 @@ UNDETERMINED = "und"
 REJECT_LEAST = 1.1
 PASSAGES = (1, 2, 10, 25)  # and the five words that are trained on
 GROUP = 100  # calibration texts of like length
+SAMPLE_BYTES = 16 << 20  # of text, in a group's training sample
 
 
 @dataclass
@@ -55,18 +56,33 @@ class Model:
     limits: np.ndarray  # log odds of the least score kept at each length
 
 
-def bounded_sample(df: DataFrame, key: str, group: str, per_group: int) -> DataFrame:
-    """The ``per_group`` rows of each group with the smallest hash of their
-    key.  Rows whose hash is surely too large for that, by the group's size,
-    are left out before the ranking, so it sees a few times ``per_group``
-    rows of a group of any size."""
-    keys = df.select(F.col(key).alias("__k"), F.col(group).alias("__g")).withColumn("__h", F.xxhash64("__k"))
-    sizes = keys.groupBy("__g").agg(F.count(F.lit(1)).alias("__n"))
+def bounded_sample(df: DataFrame, key: str, group: str, per_group: int, text: str = "text", most_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """Rows of up to ``per_group`` different keys of each group, those whose
+    keys have the smallest hashes, and of those as many as fit in
+    ``most_bytes`` of text a group; texts longer than a 32nd of that are
+    left out, so that no few of them take the place of the others.  A key's repeated rows count once, and rows without a key are told
+    apart by their text.
+
+    Keys whose hash is surely too large, by the number of different keys in
+    the group, are left out before the ranking, so it sees a few times
+    ``per_group`` rows of a group of any size.  The groups' sizes and the
+    chosen keys are broadcast if they are measured to be small."""
+    rows = df.select(F.col(key).alias("__k"), F.col(group).alias("__g"), F.col(text).alias("__t"))
+    rows = rows.withColumn("__h", F.when(F.col("__k").isNull(), F.xxhash64("__t")).otherwise(F.xxhash64("__k")))
+    # One row for each key and group (the smallest text), combined map-side.
+    once = rows.groupBy("__g", "__h").agg(F.min(F.struct(F.octet_length("__t").alias("size"), F.xxhash64("__t").alias("th"))).alias("t"))
+    once = staged(once.select("__g", "__h", "t.size", "t.th"), "sample-keys")
+    sizes = once.groupBy("__g").agg(F.count(F.lit(1)).alias("__n"))
     share = F.col("__h") / 2.0**64 + 0.5
-    few = keys.join(F.broadcast(sizes), "__g").where(share * F.col("__n") <= 2 * per_group + 100)
-    order = W.partitionBy("__g").orderBy("__h", "__k")
-    chosen = few.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= per_group).select("__k").distinct()
-    return df.join(F.broadcast(chosen), F.col(key) == F.col("__k"), "left_semi")
+    few = once.join(small(sizes.withColumnRenamed("__g", "__group")), F.col("__g") == F.col("__group"))
+    few = few.where((share * F.col("__n") <= 2 * per_group + 100) & (F.col("size") <= most_bytes // 32))
+    order = W.partitionBy("__g").orderBy("__h")
+    few = few.withColumn("__r", F.row_number().over(order)).withColumn("__b", F.sum("size").over(order))
+    chosen = few.where((F.col("__r") <= per_group) & (F.col("__b") <= most_bytes)).select("__g", "__h", "th")
+    chosen = small(staged(chosen, "sample"))
+    hashed = F.when(F.col(key).isNull(), F.xxhash64(F.col(text))).otherwise(F.xxhash64(F.col(key)))
+    matched = (hashed == F.col("__h")) & (F.col(group) == F.col("__g")) & (F.xxhash64(F.col(text)) == F.col("th"))
+    return df.join(chosen, matched, "left_semi").dropDuplicates([key, group, text])
 
 
 def _counts(words: list[str], bits: int) -> tuple[bytes, bytes]:
@@ -188,7 +204,7 @@ def train(
     """Fit on the rows where ``training`` holds; null texts and labels are
     left out.  No such row gives a model of no language."""
     rows = df.where(training & F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-    rows = bounded_sample(rows.select(key, text_col, label_col), key, label_col, per_language)
+    rows = bounded_sample(rows.select(key, text_col, label_col), key, label_col, per_language, text_col)
     table = training_counts(rows, text_col, label_col).toArrow()
     return fit([tuple(r.values()) for r in table.to_pylist()])
 

@@ -4,15 +4,16 @@ equal-length sequences as fixed-size lists.
 Each file is a sequence of record batches of ``BATCH`` rows.  A row has
 
 * ``tokens``: fixed_size_list<uint16 or uint32>[length], the ids;
-* ``mask``: fixed_size_list<bool>[length], true for ids, false for padding;
+* ``mask``: fixed_size_list<uint8>[length], 1 for ids, 0 for padding (bytes,
+  as bits can't be viewed without a copy);
 * ``ends``: fixed_size_list<bool>[length], true at the end id of a document;
 * ``docs``: list<struct<doc_id, at, n>>, the documents that start in it.
 
 Documents follow each other in ascending id, an end id after each, across
 row borders; only a file's last row is padded.  The footer gives the place
 of every batch, so row ``i`` is found by arithmetic, and an uncompressed
-file that is memory-mapped gives its token matrix without a copy
-(``SequenceFile``).
+file that is memory-mapped gives its token and mask matrices without a
+copy (``SequenceFile``).
 
 Spark orders the documents by range of id (rows of one id are spread by a
 hash of their text, so a repeated id doesn't fill one task), every task
@@ -45,7 +46,14 @@ MARKS = ".,!?;:%&$*#"
 # White space for Python's split alone, not for the library.
 CONTROL = re.compile(r"[\x1c-\x1f]").search
 # Letters that stay one word of letters in lower case and under NFC.
-LATIN = re.compile(r"[A-Za-z\u00c0-\u00ff]+").fullmatch
+LATIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+# The vocabulary file's own split (endings, letters, a digit,
+# other marks) for lower-case texts of Latin-1 characters, and how it is
+# written in the file.
+SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+LOWER = r"a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff"
+DIGITS = r"0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+UNITS = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{LOWER}]+|[{DIGITS}]|[^\t-\r \u0085\u00a0{LOWER}{DIGITS}]+").findall
 MANIFEST = "part BIGINT, roll BIGINT, path STRING, n_docs BIGINT, n_ids BIGINT"
 
 
@@ -62,17 +70,20 @@ def open_fs(path: str):
 
 def schema(length: int, kind: pa.DataType) -> pa.Schema:
     docs = pa.list_(pa.struct([("doc_id", pa.int64()), ("at", pa.int32()), ("n", pa.int64())]))
-    return pa.schema([("tokens", pa.list_(kind, length)), ("mask", pa.list_(pa.bool_(), length)), ("ends", pa.list_(pa.bool_(), length)), ("docs", docs)])
+    return pa.schema([("tokens", pa.list_(kind, length)), ("mask", pa.list_(pa.uint8(), length)), ("ends", pa.list_(pa.bool_(), length)), ("docs", docs)])
 
 
 class Tokenizer:
     """Ids of whole texts by the tokenizers library, as raw integers.
 
-    The library drops white space and never joins across it, so a text's
-    ids are those of its words in turn; repeated words are
-    encoded once (bounded caches of two generations).  Plain Latin words
-    that differ only by case or closing marks share one call, and many of
-    them go into one call: each ends with a token that closes a word."""
+    The library lower-cases a text, cuts it into units and drops white
+    space, and never joins units, so a text's ids are those of its units in
+    turn; repeated units are encoded once (bounded caches of two
+    generations), and many go into one call: each ends with a token that
+    closes a word.  Texts with characters beyond Latin-1 or an added
+    token, and vocabularies with another split, are cut at white space only, and the library does
+    the rest; there plain Latin words that differ only by case or closing
+    marks share one call."""
 
     def __init__(self, data: bytes, kind: np.dtype):
         import json
@@ -82,11 +93,17 @@ class Tokenizer:
         from tokenizers import Tokenizer as Library
 
         self.library, self.kind = Library.from_str(data.decode()), kind
-        model = json.loads(data)["model"]
+        file = json.loads(data)
+        model = file["model"]
+        steps = [n.get("type") for n in (file.get("normalizer") or {}).get("normalizers", [])]
+        cuts = (file.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+        self.known_split = steps == ["NFC", "Replace", "Lowercase"] and cuts[0].get("pattern", {}).get("Regex") == SPLIT and cuts[0].get("invert") is True
         suffix = model.get("end_of_word_suffix")
         self.closes = np.zeros(max(model["vocab"].values()) + 1, bool)
         if suffix:
             self.closes[[i for t, i in model["vocab"].items() if t.endswith(suffix)]] = True
+        # Added tokens are found before a text is cut.
+        self.added = [t["content"].lower() for t in file.get("added_tokens", [])]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.cores: dict[str, bytes] = {}
@@ -133,16 +150,49 @@ class Tokenizer:
         self.young.update((w, cores[core] + marks[tail]) for w, core, tail in split)
         self.young.update(zip(other, self._separate(other), strict=True))
 
+    def _cuts(self, text: str | None) -> tuple[bool, list[str]]:
+        """Whether a text is cut into units, else words, and these."""
+        if not text:
+            return True, []
+        if self.known_split:
+            try:
+                if not text.isascii():
+                    text.encode("latin-1")
+                lower = text.lower()
+                if not any(a in lower for a in self.added):
+                    return True, UNITS(lower)
+            except UnicodeEncodeError:
+                pass
+        return False, text.split(" ") if CONTROL(text) else text.split()
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         if len(self.young) > CACHE_ENTRIES:
             self.old, self.young = self.young, {}
-        words = [[] if not t else t.split(" ") if CONTROL(t) else t.split() for t in texts]
+        cuts = [self._cuts(t) for t in texts]
         young, old = self.young, self.old
-        new = {w for w in set().union(*words) if w not in young}
-        young.update((w, old[w]) for w in new if w in old)
-        self._learn([w for w in new if w not in young])
-        get = self.young.__getitem__
-        return [b"".join(map(get, w)) for w in words]
+        for units in (True, False):
+            new = {w for w in set().union(*(c for k, c in cuts if k == units)) if w not in young}
+            young.update((w, old[w]) for w in new if w in old)
+            missing = [w for w in new if w not in young]
+            if units:
+                young.update(zip(missing, self._joined(missing), strict=True))
+            else:
+                self._learn(missing)
+        get = young.__getitem__
+        return [b"".join(map(get, c)) for _, c in cuts]
+
+
+def kept_tokenizer(data: bytes, kind: np.dtype) -> Tokenizer:
+    """The tokenizer of this Python worker, which Spark reuses from task to
+    task: the vocabulary is read and its caches are filled once."""
+    import sys
+    import types
+
+    place = sys.modules.setdefault("_segmentflow_worker", types.ModuleType("_segmentflow_worker")).__dict__
+    key = (zlib.crc32(data), len(data), kind.str)
+    if place.get("tokenizer_key") != key:
+        place["tokenizer_key"], place["tokenizer"] = key, Tokenizer(data, kind)
+    return place["tokenizer"]
 
 
 class Writer:
@@ -186,7 +236,7 @@ class Writer:
         tokens = np.zeros(count, self.kind)
         used = min(count, len(ids))
         tokens[:used] = ids[:used]
-        mask = np.arange(count) < used
+        mask = (np.arange(count) < used).astype(np.uint8)
         ends = np.zeros(count, bool)
         ends[[e for e in self.ends if e < count]] = True
         starting = [d for d in self.docs if d[1] < count]
@@ -219,23 +269,27 @@ class Writer:
 
 class SequenceFile:
     """Random access to a written file: ``tokens(i)`` and ``mask(i)`` of the
-    i-th sequence; the token matrix of a batch without a copy."""
+    i-th sequence, and a batch's token matrix, without a copy."""
 
     def __init__(self, folder: str, name: str):
         fs, _ = open_fs(folder)
         local = type(fs).__name__ == "LocalFileSystem"
         self.file = pa.ipc.open_file(pa.memory_map(name) if local else fs.open_input_file(name))
 
+    def _matrix(self, batch: pa.RecordBatch, name: str) -> np.ndarray:
+        column = batch.column(name)
+        return column.flatten().to_numpy(zero_copy_only=True).reshape(len(column), -1)
+
     def batch(self, k: int) -> tuple[np.ndarray, pa.RecordBatch]:
         b = self.file.get_batch(k)
-        column = b.column("tokens")
-        return column.flatten().to_numpy(zero_copy_only=True).reshape(len(column), -1), b
+        return self._matrix(b, "tokens"), b
 
     def tokens(self, i: int) -> np.ndarray:
         return self.batch(i // BATCH)[0][i % BATCH]
 
     def mask(self, i: int) -> np.ndarray:
-        return np.array(self.file.get_batch(i // BATCH).column("mask")[i % BATCH].values.to_numpy(zero_copy_only=False))
+        """A view of bytes: 1 for ids, 0 for padding."""
+        return self._matrix(self.file.get_batch(i // BATCH), "mask")[i % BATCH]
 
     def documents(self):
         """(doc_id, ids) of each document in order; one document's ids and
@@ -293,7 +347,7 @@ def write_sequences(
     ordered = rows.repartitionByRange("id", "spread").sortWithinPartitions("id", "spread").select("id", "text")
 
     def run(batches):
-        encode = Tokenizer(shared.value, kind)
+        encode = kept_tokenizer(shared.value, kind)
         writer = Writer(folder, TaskContext.get().partitionId(), length, kind)
         end = np.array([end_id], kind).tobytes()
         for batch in batches:

@@ -112,7 +112,7 @@ def train(
     or 1; other labels and nulls are left out."""
     rows = df.where(training & F.col(label_col).isin(0, 1) & F.col(text_col).isNotNull()).select(key, text_col, label_col)
     share = rows.agg(F.avg(label_col)).first()[0] or 0.0
-    sample = bounded_sample(rows, key, label_col, per_class)
+    sample = bounded_sample(rows, key, label_col, per_class, text_col)
 
     def factory():
         features = Features()

@@ -223,3 +223,39 @@ def test_queries_equal_sql(spark, name):
     got = queries()[name](spark, SF).select(*columns).collect()
     key = lambda r: tuple(str(x) for x in r)
     assert sorted(map(tuple, got), key=key) == sorted(want.fetchall(), key=key)
+
+
+# ----------------------------------------------------------- the samples --
+def test_sample_counts_keys_not_rows(spark):
+    from segmentflow.llm.language_id import bounded_sample
+
+    rows = [(i % 3, "en", f"hello {i % 3}") for i in range(20_000)] + [(100 + i, "de", f"hallo {i}") for i in range(500)]
+    rows += [(None, "fr", f"bon {i}") for i in range(30)] + [(700, "xx", "a" * 500), (701, "xx", "b")]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    got = bounded_sample(df, "doc_id", "lang", 50, "text", 480).collect()
+    n = {g: sum(r.lang == g for r in got) for g in ("en", "de", "fr", "xx")}
+    assert n["en"] == 3 and n["fr"] == 30 and n["xx"] == 1 and 45 <= n["de"] <= 50 and len(set(got)) == len(got)
+    assert sum(len(r.text) for r in got if r.lang == "de") <= 480
+    assert bounded_sample(df.limit(0), "doc_id", "lang", 50).count() == 0
+
+
+def test_held_out_is_never_null(spark):
+    from segmentflow.llm.common import held_out
+
+    df = spark.createDataFrame([(1,), (None,), (5,)], "doc_id long")
+    assert [r[0] for r in df.select(held_out()).collect()] == [zlib.crc32(b"1") % 5 == 0, True, zlib.crc32(b"5") % 5 == 0]
+
+
+def test_toxicity_scores_equal_plain_sums(spark):
+    from segmentflow.llm import toxicity
+
+    rng = np.random.default_rng(6)
+    weights, bias = rng.normal(size=1 << toxicity.BITS).astype(np.float32), 0.25
+    texts = ["You vile FOOL", "vile vile fool go", "kind words, good day", "", None, "x" * 50_000 + " y", "día añ"]
+    df = spark.createDataFrame([(i, t, "p") for i, t in enumerate(texts)], "doc_id long, text string, SCORE string")
+    got = {r.doc_id: r for r in toxicity.score_documents(df, (weights, bias)).collect()}
+    for i, text in enumerate(texts):
+        # A text's features are those of its words.
+        found = set().union(*(toxicity.Features()([w])[0].tolist() for w in (text or "").lower().split()))
+        score = 1 / (1 + np.exp(-(sum(float(weights[f]) for f in found) / np.sqrt(len(found) or 1) + bias)))
+        assert abs(got[i].score - score) < 1e-4 and got[i].predicted == int(score >= 0.5)
