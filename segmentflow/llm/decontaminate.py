@@ -30,9 +30,12 @@ are hashed for just the lengths that the items have.  All of them have to be
 found at one place, or ``COVERAGE`` of them if the item has no template
 window: a verbatim copy of any item that has a word is found.
 
-Hot windows: a passage that a third of the documents hold meets few items,
-so the join grows with the matches alone, and the sums per document and
-item are combined before their shuffle.
+Hot windows: items may share a preamble that many documents hold, too, so
+windows are not joined with all items that have them.  A document that has
+``need`` of an item's windows has one of any set that leaves out fewer than
+``need``: documents and items meet by the windows of each item that the
+fewest items share (``rare_windows``), and only the pairs that met are
+compared by all windows.
 """
 
 from __future__ import annotations
@@ -42,6 +45,7 @@ import re
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from segmentflow.llm.common import staged, text_slices
@@ -237,6 +241,18 @@ def template_windows(df: DataFrame, id_col: str, text_col: str, bitmap=None, len
     return rows.mapInArrow(run, "id BIGINT, hash BIGINT, pos BIGINT, slots STRING, n BIGINT, need DOUBLE, raw BIGINT, token BIGINT")
 
 
+def rare_windows(item_side: DataFrame) -> DataFrame:
+    """``item``, ``raw`` and ``hash`` of the windows of which a document that
+    holds the item must have one: all but the ``need - 1`` windows that most
+    items share."""
+    shared = item_side.groupBy("hash").agg(F.countDistinct("item").alias("items"))
+    least = item_side.groupBy("item", "raw").agg(F.min("need").alias("least"))
+    # Within one item, whose windows are no more than its words.
+    order = W.partitionBy("item", "raw").orderBy(F.desc("items"), "hash", "item_pos")
+    ranked = item_side.join(shared, "hash").join(least, ["item", "raw"]).withColumn("rank", F.row_number().over(order))
+    return ranked.where(F.col("rank") >= F.ceil("least")).select("item", "raw", "hash").distinct()
+
+
 def contaminated(
     df: DataFrame,
     benchmark: DataFrame,
@@ -262,10 +278,15 @@ def contaminated(
     marks[bits.toPandas()["b"].to_numpy(dtype=np.int64)] = True
     lengths = tuple(sorted(r.raw for r in items.where("raw > 0").select("raw").distinct().collect()))  # at most WINDOW
     found = template_windows(df, id_col, text_col, spark.sparkContext.broadcast(marks), lengths)
-    item_side = items.select(F.col("id").alias("item"), "hash", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), F.col("n").alias("item_n"), "need", F.col("token").alias("item_token"))
-    joined = found.select("id", "hash", "pos", "slots", "raw", "token").join(item_side, "hash")
+    found = staged(found.select("id", "hash", "pos", "slots", (F.col("raw") > 0).alias("raw"), "token"), "found-windows")
+    item_side = items.select(F.col("id").alias("item"), "hash", (F.col("raw") > 0).alias("raw"), F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), F.col("n").alias("item_n"), "need", F.col("token").alias("item_token"))
+
+    # Pairs that share a rare window, then all windows of those pairs.
+    met = found.select("id", "hash").join(rare_windows(item_side), "hash").select("id", "item", "raw").distinct()
+    theirs = met.join(item_side, ["item", "raw"])
+    joined = theirs.join(found.drop("raw"), ["id", "hash"])
     joined = joined.withColumn("shift", F.col("pos") - F.col("item_pos")).withColumn("begin", F.col("token") - F.col("item_token"))
-    joined = staged(joined.select("id", "item", (F.col("raw") > 0).alias("raw"), "shift", "begin", "item_pos", "item_n", "need", "slots", "item_slots"), "matches")
+    joined = staged(joined.select("id", "item", "raw", "shift", "begin", "item_pos", "item_n", "need", "slots", "item_slots"), "matches")
 
     # Alignments: shifts within DRIFT of each other are counted together, by
     # adding every window to the shifts around its own; raw windows don't

@@ -259,3 +259,105 @@ def test_toxicity_scores_equal_plain_sums(spark):
         found = set().union(*(toxicity.Features()([w])[0].tolist() for w in (text or "").lower().split()))
         score = 1 / (1 + np.exp(-(sum(float(weights[f]) for f in found) / np.sqrt(len(found) or 1) + bias)))
         assert abs(got[i].score - score) < 1e-4 and got[i].predicted == int(score >= 0.5)
+
+
+# --------------------------------------------------------- contamination --
+def brute_contaminated(docs, items, coverage=0.5):
+    """Every alignment of every pair, in plain Python over the windows."""
+    from segmentflow.llm import decontaminate as d
+
+    def sides(texts):
+        out = []
+        for text in texts:
+            (value, literal, spans, doc, words), (raw, owner, token) = d.Templates().with_raw([text.encode()])
+            h, at = d.windows(value, literal, doc)
+            slots = [d._slots(literal, spans, words, a, len(doc)) for a in at.tolist()]
+            out.append(([(int(a), int(x), s, int(a)) for a, x, s in zip(at, h, slots, strict=True)], raw, owner, token))
+        return out
+
+    def raws(side, k):
+        _, raw, owner, token = side
+        h, at = d.raw_windows(raw, owner, k)
+        return [(int(a), int(x), "", int(token[a])) for a, x in zip(at, h, strict=True)]
+
+    best = {}
+    all_docs, all_items = sides(docs), sides(items)
+    for i, doc in enumerate(all_docs):
+        for j, item in enumerate(all_items):
+            k = min(len(item[1]), d.WINDOW)
+            for raw, a, b in ((False, doc[0], item[0]), (True, raws(doc, k) if k else [], raws(item, k) if k else [])):
+                need = (1.0 if raw and item[0] else coverage) * len(b)
+                if raw and k < d.WINDOW:
+                    a = [next(x for x in a if x[1] == h) for h in {x[1] for x in a}]
+                hits = [(x[0] - y[0], y, x) for x in a for y in b if x[1] == y[1]]
+                drift = 0 if raw else d.DRIFT
+                for about in {s + e for s, _, _ in hits for e in range(-drift, drift + 1)}:
+                    for strict in (False, True):
+                        of = {}
+                        for shift, y, x in hits:
+                            gap = abs(shift - about)
+                            if gap <= (0 if strict else drift):
+                                key = (gap, shift, x[3] - y[3], x[2], y[2])
+                                of[y[0]] = min(of.get(y[0], key), key)
+                        if not of or len(of) < need:
+                            continue
+                        slots = [(m[4], m[3]) for m in of.values() if m[3] != ""]
+                        pairs = {p for s, t in slots for p in zip(s.split("\x1f"), t.split("\x1f"), strict=True)}
+                        if len(pairs) != len({p[0] for p in pairs}):
+                            continue
+                        begin = of[min(of)][2] if raw else about
+                        got = (len(of) / len(b), sum(m[0] == 0 for m in of.values()) / len(b), -begin, all(s == t for s, t in slots), not raw, len(of))
+                        best[i, j] = max(best.get((i, j), got), got)
+    return {p: (m[5], min(m[0], 1.0), m[3], -m[2]) for p, m in best.items()}
+
+
+def contaminated(spark, docs, items):
+    from segmentflow.llm import decontaminate
+
+    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(docs)], "doc_id long, text string, COVERAGE int")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r.doc_id, r.item_id): (r.n_windows, r.coverage, r.exact, r.start) for r in decontaminate.contaminated(df, benchmark).collect()}
+
+
+def test_contamination_equals_brute_force(spark):
+    rng = random.Random(9)
+    words = [*"alpha beta gamma delta pan egg salt dish cook cups Anna Bob Rome 3 4 17 kg".split(), "add"]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    preamble = "please read the following question with care and give one short answer to it now"
+    items = [f"{preamble} {text(n)}" for n in (4, 12, 30)] + [text(n) for n in (3, 7, 9, 20, 40)] + ["add 2 cups " * 6, "3 4 17 3 4"]
+
+    def changed(t):
+        return " ".join(str(int(w) + 1) if w.isdigit() else w if rng.random() > 0.04 else "zzz" for w in t.split())
+
+    docs = [f"{text(5)} {rng.choice([changed, str])(rng.choice(items))} {text(rng.choice([0, 6]))}" for _ in range(60)]
+    docs += [preamble, f"{preamble} {text(50)}", *items, "", items[5][:60], f"{items[6]} {items[6]}"]
+    got, want = contaminated(spark, docs, items), brute_contaminated(docs, items)
+    assert got == want and len(want) > 50
+
+
+def test_shared_preambles_stage_no_pairs(spark, monkeypatch):
+    from segmentflow.llm import decontaminate
+
+    rng = random.Random(10)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    preamble = " ".join(word() for _ in range(20))
+    items = [f"{preamble} {' '.join(word() for _ in range(40))}" for _ in range(80)]
+    docs = [f"{preamble} {' '.join(word() for _ in range(30))}" for _ in range(200)] + [items[3]]
+    rows = {}
+    saved = decontaminate.staged
+
+    def counted(df, name):
+        out = saved(df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(decontaminate, "staged", counted)
+    assert {p for p in contaminated(spark, docs, items)} == {(200, 3)}
+    assert rows["matches"] < 500 and rows["found-windows"] < 30 * len(docs) + 200
+
+
+def test_contamination_of_a_very_long_text(spark):
+    item = "how many litres of paint does one need to cover a wall of forty square metres twice"
+    docs = ["word " * 300_000 + item + " end" * 100_000, None, "nothing here"]
+    got = contaminated(spark, docs, [item, "x"])
+    assert set(got) == {(0, 0)} and got[0, 0][1] == 1.0 and got[0, 0][3] == 300_000
