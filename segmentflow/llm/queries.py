@@ -143,21 +143,28 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
              replace(coalesce(text, ''), '<|', '<\|') AS text
       FROM conversations),
     speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM m WHERE role <> 'system'),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k FROM m),
+    spans AS (SELECT conv_id, (max(k) - 1) // 256 AS last, min(k) FILTER (WHERE role <> 'system') AS first FROM ranked GROUP BY conv_id),
+    seg AS (
+      SELECT conv_id, (k - 1) // 256 AS segment, k, role, text FROM ranked
+      UNION ALL
+      SELECT r.conv_id, unnest(range(1, last + 1)), k, role, text
+      FROM ranked r JOIN spans s ON r.conv_id IS NOT DISTINCT FROM s.conv_id WHERE k <= 16 AND k < first),
     r AS (
-      SELECT m.conv_id, speaker, CAST(floor(turn / 256) AS BIGINT) AS segment, turn, role, text,
+      SELECT m.conv_id, speaker, CAST(segment AS BIGINT) AS segment, k, role, text,
              '<|' || CASE WHEN role = 'system' THEN 'system' WHEN role = speaker THEN 'assistant'
                           ELSE 'user:' || role END || '|>' || chr(10) AS head,
              text || '<|end|>' AS body
-      FROM m JOIN speakers s ON m.conv_id IS NOT DISTINCT FROM s.conv_id),
+      FROM seg m JOIN speakers s ON m.conv_id IS NOT DISTINCT FROM s.conv_id),
     placed AS (
       SELECT *, length(head) + coalesce(sum(length(head) + length(body) + 1) OVER (
-               PARTITION BY conv_id, speaker, segment ORDER BY turn, role, text
+               PARTITION BY conv_id, speaker, segment ORDER BY k
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
       FROM r)
     SELECT conv_id, speaker, segment,
-           string_agg(head || body || chr(10), '' ORDER BY turn, role, text) AS text,
+           string_agg(head || body || chr(10), '' ORDER BY k) AS text,
            coalesce(string_agg(CASE WHEN role = speaker THEN CAST(start AS VARCHAR) || ':' || CAST(start + length(body) AS VARCHAR) END,
-                    ',' ORDER BY turn, role, text), '') AS mask,
+                    ',' ORDER BY k), '') AS mask,
            count(*) AS n_messages
     FROM placed GROUP BY conv_id, speaker, segment""",
 )

@@ -356,9 +356,9 @@ def test_rotation(spark):
     rows = [(1, 0, "system", "be"), (1, 1, "ann", "hi <|end|>"), (1, 2, "bob", None), (1, 3, "ann", "bye"), (1, 3, "ann", "bye"), (1, None, None, "?"), (2, 0, "system", "x"), (None, 300, "cat", "m")]
     df = spark.createDataFrame([(*r, 0) for r in rows], "conv_id long, turn long, role string, text string, speaker int")
     got = {(r.conv_id, r.speaker, r.segment): r for r in chat.rotate(df).collect()}
-    assert set(got) == {(1, s, g) for s in ("ann", "bob", "unknown") for g in (0, None)} | {(None, "cat", 1)}
+    assert set(got) == {(1, s, 0) for s in ("ann", "bob", "unknown")} | {(None, "cat", 0)}
     ann = got[1, "ann", 0]
-    assert ann.text == "<|system|>\nbe<|end|>\n<|assistant|>\nhi <\\|end|><|end|>\n<|user:bob|>\n<|end|>\n<|assistant|>\nbye<|end|>\n"
+    assert ann.text == "<|user:unknown|>\n?<|end|>\n<|system|>\nbe<|end|>\n<|assistant|>\nhi <\\|end|><|end|>\n<|user:bob|>\n<|end|>\n<|assistant|>\nbye<|end|>\n"
     assert [ann.text[s.start : s.end] for s in ann.mask] == ["hi <\\|end|><|end|>", "bye<|end|>"]
     assert chat.rotate(df.limit(0)).count() == 0
 
@@ -375,10 +375,43 @@ def test_rotation_equals_sql(spark):
 
 
 def test_rotation_splits_long_conversations(spark):
-    rows = [(1, t, f"s{t % 2}", f"m{t}") for t in range(700)] + [(2, 0, "a", f"x{k}") for k in range(600)]
-    out = chat.rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
-    assert max(r.n_messages for r in out) <= chat.SEGMENT
-    assert sum(r.n_messages for r in out if r.conv_id == 1) == 1400 and sum(r.n_messages for r in out if r.conv_id == 2) == 600
+    rows = [(1, -2, "system", "rules"), (1, -1, "system", "more"), (1, 300, "system", "late")]
+    rows += [(1, t * 1000, f"s{t % 2}", f"m{t}") for t in range(700)]  # sparse turns
+    rows += [(2, 0, "a", f"x{k:04}") for k in range(600)]  # a crowded turn
+    rows += [(3, t * 1000, "ab"[t % 2], f"y{t}") for t in range(4)] + [(4, k, "system", f"z{k}") for k in range(600)] + [(4, 600, "a", "end")]
+    out = {(r.conv_id, r.speaker, r.segment): r for r in chat.rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert {k[2] for k in out if k[0] == 1} == {0, 1, 2} and max(r.n_messages for r in out.values()) <= chat.SEGMENT + chat.OPENING
+    opening = "<|system|>\nrules<|end|>\n<|system|>\nmore<|end|>\n"
+    assert all(out[1, "s0", g].text.startswith(opening) for g in (0, 1, 2)) and sum("late" in out[1, "s0", g].text for g in (0, 1, 2)) == 1
+    said = re.findall(r"m(\d+)<", "".join(out[1, "s0", g].text for g in (0, 1, 2)))
+    assert said == [str(t) for t in range(700)]
+    assert re.findall(r"x(\d+)<", "".join(out[2, "a", g].text for g in range(3))) == [f"{k:04}" for k in range(600)]
+    assert out[3, "a", 0].n_messages == 4 and len(out[3, "a", 0].mask) == 2
+    assert sum(r.n_messages for k, r in out.items() if k[0] == 4) == 601 + 2 * chat.OPENING
+
+
+def test_rotation_of_spread_conversations_equals_sql(spark):
+    """A conversation over many range partitions, with few messages a
+    segment."""
+    import duckdb
+
+    from segmentflow.llm.queries import oracle_sql
+
+    rng = random.Random(11)
+    rows = [(rng.choice([1, 1, 1, 2, None]), rng.choice([None, *range(-3, 900)]), rng.choice([None, "system", "ann", "bob"]), rng.choice([None, "", "<|x", f"t{k}"])) for k in range(2500)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    key, old = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set(key, "7")
+    try:
+        views = chat.rotate(df).collect()
+    finally:
+        spark.conf.set(key, old)
+    got = [(r.conv_id, r.speaker, r.segment, r.text, ",".join(f"{s.start}:{s.end}" for s in r["mask"]), r.n_messages) for r in views]
+    con = duckdb.connect()
+    con.register("frame", df.toArrow())
+    con.execute("CREATE TABLE conversations AS SELECT * FROM frame")
+    want = con.execute(oracle_sql()["op7_perspectives"]).fetchall()
+    assert sorted(got, key=str) == sorted(want, key=str) and len(want) > 20
 
 
 # --------------------------------------------------------------- vectors --
