@@ -3,9 +3,10 @@
 A tree is a sorted array of long hash strings: the signs of a vector's
 projections on that tree's random directions.  A query descends in every
 tree to its longest matching prefixes and then ascends in all trees at
-once, one bit at a time, until the rows below its prefixes are enough
-(``share`` of the block's rows, counted over all trees).  The candidates
-are scored exactly, in double precision on the original vectors.
+once, one bit at a time, until the different rows below its prefixes are
+enough: ``SPARE`` times what is asked for and ``share`` of the block's rows.
+The candidates are scored in single precision, and those that can be among
+the nearest exactly, in double precision on the original vectors.
 
 For the largest inner product a vector gets one more component that makes
 all lengths equal (the query's is 0), so the nearest by angle are the
@@ -34,7 +35,8 @@ BLOCK = 8192
 GROUP = 4096
 TREES = 128
 BITS = 16
-SHARE = 0.45
+SHARE = 0.32
+SPARE = 10
 SEED = 11
 
 
@@ -42,7 +44,8 @@ class Forest:
     """Trees over the rows of ``vectors`` (distinct, finite, not zero)."""
 
     def __init__(self, vectors: np.ndarray, longest: float, trees: int = TREES, bits: int = BITS):
-        self.vectors, self.trees, self.bits = vectors, trees, bits
+        self.vectors, self.trees, self.bits, self.longest = vectors, trees, bits, longest
+        self.single = vectors.astype(np.float32)
         dim = vectors.shape[1] + 1
         self.directions = np.random.default_rng(SEED).standard_normal((dim, trees * bits)).astype(np.float32)
         lift = np.sqrt(np.maximum(longest**2 - (vectors**2).sum(axis=1), 0))
@@ -56,39 +59,48 @@ class Forest:
         weights = 1 << np.arange(self.bits - 1, -1, -1)
         return (signs.reshape(len(lifted), self.trees, self.bits) * weights).sum(axis=2, dtype=np.int64)
 
+    def _ranges(self, keys: np.ndarray, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tree x query: the places below the queries' prefixes."""
+        shift = self.bits - depth
+        low = np.empty((self.trees, len(keys)), np.int64)
+        high = np.empty_like(low)
+        for t in range(self.trees):
+            prefix = keys[:, t] >> shift
+            low[t] = np.searchsorted(self.keys[t], prefix << shift)
+            high[t] = np.searchsorted(self.keys[t], (prefix + 1) << shift)
+        return low, high
+
     def candidates(self, queries: np.ndarray, enough: int):
-        """For each query the rows under its prefixes at the first depth,
-        going up in all trees at once, where they are ``enough``."""
+        """For each query, in any order, its number and the rows under its
+        prefixes at the first depth, going up in all trees at once, where
+        they are ``enough`` different ones."""
         unit = queries / np.sqrt((queries**2).sum(axis=1, keepdims=True))
         keys = self._strings(np.column_stack([unit, np.zeros(len(unit))]))
-        depth = np.full(len(queries), -1)
-        low = np.zeros((self.trees, len(queries)), np.int64)
-        high = np.zeros_like(low)
-        for d in range(self.bits, -1, -1):
-            open_ = np.flatnonzero(depth < 0)
-            if not len(open_):
-                break
-            shift = self.bits - d
-            for t in range(self.trees):
-                prefix = keys[open_, t] >> shift
-                low[t, open_] = np.searchsorted(self.keys[t], prefix << shift)
-                high[t, open_] = np.searchsorted(self.keys[t], (prefix + 1) << shift)
-            total = (high[:, open_] - low[:, open_]).sum(axis=0)
-            depth[open_[(total >= enough) | (d == 0)]] = d
-        for q in range(len(queries)):
-            marked, d = np.zeros(len(self.vectors), bool), depth[q]
-            while True:
-                for t in range(self.trees):
-                    marked[self.order[t, low[t, q] : high[t, q]]] = True
-                # One row may fill many trees: go on until rows, not their
-                # places, are at least half of what is asked.
-                if d == 0 or 2 * np.count_nonzero(marked) >= enough:
-                    break
-                d -= 1
-                for t in range(self.trees):
-                    prefix = keys[q, t] >> (self.bits - d)
-                    low[t, q], high[t, q] = np.searchsorted(self.keys[t], [prefix << (self.bits - d), (prefix + 1) << (self.bits - d)])
-            yield np.flatnonzero(marked)
+        depth = np.full(len(queries), self.bits)
+        open_ = np.arange(len(queries))
+        while len(open_):
+            low, high = self._ranges(keys[open_], depth[open_])
+            # Fewer places than ``enough`` can't hold so many rows.
+            full = ((high - low).sum(axis=0) >= enough) | (depth[open_] == 0)
+            up = ~full
+            for i in np.flatnonzero(full):
+                marked = np.zeros(len(self.vectors), bool)
+                marked[np.concatenate([self.order[t, low[t, i] : high[t, i]] for t in range(self.trees)])] = True
+                if depth[open_[i]] and np.count_nonzero(marked) < enough:
+                    up[i] = True
+                else:
+                    yield int(open_[i]), np.flatnonzero(marked)
+            open_ = open_[up]
+            depth[open_] -= 1
+
+    def best(self, found: np.ndarray, query: np.ndarray, k: int) -> np.ndarray:
+        """Those of ``found`` that can be among the ``k`` largest products."""
+        if len(found) <= k:
+            return found
+        score = self.single[found] @ query.astype(np.float32)
+        cut = np.partition(score, len(score) - k)[len(score) - k]
+        error = 4 * len(query) * 2.0**-23 * self.longest * float(np.sqrt((query**2).sum()))
+        return found[score >= cut - error]
 
 
 def usable(vector: str) -> Column:
@@ -141,11 +153,9 @@ def nearest(
             order = np.lexsort((ids[~asks], of))
             members, bounds = ids[~asks][order], np.searchsorted(of[order], np.arange(len(distinct) + 1))
             forest = Forest(distinct, longest)
-            for query, vector, found in zip(ids[asks], v[asks], forest.candidates(v[asks], max(2 * (k + 1), math.ceil(share * len(distinct)))), strict=True):
-                score = distinct[found] @ vector
-                if len(found) > k + 1:
-                    cut = np.partition(score, len(score) - k - 1)[len(score) - k - 1]
-                    found = found[score >= cut - 1e-9 * max(1.0, abs(cut))]
+            for q, found in forest.candidates(v[asks], SPARE * (k + 1) + math.ceil(share * len(distinct))):
+                query, vector = ids[asks][q], v[asks][q]
+                found = forest.best(found, vector, k + 1)
                 # The same sum for every row, so equal vectors tie.
                 score = (distinct[found] * vector).sum(axis=1)
                 # No more than k + 1 ids of a vector can be among the best.

@@ -361,3 +361,26 @@ def test_contamination_of_a_very_long_text(spark):
     docs = ["word " * 300_000 + item + " end" * 100_000, None, "nothing here"]
     got = contaminated(spark, docs, [item, "x"])
     assert set(got) == {(0, 0)} and got[0, 0][1] == 1.0 and got[0, 0][3] == 300_000
+
+
+# ---------------------------------------------------------------- forest --
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_forest_recall_of_the_query(spark, sf):
+    """Production parameters on the given table, 5 % of its rows as queries,
+    against all products."""
+    from segmentflow.llm.queries import queries
+
+    folder = f"/root/testdata/{sf}"
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").orderBy("vec_id").collect()
+    v = np.array([r.embedding for r in rows], np.float64)
+    ids = np.array([r.vec_id for r in rows])
+    got = collections.defaultdict(list)
+    for r in queries()["op9_lsh_forest"](spark, folder).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    hits, asked = 0, np.flatnonzero(ids % 20 == 0)
+    for q in asked:
+        score = v @ v[q]
+        want = [int(ids[i]) for i in np.lexsort((ids, -score)) if i != q][:20]
+        hits += len({i for i, _ in got[int(ids[q])]} & set(want))
+        assert len(got[int(ids[q])]) == 20
+    assert len(got) == len(asked) and hits >= 0.9 * 20 * len(asked)
