@@ -123,3 +123,16 @@ def vocabulary_bytes(path: str, limit: int = 64 << 20) -> bytes:
     if len(data) > limit:
         raise ValueError(f"{path} is over {limit} bytes, too large to broadcast")
     return data
+
+
+def worker_kept(name: str, key, make: Callable[[], object]):
+    """An object of this Python worker, which Spark reuses from task to
+    task: made once for each ``key`` (the last one is kept), so that its
+    tables are read and its bounded caches are filled once."""
+    import sys
+    import types
+
+    place = sys.modules.setdefault("_segmentflow_worker", types.ModuleType("_segmentflow_worker")).__dict__
+    if place.get(name, (None,))[0] != key:
+        place[name] = (key, make())
+    return place[name][1]

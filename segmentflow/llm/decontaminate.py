@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from segmentflow.llm.common import staged, text_slices
+from segmentflow.llm.common import staged, text_slices, worker_kept
 from segmentflow.llm.near_dup import mix
 
 WINDOW = 8
@@ -56,7 +56,7 @@ LITERALS = 5
 COVERAGE = 0.5
 DRIFT = 3
 BITMAP_BITS = 23
-CACHE_WORDS = 250_000
+CACHE_WORDS = 600_000
 
 # Units of measure and currency.
 UNITS = frozenset(
@@ -109,6 +109,11 @@ class Templates:
                 hashes.append(self.hash(w))
                 flags.append(3 if w in UNIT_BYTES else 0)
                 continue
+            if len(w) > 1 and w.isalpha() and w.istitle():
+                low = w.lower()
+                hashes.append(self.hash(low))
+                flags.append(3 if low in UNIT_BYTES else 2)
+                continue
             kind, low, ends, blank = _token(w)
             hashes.append(self.hash(low))
             flags.append(kind | ends << 2 | blank << 3)
@@ -201,7 +206,7 @@ def template_windows(df: DataFrame, id_col: str, text_col: str, bitmap=None, len
     shorter text."""
 
     def run(batches):
-        templates = Templates()
+        templates = worker_kept("templates", 0, Templates)
         marks = bitmap.value if bitmap is not None else None
         hits = lambda h: marks[(h >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)]
         for batch in batches:

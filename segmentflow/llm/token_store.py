@@ -4,8 +4,9 @@ equal-length sequences as fixed-size lists.
 Each file is a sequence of record batches of ``BATCH`` rows.  A row has
 
 * ``tokens``: fixed_size_list<uint16 or uint32>[length], the ids;
-* ``mask``: fixed_size_list<uint8>[length], 1 for ids, 0 for padding (bytes,
-  as bits can't be viewed without a copy);
+* ``mask``: fixed_size_list<uint8>[length / 8], packed bits: bit ``i % 8`` of
+  byte ``i // 8`` is 1 for an id, 0 for padding (bytes, as NumPy can't view
+  Arrow's booleans; a byte for each id would take the disk of half the ids);
 * ``ends``: fixed_size_list<bool>[length], true at the end id of a document;
 * ``docs``: list<struct<doc_id, at, n>>, the documents that start in it.
 
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from segmentflow.llm.common import scratch_path, staged, text_slices, vocabulary_bytes
+from segmentflow.llm.common import scratch_path, staged, text_slices, vocabulary_bytes, worker_kept
 
 LENGTH = 2048
 BATCH = 64
@@ -70,7 +71,7 @@ def open_fs(path: str):
 
 def schema(length: int, kind: pa.DataType) -> pa.Schema:
     docs = pa.list_(pa.struct([("doc_id", pa.int64()), ("at", pa.int32()), ("n", pa.int64())]))
-    return pa.schema([("tokens", pa.list_(kind, length)), ("mask", pa.list_(pa.uint8(), length)), ("ends", pa.list_(pa.bool_(), length)), ("docs", docs)])
+    return pa.schema([("tokens", pa.list_(kind, length)), ("mask", pa.list_(pa.uint8(), length // 8)), ("ends", pa.list_(pa.bool_(), length)), ("docs", docs)])
 
 
 class Tokenizer:
@@ -182,19 +183,6 @@ class Tokenizer:
         return [b"".join(map(get, c)) for _, c in cuts]
 
 
-def kept_tokenizer(data: bytes, kind: np.dtype) -> Tokenizer:
-    """The tokenizer of this Python worker, which Spark reuses from task to
-    task: the vocabulary is read and its caches are filled once."""
-    import sys
-    import types
-
-    place = sys.modules.setdefault("_segmentflow_worker", types.ModuleType("_segmentflow_worker")).__dict__
-    key = (zlib.crc32(data), len(data), kind.str)
-    if place.get("tokenizer_key") != key:
-        place["tokenizer_key"], place["tokenizer"] = key, Tokenizer(data, kind)
-    return place["tokenizer"]
-
-
 class Writer:
     """Packs (doc_id, ids) into rows and files; ``done`` lists the files."""
 
@@ -236,7 +224,7 @@ class Writer:
         tokens = np.zeros(count, self.kind)
         used = min(count, len(ids))
         tokens[:used] = ids[:used]
-        mask = (np.arange(count) < used).astype(np.uint8)
+        mask = np.packbits(np.arange(count) < used, bitorder="little")
         ends = np.zeros(count, bool)
         ends[[e for e in self.ends if e < count]] = True
         starting = [d for d in self.docs if d[1] < count]
@@ -246,7 +234,7 @@ class Writer:
             [pa.array([d[0] for d in starting], pa.int64()), pa.array([d[1] % self.length for d in starting], pa.int32()), pa.array([d[2] for d in starting], pa.int64())],
             fields=list(self.schema.field("docs").type.value_type),
         )
-        fixed = lambda x: pa.FixedSizeListArray.from_arrays(pa.array(x), self.length)
+        fixed = lambda x: pa.FixedSizeListArray.from_arrays(pa.array(x), len(x) // rows)
         whole = pa.RecordBatch.from_arrays([fixed(tokens), fixed(mask), fixed(ends), pa.ListArray.from_arrays(pa.array(offsets), struct)], schema=self.schema)
         for at in range(0, rows, BATCH):
             self.sink.write_batch(whole.slice(at, BATCH))
@@ -288,7 +276,8 @@ class SequenceFile:
         return self.batch(i // BATCH)[0][i % BATCH]
 
     def mask(self, i: int) -> np.ndarray:
-        """A view of bytes: 1 for ids, 0 for padding."""
+        """A view of the packed bits; ``np.unpackbits(..., bitorder="little")``
+        gives one for each id."""
         return self._matrix(self.file.get_batch(i // BATCH), "mask")[i % BATCH]
 
     def documents(self):
@@ -332,7 +321,10 @@ def write_sequences(
     A null text counts as empty and is the end id alone.  Null ids are
     written first, as id -1.  Rows of equal id stand together, each a
     document of its own.  An empty table gives an empty manifest.  Other
-    columns are not read.  Texts are encoded whole."""
+    columns are not read.  Texts are encoded whole.  ``length`` is a multiple
+    of 8."""
+    if length % 8:
+        raise ValueError("length must be a multiple of 8")
     spark = df.sparkSession
     data = vocabulary_bytes(tokenizer_path)
     import json
@@ -347,7 +339,8 @@ def write_sequences(
     ordered = rows.repartitionByRange("id", "spread").sortWithinPartitions("id", "spread").select("id", "text")
 
     def run(batches):
-        encode = kept_tokenizer(shared.value, kind)
+        data = shared.value
+        encode = worker_kept("tokenizer", (zlib.crc32(data), len(data), kind.str), lambda: Tokenizer(data, kind))
         writer = Writer(folder, TaskContext.get().partitionId(), length, kind)
         end = np.array([end_id], kind).tobytes()
         for batch in batches:

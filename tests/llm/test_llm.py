@@ -88,7 +88,7 @@ def test_token_store_round_trip(spark, tmp, monkeypatch):
     assert got == sorted(want)
     file = manifest.orderBy("part", "roll").first()
     reader = token_store.SequenceFile(file.folder, file.path)
-    assert reader.tokens(0).shape == (64,) and reader.mask(0).tolist() == [1] * 64
+    assert reader.tokens(0).shape == (64,) and reader.mask(0).tolist() == [255] * 8
     for row in (reader.tokens(0), reader.mask(0)):  # views of the mapped file
         while isinstance(row.base, np.ndarray):
             row = row.base
