@@ -149,7 +149,7 @@ def aligned(lines: DataFrame, schema: StructType, required: list[str] | None = N
     told apart (open quote, more or fewer values than names).  A value that
     isn't of the declared type is NULL, as in a plain read, and gives a
     reason, but its row is kept.  Columns that aren't declared are left out;
-    blank lines and copies of the first line give no row.
+    blank lines, the header and copies of it give no row.
 
     The headers, one row per file, are joined to the lines by
     ``join_listed``, so a file may hold most of the lines."""
@@ -163,7 +163,7 @@ def aligned(lines: DataFrame, schema: StructType, required: list[str] | None = N
     if required:
         fits &= F.size(F.array_intersect("_names", F.array(*map(F.lit, required)))) == len(set(required))
     files = file_headers(cells).withColumn("_names", F.when(fits, F.col("_names"))).checkpoint()
-    rows = join_listed(cells.drop("block_start"), files, "source_file").filter("raw <> _head")
+    rows = join_listed(cells.drop("block_start"), files, "source_file").filter("raw <> _head or _names is null")
     broken = (
         F.when(F.col("_names").isNull(), "no header with the declared columns")
         .when(F.col("_n") < 0, "unreadable line")
