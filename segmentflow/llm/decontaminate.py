@@ -44,6 +44,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -57,6 +58,7 @@ COVERAGE = 0.5
 DRIFT = 3
 BITMAP_BITS = 23
 CACHE_WORDS = 600_000
+BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 
 # Units of measure and currency.
 UNITS = frozenset(
@@ -70,6 +72,7 @@ UNIT_BYTES = frozenset(u.encode() for u in UNITS)
 NUM, UNIT, NAME = b"<num>", b"<unit>", b"<name>"
 NUMBER = re.compile(rb"[+-]?[$\xc2\xa3]*[0-9]+(?:[.,:/][0-9]+)*%?")
 EDGE = b".,;:!?\"'()[]{}"
+CLOSING = b"\"')]}"
 SENTENCE_END = (b".", b"!", b"?", b":")
 
 
@@ -77,7 +80,7 @@ def _token(word: bytes) -> tuple[int, bytes, bool, bool]:
     """Kind (0 word, 1 number, 2 capitalised, 3 unit), the bare lower-case
     word, whether it ends a sentence, whether it is empty when bare."""
     bare = word.strip(EDGE)
-    ends = word.rstrip(b"\"')]}").endswith(SENTENCE_END)
+    ends = word.rstrip(CLOSING).endswith(SENTENCE_END)
     text = bare.decode("utf-8", "ignore")
     low = text.lower()
     if bare and NUMBER.fullmatch(bare):
@@ -101,42 +104,47 @@ class Templates:
         self.fixed = [np.uint64(self.hash(p)) for p in (NUM, NAME, UNIT)]
 
     def _learn(self, new: list[bytes]) -> None:
-        if len(self.index) > CACHE_WORDS:
-            self.index = {}
-        at, hashes, flags = len(self.index), [], []
+        at, hashes, flags, digest = len(self.index), [], [], self.hash
         for w in new:
-            if w.isalpha() and w.islower():  # ASCII letters
-                hashes.append(self.hash(w))
-                flags.append(3 if w in UNIT_BYTES else 0)
-                continue
-            if len(w) > 1 and w.isalpha() and w.istitle():
-                low = w.lower()
-                hashes.append(self.hash(low))
-                flags.append(3 if low in UNIT_BYTES else 2)
+            bare = w.strip(EDGE)
+            if bare.isalpha() or bare.isdigit():  # ASCII alone
+                low = bare.lower()
+                kind = 1 if bare.isdigit() else 3 if low in UNIT_BYTES else 2 if bare[:1].isupper() and not bare.isupper() else 0
+                ends = len(bare) < len(w) and w.rstrip(CLOSING).endswith(SENTENCE_END)
+                hashes.append(digest(low))
+                flags.append(kind | ends << 2)
                 continue
             kind, low, ends, blank = _token(w)
-            hashes.append(self.hash(low))
+            hashes.append(digest(low))
             flags.append(kind | ends << 2 | blank << 3)
         self.hashes = np.concatenate([self.hashes[:at], np.array(hashes, np.uint64)]) if at else np.array(hashes, np.uint64)
         self.flags = np.concatenate([self.flags[:at], np.array(flags, np.uint8)]) if at else np.array(flags, np.uint8)
         self.index.update(zip(new, range(at, at + len(new)), strict=True))
 
-    def __call__(self, texts: list[bytes | None]):
+    def __call__(self, texts: list[bytes | None] | pa.Array):
         """``value`` (hash), ``literal``, ``span`` (its words in ``words``),
         ``doc`` of every token, and ``words``."""
         return self.with_raw(texts)[0]
 
-    def with_raw(self, texts: list[bytes | None]):
+    def with_raw(self, texts: list[bytes | None] | pa.Array):
         """The tokens, and of every word that is not blank the hash, the
-        text and the token it belongs to."""
-        split = [(t or b"").split() for t in texts]
-        words = [w for ws in split for w in ws]
+        text and the token it belongs to.  Words are cut and numbered by
+        Arrow; only the different ones of a call reach Python."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.binary()).view(pa.string())
+        split = pc.ascii_split_whitespace(pc.fill_null(column, ""))
+        words = split.flatten()
+        # White space at a text's ends leaves empty words.
+        full = pc.greater(pc.binary_length(words), 0)
+        owner = np.repeat(np.arange(len(split)), split.value_lengths().to_numpy())[full.to_numpy(zero_copy_only=False)]
+        words = words.filter(full)
+        coded = words.dictionary_encode()
+        different = coded.dictionary.view(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        words = words.view(pa.binary())
         if len(self.index) > CACHE_WORDS:
             self.index = {}
-        self._learn([w for w in set(words) if w not in self.index])
+        self._learn([w for w in different if w not in self.index])
         n = len(words)
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, n)
-        owner = np.repeat(np.arange(len(split)), [*map(len, split)])
+        at = np.fromiter(map(self.index.__getitem__, different), np.int64, len(different))[coded.indices.to_numpy()]
         value, flags = self.hashes[at], self.flags[at]
         kind, ends, blank = flags & 3, (flags & 4) > 0, (flags & 8) > 0
         same = np.zeros(n, bool)  # the word before is of the same text
@@ -150,7 +158,7 @@ class Templates:
         follows = name & before(name & ~ends)
         value = np.where(number, self.fixed[0], np.where(name, self.fixed[1], np.where(unit, self.fixed[2], value)))
         keep = np.flatnonzero(~(follows | blank))
-        limit = np.cumsum([*map(len, split)])[owner[keep]] if n else keep
+        limit = np.cumsum(np.bincount(owner, minlength=len(split)))[owner[keep]]
         stop = np.minimum(np.append(keep[1:], n), limit)
         tokens = value[keep], ~(number | name | unit)[keep], np.stack([keep, stop], 1), owner[keep], words
         bare = np.flatnonzero(~blank)
@@ -158,6 +166,19 @@ class Templates:
         return tokens, raw
 
 
+def window_hashes(value: np.ndarray, k: int, seed: int):
+    """A function from starts to the hash of the ``k`` values from each: the
+    values times powers of ``BASE`` as running sums modulo 2**64, so a window
+    costs one difference, whatever its length."""
+    power = np.full(len(value) + 1, BASE, np.uint64)
+    power[0] = 1
+    inverse = np.full(len(value) + 1, pow(BASE, -1, 1 << 64), np.uint64)
+    inverse[0] = 1
+    power, inverse = np.multiply.accumulate(power), np.multiply.accumulate(inverse)
+    total = np.concatenate([[np.uint64(0)], np.cumsum(value * power[:-1], dtype=np.uint64)])
+    return lambda start: mix(mix((total[start + k] - total[start]) * inverse[start]) + np.uint64(seed))
+
+
 def windows(value: np.ndarray, literal: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and first token of every window that has enough literals and
     lies in one text.  A text of fewer tokens is one window."""
@@ -170,29 +191,24 @@ def windows(value: np.ndarray, literal: np.ndarray, doc: np.ndarray) -> tuple[np
         else:
             start = np.searchsorted(doc, np.flatnonzero(size == k))
         start = start[literals[start + k] - literals[start] >= min(LITERALS, k)]
-        h = np.full(len(start), k, np.uint64)
-        for i in range(k):
-            h = mix(h * np.uint64(0x9E3779B97F4A7C15) + value[start + i])
-        out.append(h)
-        at.append(start)
+        if len(start):
+            out.append(window_hashes(value, k, k)(start))
+            at.append(start)
     return np.concatenate(out), np.concatenate(at)
 
 
 def raw_windows(value: np.ndarray, doc: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash and first word of every window of ``k`` words of one text."""
     start = np.flatnonzero(doc[: len(doc) - k + 1] == doc[k - 1 :]) if len(doc) >= k else np.zeros(0, np.int64)
-    h = np.full(len(start), RAW + k, np.uint64)
-    for i in range(k):
-        h = mix(h * np.uint64(0x9E3779B97F4A7C15) + value[start + i])
-    return h, start
+    return window_hashes(value, k, RAW + k)(start), start
 
 
-def _slots(literal: np.ndarray, spans: np.ndarray, words: list[bytes], at: int, end: int) -> str:
+def _slots(literal: np.ndarray, spans: np.ndarray, words: pa.Array, at: int, end: int) -> str:
     """The values of the placeholders of the window at ``at``, in order."""
     out = []
     for i in range(at, min(at + WINDOW, end)):
         if not literal[i]:
-            kept = [w.strip(EDGE) for w in words[spans[i][0] : spans[i][1]]]
+            kept = [w.strip(EDGE) for w in words[spans[i][0] : spans[i][1]].to_pylist()]
             out.append(b" ".join(w for w in kept if w).lower().decode("utf-8", "replace").replace("\x1f", " "))
     return "\x1f".join(out)
 
@@ -212,7 +228,7 @@ def template_windows(df: DataFrame, id_col: str, text_col: str, bitmap=None, len
         for batch in batches:
             for part in text_slices(batch, "text"):
                 ids = part.column("id").to_numpy(zero_copy_only=False)
-                (value, literal, spans, doc, words), (raw, text, token) = templates.with_raw(part.column("text").cast(pa.binary()).to_pylist())
+                (value, literal, spans, doc, words), (raw, text, token) = templates.with_raw(part.column("text"))
                 h, at = windows(value, literal, doc)
                 count = np.bincount(doc[at], minlength=len(ids))
                 if marks is not None:
