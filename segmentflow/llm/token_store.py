@@ -52,9 +52,11 @@ LATIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatc
 # other marks) for lower-case texts of Latin-1 characters, and how it is
 # written in the file.
 SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-LOWER = r"a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff"
-DIGITS = r"0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
-UNITS = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{LOWER}]+|[{DIGITS}]|[^\t-\r \u0085\u00a0{LOWER}{DIGITS}]+").findall
+SPACE, LETTER, DIGIT, OTHER = range(4)
+CLASS = np.full(256, OTHER, np.uint8)
+CLASS[[*range(9, 14), 32, 0x85, 0xA0]] = SPACE
+CLASS[[*range(97, 123), 0xAA, 0xB5, 0xBA, *range(0xDF, 0xF7), *range(0xF8, 0x100)]] = LETTER
+CLASS[[*range(48, 58), 0xB2, 0xB3, 0xB9, 0xBC, 0xBD, 0xBE]] = DIGIT
 MANIFEST = "part BIGINT, roll BIGINT, path STRING, n_docs BIGINT, n_ids BIGINT"
 
 
@@ -74,14 +76,44 @@ def schema(length: int, kind: pa.DataType) -> pa.Schema:
     return pa.schema([("tokens", pa.list_(kind, length)), ("mask", pa.list_(pa.uint8(), length // 8)), ("ends", pa.list_(pa.bool_(), length)), ("docs", docs)])
 
 
+def cut_units(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The units of lower-case Latin-1 texts, one after the other (Latin-1
+    bytes), and how many each text has: runs of letters, single digits, runs
+    of other marks, and the endings of ``SPLIT``, which take an apostrophe
+    that begins a unit."""
+    size = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    data = np.frombuffer(" ".join([*texts, "  "]).encode("latin-1"), np.uint8)
+    kind = CLASS[data]
+    before = np.concatenate([[SPACE], kind[:-1]])
+    start = ((kind != before) | (kind == DIGIT)) & (kind != SPACE)
+    at = np.flatnonzero((data == 39) & (before != OTHER))
+    if len(at):
+        one, two = data[at + 1], data[at + 2]
+        long = (two == 101) & ((one == 114) | (one == 118)) | (one == 108) & (two == 108)  # 're 've 'll
+        length = np.where(np.isin(one, np.frombuffer(b"stmd", np.uint8)), 2, np.where(long, 3, 0))
+        at, length = at[length > 0], length[length > 0]
+        start[at + 1] = False
+        start[at + length] = kind[at + length] != SPACE
+    kept = kind != SPACE
+    places = np.flatnonzero(start)
+    offsets = np.append((np.cumsum(kept) - kept)[places], kept.sum()).astype(np.int32)
+    units = pa.Array.from_buffers(pa.binary(), len(places), [None, pa.py_buffer(offsets), pa.py_buffer(data[kept])])
+    return units, np.diff(np.searchsorted(places, np.concatenate([[0], np.cumsum(size)])))
+
+
+def _spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The indices of runs of ``size`` from ``first``, one after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(first - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class Tokenizer:
     """Ids of whole texts by the tokenizers library, as raw integers.
 
     The library lower-cases a text, cuts it into units and drops white
     space, and never joins units, so a text's ids are those of its units in
-    turn; repeated units are encoded once (bounded caches of two
-    generations), and many go into one call: each ends with a token that
-    closes a word.  Texts with characters beyond Latin-1 or an added
+    turn; repeated units are encoded once (a bounded table), and many go
+    into one call: each ends with a token that closes a word.  Texts with characters beyond Latin-1 or an added
     token, and vocabularies with another split, are cut at white space only, and the library does
     the rest; there plain Latin words that differ only by case or closing
     marks share one call."""
@@ -105,6 +137,9 @@ class Tokenizer:
             self.closes[[i for t, i in model["vocab"].items() if t.endswith(suffix)]] = True
         # Added tokens are found before a text is cut.
         self.added = [t["content"].lower() for t in file.get("added_tokens", [])]
+        # Units: place of each in ``ids``, where each ends, ids in turn.
+        self.index: dict[bytes, int] = {}
+        self.ends, self.ids = np.zeros(1, np.int64), np.zeros(0, kind)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.cores: dict[str, bytes] = {}
@@ -151,36 +186,63 @@ class Tokenizer:
         self.young.update((w, cores[core] + marks[tail]) for w, core, tail in split)
         self.young.update(zip(other, self._separate(other), strict=True))
 
-    def _cuts(self, text: str | None) -> tuple[bool, list[str]]:
-        """Whether a text is cut into units, else words, and these."""
+    def _plain(self, text: str | None) -> str | None:
+        """The lower-case text if it is cut into units, None if into words."""
         if not text:
-            return True, []
-        if self.known_split:
+            return ""
+        if not self.known_split:
+            return None
+        if not text.isascii():
             try:
-                if not text.isascii():
-                    text.encode("latin-1")
-                lower = text.lower()
-                if not any(a in lower for a in self.added):
-                    return True, UNITS(lower)
+                text.encode("latin-1")
             except UnicodeEncodeError:
-                pass
-        return False, text.split(" ") if CONTROL(text) else text.split()
+                return None
+        lower = text.lower()
+        return None if any(a in lower for a in self.added) else lower
+
+    def _number(self, units: list[bytes]) -> np.ndarray:
+        """The place of each unit in ``ids``; new ones are encoded.  When
+        the table is full it restarts with the units of this call."""
+        if len(self.index) > CACHE_ENTRIES:
+            kept = [u for u in units if u in self.index]
+            at = np.fromiter(map(self.index.__getitem__, kept), np.int64, len(kept))
+            size = self.ends[at + 1] - self.ends[at]
+            self.ids = self.ids[_spread(self.ends[at], size)]
+            self.ends = np.concatenate([[0], np.cumsum(size)])
+            self.index = dict(zip(kept, range(len(kept)), strict=True))
+        new = [u for u in units if u not in self.index]
+        if new:
+            raw = self._joined([u.decode("latin-1") for u in new])
+            size = np.fromiter(map(len, raw), np.int64, len(raw)) // self.kind.itemsize
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(raw), self.kind)])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(size)])
+            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
+        return np.fromiter(map(self.index.__getitem__, units), np.int64, len(units))
+
+    def _by_units(self, texts: list[str]) -> list[bytes]:
+        """Ids of lower-case Latin-1 texts: cut and numbered as arrays, only
+        the different units of a call reach Python."""
+        units, counts = cut_units(texts)
+        coded = units.dictionary_encode()
+        at = self._number(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
+        size = self.ends[at + 1] - self.ends[at]
+        raw = self.ids[_spread(self.ends[at], size)].tobytes()
+        stop = np.concatenate([[0], np.cumsum(size)])[np.cumsum(counts)] * self.kind.itemsize
+        stop = stop.tolist()
+        return [raw[a:b] for a, b in zip([0, *stop], stop, strict=False)]
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
+        plain = [self._plain(t) for t in texts]
+        by_units = iter(self._by_units([t for t in plain if t is not None]))
         if len(self.young) > CACHE_ENTRIES:
             self.old, self.young = self.young, {}
-        cuts = [self._cuts(t) for t in texts]
+        cuts = [(t.split(" ") if CONTROL(t) else t.split()) if p is None else [] for t, p in zip(texts, plain, strict=True)]
         young, old = self.young, self.old
-        for units in (True, False):
-            new = {w for w in set().union(*(c for k, c in cuts if k == units)) if w not in young}
-            young.update((w, old[w]) for w in new if w in old)
-            missing = [w for w in new if w not in young]
-            if units:
-                young.update(zip(missing, self._joined(missing), strict=True))
-            else:
-                self._learn(missing)
+        new = {w for w in set().union(*cuts) if w not in young}
+        young.update((w, old[w]) for w in new if w in old)
+        self._learn([w for w in new if w not in young])
         get = young.__getitem__
-        return [b"".join(map(get, c)) for _, c in cuts]
+        return [b"".join(map(get, c)) if p is None else next(by_units) for p, c in zip(plain, cuts, strict=True)]
 
 
 class Writer:
