@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from segmentflow.config import JobConfig, apply_session_defaults, work_dir
+from segmentflow.config import JobConfig, apply_session_defaults, use_namespace, work_dir
 from segmentflow.functions.columns import (
     batch_stamp,
     changed_non_null,
@@ -43,6 +43,7 @@ from segmentflow.sinks.export import export_segments
 from segmentflow.sinks.tables import (
     append_available_now,
     create_if_missing,
+    drop_tables,
     insert_by_name,
     overwrite_table,
     preview,
@@ -62,6 +63,7 @@ from segmentflow.sources.files import (
 )
 from segmentflow.sources.tables import inline_values
 from segmentflow.streaming.feeds import land_feed, land_inferred
+from segmentflow.streaming.fold import fold_stream, read_state
 from segmentflow.streaming.touched import PartitionedState, merge_stream
 from segmentflow.streaming.views import daily_counts_stream, maintain_view, read_view
 
@@ -611,21 +613,36 @@ j AS (SELECT t.c_custkey AS tid, t.c_name AS tname, t.c_acctbal AS tbal, t.modif
       FROM op t FULL JOIN inc i ON t.c_custkey = i.c_custkey)"""
 
 
-@register(
-    "scd2_merge",
-    f"""WITH {SCD2_SQL}
+SCD2_MERGE_SQL = f"""WITH {SCD2_SQL}
 SELECT * FROM tgt WHERE end_timestamp IS NOT NULL
 UNION ALL
 SELECT tid, tname, tbal, tmod, tstart, CASE WHEN newer THEN TIMESTAMP '{SCD2_NOW}' END FROM j WHERE tid IS NOT NULL
 UNION ALL
 SELECT iid, iname, ibal, imod, TIMESTAMP '{SCD2_NOW}', CAST(NULL AS TIMESTAMP) FROM j
-WHERE iid IS NOT NULL AND (tid IS NULL OR newer)""",
-)
+WHERE iid IS NOT NULL AND (tid IS NULL OR newer)"""
+
+
+@register("scd2_merge", SCD2_MERGE_SQL)
 def q_scd2_merge(spark, sf_dir):
     now = F.lit(SCD2_NOW).cast("timestamp_ntz")
     return scd2.scd2_merge(scd2_target(spark, sf_dir), scd2_incoming(spark, sf_dir), "c_custkey", "modifiedon", now)
 
 
+@register("scd2_stream", SCD2_MERGE_SQL)
+def q_scd2_stream(spark, sf_dir):
+    """The same merge as a fold of a stream into snapshot state; a second
+    run of the checkpoint finds nothing new and changes nothing."""
+    root, _ = fresh(spark, "scd2-stream")
+    scd2_incoming(spark, sf_dir).write.parquet(os.path.join(root, "drop"))
+    now = F.lit(SCD2_NOW).cast("timestamp_ntz")
+    fold, start = scd2.scd2_fold("c_custkey", "modifiedon", now), lambda spark: scd2_target(spark, sf_dir)
+    state = os.path.join(root, "state")
+    for _ in range(2):
+        stream = stream_parquet(spark, os.path.join(root, "drop"), scd2_incoming(spark, sf_dir).schema)
+        fold_stream(stream, fold, state, "scd2", os.path.join(root, "checkpoint"), start)
+    return read_state(spark, state, start)
+
+
 @register(
     "filter_current",
     f"""WITH {SCD2_SQL}
@@ -1374,9 +1391,7 @@ def events_job(spark: SparkSession, sf_dir: str, state_buckets: int = 16) -> tup
     return cfg, {"landing_write_sec": round(t1 - t0, 3), "job_sec": round(t2 - t1, 3)}
 
 
-@register(
-    "segment_job",
-    f"""WITH f AS (
+SEGMENT_JOB_SQL = f"""WITH f AS (
   SELECT 'user' || CAST(user_id AS VARCHAR) AS email,
          'seg' || CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % {SEGMENT_COUNT} AS VARCHAR) AS segment,
          event_type FROM events),
@@ -1384,8 +1399,10 @@ a AS (SELECT DISTINCT email, segment FROM f WHERE event_type IN ('signup', 'purc
 r AS (SELECT DISTINCT email, segment FROM f WHERE event_type = 'error'),
 act AS (SELECT email, segment FROM a WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.email = a.email AND r.segment = a.segment)),
 seglist AS (SELECT email, array_to_string(list_sort(list(segment)), ',') AS l FROM act GROUP BY email)
-SELECT c.email, s.l AS list_of_segments FROM (SELECT DISTINCT email FROM a) c LEFT JOIN seglist s ON c.email = s.email""",
-)
+SELECT c.email, s.l AS list_of_segments FROM (SELECT DISTINCT email FROM a) c LEFT JOIN seglist s ON c.email = s.email"""
+
+
+@register("segment_job", SEGMENT_JOB_SQL)
 def q_segment_job(spark, sf_dir):
     """The whole job (CSV streams to bronze with lineage, contact and
     membership folds on bucketed state, main table, export) on drops made
@@ -1394,6 +1411,17 @@ def q_segment_job(spark, sf_dir):
     return spark.table(cfg.table("main")).select("email", as_text())
 
 
+@register("replay_all", SEGMENT_JOB_SQL)
+def q_replay_all(spark, sf_dir):
+    """The job's tables dropped and every landed file read again with a new
+    state folder: the same main table."""
+    cfg, _ = events_job(spark, sf_dir)
+    again = segment_job.replay_all(spark, cfg, cfg.state + "-again")
+    again = replace(again, export=cfg.export + "-again")
+    segment_job.run_segment_pipeline(spark, again, date=EXPORT_DATE)
+    return spark.table(again.table("main")).select("email", as_text())
+
+
 # --------------------------------------------------------- file facts --
 @register(
     "file_metadata",
@@ -1600,6 +1628,35 @@ def q_overwrite_table(spark, sf_dir):
     return spark.table(table)
 
 
+@register(
+    "drop_tables",
+    "SELECT c_custkey, c_name, false AS other_exists FROM customer",
+)
+def q_drop_tables(spark, sf_dir):
+    """One of two tables dropped, twice; the rows of the one that is left."""
+    _, table = fresh(spark, "drop")
+    c = T(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    overwrite_table(c, table)
+    overwrite_table(c, f"{table}_other")
+    for _ in range(2):
+        drop_tables(spark, [f"{table}_other"])
+    return spark.table(table).withColumn("other_exists", F.lit(spark.catalog.tableExists(f"{table}_other")))
+
+
+@register("namespace", "SELECT o_orderkey, o_custkey FROM orders")
+def q_namespace(spark, sf_dir):
+    """A table written by its bare name in the schema that the parameters
+    select, read back by its full name; the session's schema is restored."""
+    _, table = fresh(spark, "namespace")
+    before = spark.catalog.currentDatabase()
+    use_namespace(spark, JobConfig(landing="", state="", export="", schema="segmentflow_namespace"))
+    try:
+        overwrite_table(T(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), table)
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+    return spark.table(f"segmentflow_namespace.{table}")
+
+
 @register("insert_overwrite", "SELECT c_custkey, c_name, c_nationkey FROM customer WHERE c_nationkey >= 12")
 def q_insert_overwrite(spark, sf_dir):
     """``INSERT OVERWRITE`` by name: the source has its columns in another

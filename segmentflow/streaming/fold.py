@@ -150,12 +150,18 @@ def applied(spark: SparkSession, state_dir: str, stream_name: str, batch_id: int
 
 def _remove_old(spark: SparkSession, state_dir: str, newest: int) -> None:
     """Drop the tables and folders of snapshots that no reader starts from
-    any more.  Folders of crashed attempts lie below the same ``seq=<n>``."""
-    log = _log(spark, state_dir).filter(F.col("seq") == newest - KEPT_SNAPSHOTS)
-    for r in log.select("path").collect():
+    any more, also those that a run cut off here before has left.  Folders
+    of crashed attempts lie below the same ``seq=<n>``."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(_join(state_dir, "snap"))
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {int(f.getPath().getName().partition("=")[2]): f.getPath() for f in fs.listStatus(root)}
+    old = [n for n in found if n <= newest - KEPT_SNAPSHOTS]
+    if not old:
+        return
+    for r in _log(spark, state_dir).filter(F.col("seq").isin(old)).select("path").distinct().collect():
         spark.sql(f"DROP TABLE IF EXISTS {_table_name(r.path)}")
-        folder = spark._jvm.org.apache.hadoop.fs.Path(r.path).getParent()
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    for n in old:
+        fs.delete(found[n], True)
 
 
 def apply_batch(

@@ -24,16 +24,31 @@ def daily_counts_stream(orders: DataFrame, date_range: tuple[str, str] | None =
     return raw.groupBy("order_date").agg(F.count("*").alias("number_of_orders"))
 
 
+KEPT_VERSIONS = 2  # the newest, and the one a reader may have begun
+
+
+def _complete(spark: SparkSession, path: str) -> list:
+    """The complete versions, oldest first.  A version counts once Spark's
+    commit marker is there, so a reader never sees half of one."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS")
+    found = fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(fs_path) or []
+    return sorted((f.getPath().getParent() for f in found), key=lambda p: p.toString())
+
+
 def maintain_view(agg: DataFrame, path: str, checkpoint: str) -> None:
     """Run a streaming aggregate with ``availableNow`` in complete mode and
     publish each trigger's full result as a version of its own below
-    ``path`` (Parquet); ``read_view`` gives the newest complete one.
+    ``path`` (Parquet); ``read_view`` gives the newest complete one.  The
+    last ``KEPT_VERSIONS`` are kept.
 
     The number of state partitions is the session's shuffle width on the
     first run of a checkpoint."""
 
     def publish(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         batch.write.mode("overwrite").parquet(f"{path}/version={batch_id:012d}")
+        for old in _complete(spark, path)[:-KEPT_VERSIONS]:
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
     q = (
         agg.writeStream.outputMode("complete")
@@ -46,11 +61,8 @@ def maintain_view(agg: DataFrame, path: str, checkpoint: str) -> None:
 
 
 def read_view(spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete version.  A version counts once Spark's commit
-    marker is there, so a reader never sees half of one."""
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS")
-    found = fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(fs_path)
+    """The newest complete version."""
+    found = _complete(spark, path)
     if not found:
         raise ValueError(f"no complete version in {path}")
-    newest = max(f.getPath().getParent().toString() for f in found)
-    return spark.read.parquet(newest)
+    return spark.read.parquet(found[-1].toString())

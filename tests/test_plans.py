@@ -18,7 +18,7 @@ PAIR_LISTS = {"all_pairs", "pair_overlap"}
 # These run their work (streams, writes) while building the DataFrame and
 # return a read of what they wrote, so their final plan shows none of it;
 # their results are checked by the oracle tests.
-STAGED = {"segment_job", "foreach_batch_merge", "orders_daily_stream", "segment_export", "initial_load", "quarantine"}
+STAGED = {"segment_job", "replay_all", "scd2_stream", "foreach_batch_merge", "orders_daily_stream", "segment_export", "initial_load", "quarantine"}
 
 
 def physical(df) -> str:

@@ -218,3 +218,7 @@ def test_daily_view_is_maintained_incrementally(spark, tmp):
                     {"customer_name": "d", "order_datetime": "1567296000", "order_number": 4}])
     maintain_view(daily_counts_stream(stream_json(spark, land, schema)), out, ck)
     assert rows(read_view(spark, out)) == [(dt.date(2019, 8, 1), 2), (dt.date(2019, 9, 1), 1), (None, 1)]
+    drop("c.json", [{"customer_name": "e", "order_datetime": "1567296001", "order_number": 5}])
+    maintain_view(daily_counts_stream(stream_json(spark, land, schema)), out, ck)
+    assert rows(read_view(spark, out)) == [(dt.date(2019, 8, 1), 2), (dt.date(2019, 9, 1), 2), (None, 1)]
+    assert len(os.listdir(out)) == 2  # older versions are removed

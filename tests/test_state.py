@@ -49,6 +49,10 @@ def test_old_snapshots_go(spark, tmp):
     left = sorted(os.listdir(os.path.join(tmp, "snap")))
     assert left == [f"seq={n}" for n in range(5 - KEPT_SNAPSHOTS, 5)]
     assert rows(read_state(spark, tmp, init)) == [(1, 1)]
+    # One that a run cut off before its removal has left goes with the next.
+    os.makedirs(os.path.join(tmp, "snap", "seq=0", "run=old"))
+    apply_batch(one, 5, add, tmp, "s", init, Bucketing(("k",), 2))
+    assert sorted(os.listdir(os.path.join(tmp, "snap"))) == [f"seq={n}" for n in range(6 - KEPT_SNAPSHOTS, 6)]
 
 
 def test_unreadable_log_is_an_error(spark, tmp):
