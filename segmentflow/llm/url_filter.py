@@ -24,50 +24,45 @@ CACHE_HOSTS = 100_000
 # A path's share against its host's: paths say less.
 PATH_SHARE = 0.3
 
-# The small labelled URL table.  1 is block.
-LABELLED = [
-    ("http://casino-win.example.net/en/1", 1),
-    ("https://online-casino.example.com/play", 1),
-    ("https://poker-bonus.example.org/win/now", 1),
-    ("http://free-bets.example.net/fr/20", 1),
-    ("https://sports-bets.example.com/odds", 1),
-    ("http://cheap-pills.example.net/buy", 1),
-    ("https://pills-online.example.org/order/viagra", 1),
-    ("https://adult-x.example.com/videos", 1),
-    ("http://xxx-adult.example.net/cam/live", 1),
-    ("http://ads-track.example.com/click?id=5", 1),
-    ("https://track-click.example.org/ads/banner", 1),
-    ("http://spam-farm.example.org/links", 1),
-    ("https://link-farm.example.net/seo/1", 1),
-    ("http://lottery-prize.example.com/claim", 1),
-    ("https://crack-keygen.example.net/download/warez", 1),
-    ("http://phishing-login.example.org/verify/account", 1),
-    ("http://loans-fast.example.com/payday", 1),
-    ("https://malware-exe.example.net/free.exe", 1),
-    ("https://m.casino-bonus.example.org/spin/3", 1),
-    ("https://blog.free-bets.example.com/tips", 1),
-    ("http://www.cheap-pills.example.org/en/9", 1),
-    ("http://news.example.org/en/2024/story.html", 0),
-    ("https://www.library.example.com/books/12", 0),
-    ("https://blog.travel.example.net/fr/paris", 0),
-    ("http://university.example.org/physics/lecture-3.html", 0),
-    ("https://m.weather.example.com/de/berlin", 0),
-    ("https://docs.python.example.org/tutorial/7.html", 0),
-    ("http://www.recipes.example.net/es/tortilla", 0),
-    ("https://museum.example.com/en/collection/44", 0),
-    ("https://blog.gardening.example.org/en/roses", 0),
-    ("http://city.example.net/council/minutes.html", 0),
-    ("https://www.thehistory.example.org/en/3811", 0),
-    ("https://tionment.example.com/fr/902.html", 0),
-    ("http://m.northern.example.net/de/77", 0),
-    ("https://hereand.example.org/en/1501/", 0),
-    ("http://www.science.example.com/en/4410", 0),
-    ("https://blog.thinking.example.net/es/6032/", 0),
-    ("https://www.weitung.example.org/de/918", 0),
-    ("http://inerand.example.com/en/7302.html", 0),
-    ("https://school.example.net/en/timetable", 0),
-    ("http://forum.chess.example.org/topic/81", 0),
-]
+# The small labelled URL table, by topic (gambling, drugs,
+# adult, advertising and tracking, link farms, fraud, malware; then plain
+# sites of many kinds), independent of the urls that are judged.
+BLOCK = """
+https://www.luckycasino.test/slots https://casinoroyal.test/bonus http://megacasino777.test/spin http://casino.bestslots.test/jackpot/4
+https://poker-stars-online.test/tables http://pokerroom.test/deposit https://livepoker.test/en/bonus http://winbig.test/lottery/claim
+https://bigwin-slots.test/play/now http://betting-odds.test/football https://sportsbet365.test/live http://bets4you.test/signup
+https://freebet.test/offer/3 http://www.betnow.test/en/odds.html https://roulette-win.test/free https://jackpot-winner.test/claim-prize
+http://buy-pills-online.test/order https://pillstore.test/viagra https://discountpills.test/cialis/buy http://cheapmeds.test/no-prescription
+https://cheap-drugs.test/pharmacy http://viagra-cheap.test/shop https://weightloss-pills.test/order/2 http://rx-cheap-pharmacy.test/pills
+https://hotadult.test/videos http://adult-dating.test/hookup https://www.adultcams.test/live http://xxxvideos.test/free/12
+https://sexcam.test/live https://xxx-tube.test/watch http://pornhd.test/clips https://adultfun.test/gallery/x
+http://adserver.test/banner?id=3 https://ads.clicknet.test/track https://tracker-pixel.test/collect http://clicktrack.test/redirect
+https://trackads.test/impression http://popup-ads.test/click https://adsbanner.test/serve/9 http://track.adnet.test/pixel
+http://linkfarm-seo.test/links https://seo-spam.test/backlinks http://spamlinks.test/directory/7 https://buybacklinks.test/cheap
+http://spammer-farm.test/list https://contentfarm.test/spin/articles http://doorway-spam.test/keywords https://farm-links.test/exchange
+http://secure-login-verify.test/account https://bank-phishing.test/update/password http://verify-paypal-login.test/signin https://prize-claim.test/winner
+http://fastcash-loans.test/payday https://payday-loan.test/apply/now http://getrich-quick.test/invest https://free-iphone-winner.test/claim
+http://keygen-crack.test/download https://warez-full.test/serial http://malware-dl.test/setup.exe https://cracked-games.test/torrent
+""".split()
+ALLOW = """
+https://www.cityherald.test/news/2021/budget.html http://morningpost.test/world/story-18 https://daily-courier.test/en/opinion https://radio.test/programmes
+https://library.test/catalogue/1204 http://archive-society.test/letters/1851 https://museum-of-science.test/en/exhibits/9 https://gallery.test/painters/vermeer
+https://physics.uni-north.test/lectures/3 http://college.test/admissions https://school-district.test/calendar.html https://www.mathsclub.test/problems/77
+http://blog.slowcooking.test/bread-recipe https://recipes.test/soup/lentil https://www.kitchenbook.test/es/paella http://bakery.test/about
+https://garden-notes.test/en/roses http://birdwatch.test/species/heron https://www.riverwalk.test/maps/7.html https://hiking-trails.test/fr/alpes
+http://weather-station.test/de/hamburg https://forecast.test/weekly https://m.traintimes.test/departures http://citybus.test/timetable/12
+https://docs.compiler.test/manual/intro.html http://opensource-wiki.test/page/threads https://python-howto.test/lists https://code.test/issues/341
+https://forum.chessplayers.test/topic/9 http://board.woodwork.test/thread/202?page=3 https://blog.photography.test/lenses https://m.cycling.test/en/gear
+http://hospital.test/departments/cardiology https://health-service.test/vaccines https://www.dentist-lane.test/contact http://nutrition.test/fr/guide/5
+https://townhall.test/council/minutes http://parliament.test/bills/2020/14 https://court-records.test/en/2019 https://tax-office.test/forms/a1.html
+http://football-club.test/fixtures https://athletics.test/results/2022/ https://tennis-news.test/en/7134 http://swimming.test/lessons
+https://orchestra.test/concerts http://jazz-history.test/en/1920 https://theatre-royal.test/tickets/44 https://www.filmreview.test/es/2210
+https://bookshop.test/novels/88 http://publisher.test/authors/index.html https://poems.test/en/4821 https://shop.toymaker.test/puzzles?page=2
+http://bank.test/branches https://insurance.test/en/home https://www.carpenter.test/oak-table http://hotel-lakeside.test/rooms/2
+https://anderson.test/en/9012 http://www.wellington.test/de/551.html https://m.horizon.test/fr/3307/ https://thornbury.test/en/18?ref=x
+http://blog.northshire.test/es/640#top https://renthaven.test/en/2209?utm_source=feed https://www.steinhof.test/de/7415/ http://bellerive.test/fr/86
+""".split()
+LABELLED = [(u, 1) for u in BLOCK] + [(u, 0) for u in ALLOW]
 
 
 def with_parts(df: DataFrame, url_col: str) -> DataFrame:
