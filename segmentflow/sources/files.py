@@ -25,8 +25,21 @@ FEED_SCHEMA = StructType(
 )
 CONTACT_COLUMNS = ["Name", "DOB", "occupation", "phone_number"]
 FEED_DATE_FORMAT = "yyyy-MM-dd"
+PLAIN_DATE = r"\A(1[6-9]|[2-9][0-9])[0-9]{2}-[0-9]{2}-[0-9]{2}\z"
+
+# What text that casts to a type looks like; the cast itself takes long to
+# say that text is no value.
+_SPACE = r"[\x00-\x20\x7f]*"
+MAY_BE = {
+    "int": r"\A[^A-Za-z]*[0-9][^A-Za-z]*\z",
+    "bigint": r"\A[^A-Za-z]*[0-9][^A-Za-z]*\z",
+    "double": rf"(?i)\A{_SPACE}[-+]?([.0-9]|inf|nan)",
+    "timestamp": rf"\A{_SPACE}[-+T0-9]",
+    "boolean": rf"(?i)\A{_SPACE}[tfyn01][a-z]{{0,4}}{_SPACE}\z",
+}
 
 MOST_COLUMNS = 64  # of a file; lines with more can't be read by name
+FEW_COLUMNS = 16  # looked for first in lines with quotes
 LINE_END = "\ue000"  # a private-use character
 
 
@@ -119,27 +132,43 @@ def read_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataF
 
 def with_cells(lines: DataFrame, most_columns: int = MOST_COLUMNS) -> DataFrame:
     """Lines that aren't blank with their values: ``_cells``, and ``_n``,
-    how many there are (-1 where an open quote hides the line's end)."""
-    slots = ", ".join(f"c{i} STRING" for i in range(most_columns + 1))
-    parsed = F.from_csv(F.concat("raw", F.lit("," + LINE_END)), slots)
-    cells = F.array(*[F.col(f"_p.c{i}") for i in range(most_columns + 1)])
-    out = lines.filter(F.trim("raw") != "").withColumn("_p", parsed).withColumn("_cells", cells)
+    how many there are (-1 where an open quote hides the line's end, or
+    beyond ``most_columns``).
+
+    A line without a quote is cut at its commas.  The others go through the
+    CSV parser, whose time a line grows with its columns, so it looks for
+    ``FEW_COLUMNS`` first and for all where the line's end isn't among them."""
+    few, odd = min(FEW_COLUMNS, most_columns), F.col("_odd")
+    parse = lambda n: F.from_csv(F.concat("raw", F.lit("," + LINE_END)), ", ".join(f"c{i} STRING" for i in range(n + 1)))
+    cells = lambda p, n: F.array(*[F.col(f"{p}.c{i}") for i in range(n + 1)])
     # The mark stands behind the last value unless an open quote took it in.
-    out = out.withColumn("_n", F.array_position("_cells", F.lit(LINE_END)).cast("int") - 1).drop("_p")
-    return out.withColumn("_cells", F.when(F.col("_n") >= 0, F.slice("_cells", F.lit(1), F.greatest("_n", F.lit(0)))))
-
-
-def file_headers(cells: DataFrame) -> DataFrame:
-    """Per file its first line, ``_head``, and the ``_names`` in it: one
-    aggregation, combined before the shuffle, so no file is one task's
-    work."""
+    end = lambda c: F.array_position(c, F.lit(LINE_END)).cast("int") - 1
+    out = lines.filter(F.trim("raw") != "")
+    out = out.withColumn("_odd", F.col("raw").contains('"') | F.col("raw").contains("\0") | F.col("raw").contains(LINE_END))
+    out = out.withColumn("_p", F.when(odd, parse(few))).withColumn("_few", F.when(odd, cells("_p", few)))
+    out = out.withColumn("_many", odd & (end(F.col("_few")) < 0))
+    out = out.withColumn("_p", F.when(F.col("_many"), parse(most_columns))).withColumn("_all", F.when(F.col("_many"), cells("_p", most_columns)))
+    out = out.withColumn("_parsed", F.coalesce("_all", "_few")).withColumn("_cut", F.when(~odd, F.split("raw", ",")))
+    size = F.when(odd, end(F.col("_parsed"))).when(F.size("_cut") <= most_columns, F.size("_cut")).otherwise(-1)
+    out = out.withColumn("_n", size)
+    parsed = F.slice("_parsed", F.lit(1), F.greatest("_n", F.lit(0)))
+    plain = F.transform("_cut", lambda c: F.when(c != "", c))
+    out = out.withColumn("_cells", F.when(F.col("_n") >= 0, F.when(odd, parsed).otherwise(plain)))
+    return out.drop("_odd", "_p", "_few", "_many", "_all", "_parsed", "_cut")
+
+
+def file_headers(lines: DataFrame) -> DataFrame:
+    """Per file its first line that isn't blank, ``_head``, and the
+    ``_names`` in it: one aggregation, combined before the shuffle, so no
+    file is one task's work.  Of a file only that line is cut into values."""
     at = F.struct("block_start", F.monotonically_increasing_id().alias("row"))
+    rows = lines.filter(F.trim("raw") != "").select("source_file", at.alias("_at"), "raw")
+    first = rows.groupBy("source_file").agg(F.min_by("raw", "_at").alias("raw"))
     label = F.transform("_cells", lambda c: F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), "^\ufeff", "")))
-    first = cells.select("source_file", at.alias("_at"), F.struct(F.col("raw").alias("_head"), label.alias("_names")).alias("_line"))
-    return first.groupBy("source_file").agg(F.min_by("_line", "_at").alias("_line")).select("source_file", "_line.*")
+    return with_cells(first).select("source_file", F.col("raw").alias("_head"), label.alias("_names"))
 
 
-def aligned(lines: DataFrame, schema: StructType, required: list[str] | None = None) -> DataFrame:
+def aligned(lines: DataFrame, schema: StructType, required: list[str] | None = None, headers: DataFrame | None = None) -> DataFrame:
     """CSV lines (``raw`` with lineage) as the declared columns, bound by
     the names in each file's first line and never by position.
 
@@ -151,8 +180,9 @@ def aligned(lines: DataFrame, schema: StructType, required: list[str] | None = N
     reason, but its row is kept.  Columns that aren't declared are left out;
     blank lines, the header and copies of it give no row.
 
-    The headers, one row per file, are joined to the lines by
-    ``join_listed``, so a file may hold most of the lines."""
+    The headers, one row per file (``headers``, if ``file_headers`` of the
+    lines is there already), are joined to the lines by ``join_listed``, so
+    a file may hold most of the lines."""
     from segmentflow.operators.marts import join_listed
 
     ensure_checkpoint_dir(lines.sparkSession)
@@ -162,7 +192,10 @@ def aligned(lines: DataFrame, schema: StructType, required: list[str] | None = N
     fits = F.col("_names").isNotNull()
     if required:
         fits &= F.size(F.array_intersect("_names", F.array(*map(F.lit, required)))) == len(set(required))
-    files = file_headers(cells).withColumn("_names", F.when(fits, F.col("_names"))).checkpoint()
+    files = file_headers(lines) if headers is None else headers
+    # Where each declared column stands in a file's lines, once for each file.
+    at = [F.nullif(F.array_position("_names", n), F.lit(0)).cast("int").alias(f"_at{i}") for i, n in enumerate(names)]
+    files = files.withColumn("_names", F.when(fits, F.col("_names"))).select("*", *at).checkpoint()
     rows = join_listed(cells.drop("block_start"), files, "source_file").filter("raw <> _head or _names is null")
     broken = (
         F.when(F.col("_names").isNull(), "no header with the declared columns")
@@ -171,13 +204,16 @@ def aligned(lines: DataFrame, schema: StructType, required: list[str] | None = N
         .when(F.col("_n") < F.size("_names"), "too few values")
     )
     rows = rows.withColumn("_broken", broken)
-    text = {n: F.when(F.col("_broken").isNull() & F.array_contains("_names", n), F.try_element_at("_cells", F.array_position("_names", n).cast("int"))) for n in names}
-    typed = {f.name: typed_text(text[f.name], f.dataType) for f in schema}
-    bad = [F.when(text[n].isNotNull() & typed[n].isNull(), F.lit(f"bad {n}")) for n in names]
-    reason = F.coalesce("_broken", F.concat_ws(", ", *bad))
+    # One step each, so that no expression stands for its text in the others:
+    # a generated method of all columns would be too long to be compiled.
     lineage = [c for c in lines.columns if c not in ("raw", "block_start")]
+    text = [F.when(F.col("_broken").isNull(), F.try_element_at("_cells", F.col(f"_at{i}"))).alias(f"_t{i}") for i in range(len(names))]
+    rows = rows.select(*lineage, "raw", "_broken", *text)
+    rows = rows.select("*", *[typed_text(F.col(f"_t{i}"), f.dataType).alias(f"_v{i}") for i, f in enumerate(schema)])
+    bad = [F.when(F.col(f"_t{i}").isNotNull() & F.col(f"_v{i}").isNull(), F.lit(f"bad {f.name}")) for i, f in enumerate(schema) if f.dataType != StringType()]
+    reason = F.coalesce("_broken", F.concat_ws(", ", *bad))
     return rows.select(
-        *[typed[n].alias(n) for n in names], *lineage, "raw",
+        *[F.col(f"_v{i}").alias(n) for i, n in enumerate(names)], *lineage, "raw",
         F.when(reason != "", reason).alias("reason"), F.col("_broken").isNotNull().alias("rejected"),
     )
 
@@ -187,8 +223,12 @@ def typed_text(value: Column, kind: DataType) -> Column:
     if isinstance(kind, StringType):
         return value
     if isinstance(kind, DateType):
-        return F.try_to_timestamp(value, F.lit(FEED_DATE_FORMAT)).cast("date")
-    return value.try_cast(kind)
+        # A cast reads the plain form as the parser does, in less time; text
+        # without two hyphens is no date, which the parser takes long to say.
+        slow = F.when(value.like("%-%-%"), F.try_to_timestamp(value, F.lit(FEED_DATE_FORMAT)).cast("date"))
+        return F.when(value.rlike(PLAIN_DATE), value.try_cast("date")).otherwise(slow)
+    may_be = MAY_BE.get(kind.simpleString())
+    return value.try_cast(kind) if may_be is None else F.when(value.rlike(may_be), value.try_cast(kind))
 
 
 def path_not_found(e: Exception) -> bool:
@@ -228,18 +268,22 @@ def grown_schema(spark: SparkSession, path: str, schema_location: str, glob: str
     lines = read_lines(spark, path, glob)
     if until is not None:
         lines = lines.filter(F.col("_metadata.file_modification_time") >= F.lit(until))
-    headers = file_headers(with_cells(lines)).select(F.posexplode("_names").alias("at", "name")).groupBy("name").agg(F.min("at").alias("at"))
+    ensure_checkpoint_dir(spark)
+    files = file_headers(lines).checkpoint()
+    headers = files.select(F.posexplode("_names").alias("at", "name")).groupBy("name").agg(F.min("at").alias("at"))
     latest = lines.agg(F.max("file_modification_time")).first()[0]
     names = [r.name for r in sorted(headers.collect(), key=lambda r: (r["at"], r["name"])) if r.name]  # MOST_COLUMNS a file
     new = [n for n in names if n not in schema.names]
     if new:
         texts = StructType([StructField(n, StringType()) for n in new])
-        rows = aligned(lines.filter("raw is not null"), texts, required=[])
-        fits = lambda n, t: F.bool_and(F.col(f"`{n}`").isNull() | typed_text(F.col(f"`{n}`"), t).isNotNull())
-        kinds = [(t, StructType.fromDDL(f"x {t}")["x"].dataType) for t in INFERRED]
-        found = rows.agg(*[F.struct(F.count(F.col(f"`{n}`")).alias("n"), *[fits(n, k).alias(t) for t, k in kinds]).alias(n) for n in new]).first()
-        for n in new:
-            kind = next((k for t, k in kinds if found[n].n and found[n][t]), StringType())
+        rows = aligned(lines.filter("raw is not null"), texts, required=[], headers=files)
+        kinds = [StructType.fromDDL(f"x {t}")["x"].dataType for t in INFERRED]
+        # One row for each value, so that the tests stand once in the plan.
+        values = rows.select(F.posexplode(F.array(*[F.col(f"`{n}`") for n in new])).alias("at", "value")).filter("value is not null")
+        missed = sum((F.when(typed_text(F.col("value"), k).isNull(), 1 << i).otherwise(0) for i, k in enumerate(kinds)), F.lit(0))
+        found = {r["at"]: r.missed for r in values.groupBy("at").agg(F.bit_or(missed).alias("missed")).collect()}
+        for at, n in enumerate(new):
+            kind = next((k for i, k in enumerate(kinds) if at in found and not found[at] >> i & 1), StringType())
             schema = StructType([*schema.fields, StructField(n, kind)])
     if latest is not None:
         row = (version + 1, schema.json(), latest)

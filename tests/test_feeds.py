@@ -6,6 +6,7 @@ import os
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from segmentflow.config import JobConfig
 from segmentflow.plans import segment_job as job
@@ -145,3 +146,90 @@ def test_historic_ids_are_set_and_unique(spark, tmp):
         ("h2.csv", "taken random_id"): 1, ("h2.csv", "repeated random_id"): 1,
     }
     drop_tables(spark, list(cfg.tables.values()))
+
+
+def test_lines_are_cut_as_the_csv_parser_does(spark):
+    """The cut of plain lines, and the narrow and wide parse of lines with
+    quotes, against Spark's parser over all columns."""
+    from segmentflow.sources.files import LINE_END, MOST_COLUMNS, with_cells
+
+    raws = ["a,b,c", ",,", "a", ' a , "b,c" ,', '"a,b",c', 'a,"b', 'a,b"c,"', "  ", "a\\,b", 'x"\\"",y', "é,\t,-", "a,\ue000,b"]
+    for n in (15, 16, 17, 18, 63, 64, 65, 66, 90):
+        raws += [",".join("x" * (i % 2) for i in range(n)), '"q,r",' + ",".join("x" * (i % 2) for i in range(n - 1))]
+    df = spark.createDataFrame([(r,) for r in raws], "raw string")
+    parsed = F.from_csv(F.concat("raw", F.lit("," + LINE_END)), ", ".join(f"c{i} STRING" for i in range(MOST_COLUMNS + 1)))
+    want = {}
+    for r in df.filter("trim(raw) <> ''").select("raw", parsed.alias("p")).collect():
+        cells = list(r.p)
+        n = cells.index(LINE_END) if LINE_END in cells else -1
+        want[r.raw] = (n, cells[:n] if n >= 0 else None)
+    assert {r.raw: (r._n, r._cells) for r in with_cells(df).collect()} == want
+
+
+def test_headers_cut_one_line_of_a_file(spark, tmp, monkeypatch):
+    """Only the first line of each file is cut for its header (before: all)."""
+    from segmentflow.sources import files
+
+    os.makedirs(f"{tmp}/drop")
+    for i in range(2):
+        with open(f"{tmp}/drop/{i}.csv", "w") as f:
+            f.write("\n" * i + f"email,c{i}\n" + "u,1\n" * 200)
+    seen, cut = [], files.with_cells
+
+    def counted(lines, *args):
+        seen.append(lines.count())
+        return cut(lines, *args)
+
+    monkeypatch.setattr(files, "with_cells", counted)
+    heads = {tuple(r._names) for r in files.file_headers(files.read_lines(spark, f"{tmp}/drop")).collect()}
+    assert heads == {("email", "c0"), ("email", "c1")} and seen == [2]
+
+
+def test_dates_by_cast_and_by_parser(spark):
+    from pyspark.sql.types import DateType
+
+    from segmentflow.sources.files import FEED_DATE_FORMAT, typed_text
+
+    texts = ["1990-01-31", "1990-13-45", "1990-02-30", "2000-02-29", "1900-02-29", "9999-12-31", "user1", "1990", "1990-01", "555-123-4567", "", "-", "1990-01-01x"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    parsed = F.try_to_timestamp("t", F.lit(FEED_DATE_FORMAT)).cast("date")
+    assert df.filter(~typed_text(F.col("t"), DateType()).eqNullSafe(parsed)).count() == 0
+
+
+def test_text_is_typed_as_by_a_cast(spark):
+    from pyspark.sql.types import StructType
+
+    from segmentflow.sources.files import INFERRED, typed_text
+
+    texts = ["1", " 2 ", "-3", "+4", "2147483648", "9223372036854775808", "1.5", ".5", "5.", "1e3", "1d", "2F", "inf", "-Infinity", "+inf", "NaN", " nan"]
+    texts += ["0x1p3", "T10:00", "10:00", "T", "t", "TRUE", "Yes", "n", "no", "off", "tru", "1990-01-01", " 1990-01-01 10:00:00 ", "1990", "+1990-1", "user1", "n7", "", " "]
+    texts += ["\t7\n", "\x007", "\x7f1\x7f", "1990-01-01T00:00:00Z", "7\n8", "1,5", "1_000", "\u0661", "\u00a01"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for kind in INFERRED:
+        if kind != "date":  # by its format
+            kind = StructType.fromDDL(f"x {kind}")["x"].dataType
+            other = df.filter(~typed_text(F.col("t"), kind).eqNullSafe(F.col("t").try_cast(kind)))
+            assert [r.t for r in other.collect()] == []
+
+
+def test_drops_are_made_in_one_pass_over_events(spark, monkeypatch):
+    """Before: each of the drops scanned and parsed all events."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from segmentflow.plans import testdata
+
+    read, write = [], DataFrameWriter.csv
+
+    def recorded(self, path, *args, **kw):
+        read.extend(self._df.inputFiles())
+        return write(self, path, *args, **kw)
+
+    monkeypatch.setattr(DataFrameWriter, "csv", recorded)
+    monkeypatch.setattr(testdata.segment_job, "create_segments", lambda *a: None)
+    monkeypatch.setattr(testdata.segment_job, "run_segment_pipeline", lambda *a, **k: None)
+    cfg, _ = testdata.events_job(spark, "/root/testdata/sf0.001")
+    assert read and not [f for f in read if f.endswith("events.parquet")]
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").filter("event_type in ('signup', 'purchase', 'error')")
+    events = events.filter(F.get_json_object("props", "$.k").try_cast("int").isNotNull())
+    drops = spark.read.option("header", True).csv(f"{cfg.landing}/*/*")
+    assert rows(drops, "phone_number") == sorted([(str(r.event_id),) for r in events.collect()])
