@@ -1380,6 +1380,10 @@ def events_job(spark: SparkSession, sf_dir: str, state_buckets: int = 16) -> tup
         F.col("event_id").cast("string").alias("phone_number"),
     ).filter(F.col("occupation").isin("signup", "purchase", "error"))
     t0 = time.perf_counter()
+    # One pass over the events; each drop then reads its own partition.
+    made = os.path.join(root, "rows")
+    rows.write.partitionBy("kind", "segment").parquet(made)
+    rows = spark.read.schema(rows.schema).parquet(made).select(*rows.columns)
     for kind in ("add", "remove"):
         for seg in [f"seg{i}" for i in range(SEGMENT_COUNT)]:
             part = rows.filter((F.col("segment") == seg) & (F.col("kind") == kind)).drop("segment", "kind")
