@@ -56,21 +56,28 @@ class Model:
     limits: np.ndarray  # log odds of the least score kept at each length
 
 
-def bounded_sample(df: DataFrame, key: str, group: str, per_group: int, text: str = "text", most_bytes: int = SAMPLE_BYTES) -> DataFrame:
+def bounded_sample(
+    df: DataFrame, key: str, group: str, per_group: int, text: str = "text", most_bytes: int = SAMPLE_BYTES, groups: DataFrame | None = None
+) -> DataFrame:
     """Rows of up to ``per_group`` different keys of each group, those whose
     keys have the smallest hashes, and of those as many as fit in
     ``most_bytes`` of text a group; texts longer than a 32nd of that are
     left out, so that no few of them take the place of the others.  A key's repeated rows count once, and rows without a key are told
     apart by their text.
 
+    With ``groups`` the group is that table's column, joined by the key:
+    only the texts' keys, sizes and hashes are shuffled for that.
+
     Keys whose hash is surely too large, by the number of different keys in
     the group, are left out before the ranking, so it sees a few times
     ``per_group`` rows of a group of any size.  The groups' sizes and the
     chosen keys are broadcast if they are measured to be small."""
-    rows = df.select(F.col(key).alias("__k"), F.col(group).alias("__g"), F.col(text).alias("__t"))
-    rows = rows.withColumn("__h", F.when(F.col("__k").isNull(), F.xxhash64("__t")).otherwise(F.xxhash64("__k")))
+    rows = df.select(F.col(key).alias("__k"), *([] if groups is not None else [F.col(group).alias("__g")]), F.octet_length(text).alias("__s"), F.xxhash64(text).alias("__t"))
+    if groups is not None:
+        rows = rows.join(groups.select(F.col(key).alias("__k"), F.col(group).alias("__g")), "__k")
+    rows = rows.withColumn("__h", F.when(F.col("__k").isNull(), F.col("__t")).otherwise(F.xxhash64("__k")))
     # One row for each key and group (the smallest text), combined map-side.
-    once = rows.groupBy("__g", "__h").agg(F.min(F.struct(F.octet_length("__t").alias("size"), F.xxhash64("__t").alias("th"))).alias("t"))
+    once = rows.groupBy("__g", "__h").agg(F.min(F.struct(F.col("__s").alias("size"), F.col("__t").alias("th"))).alias("t"))
     once = staged(once.select("__g", "__h", "t.size", "t.th"), "sample-keys")
     sizes = once.groupBy("__g").agg(F.count(F.lit(1)).alias("__n"))
     share = F.col("__h") / 2.0**64 + 0.5
@@ -81,8 +88,11 @@ def bounded_sample(df: DataFrame, key: str, group: str, per_group: int, text: st
     chosen = few.where((F.col("__r") <= per_group) & (F.col("__b") <= most_bytes)).select("__g", "__h", "th")
     chosen = small(staged(chosen, "sample"))
     hashed = F.when(F.col(key).isNull(), F.xxhash64(F.col(text))).otherwise(F.xxhash64(F.col(key)))
-    matched = (hashed == F.col("__h")) & (F.col(group) == F.col("__g")) & (F.xxhash64(F.col(text)) == F.col("th"))
-    return df.join(chosen, matched, "left_semi").dropDuplicates([key, group, text])
+    matched = (hashed == F.col("__h")) & (F.xxhash64(F.col(text)) == F.col("th"))
+    if groups is not None:
+        # A row of ``chosen`` is a key in one of its groups.
+        return df.join(chosen, matched).select(*[c for c in df.columns if c != group], F.col("__g").alias(group)).dropDuplicates([key, group, text])
+    return df.join(chosen, matched & (F.col(group) == F.col("__g")), "left_semi").dropDuplicates([key, group, text])
 
 
 def _counts(words: list[str], bits: int) -> tuple[bytes, bytes]:

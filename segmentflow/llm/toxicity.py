@@ -106,13 +106,27 @@ def fit(docs: list[np.ndarray], y: np.ndarray, share: float, epochs: int = 8, se
 
 
 def train(
-    df: DataFrame, training: Column, key: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 3000
+    df: DataFrame,
+    training: Column,
+    key: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "toxic",
+    per_class: int = 3000,
+    labels: DataFrame | None = None,
 ) -> tuple[np.ndarray, float]:
     """Fit on rows where ``training`` holds, with a text and a label of 0
-    or 1; other labels and nulls are left out."""
-    rows = df.where(training & F.col(label_col).isin(0, 1) & F.col(text_col).isNotNull()).select(key, text_col, label_col)
-    share = rows.agg(F.avg(label_col)).first()[0] or 0.0
-    sample = bounded_sample(rows, key, label_col, per_class, text_col)
+    or 1; other labels and nulls are left out.  ``labels`` is the table of
+    ``key`` and label, if ``df`` has no label: the texts are then read where
+    they are, and only those of the sample leave their place."""
+    rows = df.where(training & F.col(text_col).isNotNull())
+    if labels is None:
+        rows = rows.where(F.col(label_col).isin(0, 1)).select(key, text_col, label_col)
+        labelled = rows
+    else:
+        rows, labels = rows.select(key, text_col), labels.where(F.col(label_col).isin(0, 1))
+        labelled = rows.select(key).join(labels, key)
+    share = labelled.agg(F.avg(label_col)).first()[0] or 0.0
+    sample = bounded_sample(rows, key, label_col, per_class, text_col, groups=labels)
 
     def factory():
         features = Features()

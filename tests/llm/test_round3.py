@@ -384,3 +384,27 @@ def test_forest_recall_of_the_query(spark, sf):
         hits += len({i for i, _ in got[int(ids[q])]} & set(want))
         assert len(got[int(ids[q])]) == 20
     assert len(got) == len(asked) and hits >= 0.9 * 20 * len(asked)
+
+
+def test_labels_join_the_keys_of_texts_not_the_texts(spark, monkeypatch):
+    """The sample with the labels apart is that of the joined table; texts
+    are hashed below the join (before: they were shuffled for it, twice)."""
+    from segmentflow.llm import language_id
+    from segmentflow.llm.common import staged
+
+    rows = [(i % 900, f"text {i} " * (i % 7)) for i in range(1000)] + [(None, "no key"), (5, None), (2000, "no label")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").where("text is not null")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(900)] + [(7, 0), (7, 1), (None, 1), (3000, 1)], "doc_id long, toxic int")
+    plans = []
+
+    def recorded(df, name):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return staged(df, name)
+
+    monkeypatch.setattr(language_id, "staged", recorded)
+    apart = language_id.bounded_sample(docs, "doc_id", "toxic", 100, groups=labels.distinct())
+    below = plans[0][1].split("Join Inner")[1]
+    assert plans[0][0] == "sample-keys" and "xxhash64(text" in below and "xxhash64(text" not in plans[0][1].split("Join Inner")[0]
+    joined = language_id.bounded_sample(docs.join(labels.distinct(), "doc_id"), "doc_id", "toxic", 100)
+    key = lambda r: (r.doc_id, r.text, r.toxic)
+    assert sorted(map(key, apart.collect())) == sorted(map(key, joined.collect())) and joined.count() > 150
