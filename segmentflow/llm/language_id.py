@@ -40,7 +40,8 @@ from segmentflow.llm.ngrams import hashed_ngrams
 SIZES = (2, 3, 4)
 BITS = 16
 DIM = 16
-CACHE_WORDS = 250_000
+CACHE_WORDS = 100_000
+LEARNT_AT_ONCE = 4096  # words; their subwords' logits are some 100 times their text
 UNDETERMINED = "und"
 REJECT_LEAST = 1.1
 PASSAGES = (1, 2, 10, 25)  # and the five words that are trained on
@@ -229,14 +230,16 @@ class Scorer:
         self.sums = np.zeros((1024, len(self.languages) + 1), np.float64)
 
     def _learn(self, new: list[str]) -> None:
-        buckets, n = hashed_ngrams(new, SIZES, BITS)
         at, need = len(self.index), len(self.index) + len(new)
         if need > len(self.sums):
-            self.sums = np.concatenate([self.sums, np.zeros((max(need - len(self.sums), len(self.sums)), self.sums.shape[1]))])
-        start = np.cumsum(n) - n
-        self.sums[at:need, :-1] = np.add.reduceat(self.logits[buckets], start, axis=0, dtype=np.float64)
-        self.sums[at:need, -1] = n
+            self.sums = np.concatenate([self.sums, np.zeros((max(need - len(self.sums), len(self.sums) // 2), self.sums.shape[1]))])
         self.index.update(zip(new, range(at, need), strict=True))
+        for first in range(0, len(new), LEARNT_AT_ONCE):
+            words = new[first : first + LEARNT_AT_ONCE]
+            buckets, n = hashed_ngrams(words, SIZES, BITS)
+            rows = self.sums[at + first : at + first + len(words)]
+            rows[:, :-1] = np.add.reduceat(self.logits[buckets], np.cumsum(n) - n, axis=0, dtype=np.float64)
+            rows[:, -1] = n
 
     def __call__(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         return self.sized(texts)[:2]

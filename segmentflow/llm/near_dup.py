@@ -75,7 +75,7 @@ LARGE_MOST = most_bits(LARGE, LARGE_BITS, LARGE_LEAST)
 SEED = 20240229
 CELLS = 1 << 18  # of a chunk of shingles by samples
 PICK_BITS = 17  # 64-bit words of the bitmap of picked ids, as a power of 2
-CACHE_WORDS = 250_000
+CACHE_WORDS = 100_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:

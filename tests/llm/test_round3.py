@@ -408,3 +408,19 @@ def test_labels_join_the_keys_of_texts_not_the_texts(spark, monkeypatch):
     joined = language_id.bounded_sample(docs.join(labels.distinct(), "doc_id"), "doc_id", "toxic", 100)
     key = lambda r: (r.doc_id, r.text, r.toxic)
     assert sorted(map(key, apart.collect())) == sorted(map(key, joined.collect())) and joined.count() > 150
+
+
+def test_words_are_learnt_in_bounded_parts(monkeypatch):
+    """Before: all new words of a slice at once, some 250 MB a worker."""
+    from segmentflow.llm import language_id
+
+    logits = np.random.default_rng(1).normal(size=(1 << language_id.BITS, 3)).astype(np.float32)
+    words = [f"w{i}x" for i in range(10_000)]
+    most, plain = [], language_id.hashed_ngrams
+    monkeypatch.setattr(language_id, "hashed_ngrams", lambda w, *a: (most.append(len(w)), plain(w, *a))[1])
+    scorer = language_id.Scorer({"logits": logits, "languages": ["a", "b", "c"]})
+    label, score = scorer([" ".join(words), " ".join(words[:50]), "w1x"])
+    assert max(most) <= 4096 and len(score) == 3
+    for text, got in zip((words, words[:50], ["w1x"]), score, strict=True):
+        buckets, _ = plain(text, language_id.SIZES, language_id.BITS)
+        assert abs(got - language_id._softmax(logits[buckets].astype(float).mean(axis=0)[None])[0].max()) < 1e-6
