@@ -38,6 +38,7 @@ BITS = 16
 SHARE = 0.32
 SPARE = 10
 SEED = 11
+BITMAP_BYTES = 48 << 20  # of the bitmaps of a depth of all trees
 
 
 class Forest:
@@ -49,55 +50,104 @@ class Forest:
         dim = vectors.shape[1] + 1
         self.directions = np.random.default_rng(SEED).standard_normal((dim, trees * bits)).astype(np.float32)
         lift = np.sqrt(np.maximum(longest**2 - (vectors**2).sum(axis=1), 0))
-        keys = self._strings(np.column_stack([vectors, lift]) / longest)
-        self.order = np.argsort(keys, axis=0, kind="stable").T.astype(np.int32)  # tree x row
-        self.keys = np.take_along_axis(keys, self.order.T, axis=0).T
+        keys = np.ascontiguousarray(self._strings(np.column_stack([vectors, lift]) / longest).T)
+        self.order = np.argsort(keys, axis=1, kind="stable").astype(np.int32)  # tree x row
+        self.keys = np.take_along_axis(keys, self.order, axis=1)
+        self.starts: dict[int, np.ndarray] = {}
+        self.marks: dict[int, np.ndarray | None] = {}
 
     def _strings(self, lifted: np.ndarray) -> np.ndarray:
         """Row x tree of hash strings, the first bit highest."""
         signs = lifted.astype(np.float32) @ self.directions >= 0
-        weights = 1 << np.arange(self.bits - 1, -1, -1)
-        return (signs.reshape(len(lifted), self.trees, self.bits) * weights).sum(axis=2, dtype=np.int64)
-
-    def _ranges(self, keys: np.ndarray, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        packed = np.packbits(signs.reshape(len(lifted), self.trees, self.bits), axis=2)
+        out = np.zeros(packed.shape[:2], np.uint16 if self.bits <= 16 else np.int64)
+        for byte in range(packed.shape[2]):
+            out = (out << 8) | packed[:, :, byte]
+        return out >> (8 * packed.shape[2] - self.bits)
+
+    def _places(self, depth: int) -> np.ndarray | None:
+        """Tree x prefix of ``depth`` bits: where its rows begin in the
+        tree's order, and at the end where the last ones end; None where
+        the prefixes outnumber the rows by far."""
+        if depth not in self.starts:
+            prefixes = 1 << depth
+            if prefixes > max(8 * len(self.vectors), 1 << 10):
+                return None
+            starts = np.zeros((self.trees, prefixes + 1), np.int32)
+            for t in range(self.trees):
+                np.cumsum(np.bincount(self.keys[t] >> (self.bits - depth), minlength=prefixes), out=starts[t, 1:])
+            self.starts = {depth: starts}  # the depths come in descending order
+        return self.starts[depth]
+
+    def _ranges(self, keys: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         """Tree x query: the places below the queries' prefixes."""
-        shift = self.bits - depth
-        low = np.empty((self.trees, len(keys)), np.int64)
-        high = np.empty_like(low)
-        for t in range(self.trees):
-            prefix = keys[:, t] >> shift
-            low[t] = np.searchsorted(self.keys[t], prefix << shift)
-            high[t] = np.searchsorted(self.keys[t], (prefix + 1) << shift)
-        return low, high
+        prefix = (keys >> (self.bits - depth)).T.astype(np.int64)
+        starts = self._places(depth)
+        if starts is not None:
+            return np.take_along_axis(starts, prefix, axis=1), np.take_along_axis(starts, prefix + 1, axis=1)
+        own = self.keys >> (self.bits - depth)
+        low = [np.searchsorted(own[t], prefix[t]) for t in range(self.trees)]
+        high = [np.searchsorted(own[t], prefix[t], side="right") for t in range(self.trees)]
+        return np.array(low), np.array(high)
+
+    def _bitmaps(self, depth: int) -> np.ndarray | None:
+        """Tree x prefix x 64-bit words: the rows below each prefix as a
+        bitmap, at most ``BITMAP_BYTES`` of them, else None."""
+        words = -(-len(self.vectors) // 64)
+        if self.trees * words * 8 << depth > BITMAP_BYTES:
+            return None
+        if depth not in self.marks:
+            deeper = self.marks.get(depth + 1)
+            if deeper is not None:
+                self.marks[depth] = deeper[:, 0::2] | deeper[:, 1::2]
+            else:
+                marks = np.empty((self.trees, 1 << depth, words * 8), np.uint8)
+                for t in range(self.trees):
+                    below = np.zeros((1 << depth, words * 64), np.uint8)
+                    below[self.keys[t] >> (self.bits - depth), self.order[t]] = 1
+                    marks[t] = np.packbits(below, axis=1, bitorder="little")
+                self.marks[depth] = marks.view(np.uint64)
+            self.marks.pop(depth + 2, None)
+        return self.marks[depth]
 
     def candidates(self, queries: np.ndarray, enough: int):
         """For each query, in any order, its number and the rows under its
         prefixes at the first depth, going up in all trees at once, where
         they are ``enough`` different ones."""
+        n, trees = len(self.vectors), np.arange(self.trees)
         unit = queries / np.sqrt((queries**2).sum(axis=1, keepdims=True))
         keys = self._strings(np.column_stack([unit, np.zeros(len(unit))]))
-        depth = np.full(len(queries), self.bits)
         open_ = np.arange(len(queries))
-        while len(open_):
-            low, high = self._ranges(keys[open_], depth[open_])
+        for depth in range(self.bits, -1, -1):
+            low, high = self._ranges(keys[open_], depth)
             # Fewer places than ``enough`` can't hold so many rows.
-            full = ((high - low).sum(axis=0) >= enough) | (depth[open_] == 0)
+            full = ((high - low).sum(axis=0) >= enough) | (depth == 0)
             up = ~full
+            # Bitmaps are made where enough queries are to use them.
+            marks = self._bitmaps(depth) if np.count_nonzero(full) * 8 >= 1 << depth else None
             for i in np.flatnonzero(full):
-                marked = np.zeros(len(self.vectors), bool)
-                marked[np.concatenate([self.order[t, low[t, i] : high[t, i]] for t in range(self.trees)])] = True
-                if depth[open_[i]] and np.count_nonzero(marked) < enough:
-                    up[i] = True
+                if marks is not None:
+                    union = np.bitwise_or.reduce(marks[trees, keys[open_[i]] >> (self.bits - depth)], axis=0)
+                    if depth and int(np.bitwise_count(union).sum()) < enough:
+                        up[i] = True
+                        continue
+                    marked = np.unpackbits(union.view(np.uint8), count=n, bitorder="little").view(bool)
                 else:
-                    yield int(open_[i]), np.flatnonzero(marked)
+                    marked = np.zeros(n, bool)
+                    marked[np.concatenate([self.order[t, low[t, i] : high[t, i]] for t in range(self.trees)])] = True
+                    if depth and np.count_nonzero(marked) < enough:
+                        up[i] = True
+                        continue
+                yield int(open_[i]), np.flatnonzero(marked)
             open_ = open_[up]
-            depth[open_] -= 1
+            if not len(open_):
+                return
 
     def best(self, found: np.ndarray, query: np.ndarray, k: int) -> np.ndarray:
         """Those of ``found`` that can be among the ``k`` largest products."""
         if len(found) <= k:
             return found
-        score = self.single[found] @ query.astype(np.float32)
+        score = self.single.take(found, axis=0) @ query.astype(np.float32)
         cut = np.partition(score, len(score) - k)[len(score) - k]
         error = 4 * len(query) * 2.0**-23 * self.longest * float(np.sqrt((query**2).sum()))
         return found[score >= cut - error]

@@ -424,3 +424,28 @@ def test_words_are_learnt_in_bounded_parts(monkeypatch):
     for text, got in zip((words, words[:50], ["w1x"]), score, strict=True):
         buckets, _ = plain(text, language_id.SIZES, language_id.BITS)
         assert abs(got - language_id._softmax(logits[buckets].astype(float).mean(axis=0)[None])[0].max()) < 1e-6
+
+
+@pytest.mark.parametrize(("n", "trees", "bits", "enough"), [(1500, 32, 16, 300), (700, 8, 20, 5), (3, 8, 7, 9)])
+def test_forest_finds_the_rows_below_the_prefixes_by_bitmaps(monkeypatch, n, trees, bits, enough):
+    """Before: the places of every tree were put together for every query
+    and depth tried."""
+    from segmentflow.llm import lsh_forest
+
+    rng = np.random.default_rng(n)
+    v, q = rng.normal(size=(n, 12)), rng.normal(size=(400, 12))
+    longest = float(np.sqrt((v**2).sum(axis=1)).max())
+    forest = lsh_forest.Forest(v, longest, trees, bits)
+    joined, plain = [], np.concatenate
+    monkeypatch.setattr(lsh_forest.np, "concatenate", lambda *a, **k: (joined.append(1), plain(*a, **k))[1])
+    got = dict(forest.candidates(q, enough))
+    monkeypatch.undo()
+    assert sorted(got) == list(range(400)) and (n < 1000 or len(joined) < 100)
+    lift = np.sqrt(np.maximum(longest**2 - (v**2).sum(axis=1), 0))
+    sign = lambda x: (x.astype(np.float32) @ forest.directions >= 0).reshape(len(x), trees, bits)
+    rows = sign(np.column_stack([v, lift]) / longest)
+    asked = sign(np.column_stack([q / np.sqrt((q**2).sum(axis=1, keepdims=True)), np.zeros(len(q))]))
+    for i in range(0, 400, 7):
+        same = np.cumprod(rows == asked[i], axis=2).sum(axis=2).max(axis=1)  # the longest prefix shared in any tree
+        depth = next(d for d in range(bits, -1, -1) if d == 0 or (same >= d).sum() >= enough)
+        assert np.array_equal(got[i], np.flatnonzero(same >= depth))
