@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from segmentflow.llm.common import append_columns, staged
+from segmentflow.llm.common import append_columns, bounded_batches, staged
 
 WORDS = 5
 LINK = 75  # hundredths
@@ -253,6 +253,7 @@ def confirmed(pairs: DataFrame, documents: DataFrame, text_col: str, repeated: b
                 keep.append(100 * shared >= LINK * (len(both) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    bounded_batches(pairs.sparkSession)
     joined = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a")
     joined = joined.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), "b")
     links = joined.select("a", "b", "x", "y").mapInArrow(run, "a BIGINT, b BIGINT")

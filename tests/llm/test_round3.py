@@ -449,3 +449,34 @@ def test_forest_finds_the_rows_below_the_prefixes_by_bitmaps(monkeypatch, n, tre
         same = np.cumprod(rows == asked[i], axis=2).sum(axis=2).max(axis=1)  # the longest prefix shared in any tree
         depth = next(d for d in range(bits, -1, -1) if d == 0 or (same >= d).sum() >= enough)
         assert np.array_equal(got[i], np.flatnonzero(same >= depth))
+
+
+def test_workers_get_small_batches_and_keep_no_tables_of_others(spark):
+    """Before: 10,000 rows or 64 MB at once, and what another operator had
+    kept stayed in the worker beside the next one's joins."""
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    from segmentflow.llm import common
+
+    def factory():
+        return lambda texts: [[pa.total_allocated_bytes() for _ in texts]]
+
+    docs = spark.range(64, numPartitions=1).select("id", F.repeat(F.lit("some words "), 50_000).alias("text"))
+    held = common.append_columns(docs, "text", [T.StructField("held", T.LongType())], factory, ["id"])
+    assert held.count() == 64 and held.agg(F.max("held")).first()[0] < 4 * common.BATCH_BYTES
+
+    def kept(batches):
+        yield from ()
+        common.worker_kept("templates", 0, lambda: "tables")
+
+    def left(batches):
+        import sys
+
+        for batch in batches:
+            yield batch.set_column(1, "kept", pa.array(["_segmentflow_worker" in sys.modules] * batch.num_rows))
+
+    one = spark.range(1, numPartitions=1).select("id", F.lit("a").alias("text"))
+    one.mapInArrow(kept, "id long, text string").collect()
+    common.append_columns(one, "text", [T.StructField("n", T.LongType())], factory, ["id"]).collect()
+    assert not one.mapInArrow(left, "id long, kept boolean").first().kept
