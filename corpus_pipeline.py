@@ -40,22 +40,22 @@ def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     duplicates (operator 5); repeated rows of an id go too."""
     columns, docs = docs.columns, keyed(docs)
     found = near_dup.near_duplicates(docs, id_col="__key")
-    dropped = found.where(~F.col("kept")).select(F.col("__key").alias("__id")).distinct()
-    docs = docs.join(dropped, F.col("__key") == F.col("__id"), "left_anti")
+    dropped = staged(found.where(~F.col("kept")).select(F.col("__key").alias("__id")).distinct(), "dropped")
     again = docs.groupBy(F.col("__key").alias("__id")).count().where("count > 1").select("__id")
+    again = staged(again.join(dropped, "__id", "left_anti"), "again")
     if again.isEmpty():
-        return docs.select(*columns)
-    rest = docs.join(again, F.col("__key") == F.col("__id"), "left_anti")
-    once = docs.join(again, F.col("__key") == F.col("__id"), "left_semi").dropDuplicates(["__key", "text"])
-    return rest.unionByName(once).select(*columns)
+        return near_dup.without(docs, "__key", dropped).select(*columns)
+    rest = near_dup.without(docs, "__key", dropped.union(again))
+    once = near_dup.picked(docs, "__key", again).join(again, F.col("__key") == F.col("__id"))
+    return rest.select(*columns).union(once.dropDuplicates(["__key", "text"]).select(*columns))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a benchmark item (operator 10)."""
     columns, docs = docs.columns, keyed(docs)
     found = decontaminate.contaminated(docs, read_table(spark, sf_dir, "benchmark"), id_col="__key")
-    held = found.select(F.col("__key").alias("__id")).distinct()
-    return docs.join(held, F.col("__key") == F.col("__id"), "left_anti").select(*columns)
+    held = staged(found.select(F.col("__key").alias("__id")).distinct(), "held")
+    return near_dup.without(docs, "__key", held).select(*columns)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

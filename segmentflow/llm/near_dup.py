@@ -222,17 +222,42 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         labels = step.select("id", "component")
 
 
+def _word(c: str) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(c), 64 - PICK_BITS).cast("int")
+
+
+def _bit(c: str) -> Column:
+    return F.xxhash64(c).bitwiseAND(F.lit(63)).cast("int")
+
+
+def bitmap(ids: DataFrame) -> DataFrame:
+    """``__w`` and ``__m``, the words of a bitmap of the ids (the first
+    column) with some bit set: ``1 << PICK_BITS`` 64-bit words at most, 2 MB
+    at any size of ``ids``, to be broadcast."""
+    one = ids.select(F.col(ids.columns[0]).alias("i")).select(_word("i").alias("__w"), F.expr("shiftleft(1L, cast(xxhash64(i) & 63 as int))").alias("__m"))
+    return F.broadcast(one.groupBy("__w").agg(F.bit_or("__m").alias("__m")))
+
+
 def picked(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose id may be among ``ids``, by a bitmap of
-    ``1 << PICK_BITS`` 64-bit words that is broadcast (2 MB at any size of
-    ``ids``; the more ids, the more other rows pass).  Repeats don't
-    matter, and nothing of ``df`` is shuffled."""
-    word = lambda c: F.shiftrightunsigned(F.xxhash64(c), 64 - PICK_BITS).cast("int")
-    bit = lambda c: F.xxhash64(c).bitwiseAND(F.lit(63)).cast("int")
-    one = ids.select(F.col(ids.columns[0]).alias("i")).select(word("i").alias("w"), F.expr("shiftleft(1L, cast(xxhash64(i) & 63 as int))").alias("m"))
-    bitmap = one.groupBy("w").agg(F.bit_or("m").alias("m"))
-    marked = df.join(F.broadcast(bitmap), word(id_col) == F.col("w"))
-    return marked.where(F.getbit("m", bit(id_col)) == 1).select(*df.columns)
+    """The rows of ``df`` whose id may be among ``ids``, by their bitmap
+    (the more ids, the more other rows pass).  Repeats don't matter, and
+    nothing of ``df`` is shuffled."""
+    marked = df.join(bitmap(ids), _word(id_col) == F.col("__w"))
+    return marked.where(F.getbit("__m", _bit(id_col)) == 1).select(*df.columns)
+
+
+def without(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose id is not among ``ids`` (a small table that
+    is read twice).  Rows that the bitmap of the ids clears stay where they
+    are; only the others, those of the ids and the few that share a bit with
+    one, are shuffled with their texts to be compared."""
+    may = F.coalesce(F.getbit("__m", _bit(id_col)), F.lit(0)) == 1
+    marked = df.join(bitmap(ids), _word(id_col) == F.col("__w"), "left")
+    other = ids.select(F.col(ids.columns[0]).alias("__other"))
+    # ``may`` again in the condition: without a column of the bitmap in it
+    # Spark moves this join below that with the bitmap, to all rows.
+    rest = marked.where(may).join(other, (F.col(id_col) == F.col("__other")) & may, "left_anti")
+    return marked.where(~may).select(*df.columns).union(rest.select(*df.columns))
 
 
 def confirmed(pairs: DataFrame, documents: DataFrame, text_col: str, repeated: bool) -> DataFrame:

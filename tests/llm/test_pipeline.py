@@ -3,7 +3,7 @@
 import re
 
 import corpus_pipeline
-from segmentflow.llm import pii
+from segmentflow.llm import near_dup, pii
 
 
 def corpus(spark, folder):
@@ -57,3 +57,39 @@ def test_rows_without_an_id(spark, tmp):
     assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted([(0, rows[0][1]), (7, rows[3][1]), (8, rows[4][1])])
     clean = corpus_pipeline.decontamination_stage(spark, kept, tmp)
     assert clean.columns == ["doc_id", "text"] and sorted(r.doc_id for r in clean.collect()) == [7, 8]
+
+
+def test_texts_of_kept_rows_are_not_shuffled(spark, tmp):
+    """Before: once the dropped ids were too many to be broadcast, every
+    stage that drops rows shuffled all texts to leave them out."""
+    corpus(spark, tmp)
+    docs = spark.read.parquet(f"{tmp}/documents.parquet")
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        for stage in (corpus_pipeline.near_dup_stage, corpus_pipeline.decontamination_stage):
+            plan = stage(spark, docs, tmp)._jdf.queryExecution().optimizedPlan().toString()
+            assert "Union" in plan and "Join LeftAnti" in plan
+            assert all("getbit" in part for part in plan.split("Join LeftAnti")[1:])
+    finally:
+        spark.conf.set(threshold, before)
+
+
+def test_without_equals_a_plain_anti_join(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "PICK_BITS", 1)  # 128 bits, shared by many ids
+    rows = [(i % 700, f"text {i}", i) for i in range(1000)] + [(None, "no id", 0), (5, None, 1)]
+    df = spark.createDataFrame(rows, "k long, text string, w int")
+    for ids in ([], [3], [*range(0, 700, 9), 5, 5, 9999], list(range(800))):
+        gone = spark.createDataFrame([(i,) for i in ids], "k long")
+        got = near_dup.without(df, "k", gone)
+        assert got.columns == df.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, df.join(gone, "k", "left_anti").select(*df.columns).collect()))
+
+
+def test_repeated_rows_are_one_document(spark, tmp):
+    own = [" ".join(f"w{i}{chr(97 + k)}" for k in range(20)) for i in range(6)]
+    rows = [(1, own[0]), (1, own[0]), (1, own[1]), (2, own[2]), (2, own[2]), (3, own[3]), (4, own[3]), (4, own[3]), (5, own[4])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.near_dup_stage(spark, docs, tmp)
+    assert sorted(map(tuple, kept.collect())) == sorted([(1, own[0]), (1, own[1]), (2, own[2]), (3, own[3]), (5, own[4])])
