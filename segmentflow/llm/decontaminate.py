@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from segmentflow.llm.common import staged, text_slices, worker_kept
+from segmentflow.llm.common import bounded_batches, staged, text_slices, worker_kept
 from segmentflow.llm.near_dup import mix
 
 WINDOW = 8
@@ -259,6 +259,7 @@ def template_windows(df: DataFrame, id_col: str, text_col: str, bitmap=None, len
 
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     rows = rows.where("text is not null and id is not null")
+    bounded_batches(df.sparkSession)
     return rows.mapInArrow(run, "id BIGINT, hash BIGINT, pos BIGINT, slots STRING, n BIGINT, need DOUBLE, raw BIGINT, token BIGINT")
 
 

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from segmentflow.llm.common import append_columns, text_slices
+from segmentflow.llm.common import append_columns, bounded_batches, text_slices
 
 KINDS = ("email", "ip", "card", "phone")
 OUTSIDE = len(KINDS)
@@ -346,6 +346,7 @@ def train(df: DataFrame, text_col: str = "text") -> Field:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["what", "of", "n"])
 
     texts = df.select(F.col(f"`{text_col}`").cast("string").alias("text")).where("text is not null")
+    bounded_batches(df.sparkSession)
     counts = texts.mapInArrow(run, "what STRING, of STRING, n BIGINT").groupBy("what", "of").agg(F.sum("n").alias("n")).collect()
     parsed = sorted((r.what, tuple(map(int, r.of.split(","))), r.n) for r in counts)
     shapes = [(of[:-1], of[-1], float(n)) for what, of, n in parsed if what == "shape"]

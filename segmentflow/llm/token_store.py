@@ -29,6 +29,7 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +38,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from segmentflow.llm.common import scratch_path, staged, text_slices, vocabulary_bytes, worker_kept
+from segmentflow.llm.common import bounded_batches, forget_kept, give_back, scratch_path, staged, text_slices, vocabulary_bytes, worker_kept
 
 LENGTH = 2048
 BATCH = 64
 FILE_TOKENS = 16 << 20
+READ_ROWS = 10_000
 CACHE_ENTRIES = 300_000
 MARKS = ".,!?;:%&$*#"
 # White space for Python's split alone, not for the library.
@@ -405,6 +407,7 @@ def write_sequences(
         encode = worker_kept("tokenizer", (zlib.crc32(data), len(data), kind.str), lambda: Tokenizer(data, kind))
         writer = Writer(folder, TaskContext.get().partitionId(), length, kind)
         end = np.array([end_id], kind).tobytes()
+        batch = part = None
         for batch in batches:
             for part in text_slices(batch, "text"):
                 for doc_id, ids in zip(part.column("id").to_pylist(), encode(part.column("text").to_pylist()), strict=True):
@@ -413,7 +416,10 @@ def write_sequences(
         columns = list(zip(*writer.done, strict=True)) or [[]] * 5
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["part", "roll", "path", "n_docs", "n_ids"])
+        del batch, part, writer
+        give_back()
 
+    bounded_batches(spark)
     manifest = staged(ordered.mapInArrow(run, MANIFEST), "token-manifest")
     # One small row per file of many documents: a single ordered window.
     before = W.orderBy("part", "roll").rowsBetween(W.unboundedPreceding, -1)
@@ -425,15 +431,20 @@ def read_documents(manifest: DataFrame) -> DataFrame:
     documents before it), ``n_tokens`` and ``ids_crc32`` (of the ids as
     little-endian unsigned 32-bit integers).  One task reads one file."""
 
+    def summed(documents, start):
+        for doc_id, ids in documents:
+            yield doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())
+            start += len(ids)
+
     def run(batches):
+        forget_kept()
         for batch in batches:
             for folder, path, start in zip(*(batch.column(c).to_pylist() for c in ("folder", "path", "start")), strict=True):
-                out = []
-                for doc_id, ids in SequenceFile(folder, path).documents():
-                    out.append((doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
-                    start += len(ids)
-                columns = list(zip(*out, strict=True)) or [[]] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                rows = summed(SequenceFile(folder, path).documents(), start)
+                # A file may hold as many documents as ids.
+                while some := list(islice(rows, READ_ROWS)):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*some, strict=True)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+        give_back()
 
     files = manifest.select("folder", "path", "start")
     spread = files.repartition(max(1, files.sparkSession.sparkContext.defaultParallelism * 4), "path")

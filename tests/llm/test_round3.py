@@ -480,3 +480,40 @@ def test_workers_get_small_batches_and_keep_no_tables_of_others(spark):
     one.mapInArrow(kept, "id long, text string").collect()
     common.append_columns(one, "text", [T.StructField("n", T.LongType())], factory, ["id"]).collect()
     assert not one.mapInArrow(left, "id long, kept boolean").first().kept
+
+
+def test_token_store_workers_get_small_batches_and_give_memory_back(spark, tmp, monkeypatch):
+    """Before: 10,000 rows or 64 MB at once, the tokenizer's tables stayed
+    beside the reader, and a file's documents came as one batch of rows."""
+    import public_tokenizers
+    import pyarrow as pa
+
+    from segmentflow.llm import common, decontaminate, pii, token_store
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = spark.range(300, numPartitions=1).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    steps = {
+        "tokens": lambda: token_store.write_sequences(docs, path, 2, folder=tmp + "/tokens", length=64),
+        "templates": lambda: decontaminate.template_windows(docs, "doc_id", "text"),
+        "personal data": lambda: pii.train(docs),
+    }
+    made = {}
+    for name, step in steps.items():
+        spark.conf.unset(key)
+        made[name] = step()
+        assert spark.conf.get(key) == f"{common.BATCH_BYTES}b", name
+
+    monkeypatch.setattr(token_store, "READ_ROWS", 100)
+    read = token_store.read_documents(made["tokens"].repartition(1))
+
+    def left(batches):
+        import sys
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(["_segmentflow_worker" in sys.modules])], names=["kept"])
+
+    rows = read.collect()
+    assert sorted(r.doc_id for r in rows) == list(range(300)) and {r.n_tokens for r in rows} == {3}
+    assert sorted(r.start for r in rows) == list(range(0, 900, 3))
+    assert not any(r.kept for r in spark.range(1, numPartitions=1).mapInArrow(left, "kept boolean").collect())
